@@ -1,0 +1,46 @@
+"""Every named query against its SQL on the same tables."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents "
+    "embeddings pages benchmark labels conversations"
+).split()
+
+
+@pytest.fixture(scope="module")
+def sql():
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF_DIR}/{name}.parquet'")
+    return con
+
+
+def _canonical(names, rows):
+    order = sorted(range(len(names)), key=lambda i: names[i])
+    return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
+
+
+def test_every_query_has_sql():
+    assert entry.queries().keys() == entry.oracle_sql().keys()
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_matches_sql(spark, sql, name):
+    result = entry.queries()[name](spark, SF_DIR)
+    expected = sql.execute(entry.oracle_sql()[name])
+    names = [d[0] for d in expected.description]
+    assert sorted(result.columns) == sorted(names)
+    want = _canonical(names, expected.fetchall())
+    got = _canonical(result.columns, [tuple(r) for r in result.collect()])
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g == w
