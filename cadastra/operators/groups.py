@@ -58,23 +58,23 @@ def extreme_rows(
     value: str = "area",
     tie: str = "id",
     largest: bool = True,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
     """The whole row with the largest (or smallest) value of each group, lowest `tie` first.
 
     Sorting whole rows by group would dominate on a large table. Instead one pass
-    over two columns finds each group's extreme by hash aggregation; those go to
-    a small written table. Its known size lets Catalyst broadcast it, or shuffle
-    when there are too many groups, and the second pass keeps only rows
+    over two columns finds each group's range by hash aggregation, which is
+    written right away as a small table; a stored result of `value_ranges` may be
+    given as `ranges` instead. Its known size lets Catalyst broadcast it, or
+    shuffle when there are too many groups, and the second pass keeps only rows
     that reach their group's extreme. Ties among these are settled by `tie` with
     partial aggregation, so a group with many ties is not gathered in one task.
     """
-    pick = F.max if largest else F.min
-    present = df.filter(F.col(value).isNotNull())
-    extremes = written(
-        present.groupBy(F.col(group).alias("_group")).agg(pick(value).alias("_extreme")),
-        "extremes",
-    )
-    candidates = present.join(
+    if ranges is None:
+        ranges = written(_ranges(df, group, value), "ranges")
+    extreme = f"max_{value}" if largest else f"min_{value}"
+    extremes = ranges.select(F.col(group).alias("_group"), F.col(extreme).alias("_extreme"))
+    candidates = df.join(
         extremes,
         F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_extreme")),
     )

@@ -29,7 +29,7 @@ def year_stats(df: DataFrame, column: str = "year") -> DataFrame:
     )
     everything = W.partitionBy()
     ranked = blocks.select(
-        "high",
+        F.col("high").alias("middle"),
         (F.sum("block_n").over(W.orderBy("high")) - F.col("block_n")).alias("before"),
         "block_n",
         F.sum("block_n").over(everything).alias("total"),
@@ -40,7 +40,9 @@ def year_stats(df: DataFrame, column: str = "year") -> DataFrame:
     middle = ranked.filter((F.col("before") < half) & (F.col("before") + F.col("block_n") >= half))
     reached = F.col("before") + F.sum("n").over(W.orderBy("value"))
     return (
-        counts.join(F.broadcast(middle), "high")
+        # Null-safe, so that no filter is inferred that would keep the two uses of
+        # `counts` from sharing one shuffle.
+        counts.join(F.broadcast(middle), F.col("high").eqNullSafe(F.col("middle")))
         .select("value", reached.alias("reached"), "total", "total_sum")
         .agg(
             (F.max("total_sum") / F.max("total")).alias(f"avg_{column}"),

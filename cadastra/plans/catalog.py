@@ -114,6 +114,13 @@ def clean_metrics(spark, sf_dir):
     return cleaning.clean_metrics(cast_types(spark, sf_dir))
 
 
+def schema_profile(spark, sf_dir):
+    """The column listing, with how many rows of the table lack each value."""
+    rows = houses(spark, sf_dir)
+    nulls = profile.null_profile(rows).select(F.col("column").alias("name"), "nulls")
+    return profile.schema_profile(rows).join(nulls, "name")
+
+
 def run_metrics(spark, sf_dir):
     rows = houses(spark, sf_dir)
     return profile.run_metrics(
@@ -197,7 +204,7 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": parquet_roundtrip,
     "row_count": _on_houses(profile.row_count),
     "null_profile": _on_houses(profile.null_profile),
-    "schema_profile": _on_houses(profile.schema_profile),
+    "schema_profile": schema_profile,
     "head_sample": _on_houses(profile.head_sample),
     "run_metrics": run_metrics,
     "year_stats": _on_houses(statistics.year_stats),

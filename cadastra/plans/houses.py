@@ -35,9 +35,8 @@ houses AS (SELECT * FROM typed WHERE year IS NOT NULL AND area IS NOT NULL)
 """
 
 
-def raw_houses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows as a registry file holds them: all text, file headers."""
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+def as_registry(orders: DataFrame) -> DataFrame:
+    """Rows as a registry file holds them: all text, file headers."""
     price = F.col("o_totalprice")
     status = F.col("o_orderstatus")
     priority = F.col("o_orderpriority")
@@ -69,6 +68,11 @@ def raw_houses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_houses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One raw registry row per order."""
+    return as_registry(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+
+
 def houses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cleaned table, derived lazily, so a query computes only what it uses."""
     return clean(raw_houses(spark, sf_dir))

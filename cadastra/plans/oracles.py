@@ -92,7 +92,7 @@ _LINEITEM_COLUMNS = [
 
 _SCHEMA = "\nUNION ALL\n".join(
     f"SELECT {i} AS position, '{f.name}' AS name, '{f.type.simpleString()}' AS type, "
-    f"count({f.name}) AS filled FROM houses"
+    f"count(*) - count({f.name}) AS nulls FROM houses"
     for i, f in enumerate(FIELDS, 1)
 )
 

@@ -55,8 +55,6 @@ def analyses(houses: DataFrame) -> dict[str, DataFrame]:
         "top_cities": groups.top_groups(houses, "city"),
         "area_by_region": groups.value_ranges(houses),
         "area_series": groups.range_series(houses),
-        "largest_in_region": groups.extreme_rows(houses),
-        "smallest_in_region": groups.extreme_rows(houses, largest=False),
         "by_decade": groups.bucket_counts(houses),
         "decade_series": groups.decade_series(houses),
     }
@@ -87,6 +85,9 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     houses = parquet.read_clean(spark, clean_path)
     for name, result in analyses(houses).items():
         store(name, result)
+    ranges = spark.read.parquet(stored["area_by_region"])
+    store("largest_in_region", groups.extreme_rows(houses, ranges=ranges))
+    store("smallest_in_region", groups.extreme_rows(houses, largest=False, ranges=ranges))
 
     table_counts = profile.row_count(houses).selectExpr("n AS row_count", "n AS clean_count")
     years = spark.read.parquet(stored["year_stats"])
@@ -94,5 +95,5 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     store("load_reconcile", load(houses, settings.table, settings.path("table")))
     top = topk.top_houses(spark, spark.table(settings.table))
     store("top_houses", top)
-    store("topk_report", topk.topk_report(spark.read.parquet(stored["top_houses"])))
+    store("topk_report", topk.topk_report(top))
     return stored

@@ -18,7 +18,6 @@ from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
 
 SPLIT_ABOVE = 128 * 1024 * 1024
 
-_BOM = "\ufeff"
 _REPLACED = "\ufffd"
 # Two control characters for the line check; lines that hold them fail it.
 _UNUSED_SEPARATOR = "\x01"
@@ -49,28 +48,25 @@ def _read(spark: SparkSession, paths: Paths, header: bool, options: dict) -> Dat
         options = options | {"header": True, "enforceSchema": False}
         names = spark.read.csv(paths, **options).columns
     rows = spark.read.schema(text_schema(names)).csv(paths, **options)
-    # A split read keeps the byte-order mark in front of the first column.
-    first = names[0].removeprefix(_BOM)
-    missing = set(RAW_COLUMNS) - {first, *names[1:]}
+    missing = set(RAW_COLUMNS) - set(names)
     if missing:
         raise ValueError(f"columns missing in {paths}: {sorted(missing)}")
-    source = {first: F.ltrim(F.col(f"`{names[0]}`"), F.lit(_BOM))}
-    return rows.select(
-        *[source.get(c, F.col(c)).alias(c) for c in RAW_COLUMNS], F.col(CORRUPT)
-    )
+    return rows.select(*RAW_COLUMNS, CORRUPT)
+
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Every file below `path` with its size. Reads no contents.
 
-def large_files(spark: SparkSession, path: str, above: int) -> tuple[list[str], list[str]]:
-    """Paths of the files below `path`, as (large, others). Reads no contents."""
-    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
-    large = [f.path for f in files if f.length > above]
-    return large, [f.path for f in files if f.length <= above]
+    `path` names a file as readers take it, `uri` as `_metadata.file_path` spells it.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", "length", F.col("_metadata.file_path").alias("uri"))
 
 
 def line_profile(spark: SparkSession, paths: Paths, encoding: str) -> DataFrame:
-    """Per file: whether every physical line is one whole record, and its line end.
+    """The line end of each file in which every physical line is one whole record.
 
-    A line is a whole record when each field is either quoted from end to end or
+    `line_end` is NULL for files in which that does not hold. A line is a whole record when each field is either quoted from end to end or
     has no quote at all. If all lines are, line breaks and record breaks coincide.
     """
     lines = spark.read.schema(f"line string, {CORRUPT} string").csv(
@@ -84,7 +80,7 @@ def line_profile(spark: SparkSession, paths: Paths, encoding: str) -> DataFrame:
         columnNameOfCorruptRecord=CORRUPT,
     )
     line = F.col("line")
-    body = F.regexp_replace(line, f"^{_BOM}|\r$", "")
+    body = F.regexp_replace(line, "\r$", "")
     # Each quoted piece becomes one mark; marks may touch only each other and commas.
     shape = F.regexp_replace(body, '"[^"]*"', _QUOTED)
     odd = (
@@ -95,21 +91,19 @@ def line_profile(spark: SparkSession, paths: Paths, encoding: str) -> DataFrame:
         | F.contains(shape, F.lit('"'))
         | shape.rlike(f"[^,{_QUOTED}]{_QUOTED}|{_QUOTED}[^,{_QUOTED}]")
     )
+    ends = F.col("crlf_lines")
     return (
-        lines.groupBy(F.col("_metadata.file_path").alias("path"))
+        lines.groupBy(F.col("_metadata.file_path").alias("uri"))
         .agg(
             F.count(F.lit(1)).alias("lines"),
             F.count_if(odd).alias("odd_lines"),
             F.count_if(F.endswith(line, F.lit("\r"))).alias("crlf_lines"),
-            F.bool_or(F.startswith(line, F.lit(_BOM))).alias("bom"),
         )
         .select(
-            "path",
-            (
-                (F.col("odd_lines") == 0) & F.col("crlf_lines").isin(F.lit(0), F.col("lines"))
-            ).alias("splittable"),
-            (F.col("crlf_lines") > 0).alias("crlf"),
-            "bom",
+            "uri",
+            F.when((F.col("odd_lines") == 0) & (ends == 0), "\n")
+            .when((F.col("odd_lines") == 0) & (ends == F.col("lines")), "\r\n")
+            .alias("line_end"),
         )
     )
 
@@ -137,27 +131,24 @@ def read_raw(
     if layout != "auto":
         raise ValueError(f"unknown layout: {layout}")
 
-    large, others = large_files(spark, path, split_above)
+    files = file_sizes(spark, path).collect()
+    large = {f.uri: f.path for f in files if f.length > split_above}
     if not large:
         return _read(spark, path, header, whole)
-    profile = {row.path: row for row in line_profile(spark, large, encoding).collect()}
-    if set(profile) - set(large):
-        raise ValueError("file listing and file metadata name the files differently")
+    profile = line_profile(spark, list(large.values()), encoding).collect()
+    line_ends = {row.uri: row.line_end for row in profile}
+    if not line_ends.keys() <= large.keys():
+        raise ValueError("the file listing and the read name files differently")
+
     parts = []
+    others = [f.path for f in files if f.length <= split_above]
     if others:
         parts.append(_read(spark, others, header, whole))
-    # Files with a byte-order mark have another first header name, hence separate reads.
-    for crlf in (False, True):
-        for bom in (False, True):
-            same = [
-                p
-                for p, row in profile.items()
-                if row.splittable and row.crlf == crlf and row.bom == bom
-            ]
-            if same:
-                line_end = "\r\n" if crlf else "\n"
-                parts.append(_read(spark, same, header, _options(encoding, line_end)))
-    unsplit = [p for p in large if p not in profile or not profile[p].splittable]
+    for line_end in ("\n", "\r\n"):
+        same = [large[uri] for uri, end in line_ends.items() if end == line_end]
+        if same:
+            parts.append(_read(spark, same, header, _options(encoding, line_end)))
+    unsplit = [path for uri, path in large.items() if line_ends.get(uri) is None]
     if unsplit:
         parts.append(_read(spark, unsplit, header, whole).hint("rebalance"))
     return reduce(DataFrame.unionByName, parts)
