@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,22 +12,28 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
-def null_profile(df: DataFrame) -> DataFrame:
-    """NULL count and percentage of every column, from a single pass over the table."""
-    totals = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col(c).isNull()).alias(f"nulls_{i}") for i, c in enumerate(df.columns)],
-    )
+def null_counts(columns: list[str]) -> list[Column]:
+    """Aggregates for `null_profile`: the row count and the NULLs of every column."""
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns]
+    return [F.count(F.lit(1)).alias("total"), *nulls]
+
+
+def as_null_profile(counts: DataFrame, columns: list[str]) -> DataFrame:
+    """The one row of `null_counts` as a row per column, with percentages."""
     rows = [
-        F.struct(F.lit(c).alias("column"), F.col(f"nulls_{i}").alias("nulls"))
-        for i, c in enumerate(df.columns)
+        F.struct(F.lit(c).alias("column"), F.col(f"nulls_{c}").alias("nulls")) for c in columns
     ]
     percent = F.when(F.col("total") > 0, F.col("nulls") / F.col("total") * 100).otherwise(0.0)
-    return totals.select("total", F.inline(F.array(*rows))).select(
+    return counts.select("total", F.inline(F.array(*rows))).select(
         "column", "nulls", percent.alias("pct")
     )
 
 
+def null_profile(df: DataFrame) -> DataFrame:
+    """NULL count and percentage of every column, from a single pass over the table."""
+    return as_null_profile(df.agg(*null_counts(df.columns)), df.columns)
+
+
 def schema_profile(df: DataFrame) -> DataFrame:
     """Position, name and type of every column. Reads no rows of the table."""
     rows = [

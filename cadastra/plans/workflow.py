@@ -10,9 +10,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cadastra.operators import cleaning, groups, profile, statistics, topk
-from cadastra.sources import csv_files, parquet, tables
+from cadastra.sources import csv_files, jdbc, parquet, tables
 
 
 @dataclass(frozen=True)
@@ -30,23 +31,38 @@ class RunSettings:
         return f"{self.out_dir.rstrip('/')}/{name}"
 
 
-def prepare(raw: DataFrame, path: str) -> DataFrame:
-    """Write the cleaned table from a single parse; returns the row counts of that pass.
+@dataclass(frozen=True)
+class Prepared:
+    """What the writing pass counted: rows before and after cleaning, NULLs per column."""
+
+    counts: DataFrame
+    null_profile: DataFrame
+
 
-    The counts are taken in the same tasks that write the files. Each of these
-    counts once, also when an executor is lost and its tasks run again.
+def prepare(raw: DataFrame, path: str) -> Prepared:
+    """Write the cleaned table from a single parse, counting along the way.
+
+    The counts are taken in the same tasks that write the files, so they need no
+    pass of their own. Each of these tasks counts once, also when an executor is
+    lost and its tasks run again.
     """
-    counts = Observation("cleaning")
-    typed = cleaning.cast_types(raw).observe(counts, *cleaning.cleaning_counts())
-    parquet.write_clean(cleaning.drop_incomplete(typed), path)
-    spark = raw.sparkSession
-    return spark.createDataFrame([counts.get], "total_rows long, clean_rows long")
+    before, after = Observation("before cleaning"), Observation("after cleaning")
+    typed = cleaning.cast_types(raw).observe(before, *cleaning.cleaning_counts())
+    clean = cleaning.drop_incomplete(typed)
+    parquet.write_clean(clean.observe(after, *profile.null_counts(clean.columns)), path)
+    return Prepared(
+        _one_row(raw.sparkSession, before.get),
+        profile.as_null_profile(_one_row(raw.sparkSession, after.get), clean.columns),
+    )
+
+
+def _one_row(spark: SparkSession, numbers: dict[str, int]) -> DataFrame:
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(k) for k, n in numbers.items()])
 
 
 def analyses(houses: DataFrame) -> dict[str, DataFrame]:
     """Every analytic over the cleaned table, by name; nothing runs until written."""
     return {
-        "null_profile": profile.null_profile(houses),
         "schema_profile": profile.schema_profile(houses),
         "head_sample": profile.head_sample(houses, 10),
         "year_stats": statistics.year_stats(houses),
@@ -69,6 +85,14 @@ def load(houses: DataFrame, table: str, path: str) -> DataFrame:
     return tables.reconcile(houses, spark.table(table))
 
 
+def load_external(
+    houses: DataFrame, target: jdbc.JdbcTarget, connections: int | None = None
+) -> DataFrame:
+    """Replace the rows of an external database table, and compare the row counts."""
+    jdbc.write_jdbc(houses, target, connections=connections)
+    return tables.reconcile(houses, jdbc.read_jdbc(houses.sparkSession, target))
+
+
 def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     """Run everything; returns the path of each stored result by name."""
     stored = {}
@@ -81,7 +105,8 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
         spark, settings.csv_path, settings.header, settings.encoding, settings.layout
     )
     clean_path = settings.path("houses")
-    counts = prepare(raw, clean_path)
+    prepared = prepare(raw, clean_path)
+    store("null_profile", prepared.null_profile)
     houses = parquet.read_clean(spark, clean_path)
     for name, result in analyses(houses).items():
         store(name, result)
@@ -91,7 +116,7 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
 
     table_counts = profile.row_count(houses).selectExpr("n AS row_count", "n AS clean_count")
     years = spark.read.parquet(stored["year_stats"])
-    store("run_metrics", profile.run_metrics(counts, table_counts, years))
+    store("run_metrics", profile.run_metrics(prepared.counts, table_counts, years))
     store("load_reconcile", load(houses, settings.table, settings.path("table")))
     top = topk.top_houses(spark, spark.table(settings.table))
     store("top_houses", top)

@@ -18,10 +18,12 @@ from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
 
 SPLIT_ABOVE = 128 * 1024 * 1024
 
-_REPLACED = "\ufffd"
-# Two control characters for the line check; lines that hold them fail it.
+# A line that is one whole record: every field is quoted from end to end, or has no
+# quote at all. Carriage returns may only end the line, and U+FFFD, which stands for
+# undecodable bytes, may not occur. Possessive quantifiers keep the match linear.
+_FIELD = r'(?:"(?:[^"\r\ufffd]++|"")*+"|[^",\r\ufffd]*+)'
+_WHOLE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\r?\z"
 _UNUSED_SEPARATOR = "\x01"
-_QUOTED = "\x02"
 
 Paths = str | list[str]
 
@@ -66,8 +68,8 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
 def line_profile(spark: SparkSession, paths: Paths, encoding: str) -> DataFrame:
     """The line end of each file in which every physical line is one whole record.
 
-    `line_end` is NULL for files in which that does not hold. A line is a whole record when each field is either quoted from end to end or
-    has no quote at all. If all lines are, line breaks and record breaks coincide.
+    `line_end` is NULL for files in which that does not hold. Where it does, line
+    breaks and record breaks coincide.
     """
     lines = spark.read.schema(f"line string, {CORRUPT} string").csv(
         paths,
@@ -80,23 +82,13 @@ def line_profile(spark: SparkSession, paths: Paths, encoding: str) -> DataFrame:
         columnNameOfCorruptRecord=CORRUPT,
     )
     line = F.col("line")
-    body = F.regexp_replace(line, "\r$", "")
-    # Each quoted piece becomes one mark; marks may touch only each other and commas.
-    shape = F.regexp_replace(body, '"[^"]*"', _QUOTED)
-    odd = (
-        F.col(CORRUPT).isNotNull()
-        | F.contains(line, F.lit(_REPLACED))
-        | F.contains(line, F.lit(_QUOTED))
-        | F.contains(body, F.lit("\r"))
-        | F.contains(shape, F.lit('"'))
-        | shape.rlike(f"[^,{_QUOTED}]{_QUOTED}|{_QUOTED}[^,{_QUOTED}]")
-    )
+    whole = F.col(CORRUPT).isNull() & F.coalesce(line.rlike(_WHOLE_RECORD), F.lit(False))
     ends = F.col("crlf_lines")
     return (
         lines.groupBy(F.col("_metadata.file_path").alias("uri"))
         .agg(
             F.count(F.lit(1)).alias("lines"),
-            F.count_if(odd).alias("odd_lines"),
+            F.count_if(~whole).alias("odd_lines"),
             F.count_if(F.endswith(line, F.lit("\r"))).alias("crlf_lines"),
         )
         .select(
@@ -131,8 +123,9 @@ def read_raw(
     if layout != "auto":
         raise ValueError(f"unknown layout: {layout}")
 
-    files = file_sizes(spark, path).collect()
-    large = {f.uri: f.path for f in files if f.length > split_above}
+    files = file_sizes(spark, path)
+    is_large = F.col("length") > split_above
+    large = {f.uri: f.path for f in files.filter(is_large).collect()}
     if not large:
         return _read(spark, path, header, whole)
     profile = line_profile(spark, list(large.values()), encoding).collect()
@@ -141,7 +134,7 @@ def read_raw(
         raise ValueError("the file listing and the read name files differently")
 
     parts = []
-    others = [f.path for f in files if f.length <= split_above]
+    others = [f.path for f in files.filter(~is_large).collect()]
     if others:
         parts.append(_read(spark, others, header, whole))
     for line_end in ("\n", "\r\n"):

@@ -23,6 +23,8 @@ class JdbcTarget:
     user: str
     password: str
     driver: str | None = None
+    # Appended when Spark creates the table, such as an engine and its sort key.
+    create_options: str | None = None
 
     @classmethod
     def from_env(cls, table: str = "houses", scheme: str = "clickhouse") -> JdbcTarget:
@@ -57,35 +59,33 @@ def write_jdbc(
     tasks, so compare the counts afterwards (`reconcile`): a task that is lost
     after its commit runs again.
     """
-    writer = (
-        df.write.format("jdbc")
-        .options(**target.options())
-        .option("dbtable", target.table)
-        .option("batchsize", batch_rows)
-        .option("truncate", True)
-    )
+    options = target.options() | {"dbtable": target.table, "batchsize": batch_rows, "truncate": True}
     if connections:
-        writer = writer.option("numPartitions", connections)
-    writer.mode("append" if append else "overwrite").save()
+        options["numPartitions"] = connections
+    if target.create_options:
+        options["createTableOptions"] = target.create_options
+    mode = "append" if append else "overwrite"
+    df.write.format("jdbc").options(**options).mode(mode).save()
+
+
+def query_jdbc(spark: SparkSession, target: JdbcTarget, sql: str) -> DataFrame:
+    """The result of a statement that the database itself runs, such as a top-k."""
+    return spark.read.format("jdbc").options(**target.options(), query=sql).load()
 
 
 def read_jdbc(
     spark: SparkSession, target: JdbcTarget, key: str = "id", connections: int = 32
 ) -> DataFrame:
     """Read the table in ranges of its key, so that no single task reads it whole."""
-    reader = spark.read.format("jdbc").options(**target.options())
-    edges = (
-        reader.option("query", f"SELECT min({key}) AS low, max({key}) AS high FROM {target.table}")
-        .load()
-        .first()
-    )
-    reader = spark.read.format("jdbc").options(**target.options()).option("dbtable", target.table)
-    if edges is None or edges[0] is None:
-        return reader.load()
-    return (
-        reader.option("partitionColumn", key)
-        .option("lowerBound", int(edges[0]))
-        .option("upperBound", int(edges[1]) + 1)
-        .option("numPartitions", connections)
-        .load()
-    )
+    edges = query_jdbc(
+        spark, target, f"SELECT min({key}) AS low, max({key}) AS high FROM {target.table}"
+    ).first()
+    options = target.options() | {"dbtable": target.table}
+    if edges is not None and edges[0] is not None:
+        options |= {
+            "partitionColumn": key,
+            "lowerBound": int(edges[0]),
+            "upperBound": int(edges[1]) + 1,
+            "numPartitions": connections,
+        }
+    return spark.read.format("jdbc").options(**options).load()

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from cadastra.operators import cleaning, groups, profile, statistics, topk
 from cadastra.plans.houses import houses
-from cadastra.schema import CLEAN_COLUMNS
+from cadastra.schema import CLEAN_COLUMNS, RAW_COLUMNS
 from cadastra.sources import parquet
 
 SF = "/root/testdata/sf0.001"
@@ -73,7 +73,7 @@ def test_extreme_rows_do_not_sort_or_shuffle_the_table(stored, plan):
 
 def test_clean_is_one_stage(stored, plan):
     raw = stored.selectExpr(*[f"cast({c} as string) as {c}" for c in CLEAN_COLUMNS])
-    raw = raw.toDF(*[f.raw for f in __import__("cadastra.schema").schema.FIELDS])
+    raw = raw.toDF(*RAW_COLUMNS)
     assert "Exchange" not in plan(cleaning.clean(raw))
 
 

@@ -5,12 +5,12 @@ from __future__ import annotations
 import pytest
 
 from cadastra import scratch
-from cadastra.operators import groups
+from cadastra.operators import cleaning, groups, profile
 from cadastra.plans import workflow
 from cadastra.plans.houses import houses, raw_houses
 from cadastra.schema import CLEAN
 from cadastra.sources import csv_files, parquet, tables
-from cadastra.sources.jdbc import JdbcTarget
+from cadastra.sources.jdbc import JdbcTarget, query_jdbc, read_jdbc, write_jdbc
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,6 +38,23 @@ def test_load_replaces_unless_told_to_append(spark, tmp_path):
     assert tuple(tables.reconcile(df, spark.table("loads.houses")).first()) == (n, 2 * n, False)
 
 
+def test_load_takes_over_files_that_an_earlier_session_left(spark, tmp_path):
+    df = houses(spark, SF)
+    for _ in range(2):
+        report = workflow.load(df, "again.houses", str(tmp_path / "t"))
+        assert report.first().matches
+        spark.sql("DROP TABLE again.houses")
+
+
+def test_prepare_counts_in_the_writing_pass(spark, tmp_path):
+    raw = raw_houses(spark, SF)
+    prepared = workflow.prepare(raw, str(tmp_path / "t"))
+    metrics = cleaning.clean_metrics(cleaning.cast_types(raw)).drop("dropped_rows")
+    assert prepared.counts.collect() == metrics.collect()
+    stored = parquet.read_clean(spark, str(tmp_path / "t"))
+    assert prepared.null_profile.collect() == profile.null_profile(stored).collect()
+
+
 def test_table_files_are_ordered_by_key(spark, tmp_path):
     workflow.load(houses(spark, SF), "ordered.houses", str(tmp_path / "t"))
     for file in (tmp_path / "t").glob("*.parquet"):
@@ -98,6 +115,65 @@ def test_jdbc_settings_come_from_the_environment(monkeypatch):
         JdbcTarget.from_env()
 
 
+class _Recorder:
+    """Stands in for a reader or writer; no database may be started here."""
+
+    def __init__(self, first=None):
+        self.calls, self.row, self.set = [], first, {}
+
+    read = write = property(lambda self: self)
+
+    def format(self, name):
+        self.set = {"format": name}
+        return self
+
+    def options(self, **options):
+        self.set |= options
+        return self
+
+    def mode(self, mode):
+        self.set["mode"] = mode
+        return self
+
+    def save(self):
+        self.calls.append(self.set)
+
+    def load(self):
+        self.calls.append(self.set)
+        return self
+
+    def first(self):
+        return self.row
+
+
+TARGET = JdbcTarget("jdbc:db://h/d", "houses", "u", "p", create_options="ORDER BY id")
+
+
+def test_jdbc_write_options():
+    frame = _Recorder()
+    write_jdbc(frame, TARGET, connections=4)
+    write_jdbc(frame, TARGET, append=True)
+    first, second = frame.calls
+    assert first["mode"] == "overwrite" and first["truncate"] and first["batchsize"] == 50_000
+    assert first["numPartitions"] == 4 and first["createTableOptions"] == "ORDER BY id"
+    assert second["mode"] == "append" and "numPartitions" not in second
+
+
+def test_jdbc_reads_in_key_ranges():
+    session = _Recorder(first=(7, 100))
+    read_jdbc(session, TARGET, connections=8)
+    edges, ranges = session.calls
+    assert edges["query"] == "SELECT min(id) AS low, max(id) AS high FROM houses"
+    assert (ranges["partitionColumn"], ranges["numPartitions"]) == ("id", 8)
+    assert (ranges["lowerBound"], ranges["upperBound"]) == (7, 101)
+    empty = _Recorder(first=(None, None))
+    read_jdbc(empty, TARGET)
+    assert "partitionColumn" not in empty.calls[-1]
+    asked = _Recorder()
+    query_jdbc(asked, TARGET, "SELECT 1")
+    assert asked.calls[0]["query"] == "SELECT 1" and "dbtable" not in asked.calls[0]
+
+
 def test_whole_run(spark, tmp_path):
     source = str(tmp_path / "in")
     csv_files.write_raw(raw_houses(spark, SF), source)
