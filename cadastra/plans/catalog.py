@@ -110,6 +110,10 @@ def cast_types(spark, sf_dir):
     return cleaning.cast_types(raw_houses(spark, sf_dir))
 
 
+def clean(spark, sf_dir):
+    return cleaning.clean(raw_houses(spark, sf_dir))
+
+
 def clean_metrics(spark, sf_dir):
     return cleaning.clean_metrics(cast_types(spark, sf_dir))
 
@@ -198,7 +202,7 @@ QUERIES: dict[str, Query] = {
     "ingest_documents": ingest_documents,
     "dq_report": dq_report,
     "cast_types": cast_types,
-    "clean": houses,
+    "clean": clean,
     "clean_metrics": clean_metrics,
     "scan_parquet": scan_parquet,
     "parquet_roundtrip": parquet_roundtrip,
