@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def bucket(value: Column, width: int) -> Column:
-    """Lower edge of the bucket, rounding down for negative values as well."""
-    return (F.floor(value / width) * width).try_cast("int")
+    """Lower edge of the bucket, rounding down for negative values as well.
+
+    NULL for NaN and for edges outside 32 bits.
+    """
+    steps = F.floor(F.nanvl(value / width, F.lit(None).cast("double")))
+    return F.try_multiply(steps, F.lit(width)).try_cast("int")
 
 
 def bucket_label(edge: Column) -> Column:

@@ -78,11 +78,9 @@ def extreme_rows(
         extremes,
         F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_extreme")),
     )
-    return (
-        candidates.groupBy(group)
-        .agg(F.min_by(F.struct(*df.columns), tie).alias("_row"))
-        .select("_row.*")
-    )
+    # Rows that share the tie-breaking value as well are ordered by all columns.
+    first = F.min(F.struct(F.col(tie).isNull(), F.col(tie), F.struct(*df.columns).alias("row")))
+    return candidates.groupBy(group).agg(first.alias("_first")).select("_first.row.*")
 
 
 def bucket_counts(

@@ -26,6 +26,7 @@ class RunSettings:
     header: bool = True
     encoding: str = "UTF-16LE"
     layout: str = "auto"
+    external: jdbc.JdbcTarget | None = None
 
     def path(self, name: str) -> str:
         return f"{self.out_dir.rstrip('/')}/{name}"
@@ -118,6 +119,8 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     years = spark.read.parquet(stored["year_stats"])
     store("run_metrics", profile.run_metrics(prepared.counts, table_counts, years))
     store("load_reconcile", load(houses, settings.table, settings.path("table")))
+    if settings.external:
+        store("external_reconcile", load_external(houses, settings.external))
     top = topk.top_houses(spark, spark.table(settings.table))
     store("top_houses", top)
     store("topk_report", topk.topk_report(top))

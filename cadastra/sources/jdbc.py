@@ -55,6 +55,7 @@ def write_jdbc(
 ) -> None:
     """Write the rows, one connection per task, replacing the table's rows by default.
 
+    A table that exists keeps its definition; Spark creates a missing one.
     `connections` bounds how many tasks write at once. JDBC has no commit across
     tasks, so compare the counts afterwards (`reconcile`): a task that is lost
     after its commit runs again.

@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from cadastra.plans.workflow import RunSettings, run
+from cadastra.sources.jdbc import JdbcTarget
 
 
 def main() -> None:
@@ -17,6 +18,11 @@ def main() -> None:
     args.add_argument("--encoding", default="UTF-16LE")
     args.add_argument("--layout", default="auto", choices=["auto", "lines", "multiline"])
     args.add_argument("--headerless", action="store_true")
+    args.add_argument(
+        "--external",
+        action="store_true",
+        help="also load the database that CH_HOST, CH_PORT, CH_USER, CH_PASSWORD, CH_DATABASE name",
+    )
     given = args.parse_args()
     spark = SparkSession.builder.appName("building-registry").getOrCreate()
     stored = run(
@@ -28,10 +34,12 @@ def main() -> None:
             header=not given.headerless,
             encoding=given.encoding,
             layout=given.layout,
+            external=JdbcTarget.from_env() if given.external else None,
         ),
     )
-    for name in ("run_metrics", "load_reconcile", "topk_report"):
-        spark.read.parquet(stored[name]).show(25, truncate=False)
+    for name, path in stored.items():
+        print(name)
+        spark.read.parquet(path).show(50, truncate=False)
 
 
 if __name__ == "__main__":

@@ -12,7 +12,7 @@ from cadastra.schema import CORRUPT, RAW_COLUMNS
 from cadastra.sources import csv_files
 
 HEADER = ",".join(RAW_COLUMNS)
-BOM = "﻿"
+BOM = "\ufeff"
 LAYOUTS = ["multiline", "auto"]
 
 # Six data lines, five rows: quotes with a line break, an empty year, a short row,

@@ -73,6 +73,14 @@ def test_bucket_below_the_int_range_is_null_not_an_error(spark):
     assert one(spark, -2147483648, "int", lambda c: bucket(c, 10)) is None
 
 
+@pytest.mark.parametrize(
+    ("value", "edge"),
+    [(-0.5, -10), (9.99, 0), (math.nan, None), (math.inf, None), (-math.inf, None), (None, None)],
+)
+def test_bucket_of_doubles(spark, value, edge):
+    assert one(spark, value, "double", lambda c: bucket(c, 10)) == edge
+
+
 def test_bucket_label(spark):
     assert one(spark, 1950, "int", bucket_label) == "1950s"
 

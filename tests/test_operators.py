@@ -163,6 +163,27 @@ def test_extreme_rows_with_ties_nulls_and_nan(table, largest):
         assert repr(r.asDict()) == repr(whole[r.id])
 
 
+def test_extreme_rows_without_broadcast(spark, table):
+    """Beyond the broadcast threshold the extremes are joined by shuffle, with the same rows."""
+    rows = [{"id": i, "region": str(i % 7), "area": float(i % 11)} for i in range(200)]
+    df = table(*rows)
+    expected = sorted(map(repr, groups.extreme_rows(df).collect()))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        result = groups.extreme_rows(df)
+        assert sorted(map(repr, result.collect())) == expected
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_extreme_rows_with_equal_ties_are_deterministic(table):
+    rows = [{"id": 1, "region": "A", "area": 5.0, "city": c} for c in "zyxa"]
+    for order in (rows, rows[::-1]):
+        assert [r.city for r in groups.extreme_rows(table(*order)).collect()] == ["a"]
+
+
 def test_bucket_counts_add_up_and_are_ordered(spark):
     df = houses(spark, SF)
     rows = groups.bucket_counts(df).collect()
