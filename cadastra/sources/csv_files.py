@@ -9,6 +9,7 @@ multi-line and spread over the cluster right after the parse.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
 
 SPLIT_ABOVE = 128 * 1024 * 1024
 
+log = logging.getLogger(__name__)
+
 # A line that is one whole record: every field is quoted from end to end, or has no
 # quote at all. Carriage returns may only end the line, and U+FFFD, which stands for
 # undecodable bytes, may not occur. Possessive quantifiers keep the match linear.
@@ -143,6 +146,7 @@ def read_raw(
             parts.append(_read(spark, same, header, _options(encoding, line_end)))
     unsplit = [path for uri, path in large.items() if line_ends.get(uri) is None]
     if unsplit:
+        log.warning("records span lines, one task per file: %s", ", ".join(unsplit))
         parts.append(_read(spark, unsplit, header, whole).hint("rebalance"))
     return reduce(DataFrame.unionByName, parts)
 

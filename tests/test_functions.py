@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,28 @@ def test_to_int(spark, ansi):
     assert got == {**INT_CASES, None: None}
 
 
+def test_to_int_agrees_with_the_lenient_cast(spark):
+    """The cast without ANSI mode, but for numbers without a whole part, which are no years."""
+    rnd = random.Random(7)
+    texts = {
+        "".join(rnd.choice("0123456789+-. e\t") for _ in range(rnd.randint(0, 12)))
+        for _ in range(20_000)
+    }
+    key = "spark.sql.ansi.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        df = spark.createDataFrame([(t,) for t in texts], "t string")
+        rows = df.select("t", F.col("t").cast("int").alias("lenient"), to_int(F.col("t")).alias("n"))
+        rows = rows.collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sum(r.n is not None for r in rows) > 1000
+    for r in rows:
+        no_whole_part = re.fullmatch(r"\s*[+-]?\.\d*\s*", r.t)
+        assert r.n == (None if no_whole_part else r.lenient), repr(r.t)
+
+
 def test_to_double(spark):
     assert one(spark, "585.60", "string", to_double) == 585.6
     assert one(spark, "нет данных", "string", to_double) is None

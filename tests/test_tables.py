@@ -55,6 +55,18 @@ def test_prepare_counts_in_the_writing_pass(spark, tmp_path):
     assert prepared.null_profile.collect() == profile.null_profile(stored).collect()
 
 
+def test_prepare_counts_behind_a_shuffle(spark, tmp_path, caplog):
+    """Files that cannot be split are spread over the cluster before the counting pass."""
+    source = str(tmp_path / "in")
+    csv_files.write_raw(raw_houses(spark, SF), source)
+    raw = csv_files.read_raw(spark, source, split_above=0)
+    assert "records span lines" in caplog.text
+    prepared = workflow.prepare(raw, str(tmp_path / "t"))
+    n = houses(spark, SF).count()
+    assert tuple(prepared.counts.first()) == (1500, n)
+    assert parquet.read_clean(spark, str(tmp_path / "t")).count() == n
+
+
 def test_table_files_are_ordered_by_key(spark, tmp_path):
     workflow.load(houses(spark, SF), "ordered.houses", str(tmp_path / "t"))
     for file in (tmp_path / "t").glob("*.parquet"):
