@@ -1,10 +1,8 @@
 """Registry CSV files: quoted, possibly with line breaks inside quotes.
 
-Spark can cut a CSV file into several tasks only when no record spans lines, so a
-multi-line read takes one task per file. Most registry files hold one record per
-line all the same. With `layout="auto"` the large files are checked for that,
-in parallel, and those that pass are read in splits. The rest are read
-multi-line and spread over the cluster right after the parse.
+Spark reads a multi-line CSV file in one task. With `layout="auto"` large files are
+therefore read in parallel where that gives the same rows (see `csv_lines`). The rest
+are read by one task each, and spread over the cluster right after the parse.
 """
 
 from __future__ import annotations
@@ -12,21 +10,20 @@ from __future__ import annotations
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
+from cadastra.sources import csv_lines
 
 SPLIT_ABOVE = 128 * 1024 * 1024
+# Bringing lines together costs several passes, which pay for files that would keep one
+# task busy for many minutes.
+STITCH_ABOVE = 16 * 1024 * 1024 * 1024
 
 log = logging.getLogger(__name__)
 
-# A line that is one whole record: every field is quoted from end to end, or has no
-# quote at all. Carriage returns may only end the line, and U+FFFD, which stands for
-# undecodable bytes, may not occur. Possessive quantifiers keep the match linear.
-_FIELD = r'(?:"(?:[^"\r\ufffd]++|"")*+"|[^",\r\ufffd]*+)'
-_WHOLE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\r?\z"
-_UNUSED_SEPARATOR = "\x01"
+_UNSPLITTABLE = rf"({'|'.join(csv_lines.UNSPLITTABLE)})$".replace(".", r"\.")
 
 Paths = str | list[str]
 
@@ -44,18 +41,25 @@ def _options(encoding: str, line_end: str | None) -> dict:
     return options | {"lineSep": line_end}
 
 
-def _read(spark: SparkSession, paths: Paths, header: bool, options: dict) -> DataFrame:
-    """All-text rows, columns bound by the header, or by position without one."""
-    names = RAW_COLUMNS
-    if header:
-        # The column order is the file's own. enforceSchema=False makes a file with
-        # another header fail instead of being bound by position.
-        options = options | {"header": True, "enforceSchema": False}
-        names = spark.read.csv(paths, **options).columns
-    rows = spark.read.schema(text_schema(names)).csv(paths, **options)
+def _names(spark: SparkSession, paths: Paths, header: bool, options: dict) -> list[str]:
+    """Column names in file order: those of the header, or the documented ones."""
+    if not header:
+        return RAW_COLUMNS
+    names = spark.read.csv(paths, **options, header=True).columns
     missing = set(RAW_COLUMNS) - set(names)
     if missing:
         raise ValueError(f"columns missing in {paths}: {sorted(missing)}")
+    return names
+
+
+def _read(spark: SparkSession, paths: Paths, header: bool, options: dict) -> DataFrame:
+    """All-text rows, columns bound by the header, or by position without one."""
+    names = _names(spark, paths, header, options)
+    # enforceSchema=False makes a file with another header fail instead of being bound
+    # by position.
+    rows = spark.read.schema(text_schema(names)).csv(
+        paths, **options, header=header, enforceSchema=not header
+    )
     return rows.select(*RAW_COLUMNS, CORRUPT)
 
 
@@ -68,41 +72,6 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", F.col("_metadata.file_path").alias("uri"))
 
 
-def line_profile(spark: SparkSession, paths: Paths, encoding: str) -> DataFrame:
-    """The line end of each file in which every physical line is one whole record.
-
-    `line_end` is NULL for files in which that does not hold. Where it does, line
-    breaks and record breaks coincide.
-    """
-    lines = spark.read.schema(f"line string, {CORRUPT} string").csv(
-        paths,
-        encoding=encoding,
-        sep=_UNUSED_SEPARATOR,
-        quote="",
-        escape="",
-        lineSep="\n",
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT,
-    )
-    line = F.col("line")
-    whole = F.col(CORRUPT).isNull() & F.coalesce(line.rlike(_WHOLE_RECORD), F.lit(False))
-    ends = F.col("crlf_lines")
-    return (
-        lines.groupBy(F.col("_metadata.file_path").alias("uri"))
-        .agg(
-            F.count(F.lit(1)).alias("lines"),
-            F.count_if(~whole).alias("odd_lines"),
-            F.count_if(F.endswith(line, F.lit("\r"))).alias("crlf_lines"),
-        )
-        .select(
-            "uri",
-            F.when((F.col("odd_lines") == 0) & (ends == 0), "\n")
-            .when((F.col("odd_lines") == 0) & (ends == F.col("lines")), "\r\n")
-            .alias("line_end"),
-        )
-    )
-
-
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -110,6 +79,7 @@ def read_raw(
     encoding: str = "UTF-16LE",
     layout: str = "auto",
     split_above: int = SPLIT_ABOVE,
+    stitch_above: int = STITCH_ABOVE,
 ) -> DataFrame:
     """Registry rows as text, in documented column order, with `_corrupt_record`.
 
@@ -127,30 +97,48 @@ def read_raw(
         raise ValueError(f"unknown layout: {layout}")
 
     files = file_sizes(spark, path)
-    is_large = F.col("length") > split_above
-    large = {f.uri: f.path for f in files.filter(is_large).collect()}
+    is_large = (F.col("length") > split_above) & ~F.col("path").rlike(_UNSPLITTABLE)
+    large = files.filter(is_large).collect()
     if not large:
         return _read(spark, path, header, whole)
-    profile = line_profile(spark, list(large.values()), encoding).collect()
-    line_ends = {row.uri: row.line_end for row in profile}
-    if not line_ends.keys() <= large.keys():
-        raise ValueError("the file listing and the read name files differently")
-
-    parts = []
+    parts = _parallel_reads(spark, large, header, encoding, stitch_above)
     others = [f.path for f in files.filter(~is_large).collect()]
     if others:
         parts.append(_read(spark, others, header, whole))
-    for line_end in ("\n", "\r\n"):
-        same = [large[uri] for uri, end in line_ends.items() if end == line_end]
-        if same:
-            parts.append(_read(spark, same, header, _options(encoding, line_end)))
-    unsplit = [path for uri, path in large.items() if line_ends.get(uri) is None]
-    if unsplit:
-        log.warning("records span lines, one task per file: %s", ", ".join(unsplit))
-        parts.append(_read(spark, unsplit, header, whole).hint("rebalance"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _parallel_reads(
+    spark: SparkSession, files: list[Row], header: bool, encoding: str, stitch_above: int
+) -> list[DataFrame]:
+    """One read per kind of file."""
+    left = {f.uri: f.path for f in files}
+    huge = {f.uri for f in files if f.length > stitch_above}
+    profile = csv_lines.line_profile(spark, list(left.values()), encoding).collect()
+    if not {row.uri for row in profile} <= left.keys():
+        raise ValueError("the file listing and the read name files differently")
+    whole = _options(encoding, None)
+    parts = []
+    for end in ("\n", "\r\n"):
+        same = [row for row in profile if row.line_end == end]
+        one_line = [left.pop(row.uri) for row in same if row.one_line]
+        if one_line:
+            parts.append(_read(spark, one_line, header, _options(encoding, end)))
+        spanning = [left[row.uri] for row in same if not row.one_line and row.uri in huge]
+        if spanning and encoding in csv_lines.DECODABLE:
+            names = _names(spark, spanning, header, whole)
+            first = ",".join(names) if header else None
+            stitched = csv_lines.stitch(spark, spanning, encoding, end, first)
+            rows = csv_lines.read_stitched(stitched, names, header, whole)
+            parts.append(rows.select(*RAW_COLUMNS, CORRUPT))
+            for uri in stitched.uris():
+                del left[uri]
+    if left:
+        log.warning("one task per file: %s", ", ".join(left.values()))
+        parts.append(_read(spark, list(left.values()), header, whole).hint("rebalance"))
+    return parts
+
+
 def write_raw(
     df: DataFrame,
     path: str,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import random
 
 import pytest
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 
 from cadastra.operators.cleaning import cast_types, clean, read_report
 from cadastra.schema import CORRUPT, RAW_COLUMNS
-from cadastra.sources import csv_files
+from cadastra.sources import csv_files, csv_lines
 
 HEADER = ",".join(RAW_COLUMNS)
 BOM = "\ufeff"
-LAYOUTS = ["multiline", "auto"]
+# The ways of reading: whole files, lines brought together, one task and a shuffle.
+LAYOUTS = ["multiline", "auto", "auto unstitched"]
 
 # Six data lines, five rows: quotes with a line break, an empty year, a short row,
 # a long row, a blank line, a latitude that is no number.
@@ -48,7 +50,9 @@ def tiny_splits(spark):
 
 
 def read(spark, path, layout="multiline", **options):
-    return csv_files.read_raw(spark, path, layout=layout, split_above=0, **options)
+    layout, _, unstitched = layout.partition(" ")
+    above = {"split_above": 0, "stitch_above": 2**50 if unstitched else 0}
+    return csv_files.read_raw(spark, path, layout=layout, **above, **options)
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -133,21 +137,51 @@ def test_line_check_decides_per_file(spark, folder):
     path = folder(
         lf=f"{HEADER}\n{row}\n".encode("utf-16-le"),
         crlf=f"{HEADER}\r\n{row}\r\n".encode("utf-16-le"),
-        broken=f'{HEADER}\n1,2,3,4,5,6,R,C,"A\nB",D\n'.encode("utf-16-le"),
+        mixed=f"{HEADER}\r\n{row}\n".encode("utf-16-le"),
+        spanning=f'{HEADER}\n1,2,3,4,5,6,R,C,"A\nB",D\n'.encode("utf-16-le"),
         stray=f'{HEADER}\n1,2,3,4,5,6,R,C,5" pipe,D\n'.encode("utf-16-le"),
         # U+0A15 U+0400 holds the bytes of a line feed across two characters.
         shifted=f"{HEADER}\n1,2,3,4,5,6,R,C,ਕЀ,D\n".encode("utf-16-le"),
+        surrogate=f"{HEADER}\n1,2,3,4,5,6,R,C,\ud83d,D\n".encode("utf-16-le", "surrogatepass"),
     )
     files = csv_files.file_sizes(spark, path).collect()
-    profile = csv_files.line_profile(spark, [f.path for f in files], "UTF-16LE").collect()
-    ends = {r.uri.rpartition("/")[2]: r.line_end for r in profile}
-    assert ends == {
-        "lf.csv": "\n",
-        "crlf.csv": "\r\n",
-        "broken.csv": None,
-        "stray.csv": None,
-        "shifted.csv": None,
-    }
+    profile = csv_lines.line_profile(spark, [f.path for f in files], "UTF-16LE").collect()
+    got = {r.uri.rpartition("/")[2]: (r.line_end, r.one_line) for r in profile}
+    assert got["lf.csv"] == ("\n", True)
+    assert got["crlf.csv"] == ("\r\n", True)
+    assert got["spanning.csv"] == ("\n", False)
+    assert got["stray.csv"] == ("\n", False)
+    assert {got[f"{n}.csv"][0] for n in ("mixed", "shifted", "surrogate")} == {None}
+    rows = [
+        sorted(map(repr, read(spark, path, layout).collect())) for layout in LAYOUTS
+    ]
+    assert rows[0] == rows[1] == rows[2]
+
+
+def test_only_well_formed_files_are_stitched(spark, folder, tiny_splits):
+    end = "\r\n"
+    body = "".join(f'{i},1,2,1953.0,5,6,R,C,"""A""{end}{end}B","D, ""x"""{end}' for i in range(60))
+    good = f"{HEADER}{end}{body}"
+    path = folder(
+        good=good.encode("utf-16-le"),
+        stray=f'{good}61,1,2,3,4,5,R,C,5" pipe,D{end}'.encode("utf-16-le"),
+        unclosed=f'{good}62,1,2,3,4,5,R,C,A,"D{end}'.encode("utf-16-le"),
+        headless=body.encode("utf-16-le"),
+    )
+    files = [f.path for f in csv_files.file_sizes(spark, path).collect()]
+    stitched = csv_lines.stitch(spark, files, "UTF-16LE", end, HEADER)
+    assert [uri.rpartition("/")[2] for uri in stitched.uris()] == ["good.csv"]
+    assert stitched.splits.count() > 8
+    rows = csv_lines.read_stitched(stitched, RAW_COLUMNS, True, csv_files._options("UTF-16LE", None))
+    assert rows.count() == 60
+    assert {r.address for r in rows.collect()} == {'"A"\n\nB'}
+    assert {r.description for r in rows.collect()} == {'D, "x"'}
+
+
+def test_compressed_files_are_read_whole(spark, folder, tmp_path):
+    content = f'{HEADER}\n1,2,3,1953.0,5,6,R,C,"A\nB",D\n'.encode("utf-16-le")
+    (tmp_path / "a.csv.gz").write_bytes(gzip.compress(content))
+    assert [r.address for r in read(spark, str(tmp_path), "auto").collect()] == ["A\nB"]
 
 
 def test_one_line_files_are_read_in_splits(spark, folder, tiny_splits):
@@ -162,18 +196,19 @@ def test_one_line_files_are_read_in_splits(spark, folder, tiny_splits):
 
 
 def _messy_file(rnd: random.Random, header: bool, encoding: str) -> bytes:
-    mess = rnd.choice([0, 0, 1, 2, 3])
+    mess = rnd.choice([0, 1, 1, 2, 3])
     end = rnd.choice(["\n", "\r\n"])
     letters = "аб вг12.X\\'|\tЖ∀" + ("ਕЀĀ" if mess == 3 else "")
 
     def field() -> str:
         text = "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 10)))
         if rnd.random() < 0.5:
-            stray = mess and rnd.random() < 0.05
-            return text + (rnd.choice(['"', '""', "\r", 'a"b"']) if stray else "")
+            stray = mess == 3 and rnd.random() < 0.05
+            return text + (rnd.choice(['"', '""', "\r", 'a"b"', BOM]) if stray else "")
         text += rnd.choice(["", ",", '""', "a,b"])
-        if mess >= 2 and rnd.random() < 0.1:
-            text += rnd.choice(["\n", "\r\n", "\r"])
+        if mess and rnd.random() < 0.2:
+            breaks = [end, end + end, end + " x", '""' + end, end + '""']
+            text += rnd.choice(["\n", "\r\n", "\r"] if mess == 3 else breaks)
         quoted = f'"{text}"'
         if mess == 3 and rnd.random() < 0.05:
             quoted = rnd.choice([quoted[:-1], quoted[1:], quoted + "x", "x" + quoted, " " + quoted])
@@ -198,15 +233,15 @@ def test_splits_give_the_same_rows_as_whole_files(
     rnd = random.Random(seed)
     folder = tmp_path / "папка с пробелом"
     folder.mkdir()
-    for i in range(80):
+    for i in range(50):
         (folder / f"f{i}.csv").write_bytes(_messy_file(rnd, header, encoding))
     results = []
     for layout in LAYOUTS:
         raw = read(spark, str(folder), layout, header=header, encoding=encoding)
         rows = raw.select(*RAW_COLUMNS, F.col(CORRUPT).isNotNull().alias("bad")).collect()
         results.append(sorted(map(repr, rows)))
-    assert results[0] == results[1]
-    assert len(results[0]) > 500
+    assert results[0] == results[1] == results[2]
+    assert len(results[0]) > 300
 
 
 def test_written_files_are_bounded_and_read_back(spark, tmp_path):
