@@ -26,13 +26,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 # Files: written to the shared scratch folder first, then read back.
 
 
-def _through_csv(raw: DataFrame, layout: str = "auto", split_above: int | None = None, **form):
+def _through_csv(raw: DataFrame, limits: dict[str, int] | None = None, **form) -> DataFrame:
     path = new_folder(raw.sparkSession, "csv")
     csv_files.write_raw(raw, path, **form)
-    above = csv_files.SPLIT_ABOVE if split_above is None else split_above
-    return csv_files.read_raw(
-        raw.sparkSession, path, layout=layout, split_above=above, **form
-    )
+    return csv_files.read_raw(raw.sparkSession, path, **form, **(limits or {}))
 
 
 def _comparable(raw: DataFrame) -> DataFrame:
@@ -55,7 +52,14 @@ def ingest_csv_split(spark, sf_dir):
     """One record per line, so that the line check lets the files be read in splits."""
     one_line = F.translate("address", "\n", " ").alias("address")
     raw = raw_houses(spark, sf_dir).withColumn("address", one_line)
-    return _comparable(_through_csv(raw, split_above=0))
+    return _comparable(_through_csv(raw, {"split_above": 0}))
+
+
+def ingest_csv_stitched(spark, sf_dir):
+    """Every record spans lines, which are brought together however large the files."""
+    return _comparable(
+        _through_csv(raw_houses(spark, sf_dir), {"split_above": 0, "stitch_above": 0})
+    )
 
 
 def ingest_documents(spark, sf_dir):
@@ -199,6 +203,7 @@ QUERIES: dict[str, Query] = {
     "ingest_csv": ingest_csv,
     "ingest_csv_headerless": ingest_csv_headerless,
     "ingest_csv_split": ingest_csv_split,
+    "ingest_csv_stitched": ingest_csv_stitched,
     "ingest_documents": ingest_documents,
     "dq_report": dq_report,
     "cast_types": cast_types,

@@ -99,6 +99,7 @@ _SCHEMA = "\nUNION ALL\n".join(
 ORACLES: dict[str, str] = {
     "ingest_csv": _RAW.format(address="t.address"),
     "ingest_csv_headerless": _RAW.format(address="t.address"),
+    "ingest_csv_stitched": _RAW.format(address="t.address"),
     "ingest_csv_split": _RAW.format(address="replace(t.address, chr(10), ' ')"),
     "ingest_documents": "SELECT doc_id, text FROM documents",
     "dq_report": (

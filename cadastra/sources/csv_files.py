@@ -85,7 +85,8 @@ def read_raw(
 
     Short rows are padded with NULL and long rows cut; both are kept and also
     reported in `_corrupt_record`. `layout` is "multiline" (any file, one task
-    per file), "lines" (the caller knows that no record spans lines), or "auto".
+    per file), "lines" (the caller knows that records and lines are the same, and end
+    with a line feed alone), or "auto".
     `UTF-16LE` is right with and without a byte-order mark.
     """
     whole = _options(encoding, None)
