@@ -32,6 +32,9 @@ CUT_AFTER = 65_536
 #: White space in a row that is not left to the pattern.
 LONG_RUN = 2_048
 
+#: Ids that a task holds before it hands them on.
+IDS_AT_ONCE = 1 << 20
+
 _BOUNDARY = regex.compile(r"(?<=\P{White_Space})(?=\p{White_Space})")
 _RUN = regex.compile(rf"\p{{White_Space}}{{{LONG_RUN},}}")
 
@@ -84,8 +87,14 @@ def encode_and_decode(text: Column, path: str, pattern: str) -> Column:
     def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         tokenizer = encoding(path, pattern)
         for batch in texts:
-            ids = [encode_text(value or "", tokenizer) for value in batch]
-            yield pd.DataFrame({"ids": ids, "decoded": [decode_ids(row, tokenizer) for row in ids]})
+            ids, decoded, held = [], [], 0
+            for at, value in enumerate(batch, 1):
+                ids.append(encode_text(value or "", tokenizer))
+                decoded.append(decode_ids(ids[-1], tokenizer))
+                held += len(ids[-1])
+                if held >= IDS_AT_ONCE or at == len(batch):
+                    yield pd.DataFrame({"ids": ids, "decoded": decoded})
+                    ids, decoded, held = [], [], 0
 
     return both(text)
 

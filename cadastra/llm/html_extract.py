@@ -33,7 +33,8 @@ LABELLED_PAGES = 2_000
 LABELLED_CHARS = 200_000
 
 WORD = 1.0
-UNSEEN_TAG = -1.0
+#: Weights of tags that no labelled page has: those of running text, and others.
+UNSEEN_TEXT, UNSEEN_TAG = -0.1, -1.0
 LEAST_TAG, MOST_TAG = -12.0, -0.1
 
 #: Elements of HTML by the part they play.
@@ -45,6 +46,7 @@ _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
+_RUNNING = frozenset("a abbr b blockquote br cite code em h1 h2 h3 h4 h5 h6 i li mark ol p pre q s small span strong sub sup u ul".split())
 #: Words in a class, id or role that name what is not main text.
 _NAMED = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|comment|comments|cookie|cookies|"
@@ -158,7 +160,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     scores = []
     for key, text, boiler, _, _ in found:
         if key is not None:
-            scores.append(weights.get(key, UNSEEN_TAG))
+            scores.append(weights.get(key, UNSEEN_TEXT if key.lstrip("/") in _RUNNING else UNSEEN_TAG))
         else:
             words = len(text.split())
             scores.append(-WORD * words if boiler else WORD * words)

@@ -71,11 +71,17 @@ def template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
 
 
-def bigrams(passage: Column) -> Column:
-    """The distinct word bigrams of a passage; empty for fewer than two words."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(passage), _SPACE, " ")), " ")
-    pairs = F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: F.concat(words[i], F.lit(" "), w))
-    return F.array_distinct(pairs)
+def words(passage: Column) -> Column:
+    """The words of a passage, in lower case."""
+    return F.split(F.trim(F.regexp_replace(F.lower(passage), _SPACE, " ")), " ")
+
+
+def bigrams(words: str) -> Column:
+    """The distinct bigrams in a column of words; empty for fewer than two. The column's name is asked
+    for, since an expression in its place would be evaluated for every bigram."""
+    own = F.col(words)
+    seconds = F.slice(own, 2, F.greatest(F.size(own) - 1, F.lit(0)))
+    return F.array_distinct(F.zip_with(F.slice(own, 1, F.size(seconds)), seconds, lambda a, b: F.concat(a, F.lit(" "), b)))
 
 
 def passages(text: Column) -> Column:
@@ -112,7 +118,8 @@ def scan(
     rows = (
         docs.where(F.col(text).isNotNull())
         .select(F.col(doc_id).alias("_id"), F.explode(passages(F.col(text))).alias("_passage"))
-        .select("_id", bigrams(F.col("_passage")).alias("_grams"))
+        .select("_id", words(F.col("_passage")).alias("_words"))
+        .select("_id", bigrams("_words").alias("_grams"))
         .select("_id", F.explode(F.array_compact(F.array(*(matched(*s) for s in sets)))).alias("m"))
     )
     best = rows.groupBy("_id", F.col("m.license").alias("license")).agg(

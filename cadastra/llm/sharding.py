@@ -34,7 +34,7 @@ BUNDLES = 4_096
 #: A group above this share of any sum is placed by itself: at most 3 x 2,048 of them.
 OWN_SHARE = 1 / 2_048
 #: A group above this share of one shard is cut into pieces of at most that size.
-PIECE_SHARE = 1 / 8
+PIECE_SHARE = 1 / 4
 #: Rows of one part of a shard, on average, when slots are numbered.
 PART_ROWS = 2_000
 

@@ -6,8 +6,9 @@ points: nearer than a radius goes one way, the rest the other way, and what lies
 `max_bits` inside the radius goes both ways. By the triangle inequality two linked
 fingerprints then share at least one leaf, so leaves can be searched by themselves. A
 leaf that is still too large is split again on the cluster, with a vantage point and a
-radius of its own, until all leaves are small; within a leaf the same tree is built in
-memory. A leaf hands on one edge per fingerprint to its local group, never all pairs.
+radius of its own, until all leaves are small or no split saves comparisons, as among very many
+fingerprints of one dense group: such a leaf is cut into blocks, and each two blocks are compared.
+Within a leaf the same tree is built in memory. A leaf hands on one edge per fingerprint to its local group, never all pairs.
 
 Cases: a null text and a text without words have fingerprint zero, which links like any
 other. Null ids are kept; a group's id is its smallest id that is not null. Repeated
@@ -32,9 +33,10 @@ from cadastra.scratch import written
 TREE_SAMPLE = 32_768
 #: Leaves of the first tree, at most.
 TREE_LEAVES = 4_096
-#: Rows that one leaf may hold when it is searched. Above the number of
-#: fingerprints within two bits of one (2,081) a leaf can always be split.
+#: Rows that one leaf may hold when it is searched.
 LEAF_ROWS = 3_000
+#: A split must leave fewer comparisons than this share of those between all rows.
+_WORTHWHILE = 0.9
 #: Below this many rows the tree in a leaf ends in plain comparison.
 _BUCKET = 128
 _VANTAGES = 8
@@ -75,19 +77,22 @@ def hexadecimal(number: Column) -> Column:
 
 
 def _best_radius(counts: np.ndarray, max_bits: int) -> tuple[float, int]:
-    """(cost, radius) of the cheapest split; counts: rows by distance 0 to 64. Radius 0: none splits."""
+    """(cost, radius) of the cheapest split; counts: rows by distance 0 to 64.
+
+    The cost is the number of comparisons that are left; radius 0 if no split saves enough of them.
+    """
     below = np.concatenate([[0], np.cumsum(counts)])
-    total, best = int(below[-1]), (float("inf"), 0)
+    total = int(below[-1])
+    best = (_WORTHWHILE * float(total) ** 2, 0)
     for radius in range(1, 65):
         inside, outside = int(below[radius]), total - int(below[max(0, radius - max_bits)])
-        if inside < total and outside < total:
-            best = min(best, (float(inside) ** 2 + float(outside) ** 2, radius))
+        best = min(best, (float(inside) ** 2 + float(outside) ** 2, radius))
     return best
 
 
 def _split(prints: np.ndarray, max_bits: int) -> tuple[np.uint64, int] | None:
     """The vantage point among a few of `prints`, and its radius."""
-    best = (float("inf"), 0, np.uint64(0))
+    best = (_WORTHWHILE * float(len(prints)) ** 2, 0, np.uint64(0))
     for at in np.unique(np.linspace(0, len(prints) - 1, _VANTAGES).astype(int)):
         counts = np.bincount(np.bitwise_count(prints ^ prints[at]), minlength=65)
         best = min(best, (*_best_radius(counts, max_bits), prints[at]))
@@ -211,7 +216,12 @@ def _leaves(prints: DataFrame, total: int, max_bits: int, leaf_rows: int) -> Dat
         rows = written(split.select(F.xxhash64("leaf", "vantage", "side").alias("leaf"), "print"), "leaves")
     for part in done:
         rows = rows.union(part)
-    return rows
+    blocks = sizes.where(F.col("n") > leaf_rows).select("leaf", F.ceil(2 * F.col("n") / leaf_rows).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("print", F.lit("block")), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
+    cut = rows.join(written(blocks, "leaves"), "leaf", "left").select("*", own.alias("own"), other.alias("other"))
+    met = F.xxhash64("leaf", F.least("own", "other"), F.greatest("own", "other"))
+    return cut.select(F.when(F.col("blocks").isNull(), F.col("leaf")).otherwise(met).alias("leaf"), "print")
 
 
 def linked_prints(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:

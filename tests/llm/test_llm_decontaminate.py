@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+
+from cadastra.llm import decontaminate as d
+
+DRAW = random.Random(5)
+WORDS = [a + b + c for a in "bdfgk" for b in "aeiou" for c in ("n", "r", "st", "l")]
+
+
+def prose(n, rng=DRAW):
+    return " ".join(rng.choices(WORDS, k=n))
+
+
+def plain_score(item, text):
+    """Smith-Waterman, cell by cell."""
+    best = 0
+    above = [0] * (len(text) + 1)
+    for x in item:
+        row = [0]
+        for j, y in enumerate(text):
+            row.append(max(0, above[j] + (d.MATCH if x == y else d.MISMATCH), above[j + 1] + d.GAP, row[j] + d.GAP))
+        best, above = max(best, *row), row
+    return best / (d.MATCH * len(item))
+
+
+def edited(text, share, rng):
+    out = []
+    for w in text.split():
+        r = rng.random()
+        if r < share / 3:
+            out += [w, rng.choice(WORDS)]
+        elif r < 2 * share / 3:
+            out.append(rng.choice(WORDS))
+        elif r >= share:
+            out.append(w)
+    return " ".join(out)
+
+
+ITEMS = [(i, prose(DRAW.choice([12, 20, 40, 60]))) for i in range(20)] + [(20, "Short one"), (21, "single"), (22, ""), (23, None), (None, prose(15)), (24, "the the the the the the")]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.2, 0.3, 0.4])
+def test_matches_equal_alignment_of_all_with_all(share):
+    rng = random.Random(int(share * 100))
+    texts = []
+    for i, text in ITEMS[:20]:
+        texts.append(prose(rng.randint(0, 80), rng) + " " + edited(text, share, rng) + " " + prose(rng.randint(0, 80), rng))
+    index = d.SeedIndex(ITEMS[:20])
+    for text in texts:
+        words = d.words_of(text)
+        want = {i: s for i, body in ITEMS[:20] if (s := plain_score(d.words_of(body), words)) >= d.THRESHOLD}
+        got = {i: s for i, s, _, _ in d.match_text(text, index)}
+        assert got.keys() == want.keys()
+        assert all(abs(got[i] - want[i]) < 1e-9 for i in got)
+
+
+def test_align_equals_plain_alignment():
+    rng = np.random.default_rng(0)
+    for _ in range(100):
+        a, b = rng.integers(1, 5, rng.integers(1, 12)), rng.integers(1, 5, rng.integers(1, 30))
+        score, start, end = d.align(a, b)
+        assert abs(score - plain_score(list(a), list(b))) < 1e-12
+        assert abs(plain_score(list(a), list(b[start:end])) - score) < 1e-12
+
+
+def test_tables(spark):
+    body = dict(ITEMS)
+    rows = [
+        (1, "Intro. " + body[3].upper() + "! Outro.", 1), (2, prose(200), 1), (3, None, 1), (4, "", 1), (None, body[4], 1),
+        (5, body[5] + " " + prose(30) + " " + body[5] + " " + body[6], 1), (5, body[5], 1), (6, "a Short one it is", 1), (7, "x " * 100_000 + body[7], 1),
+        (8, "a single b", 1), (9, body[None], 1),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    got = d.find_copies(docs, items).collect()
+    pairs = sorted((str(r["doc_id"]), str(r["item_id"])) for r in got)
+    assert pairs == sorted([("1", "3"), ("None", "4"), ("5", "5"), ("5", "6"), ("5", "5"), ("6", "20"), ("7", "7"), ("8", "21"), ("9", "None")])
+    texts = {r[0]: r[1] for r in rows}
+    for r in got:
+        if r["doc_id"] in (1, 7) and r["score"] == 1.0:
+            assert texts[r["doc_id"]][r["start_char"] : r["end_char"]].lower() == body[r["item_id"]].lower()
+    kept = d.remove_copies(docs, items)
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) for r in kept.collect()) == ["2", "3", "4"]
+    assert d.find_copies(docs.limit(0), items).collect() == [] and d.find_copies(docs, items.limit(0)).collect() == []
+    assert d.remove_copies(docs, items.limit(0)).count() == len(rows)
+
+
+def test_blocks_together_find_what_one_finds(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, prose(20) + " " + t) for i, t in ITEMS[:20]], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS[:20], "item_id long, text string")
+    whole = sorted(map(tuple, d.find_copies(docs, items).collect()))
+    monkeypatch.setattr(d, "BLOCK_ITEMS", 6)
+    assert sorted(map(tuple, d.find_copies(docs, items).collect())) == whole and len(whole) == 20
+    assert d.remove_copies(docs, items).count() == 0
+
+
+def test_common_seeds_are_dropped_but_copies_stay(spark):
+    items = [(1, "of the in and of the in and karn belst dorr fenl gist kur ban del fin gor")]
+    docs = [(i, "of the in and of the in and " + prose(10)) for i in range(400)] + [(1000, items[0][1])]
+    index = d.SeedIndex(items)
+    before = len(index.seeds)
+    counts = np.array([401 if s in set(index.codes(index.numbers("of the in and of the in and".split()))) else 1 for s in index.seeds])
+    index.keep_rare(counts)
+    assert len(index.seeds) < before
+    got = d.find_copies(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert [r["doc_id"] for r in got.collect()] == [1000]

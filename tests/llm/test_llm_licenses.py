@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+import re
+
+from cadastra.llm import licenses
+
+SCHEMA = "doc_id long, text string, license int, dice string, m int, _id int"
+
+
+def brute(rows):
+    def grams(text):
+        words = re.sub(r"[\W_]+", " ", text.lower()).strip().split(" ")
+        return set(zip(words, words[1:], strict=False))
+
+    out = {}
+    for doc, text, *_ in rows:
+        if text is None:
+            continue
+        parts = {text, *re.split(r"\n[ \t\r]*\n", text), *text.split("\n"), *re.sub(r"([.!?])\s+", r"\1\n", text).split("\n")}
+        for name, body in licenses.TEMPLATES:
+            b = grams(body)
+            for part in parts:
+                a = grams(part)
+                if a and (d := 2 * len(a & b) / (len(a) + len(b))) >= licenses.THRESHOLD:
+                    out[doc, name] = max(d, out.get((doc, name), 0))
+    return out
+
+
+ROWS = [
+    (1, "Some prose.\nLicensed under the Apache License, Version 2.0.\nMore prose here.", 1),
+    (2, "Here: it is so. Released under the MIT license! And more", 1),
+    (3, licenses.TEMPLATES[5][1].replace(" ", "\n * ", 3).replace("Software", "Program", 2), 1),
+    (4, "# Licensed under CC BY-NC 4.0.\n\n# Licensed under CC BY 4.0.", 1),
+    (5, "nothing to see", 1), (6, "", 1), (7, None, 1), (None, "Released under the MIT License.", 1), (None, "Released under the MIT License.", 1),
+    (8, "Released under the MIT License.\nReleased under the MIT License.", 1), (8, "Released under the MIT License.", 1),
+    (9, "word " * 50_000 + "\nThis work is licensed under the GNU General Public License, version 3.", 1), (10, "mit", 1), (11, "licensed under the", 1),
+]
+
+
+def test_matches_equal_brute_force(spark):
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in ROWS], SCHEMA)
+    got = {(r["doc_id"], r["license"]): r["dice"] for r in licenses.scan(docs).collect()}
+    want = brute(ROWS)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)
+    assert {(1, "Apache-2.0"), (2, "MIT"), (3, "MIT"), (4, "CC-BY-NC-4.0"), (4, "CC-BY-4.0"), (9, "GPL-3.0"), (None, "MIT")} <= got.keys()
+
+
+def test_empty_table(spark):
+    assert licenses.scan(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_size_bounds_lose_nothing():
+    for a in range(1, 200):
+        least, most = licenses._size_bounds(a, 0.8)
+        for b in range(1, 400):
+            if 2 * min(a, b) / (a + b) >= 0.8:
+                assert least <= b <= most
+
+
+def test_the_plan_is_native_and_moves_matches_only(spark):
+    docs = spark.createDataFrame([(*r, "x", 1, 2) for r in ROWS], SCHEMA)
+    plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "Join" not in plan
+    assert plan.count("Exchange") == 1 and "partial_max" in plan

@@ -1,0 +1,111 @@
+from __future__ import annotations
+
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+
+from cadastra.llm import simhash_dups
+from cadastra.llm.components import connected_components
+
+
+def plain_fingerprint(text, n=3):
+    text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] if len(words) >= n else [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def plain_components(prints, bits):
+    root = list(range(len(prints)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(prints)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= bits:
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(prints))]
+
+
+TEXTS = ["", " \t\n", "a", "A b", "a B c", "One two three four", "ÄÖÜ straße  x y z", "x " * 70_000, "a b c a b c a b c a b c", "\x00 \x1f ends"]
+
+
+@pytest.mark.parametrize("text", TEXTS)
+def test_fingerprint_equals_its_definition(text):
+    assert simhash_dups.text_fingerprint(text, 3, 42) & (2**64 - 1) == plain_fingerprint(text)
+
+
+def test_fingerprint_joins_the_parts_of_a_long_text(monkeypatch):
+    text = " ".join(random.Random(1).choices("abcdefgh", k=500))
+    monkeypatch.setattr(simhash_dups, "_HASHES_AT_ONCE", 7)
+    assert simhash_dups.text_fingerprint(text, 3, 42) & (2**64 - 1) == plain_fingerprint(text)
+
+
+def clustered(n, rng):
+    out = set()
+    while len(out) < n:
+        value = rng.getrandbits(64)
+        for _ in range(rng.randint(1, 12)):
+            out.add(value)
+            for _ in range(rng.randint(1, 3)):
+                value ^= 1 << rng.randrange(64)
+    return sorted(out)[:n]
+
+
+@pytest.mark.parametrize("bucket", [1, 4, 128])
+def test_tree_in_a_leaf_finds_all_links(monkeypatch, bucket):
+    monkeypatch.setattr(simhash_dups, "_BUCKET", bucket)
+    prints = clustered(300, random.Random(bucket))
+    got = simhash_dups.local_groups(np.array(prints, np.uint64), 2)
+    assert list(got) == plain_components(prints, 2)
+
+
+@pytest.mark.parametrize("leaf_rows", [8, 40, 3000])
+def test_linked_prints_equals_brute_force(spark, monkeypatch, leaf_rows):
+    monkeypatch.setattr(simhash_dups, "TREE_SAMPLE", 64)
+    monkeypatch.setattr(simhash_dups, "TREE_LEAVES", 4)
+    prints = clustered(400, random.Random(leaf_rows))
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    rows = spark.createDataFrame([(p,) for p in signed] * 2, "print long")
+    got = {r["print"]: r["root"] for r in simhash_dups.linked_prints(rows, 2, leaf_rows).collect()}
+    roots = plain_components(prints, 2)
+    groups = {}
+    for p, r in zip(signed, roots, strict=True):
+        groups.setdefault(r, set()).add(p)
+    for members in groups.values():
+        assert {got.get(p, p) for p in members} == {min(members)} or len(members) == 1 and not members & got.keys()
+
+
+def test_near_duplicates_of_odd_rows(spark):
+    rows = [(5, "one two three four", 1), (3, "one two three four", 2), (3, "one two three four", 2), (None, "one two three four", 3),
+            (9, None, None), (8, "", None), (7, "something else is here", 0), (None, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fingerprint int")
+    got = sorted((r["doc_id"] or -1, r["fingerprint"], r["component_id"]) for r in simhash_dups.near_duplicates(docs, 3, 2).collect())
+    four, other = ("%016x" % plain_fingerprint(t) for t in ("one two three four", "something else is here"))
+    zero = "0" * 16
+    assert got == sorted([(5, four, 3), (3, four, 3), (3, four, 3), (-1, four, 3), (9, zero, 8), (8, zero, 8), (7, other, 7), (-1, zero, 8)])
+    kept = sorted((r["doc_id"], r["text"]) for r in simhash_dups.keep_one(docs, 3, 2).collect())
+    assert kept == [(3, "one two three four"), (7, "something else is here"), (8, "")]
+    nameless = docs.where("doc_id is null")
+    assert sorted(r["text"] or "" for r in simhash_dups.keep_one(nameless, 3, 2).collect()) == ["", "one two three four"]
+    assert simhash_dups.near_duplicates(docs.limit(0), 3, 2).collect() == []
+    assert simhash_dups.keep_one(docs.limit(0), 3, 2).collect() == []
+
+
+def test_components_of_a_long_chain_and_odd_edges(spark):
+    order = list(range(60))
+    random.Random(3).shuffle(order)
+    edges = list(zip(order, order[1:], strict=False)) + [(100, 101), (101, 100), (100, 101), (200, 200), (None, 300), (300, None)]
+    got = dict(tuple(r) for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect())
+    assert got == {**{i: 0 for i in range(60)}, 100: 100, 101: 100}
+    assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
