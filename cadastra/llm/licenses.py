@@ -5,6 +5,9 @@ its lines. A passage and a template are compared by the Dice coefficient over th
 bigrams, after lower-casing and with everything but letters and digits taken as space.
 Two sets of sizes a and b reach a coefficient t only if a lies between b t / (2 - t) and
 b (2 - t) / t, so most templates are ruled out by size before any bigram is compared.
+A match also shares at least the part t / (2 - t) of a template's bigrams. For each template a few of
+its words are chosen that take part in more bigrams than may be missing, so a passage without any
+of the chosen words matches nothing and is not taken apart.
 Templates are literals of the plan; documents are never shuffled, only their matches are.
 
 Cases: a null or empty text, and a passage of fewer than two words, match nothing. A passage that
@@ -17,6 +20,7 @@ only id and text are read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -95,6 +99,19 @@ def _size_bounds(size: int, threshold: float) -> tuple[int, int]:
     return max(1, int(size * threshold / (2 - threshold)) - 1), int(size * (2 - threshold) / threshold) + 1
 
 
+def anchors(sets: Sequence[list[str]], threshold: float) -> list[str]:
+    """Words of which any match holds at least one: few, chosen for as many templates as possible."""
+    missing = [int(len(grams) * (2 - 2 * threshold) / (2 - threshold) + 1e-9) for grams in sets]
+    left = [[g.split(" ") for g in grams] for grams in sets]
+    chosen: list[str] = []
+    while wanting := [rest for rest, all_, may in zip(left, sets, missing, strict=True) if len(all_) - len(rest) <= may]:
+        use = Counter(word for rest in wanting for gram in rest for word in set(gram))
+        # long words are rare in other text; among short ones the longest is best
+        chosen.append(min(use, key=lambda w: (0, -use[w], w) if len(w) >= 7 else (1, -len(w), w)))
+        left = [[g for g in grams if chosen[-1] not in g] for grams in left]
+    return chosen
+
+
 def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -115,9 +132,12 @@ def scan(
             F.struct(F.lit(name).alias("license"), dice.alias("dice")),
         )
 
+    any_anchor = "|".join(map(re.escape, anchors([grams for _, grams in sets], threshold)))
+    holds = rf"(?<![\p{{L}}\p{{N}}])(?:{any_anchor})(?![\p{{L}}\p{{N}}])"
     rows = (
-        docs.where(F.col(text).isNotNull())
-        .select(F.col(doc_id).alias("_id"), F.explode(passages(F.col(text))).alias("_passage"))
+        docs.where(F.lower(text).rlike(holds))
+        .select(F.col(doc_id).alias("_id"), F.filter(passages(F.col(text)), lambda p: F.lower(p).rlike(holds)).alias("_passages"))
+        .select("_id", F.explode("_passages").alias("_passage"))
         .select("_id", words(F.col("_passage")).alias("_words"))
         .select("_id", bigrams("_words").alias("_grams"))
         .select("_id", F.explode(F.array_compact(F.array(*(matched(*s) for s in sets)))).alias("m"))

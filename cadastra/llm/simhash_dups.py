@@ -216,6 +216,7 @@ def _leaves(prints: DataFrame, total: int, max_bits: int, leaf_rows: int) -> Dat
         rows = written(split.select(F.xxhash64("leaf", "vantage", "side").alias("leaf"), "print"), "leaves")
     for part in done:
         rows = rows.union(part)
+    sizes = rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
     blocks = sizes.where(F.col("n") > leaf_rows).select("leaf", F.ceil(2 * F.col("n") / leaf_rows).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("print", F.lit("block")), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
