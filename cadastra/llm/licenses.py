@@ -65,6 +65,8 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+#: Words to be found in any text; they only decide where to look first.
+_COMMON = frozenset("a all and any are by for from in is not of on or that the this to with without you".split())
 _SPACE = r"[^\p{L}\p{N}]+"
 _PARAGRAPH = r"\n[ \t\r]*\n"
 
@@ -107,7 +109,7 @@ def anchors(sets: Sequence[list[str]], threshold: float) -> list[str]:
     while wanting := [rest for rest, all_, may in zip(left, sets, missing, strict=True) if len(all_) - len(rest) <= may]:
         use = Counter(word for rest in wanting for gram in rest for word in set(gram))
         # long words are rare in other text; among short ones the longest is best
-        chosen.append(min(use, key=lambda w: (0, -use[w], w) if len(w) >= 7 else (1, -len(w), w)))
+        chosen.append(min(use, key=lambda w: (0, -use[w], w) if len(w) >= 7 else (1 + (w in _COMMON), -len(w), w)))
         left = [[g for g in grams if chosen[-1] not in g] for grams in left]
     return chosen
 
