@@ -57,10 +57,25 @@ def clean_metrics(typed: DataFrame) -> DataFrame:
     )
 
 
-def read_report(raw: DataFrame) -> DataFrame:
-    """How well the file was read: all rows, malformed rows, rows without any value."""
-    return raw.agg(
+def read_counts() -> list[Column]:
+    """Aggregates over the raw frame: all rows, malformed rows, rows without any value."""
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(F.col(CORRUPT).isNotNull()).alias("corrupt_rows"),
         F.count_if(F.coalesce(*RAW_COLUMNS).isNull()).alias("empty_rows"),
-    )
+    ]
+
+
+def overflowing_ids() -> Column:
+    """Aggregate over the raw frame: ids that are whole numbers but do not fit the id's type.
+
+    Such rows are dropped with those that have no id; this says how many they were.
+    """
+    text = F.trim(FIELDS[0].raw)
+    number = text.rlike(r"^[+-]?[0-9]+(\.[0-9]*)?$")
+    return F.count_if(number & to_int(F.col(FIELDS[0].raw)).isNull()).alias("overflowing_ids")
+
+
+def read_report(raw: DataFrame) -> DataFrame:
+    """How well the file was read: all rows, malformed rows, rows without any value."""
+    return raw.agg(*read_counts())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cadastra.functions.buckets import bucket, bucket_label
 from cadastra.scratch import written
@@ -36,17 +37,27 @@ def value_ranges(df: DataFrame, group: str = "region", value: str = "area") -> D
 
     NaN counts as the largest value, as it does in Spark's `max`.
     """
-    return _ranges(df, group, value).orderBy(
-        F.col(f"max_{value}").desc_nulls_last(), F.col(group).asc_nulls_last()
-    )
+    return _largest_first(_ranges(df, group, value), group, value)
+
+
+def _largest_first(ranges: DataFrame, group: str, value: str) -> DataFrame:
+    return ranges.orderBy(F.col(f"max_{value}").desc_nulls_last(), F.col(group).asc_nulls_last())
 
 
 def range_series(
-    df: DataFrame, group: str = "region", value: str = "area", n: int = 15
+    df: DataFrame,
+    group: str = "region",
+    value: str = "area",
+    n: int = 15,
+    ranges: DataFrame | None = None,
 ) -> DataFrame:
-    """Chart data: the two series, max and min, of the first `n` groups."""
+    """Chart data: the two series, max and min, of the first `n` groups.
+
+    `ranges` is a stored result of `value_ranges`, which saves its pass over the table.
+    """
+    ranges = _ranges(df, group, value) if ranges is None else ranges
     return (
-        value_ranges(df, group, value)
+        _largest_first(ranges, group, value)
         .limit(n)
         .unpivot([group], [f"max_{value}", f"min_{value}"], "series", "value")
     )
@@ -66,35 +77,45 @@ def extreme_rows(
     over two columns finds each group's range by hash aggregation, which is
     written right away as a small table; a stored result of `value_ranges` may be
     given as `ranges` instead. Its known size lets Catalyst broadcast it, or
-    shuffle when there are too many groups, and the second pass keeps only rows
-    that reach their group's extreme. Ties among these are settled by `tie` with
-    partial aggregation, so a group with many ties is not gathered in one task.
+    shuffle when there are too many groups. A second pass finds the first `tie` among the
+    rows that reach their group's extreme, again over narrow columns, and a third
+    fetches the rows that have both, so many equal values cost no wide rows.
     """
     if ranges is None:
         ranges = written(_ranges(df, group, value), "ranges")
     extreme = f"max_{value}" if largest else f"min_{value}"
     extremes = ranges.select(F.col(group).alias("_group"), F.col(extreme).alias("_extreme"))
-    candidates = df.join(
-        extremes,
-        F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_extreme")),
-    )
+    reaches = F.col(group).eqNullSafe(F.col("_group")) & (F.col(value) == F.col("_extreme"))
+    ties = df.select(group, value, tie).join(extremes, reaches).groupBy("_group", "_extreme")
+    firsts = written(ties.agg(F.min(tie).alias("_tie")), "ties")
+    # The least id that is not NULL, or NULL where there is no other.
+    chosen = df.join(firsts, reaches & F.col(tie).eqNullSafe(F.col("_tie")))
     # Rows that share the tie-breaking value as well are ordered by all columns.
-    first = F.min(F.struct(F.col(tie).isNull(), F.col(tie), F.struct(*df.columns).alias("row")))
-    return candidates.groupBy(group).agg(first.alias("_first")).select("_first.row.*")
+    first = F.min(F.struct(*df.columns))
+    return chosen.groupBy("_group").agg(first.alias("_row")).select("_row.*")
 
 
 def bucket_counts(
     df: DataFrame, column: str = "year", width: int = 10, name: str = "decade"
 ) -> DataFrame:
-    """Rows per fixed-width bucket, in bucket order."""
+    """Rows per fixed-width bucket, in bucket order.
+
+    Edges are int for an int column and bigint for any other number, so that no two
+    buckets of a wide column are merged.
+    """
+    kind = df.schema[column].dataType
+    edge = bucket(F.col(column), width, isinstance(kind, T.IntegralType))
+    if isinstance(kind, T.IntegralType) and not isinstance(kind, T.LongType):
+        edge = edge.try_cast("int")
     return (
         df.filter(F.col(column).isNotNull())
-        .groupBy(bucket(F.col(column), width).alias(name))
+        .groupBy(edge.alias(name))
         .agg(F.count(F.lit(1)).alias("n"))
         .orderBy(F.col(name).asc_nulls_last())
     )
 
 
-def decade_series(df: DataFrame) -> DataFrame:
-    """Chart data: buildings per decade with a label."""
-    return bucket_counts(df).select("decade", bucket_label(F.col("decade")).alias("label"), "n")
+def decade_series(df: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """Chart data: buildings per decade with a label; `counts` is a stored `bucket_counts`."""
+    counts = bucket_counts(df) if counts is None else counts.orderBy(F.col("decade").asc_nulls_last())
+    return counts.select("decade", bucket_label(F.col("decade")).alias("label"), "n")

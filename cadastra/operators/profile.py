@@ -12,16 +12,21 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def null_counts(columns: list[str]) -> list[Column]:
     """Aggregates for `null_profile`: the row count and the NULLs of every column."""
-    nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in columns]
+    nulls = [F.count_if(quoted(c).isNull()).alias(f"nulls_{c}") for c in columns]
     return [F.count(F.lit(1)).alias("total"), *nulls]
 
 
 def as_null_profile(counts: DataFrame, columns: list[str]) -> DataFrame:
     """The one row of `null_counts` as a row per column, with percentages."""
     rows = [
-        F.struct(F.lit(c).alias("column"), F.col(f"nulls_{c}").alias("nulls")) for c in columns
+        F.struct(F.lit(c).alias("column"), quoted(f"nulls_{c}").alias("nulls")) for c in columns
     ]
     percent = F.when(F.col("total") > 0, F.col("nulls") / F.col("total") * 100).otherwise(0.0)
     return counts.select("total", F.inline(F.array(*rows))).select(

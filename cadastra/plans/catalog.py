@@ -56,10 +56,27 @@ def ingest_csv_split(spark, sf_dir):
 
 
 def ingest_csv_stitched(spark, sf_dir):
-    """Every record spans lines, which are brought together however large the files."""
-    return _comparable(
-        _through_csv(raw_houses(spark, sf_dir), {"split_above": 0, "stitch_above": 0})
-    )
+    """Every record spans lines, so the line check has each file read by one task."""
+    return _comparable(_through_csv(raw_houses(spark, sf_dir), {"split_above": 0}))
+
+
+def ingest_csv_mixed_headers(spark, sf_dir):
+    """Files with two column orders, one with a column more, each bound by its own header."""
+    raw = raw_houses(spark, sf_dir)
+    path = new_folder(spark, "csv")
+    even = F.col("house_id").cast("bigint") % 2 == 0
+    csv_files.write_raw(raw.filter(even), f"{path}/a")
+    other = raw.filter(~even).select(F.lit("x").alias("note"), *reversed(RAW_COLUMNS))
+    csv_files.write_raw(other, f"{path}/b")
+    return _comparable(csv_files.read_raw(spark, f"{path}/*"))
+
+
+def ingest_csv_marks(spark, sf_dir):
+    """Every line starts with a byte-order mark, which is text anywhere but at a file's start."""
+    marked = F.concat(F.lit("\ufeff"), "house_id").alias("house_id")
+    one_line = F.translate("address", "\n", " ").alias("address")
+    raw = raw_houses(spark, sf_dir).withColumns({"house_id": marked, "address": one_line})
+    return _comparable(_through_csv(raw, {"split_above": 0}))
 
 
 def ingest_documents(spark, sf_dir):
@@ -74,12 +91,16 @@ def ingest_documents(spark, sf_dir):
     )
 
 
-def dq_report(spark, sf_dir):
-    """A file where pending orders are short rows and open low-priority ones are empty."""
+def _dirty_file(spark, sf_dir) -> DataFrame:
+    """Pending orders are short rows, open low-priority ones are empty, and finished
+    high-priority ones have an id of more than 32 bits."""
     orders = _table(spark, sf_dir, "orders")
+    wide = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "2-HIGH")
     short = F.concat_ws(",", "o_orderkey", "o_totalprice", "o_totalprice")
     empty = F.lit("," * (len(RAW_COLUMNS) - 1))
-    full = F.concat(short, F.lit(',1953.0,585.6,5,"A","B","C ""D"", 1",E'))
+    own = F.when(wide, F.concat(F.lit("7000000000"), "o_orderkey")).otherwise(F.col("o_orderkey"))
+    whole = F.concat_ws(",", own, "o_totalprice", "o_totalprice")
+    full = F.concat(whole, F.lit(',1953.0,585.6,5,"A","B","C ""D"", 1",E'))
     line = (
         F.when(F.col("o_orderstatus") == "P", short)
         .when((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW"), empty)
@@ -87,9 +108,16 @@ def dq_report(spark, sf_dir):
     )
     path = new_folder(spark, "csv")
     orders.select(line.alias("value")).write.text(path)
-    return cleaning.read_report(
-        csv_files.read_raw(spark, path, header=False, encoding="UTF-8")
-    )
+    return csv_files.read_raw(spark, path, header=False, encoding="UTF-8")
+
+
+def dq_report(spark, sf_dir):
+    return cleaning.read_report(_dirty_file(spark, sf_dir))
+
+
+def prepare_report(spark, sf_dir):
+    """The same counts, and ids that do not fit, taken by the pass that writes the table."""
+    return workflow.prepare(_dirty_file(spark, sf_dir), new_folder(spark, "houses")).report
 
 
 def _stored(spark, sf_dir) -> DataFrame:
@@ -122,6 +150,21 @@ def clean_metrics(spark, sf_dir):
     return cleaning.clean_metrics(cast_types(spark, sf_dir))
 
 
+def _without_some_ids(spark, sf_dir) -> DataFrame:
+    """Raw rows where one id in eleven is missing, and one is no number."""
+    left = F.col("house_id").cast("bigint") % 11
+    own = F.when(left == 3, F.lit("x")).when(left != 4, F.col("house_id"))
+    return raw_houses(spark, sf_dir).withColumn("house_id", own)
+
+
+def clean_bad_ids(spark, sf_dir):
+    return cleaning.clean(_without_some_ids(spark, sf_dir))
+
+
+def clean_bad_ids_metrics(spark, sf_dir):
+    return cleaning.clean_metrics(cleaning.cast_types(_without_some_ids(spark, sf_dir)))
+
+
 def schema_profile(spark, sf_dir):
     """The column listing, with how many rows of the table lack each value."""
     rows = houses(spark, sf_dir)
@@ -199,16 +242,51 @@ def top_orders(spark, sf_dir):
     return topk.top_houses(spark, orders, min_area=60_000.0)
 
 
+def _odd_houses(spark, sf_dir) -> DataFrame:
+    """Few areas above 60, many of 60 and many that are no number; long names, zero years."""
+    key = F.col("o_orderkey")
+    area = F.when(key % 7 == 0, F.lit(float("nan"))).when(key % 900 == 1, 60 + (key % 5) / 10)
+    return _table(spark, sf_dir, "orders").select(
+        key.alias("id"),
+        F.concat(F.lit("Очень длинное название области № "), "o_orderkey").alias("region"),
+        F.concat(F.lit("Город с длинным именем "), "o_custkey").alias("city"),
+        F.col("o_orderpriority").alias("address"),
+        F.coalesce(area, F.when(key % 3 == 0, F.lit(60.0)).otherwise(F.lit(59.99))).alias("area"),
+        F.when(key % 4 != 0, (key % 2).cast("int")).alias("year"),
+        (F.col("o_custkey") % 3).cast("int").alias("floors"),
+    )
+
+
+def topk_edges(spark, sf_dir):
+    return topk.top_houses(spark, _odd_houses(spark, sf_dir))
+
+
+def topk_edges_report(spark, sf_dir):
+    return topk.topk_report(topk_edges(spark, sf_dir))
+
+
+def largest_with_ties(spark, sf_dir):
+    """Many orders share their group's largest value; the lowest key decides."""
+    rounded = F.floor(F.col("o_totalprice") / 100_000).cast("int").alias("value")
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", rounded)
+    return groups.extreme_rows(orders, "o_orderstatus", "value", "o_orderkey")
+
+
 QUERIES: dict[str, Query] = {
     "ingest_csv": ingest_csv,
     "ingest_csv_headerless": ingest_csv_headerless,
     "ingest_csv_split": ingest_csv_split,
     "ingest_csv_stitched": ingest_csv_stitched,
+    "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
+    "ingest_csv_marks": ingest_csv_marks,
     "ingest_documents": ingest_documents,
     "dq_report": dq_report,
+    "prepare_report": prepare_report,
     "cast_types": cast_types,
     "clean": clean,
     "clean_metrics": clean_metrics,
+    "clean_bad_ids": clean_bad_ids,
+    "clean_bad_ids_metrics": clean_bad_ids_metrics,
     "scan_parquet": scan_parquet,
     "parquet_roundtrip": parquet_roundtrip,
     "row_count": _on_houses(profile.row_count),
@@ -233,6 +311,9 @@ QUERIES: dict[str, Query] = {
     "topk_report": lambda spark, sf_dir: topk.topk_report(
         topk.top_houses(spark, houses(spark, sf_dir))
     ),
+    "topk_edges": topk_edges,
+    "topk_edges_report": topk_edges_report,
+    "largest_with_ties": largest_with_ties,
     # The same operators straight over the given tables.
     "customers_by_nation": _on("customer", groups.top_groups, "c_nationkey"),
     "price_by_priority": _on("orders", groups.value_ranges, "o_orderpriority", "o_totalprice"),
@@ -246,6 +327,8 @@ QUERIES: dict[str, Query] = {
     ),
     "lines_by_quantity": _on("lineitem", groups.bucket_counts, "l_quantity", 10, "quantity"),
     "line_number_stats": _on("lineitem", statistics.year_stats, "l_linenumber"),
+    "order_customer_stats": _on("orders", statistics.year_stats, "o_custkey"),
+    "orders_by_customer_range": _on("orders", groups.bucket_counts, "o_custkey", 100, "customers"),
     "lineitem_nulls": _on("lineitem", profile.null_profile),
     "first_documents": _on("documents", profile.head_sample, 10, "doc_id"),
 }

@@ -48,17 +48,17 @@ def _top(table: str, key: str) -> str:
     )
 
 
-def _buckets(table: str, column: str, width: int, name: str) -> str:
+def _buckets(table: str, column: str, width: int, name: str, kind: str = "BIGINT") -> str:
     return (
-        f"SELECT CAST(floor({column} / {width}) * {width} AS INT) AS {name}, count(*) AS n "
+        f"SELECT CAST(floor({column} / {width}) * {width} AS {kind}) AS {name}, count(*) AS n "
         f"FROM {table} GROUP BY 1"
     )
 
 
-def _stats(table: str, column: str) -> str:
+def _stats(table: str, column: str, kind: str = "INT") -> str:
     return (
         f"SELECT avg({column}) AS avg_{column}, "
-        f"CAST(quantile_disc({column}, 0.5) AS INT) AS median_{column} FROM {table}"
+        f"CAST(quantile_disc({column}, 0.5) AS {kind}) AS median_{column} FROM {table}"
     )
 
 
@@ -67,6 +67,16 @@ SELECT id, region, city, address, area, year, floors FROM {source}
 WHERE area > {above} AND NOT isnan(area) ORDER BY area DESC, id LIMIT 25
 """
 
+_ODD_HOUSES = """(
+SELECT o_orderkey AS id, 'Очень длинное название области № ' || o_orderkey AS region,
+       'Город с длинным именем ' || o_custkey AS city, o_orderpriority AS address,
+       CASE WHEN o_orderkey % 7 = 0 THEN CAST('NaN' AS DOUBLE)
+            WHEN o_orderkey % 900 = 1 THEN CAST(60 + (o_orderkey % 5) / 10 AS DOUBLE)
+            WHEN o_orderkey % 3 = 0 THEN 60.0 ELSE 59.99 END AS area,
+       CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderkey % 2 AS INT) END AS year,
+       CAST(o_custkey % 3 AS INT) AS floors
+FROM orders)"""
+
 _METRICS = """
 SELECT 'total_rows' AS metric, CAST(count(*) AS DOUBLE) AS value FROM typed
 UNION ALL SELECT 'clean_rows', CAST(count(*) AS DOUBLE) FROM houses
@@ -101,6 +111,10 @@ ORACLES: dict[str, str] = {
     "ingest_csv_headerless": _RAW.format(address="t.address"),
     "ingest_csv_stitched": _RAW.format(address="t.address"),
     "ingest_csv_split": _RAW.format(address="replace(t.address, chr(10), ' ')"),
+    "ingest_csv_mixed_headers": _RAW.format(address="t.address"),
+    "ingest_csv_marks": _RAW.replace(
+        "CAST(o_orderkey AS VARCHAR) AS house_id", "chr(65279) || o_orderkey AS house_id"
+    ).format(address="replace(t.address, chr(10), ' ')"),
     "ingest_documents": "SELECT doc_id, text FROM documents",
     "dq_report": (
         "SELECT count(*) AS total_rows,"
@@ -108,12 +122,26 @@ ORACLES: dict[str, str] = {
         " count(*) FILTER (o_orderstatus = 'O' AND o_orderpriority = '5-LOW') AS empty_rows"
         " FROM orders"
     ),
+    "prepare_report": (
+        "SELECT count(*) AS total_rows,"
+        " count(*) FILTER (o_orderstatus = 'P') AS corrupt_rows,"
+        " count(*) FILTER (o_orderstatus = 'O' AND o_orderpriority = '5-LOW') AS empty_rows,"
+        " count(*) FILTER (o_orderstatus = 'F' AND o_orderpriority = '2-HIGH') AS overflowing_ids"
+        " FROM orders"
+    ),
     "cast_types": _houses("SELECT * FROM typed"),
     "clean": _houses("SELECT * FROM houses"),
     "clean_metrics": _houses(
         "SELECT count(*) AS total_rows, count(*) FILTER (complete) AS clean_rows,"
         " count(*) FILTER (NOT complete) AS dropped_rows"
-        " FROM (SELECT year IS NOT NULL AND area IS NOT NULL AS complete FROM typed)"
+        " FROM (SELECT id IS NOT NULL AND year IS NOT NULL AND area IS NOT NULL AS complete FROM typed)"
+    ),
+    "clean_bad_ids": _houses("SELECT * FROM houses WHERE id % 11 NOT IN (3, 4)"),
+    "clean_bad_ids_metrics": _houses(
+        "SELECT count(*) AS total_rows, count(*) FILTER (complete) AS clean_rows,"
+        " count(*) FILTER (NOT complete) AS dropped_rows"
+        " FROM (SELECT id % 11 NOT IN (3, 4) AND year IS NOT NULL AND area IS NOT NULL AS complete"
+        " FROM typed)"
     ),
     "scan_parquet": _houses("SELECT id, year FROM houses WHERE year >= 1900"),
     "parquet_roundtrip": _houses("SELECT * FROM houses"),
@@ -135,7 +163,7 @@ ORACLES: dict[str, str] = {
     ),
     "largest_in_region": _houses(_extreme("houses", "region", "area", "id", "DESC")),
     "smallest_in_region": _houses(_extreme("houses", "region", "area", "id", "ASC")),
-    "by_decade": _houses(_buckets("houses", "year", 10, "decade")),
+    "by_decade": _houses(_buckets("houses", "year", 10, "decade", "INT")),
     "decade_series": _houses(
         "SELECT CAST(floor(year / 10) * 10 AS INT) AS decade,"
         " CAST(floor(year / 10) * 10 AS INT) || 's' AS label, count(*) AS n"
@@ -154,9 +182,22 @@ ORACLES: dict[str, str] = {
         " coalesce(CAST(nullif(h.floors, 0) AS VARCHAR), 'N/A') AS floors"
         f" FROM ({_TOP.format(source='houses', above=60)}) h"
     ),
+    "topk_edges": _TOP.format(source=_ODD_HOUSES, above=60),
+    "topk_edges_report": (
+        "SELECT id, substring(region, 1, 28) AS region, substring(city, 1, 23) AS city,"
+        " printf('%.2f', h.area) AS area,"
+        " coalesce(CAST(nullif(h.year, 0) AS VARCHAR), 'N/A') AS year,"
+        " coalesce(CAST(nullif(h.floors, 0) AS VARCHAR), 'N/A') AS floors"
+        f" FROM ({_TOP.format(source=_ODD_HOUSES, above=60)}) h"
+    ),
+    "largest_with_ties": _extreme(
+        "(SELECT o_orderkey, o_custkey, o_orderstatus,"
+        " CAST(floor(o_totalprice / 100000) AS INT) AS value FROM orders)",
+        "o_orderstatus", "value", "o_orderkey", "DESC",
+    ),
     "customers_by_nation": _top("customer", "c_nationkey"),
     "price_by_priority": _ranges("orders", "o_orderpriority", "o_totalprice"),
-    "parts_by_size": _buckets("part", "p_size", 10, "size"),
+    "parts_by_size": _buckets("part", "p_size", 10, "size", "INT"),
     "customers_by_balance": _buckets("customer", "c_acctbal", 1000, "balance"),
     "top_orders": _TOP.format(
         source="(SELECT o_orderkey AS id, o_orderpriority AS region, o_orderstatus AS city,"
@@ -169,6 +210,8 @@ ORACLES: dict[str, str] = {
     "price_by_return_flag": _ranges("lineitem", "l_returnflag", "l_extendedprice"),
     "lines_by_quantity": _buckets("lineitem", "l_quantity", 10, "quantity"),
     "line_number_stats": _stats("lineitem", "l_linenumber"),
+    "order_customer_stats": _stats("orders", "o_custkey", "BIGINT"),
+    "orders_by_customer_range": _buckets("orders", "o_custkey", 100, "customers"),
     "lineitem_nulls": _nulls("lineitem", _LINEITEM_COLUMNS),
     "first_documents": "SELECT * FROM documents ORDER BY doc_id LIMIT 10",
 }

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.operators import cleaning, groups, profile, statistics, topk
+from cadastra.schema import CORRUPT
 from cadastra.sources import csv_files, jdbc, parquet, tables
 
 
@@ -34,8 +35,10 @@ class RunSettings:
 
 @dataclass(frozen=True)
 class Prepared:
-    """What the writing pass counted: rows before and after cleaning, NULLs per column."""
+    """What the writing pass counted: how the file was read, rows before and after
+    cleaning, NULLs per column."""
 
+    report: DataFrame
     counts: DataFrame
     null_profile: DataFrame
 
@@ -47,11 +50,16 @@ def prepare(raw: DataFrame, path: str) -> Prepared:
     pass of their own. Each of these tasks counts once, also when an executor is
     lost and its tasks run again.
     """
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
+    reading = Observation("reading")
     before, after = Observation("before cleaning"), Observation("after cleaning")
-    typed = cleaning.cast_types(raw).observe(before, *cleaning.cleaning_counts())
+    read = raw.observe(reading, *cleaning.read_counts(), cleaning.overflowing_ids())
+    typed = cleaning.cast_types(read).observe(before, *cleaning.cleaning_counts())
     clean = cleaning.drop_incomplete(typed)
     parquet.write_clean(clean.observe(after, *profile.null_counts(clean.columns)), path)
     return Prepared(
+        _one_row(raw.sparkSession, reading.get),
         _one_row(raw.sparkSession, before.get),
         profile.as_null_profile(_one_row(raw.sparkSession, after.get), clean.columns),
     )
@@ -71,9 +79,7 @@ def analyses(houses: DataFrame) -> dict[str, DataFrame]:
         "top_regions": groups.top_groups(houses, "region"),
         "top_cities": groups.top_groups(houses, "city"),
         "area_by_region": groups.value_ranges(houses),
-        "area_series": groups.range_series(houses),
         "by_decade": groups.bucket_counts(houses),
-        "decade_series": groups.decade_series(houses),
     }
 
 
@@ -107,11 +113,16 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     )
     clean_path = settings.path("houses")
     prepared = prepare(raw, clean_path)
+    store("prepare_report", prepared.report)
     store("null_profile", prepared.null_profile)
     houses = parquet.read_clean(spark, clean_path)
     for name, result in analyses(houses).items():
         store(name, result)
+    # What follows from a stored result is derived from it, without the table.
     ranges = spark.read.parquet(stored["area_by_region"])
+    decades = spark.read.parquet(stored["by_decade"])
+    store("area_series", groups.range_series(houses, ranges=ranges))
+    store("decade_series", groups.decade_series(houses, decades))
     store("largest_in_region", groups.extreme_rows(houses, ranges=ranges))
     store("smallest_in_region", groups.extreme_rows(houses, largest=False, ranges=ranges))
 
@@ -121,7 +132,8 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     store("load_reconcile", load(houses, settings.table, settings.path("table")))
     if settings.external:
         store("external_reconcile", load_external(houses, settings.external))
-    top = topk.top_houses(spark, spark.table(settings.table))
-    store("top_houses", top)
-    store("topk_report", topk.topk_report(top))
+    store("top_houses", topk.top_houses(spark, spark.table(settings.table)))
+    top = spark.read.parquet(stored["top_houses"])
+    order = [F.col("area").desc_nulls_last(), F.col("id").asc_nulls_last()]
+    store("topk_report", topk.topk_report(top.orderBy(*order)))
     return stored

@@ -1,25 +1,26 @@
 """Registry CSV files: quoted, possibly with line breaks inside quotes.
 
-Spark reads a multi-line CSV file in one task. With `layout="auto"` large files are
-therefore read in parallel where that gives the same rows (see `csv_lines`). The rest
-are read by one task each, and spread over the cluster right after the parse.
+Every file is bound by its own header, and gives the same rows whatever its size and
+wherever splits begin. Spark reads a multi-line CSV file in one task. With
+`layout="auto"` large files whose records keep to one line are read in splits instead
+(see `csv_lines`). The rest are read by one task each, named in the log, and spread over
+the cluster right after the parse.
 """
 
 from __future__ import annotations
 
+import csv
 import logging
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
 from cadastra.sources import csv_lines
 
+# Smaller files are read whole without a look at their lines; the rows are the same.
 SPLIT_ABOVE = 128 * 1024 * 1024
-# Bringing lines together costs several passes, which pay for files that would keep one
-# task busy for many minutes.
-STITCH_ABOVE = 16 * 1024 * 1024 * 1024
 
 log = logging.getLogger(__name__)
 
@@ -41,37 +42,70 @@ def _options(encoding: str, line_end: str | None) -> dict:
     return options | {"lineSep": line_end}
 
 
-def _names(spark: SparkSession, paths: Paths, header: bool, options: dict) -> list[str]:
-    """Column names in file order: those of the header, or the documented ones."""
-    if not header:
-        return RAW_COLUMNS
-    names = spark.read.csv(paths, **options, header=True).columns
-    missing = set(RAW_COLUMNS) - set(names)
-    if missing:
-        raise ValueError(f"columns missing in {paths}: {sorted(missing)}")
-    return names
+def _header_names(line: str) -> list[str] | None:
+    """The names in a header line; None if it goes on in the next line."""
+    if line.count('"') % 2:
+        return None
+    return next(csv.reader([line.removesuffix("\r")]), [])
+
+
+def _by_header(spark: SparkSession, paths: Paths, options: dict) -> list[tuple[Paths, list[str]]]:
+    """The files with the same header, and its names, for each header.
+
+    Headers are compared on the cluster; where all files have the same one, as they
+    mostly do, no list of files is made.
+    """
+    encoding = options["encoding"]
+    if encoding not in csv_lines.MARKS:
+        return [(paths, spark.read.csv(paths, **options, header=True).columns)]
+    first = csv_lines.first_lines(spark, paths, encoding)
+    lines = [bytes(row[0]) for row in first.select("bytes").distinct().collect()]
+    if len(lines) <= 1:
+        groups = [(paths, lines[0] if lines else b"")]
+    else:
+        files = first.groupBy("bytes").agg(F.collect_list("uri").alias("uris")).collect()
+        names = {row.uri: row.path for row in _listed(spark, paths).collect()}
+        groups = [([names[uri] for uri in row.uris], bytes(row.bytes)) for row in files]
+    found = []
+    for group, line in groups:
+        names = _header_names(line.decode(encoding, "replace"))
+        if names is None:
+            names = spark.read.csv(group, **options, header=True).columns
+        found.append((group, names))
+    return found
 
 
 def _read(spark: SparkSession, paths: Paths, header: bool, options: dict) -> DataFrame:
-    """All-text rows, columns bound by the header, or by position without one."""
-    names = _names(spark, paths, header, options)
-    # enforceSchema=False makes a file with another header fail instead of being bound
-    # by position.
-    rows = spark.read.schema(text_schema(names)).csv(
-        paths, **options, header=header, enforceSchema=not header
-    )
-    return rows.select(*RAW_COLUMNS, CORRUPT)
+    """All-text rows, columns bound by each file's header, or by position without one."""
+    groups = _by_header(spark, paths, options) if header else [(paths, RAW_COLUMNS)]
+    parts = []
+    for group, names in groups:
+        if missing := set(RAW_COLUMNS) - set(names):
+            if names:
+                raise ValueError(f"columns missing in {group}: {sorted(missing)}")
+            names = RAW_COLUMNS  # an empty file
+        # Columns of no interest get names of their own, which cannot clash.
+        own = [n if n in RAW_COLUMNS and n not in names[:i] else f"_{i}" for i, n in enumerate(names)]
+        # The schema is that of the header, so the header need not be compared to it.
+        rows = spark.read.schema(text_schema(own)).csv(group, **options, header=header, enforceSchema=True)
+        parts.append(rows.select(*RAW_COLUMNS, CORRUPT))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Every file below `path` with its size. Reads no contents.
+def _listed(spark: SparkSession, paths: Paths) -> DataFrame:
+    """Every file with its size. Reads no contents.
 
     `path` names a file as readers take it, `uri` as `_metadata.file_path` spells it.
     """
-    files = spark.read.format("binaryFile").load(path)
+    files = spark.read.format("binaryFile").load(paths)
     return files.select("path", "length", F.col("_metadata.file_path").alias("uri"))
 
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Every file below `path` with its size. Reads no contents."""
+    return _listed(spark, path)
+
+
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -79,15 +113,16 @@ def read_raw(
     encoding: str = "UTF-16LE",
     layout: str = "auto",
     split_above: int = SPLIT_ABOVE,
-    stitch_above: int = STITCH_ABOVE,
 ) -> DataFrame:
     """Registry rows as text, in documented column order, with `_corrupt_record`.
 
     Short rows are padded with NULL and long rows cut; both are kept and also
     reported in `_corrupt_record`. `layout` is "multiline" (any file, one task
-    per file), "lines" (the caller knows that records and lines are the same, and end
-    with a line feed alone), or "auto".
-    `UTF-16LE` is right with and without a byte-order mark.
+    per file), "lines" (the caller knows that records and lines are the same, end
+    with a line feed alone, and hold no byte-order mark but at the start of a file: the
+    fast way, which reads the data once), or "auto", which reads large files
+    once more to see how they are made.
+    `UTF-16LE` is right with and without a byte-order mark at the start of a file.
     """
     whole = _options(encoding, None)
     if layout == "multiline":
@@ -97,46 +132,45 @@ def read_raw(
     if layout != "auto":
         raise ValueError(f"unknown layout: {layout}")
 
-    files = file_sizes(spark, path)
-    is_large = (F.col("length") > split_above) & ~F.col("path").rlike(_UNSPLITTABLE)
-    large = files.filter(is_large).collect()
-    if not large:
+    packed = F.col("path").rlike(_UNSPLITTABLE)
+    files = file_sizes(spark, path).withColumn(
+        "kind", F.when(packed, "packed").when(F.col("length") > split_above, "large").otherwise("small")
+    )
+    # One row per kind; files are only listed where kinds differ.
+    kinds = {row.kind for row in files.select("kind").distinct().collect()}
+    if kinds <= {"small"}:
         return _read(spark, path, header, whole)
-    parts = _parallel_reads(spark, large, header, encoding, stitch_above)
-    others = [f.path for f in files.filter(~is_large).collect()]
-    if others:
-        parts.append(_read(spark, others, header, whole))
+    parts = []
+    if "large" in kinds:
+        large = files.filter(F.col("kind") == "large").collect()
+        parts = _large_files(spark, {f.uri: f.path for f in large}, header, encoding)
+    if "packed" in kinds:
+        paths = [f.path for f in files.filter(F.col("kind") == "packed").collect()]
+        parts.append(_one_task_each(spark, paths, header, whole))
+    if "small" in kinds:
+        paths = [f.path for f in files.filter(F.col("kind") == "small").collect()]
+        parts.append(_read(spark, paths, header, whole))
     return reduce(DataFrame.unionByName, parts)
 
 
-def _parallel_reads(
-    spark: SparkSession, files: list[Row], header: bool, encoding: str, stitch_above: int
-) -> list[DataFrame]:
-    """One read per kind of file."""
-    left = {f.uri: f.path for f in files}
-    huge = {f.uri for f in files if f.length > stitch_above}
-    profile = csv_lines.line_profile(spark, list(left.values()), encoding).collect()
-    if not {row.uri for row in profile} <= left.keys():
-        raise ValueError("the file listing and the read name files differently")
-    whole = _options(encoding, None)
-    parts = []
-    for end in ("\n", "\r\n"):
-        same = [row for row in profile if row.line_end == end]
-        one_line = [left.pop(row.uri) for row in same if row.one_line]
-        if one_line:
-            parts.append(_read(spark, one_line, header, _options(encoding, end)))
-        spanning = [left[row.uri] for row in same if not row.one_line and row.uri in huge]
-        if spanning and encoding in csv_lines.DECODABLE:
-            names = _names(spark, spanning, header, whole)
-            first = ",".join(names) if header else None
-            stitched = csv_lines.stitch(spark, spanning, encoding, end, first)
-            rows = csv_lines.read_stitched(stitched, names, header, whole)
-            parts.append(rows.select(*RAW_COLUMNS, CORRUPT))
-            for uri in stitched.uris():
-                del left[uri]
+def _one_task_each(spark: SparkSession, paths: list[str], header: bool, options: dict) -> DataFrame:
+    log.warning("one task per file: %s", ", ".join(sorted(paths)))
+    return _read(spark, paths, header, options).hint("rebalance")
+
+
+def _large_files(spark: SparkSession, paths: dict[str, str], header: bool, encoding: str) -> list[DataFrame]:
+    """One read per kind of large file; `paths` has the path of each uri."""
+    left, parts = dict(paths), []
+    if encoding in csv_lines.MARKS:
+        profile = csv_lines.line_profile(spark, list(left.values()), encoding).collect()
+        if not {row.uri for row in profile} <= left.keys():
+            raise ValueError("the file listing and the read name files differently")
+        for end in ("\n", "\r\n"):
+            same = [left.pop(row.uri) for row in profile if row.line_end == end and row.one_line]
+            if same:
+                parts.append(_read(spark, same, header, _options(encoding, end)))
     if left:
-        log.warning("one task per file: %s", ", ".join(left.values()))
-        parts.append(_read(spark, list(left.values()), header, whole).hint("rebalance"))
+        parts.append(_one_task_each(spark, list(left.values()), header, _options(encoding, None)))
     return parts
 
 

@@ -1,47 +1,62 @@
-"""Reading large CSV files in parallel, with the same rows as a multi-line read.
-
-Where every line is a whole record, Spark's line reader splits a file by itself. Where
-records span lines, the lines of each are brought together first. Whether a line starts
-inside quotes follows from the number of quotes before it: counted within each split,
-then over the splits of the file.
-
-Both ways are right for well-formed files, in which a field is quoted from end to end or
-has no quote at all. Every line of a file is checked for that before the file is read so.
+"""Which CSV files can be read in splits with the same rows as a multi-line read.
+
+Where every line is a whole record, Spark's line reader splits a file by itself. That is
+so for well-formed files, in which a field is quoted from end to end or has no quote at
+all, and no field holds a line break. Every line of a file is checked before the file is
+read so. A byte-order mark belongs to the start of a file; one anywhere else is text to
+the multi-line read, but is dropped where a split happens to start with it, so a file
+that may hold one is not read in splits.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.schema import CORRUPT, text_schema
-from cadastra.scratch import written
+from cadastra.schema import CORRUPT
 
-# Encodings that Spark decodes outside its CSV reader as well, and
+# Encodings whose byte-order mark and line feed are told by bytes, and
 # suffixes of files that cannot be read in splits.
-DECODABLE = ("UTF-16LE", "UTF-8")
+MARKS = {"UTF-16LE": "FFFE", "UTF-8": "EFBBBF"}
 UNSPLITTABLE = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
 
-_BOM = "\ufeff"
 _UNDECODED = "\ufffd"
 _UNUSED_SEPARATOR = "\x01"
 
-# Forms of a line without its line end. A carriage return anywhere else makes a file unfit.
+# A line without its line end. A carriage return anywhere else makes a file unfit.
 # Possessive quantifiers keep the matches linear, and plain character classes fast.
 _OPEN = r'"[^"\r]*+(?:""[^"\r]*+)*+'
 _FIELD = rf'(?:{_OPEN}"|[^",\r]*+)'
 _WHOLE = rf"^{_FIELD}(?:,{_FIELD})*+\z"
-_REST = rf"(?:{_FIELD},)*+(?:{_FIELD}|{_OPEN})\z"
-_FROM_OUTSIDE = rf"^{_REST}"
-_FROM_INSIDE = rf'^[^"\r]*+(?:""[^"\r]*+)*+(?:\z|"(?:\z|,{_REST}))'
+
+
+def _byte_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+    """Lines as bytes, with the file, and whether the line is in the file's first split."""
+    lines = spark.read.option("encoding", encoding).option("lineSep", "\n").text(paths)
+    return lines.select(
+        F.col("_metadata.file_path").alias("uri"),
+        (F.col("_metadata.file_block_start") == 0).alias("leading"),
+        F.monotonically_increasing_id().alias("position"),
+        F.col("value").cast("binary").alias("bytes"),
+    )
+
+
+def _mark(encoding: str) -> Column:
+    return F.unhex(F.lit(MARKS[encoding]))
+
+
+def first_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+    """(uri, bytes): the first line of every file, without a byte-order mark."""
+    lines = _byte_lines(spark, paths, encoding).filter("leading")
+    first = lines.groupBy("uri").agg(F.min_by("bytes", "position").alias("bytes"))
+    size = len(MARKS[encoding]) // 2
+    bare = F.when(F.startswith("bytes", _mark(encoding)), F.substring("bytes", size + 1, 1 << 30))
+    return first.select("uri", F.coalesce(bare, "bytes").alias("bytes"))
 
 
 def line_profile(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
-    """Per file: its line end, NULL where mixed or undecodable, and whether every line
-    is a whole record."""
+    """Per file: its line end, NULL where mixed, undecodable or marked inside, and whether
+    every line is a whole record."""
     lines = spark.read.schema(f"line string, {CORRUPT} string").csv(
         paths,
         encoding=encoding,
@@ -58,129 +73,37 @@ def line_profile(spark: SparkSession, paths: list[str], encoding: str) -> DataFr
     fit = F.col(CORRUPT).isNull() & ~odd
     total, returns = F.count(F.lit(1)), F.count_if(has_return)
     line_end = F.when(returns == 0, "\n").when(returns == total, "\r\n")
-    return lines.groupBy(F.col("_metadata.file_path").alias("uri")).agg(
+    profile = lines.groupBy(F.col("_metadata.file_path").alias("uri")).agg(
         F.when(F.count_if(fit) == total, line_end).alias("line_end"),
         (F.count_if(body.rlike(_WHOLE)) == total).alias("one_line"),
     )
-
-
-@dataclass(frozen=True)
-class Stitched:
-    """The lines of large files, and the state in which each split of a fit file starts."""
-
-    lines: DataFrame
-    splits: DataFrame
-
-    def uris(self) -> list[str]:
-        return [row.uri for row in self.splits.select("uri").distinct().collect()]
-
-
-def stitch(
-    spark: SparkSession, paths: list[str], encoding: str, line_end: str, header: str | None
-) -> Stitched:
-    """Store the lines of the files with their places, and the splits of those files that
-    are well formed and start with the header."""
-    # Stored, so that all later passes see the same splits and line numbers.
-    lines = written(_numbered_lines(spark, paths, encoding, line_end), "lines")
-    splits = _splits(lines)
-    if header:
-        first = (F.col("split") == 0) & (F.col("n") == 1) & (F.col("text") == header)
-        splits = splits.join(lines.filter(first).select("uri"), "uri")
-    return Stitched(lines, written(splits, "splits"))
-
-
-def _numbered_lines(
-    spark: SparkSession, paths: list[str], encoding: str, line_end: str
-) -> DataFrame:
-    """Every line with its place (file, split, number in the split), whether its number
-    of quotes is odd, and whether that of the quotes before it in the split is."""
-    files = spark.read.option("encoding", encoding).option("lineSep", "\n").text(paths)
-    lines = files.select(
-        F.col("_metadata.file_path").alias("uri"),
-        F.col("_metadata.file_block_start").alias("split"),
-        F.monotonically_increasing_id().alias("position"),
-        F.decode(F.col("value").cast("binary"), encoding).alias("text"),
-    )
-    text = F.col("text")
-    if line_end == "\r\n":
-        # A line without a carriage return gets one, which makes its file unfit.
-        cut = F.expr("left(text, length(text) - 1)")
-        text = F.when(F.endswith(text, F.lit("\r")), cut).otherwise(F.concat(text, F.lit("\r")))
-    in_split = W.partitionBy("uri", "split").orderBy("position")
-    starts_file = (F.col("split") == 0) & (F.col("n") == 1)
-    quotes = F.length("text") - F.length(F.replace("text", F.lit('"')))
-    return (
-        lines.withColumn("text", text)
-        .withColumn("n", F.row_number().over(in_split))
-        .withColumn("text", F.when(starts_file, F.ltrim("text", F.lit(_BOM))).otherwise(F.col("text")))
-        .withColumn("odd", quotes % 2)
-        .withColumn("odd_before", (F.sum("odd").over(in_split) - F.col("odd")) % 2)
-        .drop("position")
-    )
-
-
-def _splits(lines: DataFrame) -> DataFrame:
-    """The splits of well-formed files: `inside` is 1 where a split starts within quotes,
-    `running` is the place where the record that runs into it starts.
-
-    A split is judged for both states at once, and the state comes from the splits
-    before it. A file has few splits, so their order costs little.
-    """
-    even = F.col("odd_before") == 0
-    text = F.col("text")
-    fit = ~F.contains(text, F.lit(_BOM))
-    from_outside, from_inside = fit & text.rlike(_FROM_OUTSIDE), fit & text.rlike(_FROM_INSIDE)
-    splits = lines.groupBy("uri", "split").agg(
-        (F.sum("odd") % 2).alias("odd"),
-        F.bool_and(F.when(even, from_outside).otherwise(from_inside)).alias("fit_outside"),
-        F.bool_and(F.when(even, from_inside).otherwise(from_outside)).alias("fit_inside"),
-        F.max(F.when(even, F.col("n"))).alias("last_outside"),
-        F.max(F.when(~even, F.col("n"))).alias("last_inside"),
-    )
-    file = W.partitionBy("uri")
-    earlier = file.orderBy("split").rowsBetween(W.unboundedPreceding, -1)
-    outside = F.col("inside") == 0
-    last = F.when(outside, F.col("last_outside")).otherwise(F.col("last_inside"))
-    fit = F.when(outside, F.col("fit_outside")).otherwise(F.col("fit_inside"))
-    place = F.when(F.col("last").isNotNull(), F.struct("split", F.col("last").alias("n")))
-    return (
-        splits.withColumn("inside", F.coalesce(F.sum("odd").over(earlier) % 2, F.lit(0)))
-        .withColumn("last", last)
-        .select(
-            "uri",
-            "split",
-            "inside",
-            F.last(place, ignorenulls=True).over(earlier).alias("running"),
-            (F.bool_and(fit).over(file) & (F.sum("odd").over(file) % 2 == 0)).alias("fit"),
-        )
-        .filter("fit")
+    marked = _marked_inside(spark, paths, encoding)
+    # A mark in the first line may be that of the file; in any other it is inside.
+    return profile.join(marked, "uri", "left").select(
+        "uri",
+        F.when(~F.coalesce("marked", F.lit(False)), F.col("line_end")).alias("line_end"),
+        "one_line",
     )
 
 
-def read_stitched(
-    stitched: Stitched, names: list[str], header: bool, options: dict
-) -> DataFrame:
-    """The records of the fit files, each parsed by itself.
+def _marked_inside(spark: SparkSession, paths: list[str], encoding: str) -> DataFrame:
+    """(uri, marked): files with the bytes of a mark anywhere but at their start.
 
-    Only the lines of records that span lines are shuffled, in groups of one record.
+    In UTF-16 these bytes may also be halves of two characters; such a file is then read
+    whole, which gives the same rows.
     """
-    lines = stitched.lines.join(stitched.splits, ["uri", "split"])
-    if header:
-        lines = lines.filter(~((F.col("split") == 0) & (F.col("n") == 1)))
-    starts = F.col("odd_before") == F.col("inside")
-    whole = starts & (F.col("odd") == 0)
-    so_far = W.partitionBy("uri", "split").orderBy("n")
-    own = F.max(F.when(starts, F.col("n"))).over(so_far)
-    place = F.when(own.isNotNull(), F.struct("split", own.alias("n"))).otherwise(F.col("running"))
-    parts = F.array_sort(F.collect_list(F.struct("split", "n", "text")))
-    spanning = (
-        lines.filter(~whole)
-        .withColumn("record", place)
-        .groupBy("uri", "record")
-        .agg(F.array_join(F.transform(parts, lambda part: part["text"]), "\n").alias("text"))
+    size = len(MARKS[encoding]) // 2
+    mark = _mark(encoding)
+    lines = _byte_lines(spark, paths, encoding).filter(F.contains("bytes", mark))
+    again = F.contains(F.substring("bytes", size + 1, 1 << 30), mark)
+    starts = F.startswith("bytes", mark) & F.col("leading") & ~again
+    # The first line of a file is the first of its first split; any other is not.
+    found = lines.groupBy("uri").agg(
+        F.count_if(~starts).alias("inside"),
+        F.count_if(starts).alias("starting"),
+        F.min(F.when(starts, F.col("position"))).alias("position"),
     )
-    records = lines.filter(whole & (F.col("text") != "")).select("text")
-    records = records.unionByName(spanning.select("text"))
-    parsing = {k: v for k, v in options.items() if k not in ("encoding", "multiLine")}
-    row = F.from_csv("text", text_schema(names).toDDL(), parsing)
-    return records.select(row.alias("row")).select("row.*")
+    firsts = _byte_lines(spark, paths, encoding).filter("leading")
+    firsts = firsts.groupBy("uri").agg(F.min("position").alias("first"))
+    clean = (F.col("inside") == 0) & (F.col("starting") == 1) & (F.col("position") == F.col("first"))
+    return found.join(firsts, "uri").select("uri", (~clean).alias("marked"))

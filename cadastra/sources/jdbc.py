@@ -6,7 +6,7 @@ Rows travel between executors and the database; the driver program sees none.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +21,7 @@ class JdbcTarget:
     url: str
     table: str
     user: str
-    password: str
+    password: str = field(repr=False)
     driver: str | None = None
     # Appended when Spark creates the table, such as an engine and its sort key.
     create_options: str | None = None
@@ -32,6 +32,7 @@ class JdbcTarget:
 
         There is no default password and no default database.
         """
+        # The names of the settings, and the host, port and user without them.
         host = os.environ.get("CH_HOST", "clickhouse")
         port = int(os.environ.get("CH_PORT", "8123"))
         return cls(

@@ -14,8 +14,8 @@ from cadastra.sources import csv_files, csv_lines
 
 HEADER = ",".join(RAW_COLUMNS)
 BOM = "\ufeff"
-# The ways of reading: whole files, lines brought together, one task and a shuffle.
-LAYOUTS = ["multiline", "auto", "auto unstitched"]
+# The ways of reading: whole files, files in splits where they allow it, small files.
+LAYOUTS = ["multiline", "auto", "auto small"]
 
 # Six data lines, five rows: quotes with a line break, an empty year, a short row,
 # a long row, a blank line, a latitude that is no number.
@@ -50,9 +50,8 @@ def tiny_splits(spark):
 
 
 def read(spark, path, layout="multiline", **options):
-    layout, _, unstitched = layout.partition(" ")
-    above = {"split_above": 0, "stitch_above": 2**50 if unstitched else 0}
-    return csv_files.read_raw(spark, path, layout=layout, **above, **options)
+    layout, _, small = layout.partition(" ")
+    return csv_files.read_raw(spark, path, layout=layout, split_above=2**50 if small else 0, **options)
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -112,14 +111,36 @@ def test_missing_column_is_named(spark, folder):
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
-def test_files_with_another_column_order_fail(spark, folder, layout):
+def test_each_file_is_bound_by_its_own_header(spark, folder, tmp_path, layout):
+    """Column orders, a quoted header, marks, line ends, spanning records and packing mixed."""
     other = ",".join(reversed(RAW_COLUMNS))
-    path = folder(
+    quoted = ",".join(f'"{c}"' for c in RAW_COLUMNS)
+    folder(
         a=f"{HEADER}\n1,1,1,1,1,1,a,b,c,d\n".encode("utf-16-le"),
-        b=f"{other}\nd,c,b,a,1,1,1,1,1,1\n".encode("utf-16-le"),
+        b=f"{BOM}{other}\r\nd,c,b,a,1,1,1,1,1,2\r\n".encode("utf-16-le"),
+        c=f'{quoted}\n3,1,1,1,1,1,a,b,"c\nc",d\n'.encode("utf-16-le"),
+        d=f"extra,{HEADER},{HEADER}\nx,4,1,1,1,1,1,a,b,c,d{',y' * 10}\n".encode("utf-16-le"),
+        e=b"",
     )
-    with pytest.raises(Exception, match="header does not conform"):
-        read(spark, path, layout).collect()
+    (tmp_path / "f.csv.gz").write_bytes(gzip.compress(f"{other}\nd,c,b,a,1,1,1,1,1,5\n".encode("utf-16-le")))
+    rows = {r.house_id: r for r in read(spark, str(tmp_path), layout).collect()}
+    assert sorted(rows) == ["1", "2", "3", "4", "5"]
+    assert all((r.region, r.locality_name, r.description) == ("a", "b", "d") for r in rows.values())
+    assert [rows[i].address for i in "12345"] == ["c", "c", "c\nc", "c", "c"]
+    assert all(r[CORRUPT] is None for r in rows.values())
+
+
+@pytest.mark.parametrize("encoding", ["UTF-16LE", "UTF-8"])
+@pytest.mark.parametrize("first", ["", BOM, BOM + BOM])
+def test_marks_are_text_but_at_the_start_of_a_file(spark, folder, tiny_splits, encoding, first):
+    body = "".join(f"{BOM}{i},1,2,1953.0,5,6,R,C,A{BOM},D\n" for i in range(200))
+    path = folder(a=f"{first}{body}".encode(encoding))
+    results = [
+        sorted(map(repr, read(spark, path, layout, header=False, encoding=encoding).collect()))
+        for layout in LAYOUTS
+    ]
+    assert results[0] == results[1] == results[2] and len(results[0]) == 200
+    assert sum(f"{BOM}1" in r or "\\ufeff1" in r for r in results[0]) >= 100
 
 
 def test_unknown_layout(spark, folder):
@@ -158,30 +179,15 @@ def test_line_check_decides_per_file(spark, folder):
     assert rows[0] == rows[1] == rows[2]
 
 
-def test_only_well_formed_files_are_stitched(spark, folder, tiny_splits):
-    end = "\r\n"
-    body = "".join(f'{i},1,2,1953.0,5,6,R,C,"""A""{end}{end}B","D, ""x"""{end}' for i in range(60))
-    good = f"{HEADER}{end}{body}"
-    path = folder(
-        good=good.encode("utf-16-le"),
-        stray=f'{good}61,1,2,3,4,5,R,C,5" pipe,D{end}'.encode("utf-16-le"),
-        unclosed=f'{good}62,1,2,3,4,5,R,C,A,"D{end}'.encode("utf-16-le"),
-        headless=body.encode("utf-16-le"),
-    )
-    files = [f.path for f in csv_files.file_sizes(spark, path).collect()]
-    stitched = csv_lines.stitch(spark, files, "UTF-16LE", end, HEADER)
-    assert [uri.rpartition("/")[2] for uri in stitched.uris()] == ["good.csv"]
-    assert stitched.splits.count() > 8
-    rows = csv_lines.read_stitched(stitched, RAW_COLUMNS, True, csv_files._options("UTF-16LE", None))
-    assert rows.count() == 60
-    assert {r.address for r in rows.collect()} == {'"A"\n\nB'}
-    assert {r.description for r in rows.collect()} == {'D, "x"'}
-
-
-def test_compressed_files_are_read_whole(spark, folder, tmp_path):
+def test_compressed_files_are_spread_and_named(spark, folder, tmp_path, caplog, capsys):
     content = f'{HEADER}\n1,2,3,1953.0,5,6,R,C,"A\nB",D\n'.encode("utf-16-le")
     (tmp_path / "a.csv.gz").write_bytes(gzip.compress(content))
-    assert [r.address for r in read(spark, str(tmp_path), "auto").collect()] == ["A\nB"]
+    with caplog.at_level("WARNING"):
+        rows = csv_files.read_raw(spark, str(tmp_path))
+    assert [r.address for r in rows.collect()] == ["A\nB"]
+    assert "a.csv.gz" in caplog.text
+    rows.explain()
+    assert "REBALANCE" in capsys.readouterr().out
 
 
 def test_one_line_files_are_read_in_splits(spark, folder, tiny_splits):

@@ -92,8 +92,18 @@ def test_bucket_rounds_down(spark, year, decade):
     assert one(spark, year, "int", lambda c: bucket(c, 10)) == decade
 
 
-def test_bucket_below_the_int_range_is_null_not_an_error(spark):
-    assert one(spark, -2147483648, "int", lambda c: bucket(c, 10)) is None
+def test_bucket_below_the_int_range(spark):
+    assert one(spark, -2147483648, "int", lambda c: bucket(c, 10, True)) == -2147483650
+
+
+@pytest.mark.parametrize("value", [0, 9, -1, 3_000_000_005, -6_000_000_005, 2**62 + 7, 2**63 - 1])
+def test_bucket_of_large_whole_numbers_is_exact(spark, value):
+    assert one(spark, value, "bigint", lambda c: bucket(c, 10, True)) == value // 10 * 10
+
+
+def test_bucket_beyond_64_bits_is_null(spark):
+    assert one(spark, -(2**63), "bigint", lambda c: bucket(c, 10, True)) is None
+    assert one(spark, 1e300, "double", lambda c: bucket(c, 10)) is None
 
 
 @pytest.mark.parametrize(

@@ -91,6 +91,40 @@ def test_year_stats_against_python(spark, seed):
     assert row.avg_year == pytest.approx(sum(years) / len(years))
 
 
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "bigint"])
+def test_year_stats_of_other_whole_numbers(spark, kind):
+    rnd = random.Random(kind)
+    top = {"tinyint": 2**7, "smallint": 2**15, "bigint": 2**63}[kind]
+    values = [rnd.randint(-top, top - 1) for _ in range(301)] + [-top, top - 1, 0, -1]
+    df = spark.createDataFrame([(v,) for v in values], "year bigint").selectExpr(f"cast(year as {kind}) as year")
+    row = st.year_stats(df).first()
+    assert row.median_year == py.median_low(values)
+    assert row.avg_year == pytest.approx(sum(values) / len(values), rel=1e-9, abs=top * 1e-9)
+
+
+def test_fractions_have_a_mean_and_no_exact_median(spark):
+    df = spark.createDataFrame([(0.5,), (1.5,), (2.5,), (None,)], "v double")
+    assert st.mean(df, "v").first().avg_v == 1.5
+    assert st.mean(df.limit(0), "v").first().avg_v is None
+    for kind in ("double", "float", "decimal(10,2)"):
+        with pytest.raises(TypeError, match="whole numbers"):
+            st.year_stats(df.selectExpr(f"cast(v as {kind}) as v"), "v")
+
+
+def test_buckets_of_wide_columns_are_not_merged(spark):
+    wide = spark.createDataFrame([(3_000_000_005,), (6_000_000_005,), (None,)], "v bigint")
+    for df in (wide, wide.selectExpr("cast(v as double) as v")):
+        rows = groups.bucket_counts(df, "v", 10, "edge")
+        assert [tuple(r) for r in rows.collect()] == [(3_000_000_000, 1), (6_000_000_000, 1)]
+        assert rows.dtypes[0] == ("edge", "bigint")
+    assert groups.bucket_counts(wide.selectExpr("cast(1953 as int) as v"), "v").dtypes[0] == ("decade", "int")
+
+
+def test_null_profile_of_names_with_dots(spark):
+    df = spark.createDataFrame([(1, None), (None, None)], "`a.b` int, `c``d` int")
+    assert [(r.column, r.nulls) for r in profile.null_profile(df).collect()] == [("a.b", 1), ("c`d", 2)]
+
+
 def test_approx_median_keeps_its_rank_bound(spark):
     df = spark.range(0, 20_000, 1, 7).select((F.hash("id") % 5000).cast("int").alias("year"))
     row = st.approx_median_check(df).first()

@@ -7,7 +7,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from cadastra.plans.catalog import QUERIES
+from cadastra.plans.oracles import ORACLES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -30,13 +31,13 @@ def _canonical(names, rows):
 
 
 def test_every_query_has_sql():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, sql, name):
-    result = entry.queries()[name](spark, SF_DIR)
-    expected = sql.execute(entry.oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = sql.execute(ORACLES[name])
     names = [d[0] for d in expected.description]
     assert sorted(result.columns) == sorted(names)
     want = _canonical(names, expected.fetchall())

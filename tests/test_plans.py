@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import pytest
 
-import __spark_entry__ as entry
 from cadastra.operators import cleaning, groups, profile, statistics, topk
+from cadastra.plans.catalog import QUERIES
 from cadastra.plans.houses import houses
 from cadastra.schema import CLEAN_COLUMNS, RAW_COLUMNS
 from cadastra.sources import parquet
@@ -77,8 +77,8 @@ def test_clean_is_one_stage(stored, plan):
     assert "Exchange" not in plan(cleaning.clean(raw))
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_any_plan(spark, plan, name):
-    text = plan(entry.queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     assert "Python" not in text and "Pandas" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from cadastra import scratch
 from cadastra.operators import cleaning, groups, profile
 from cadastra.plans import workflow
 from cadastra.plans.houses import houses, raw_houses
-from cadastra.schema import CLEAN
-from cadastra.sources import csv_files, parquet, tables
+from cadastra.schema import CLEAN, RAW_COLUMNS
+from cadastra.sources import csv_files, jdbc, parquet, tables
 from cadastra.sources.jdbc import JdbcTarget, query_jdbc, read_jdbc, write_jdbc
 
 SF = "/root/testdata/sf0.001"
@@ -201,3 +203,45 @@ def test_whole_run(spark, tmp_path):
     decades = spark.read.parquet(stored["by_decade"])
     assert sorted(decades.collect()) == sorted(groups.bucket_counts(houses(spark, SF)).collect())
     assert spark.read.parquet(stored["topk_report"]).count() == 25
+    report = spark.read.parquet(stored["prepare_report"]).first().asDict()
+    assert report == {"total_rows": 1500, "corrupt_rows": 0, "empty_rows": 0, "overflowing_ids": 0}
+    direct = {"area_series": groups.range_series, "decade_series": groups.decade_series}
+    for name, operator in direct.items():
+        got = sorted(map(repr, spark.read.parquet(stored[name]).collect()))
+        assert got == sorted(map(repr, operator(houses(spark, SF)).collect()))
+
+
+def test_results_that_follow_from_others_do_not_scan_the_table(spark, tmp_path, capsys):
+    path = str(tmp_path / "houses")
+    parquet.write_clean(houses(spark, SF), path)
+    table = parquet.read_clean(spark, path)
+    for name, result in (("ranges", groups.value_ranges(table)), ("decades", groups.bucket_counts(table))):
+        result.write.parquet(str(tmp_path / name))
+    stored = {name: spark.read.parquet(str(tmp_path / name)) for name in ("ranges", "decades")}
+    groups.range_series(table, ranges=stored["ranges"]).explain("formatted")
+    groups.decade_series(table, stored["decades"]).explain("formatted")
+    assert "/houses" not in capsys.readouterr().out
+
+
+def test_prepare_counts_ids_that_do_not_fit(spark, tmp_path):
+    ids = ["1", "3000000000", "-3000000000.0", " 2147483648 ", "x", None, "1e99"]
+    rows = [(i, "1", "1", "1990.0", "5", "1", "R", "C", "A", "D", None if i else "bad") for i in ids]
+    raw = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in [*RAW_COLUMNS, "_corrupt_record"]))
+    prepared = workflow.prepare(raw, str(tmp_path / "out"))
+    assert tuple(prepared.report.first()) == (7, 1, 0, 3)
+    assert parquet.read_clean(spark, str(tmp_path / "out")).count() == 1
+
+
+def test_password_is_not_printed():
+    target = jdbc.JdbcTarget("jdbc:x", "t", "u", "secret-word")
+    settings = workflow.RunSettings("in", "out", external=target)
+    assert "secret-word" not in repr(target) + repr(settings)
+
+
+def test_scratch_folders_are_deleted_at_the_end(spark, tmp_path):
+    with scratch.cleared(spark) as paths:
+        scratch.written(spark.range(5), "a")
+        scratch.written(spark.range(6), "b").write.parquet(str(tmp_path / "kept"))
+    folders = [p.removeprefix("file:") for p in paths]
+    assert len(folders) == 2 and not any(os.path.exists(f) for f in folders)
+    assert spark.read.parquet(str(tmp_path / "kept")).count() == 6
