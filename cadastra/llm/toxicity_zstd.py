@@ -34,10 +34,11 @@ MAX_CHARS = 50_000
 #: Words in a window.
 WINDOW = 12
 #: Bytes of the dictionaries, and windows they are trained on, at most.
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 4_096
+ORDINARY_BYTES, TOXIC_BYTES = 32_768, 2_048
 TRAINING_WINDOWS = 40_000
-#: Letters of a typical sequence, and the least z-score and count of documents that make it typical.
-GRAM, TYPICAL_Z, TYPICAL_DOCS = 5, 7.0, 4
+#: Letters of a typical sequence. It is typical if at least so many toxic documents hold it, so many times the share of
+#: ordinary ones, with a difference of so many standard errors, and so many per root of the toxic documents.
+GRAM, TYPICAL_DOCS, TYPICAL_RATIO, TYPICAL_Z, TYPICAL_EFFECT = 5, 4, 3.0, 6.0, 0.25
 #: Least bytes for zstandard to train a dictionary from.
 _LEAST_TRAINING = 4_096
 _STEPS = range(1, 9)
@@ -65,10 +66,12 @@ def typical_grams(toxic: list[str], ordinary: list[str]) -> set[str]:
         for text in texts:
             counts.update(_document_grams(text))
     found, sizes = set(), (len(toxic), len(ordinary))
+    least = max(TYPICAL_Z, TYPICAL_EFFECT * np.sqrt(len(toxic)))
     for gram, count in own.items():
         rate = (count + other[gram]) / sum(sizes)
         spread = np.sqrt(rate * (1 - rate) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
-        if count >= TYPICAL_DOCS and (count / sizes[0] - other[gram] / sizes[1]) / spread >= TYPICAL_Z:
+        apart = (count / sizes[0] - other[gram] / sizes[1]) / spread >= least
+        if count >= TYPICAL_DOCS and apart and count / sizes[0] >= TYPICAL_RATIO * other[gram] / sizes[1]:
             found.add(gram)
     return found
 
@@ -114,9 +117,11 @@ class Dictionaries:
 def _statistics(gain: np.ndarray) -> list[float]:
     n, reached = len(gain), [int((gain >= k).sum()) for k in _STEPS]
     total = float(np.clip(gain, -2, 12).sum())
+    root = float(np.sqrt(n))
     return [
-        *(r / n for r in reached), *(min(6, r) / 6 for r in reached[2:]),
-        total / n, max(-2, min(10, int(gain.max()))), float(np.log(n)), total / float(np.sqrt(n)),
+        *(r / n for r in reached), *(r / root for r in reached), *(float(np.log1p(r)) for r in reached),
+        *(min(6, r) / 6 for r in reached[2:]),
+        total / n, total / root, root, float(np.log(n)), max(-2, min(10, int(gain.max()))),
     ]
 
 
