@@ -88,6 +88,8 @@ class SeedIndex:
 
     def keep_rare(self, frequency: np.ndarray) -> None:
         """Drop the seeds that are common; frequency: documents that hold each of `seeds`."""
+        if not len(self.seeds):
+            return
         spread = np.repeat(frequency, self.last - self.first)
         code = np.repeat(self.seeds, self.last - self.first)
         by_item = np.argsort(self.owner, kind="stable")
@@ -152,7 +154,7 @@ class SeedIndex:
                     del held[seeds[first]]
                 first += 1
             if len(held) >= self.need[item]:
-                start, end = max(0, int(spots[last]) + NGRAM - reach - length), int(spots[first]) + reach + length
+                start, end = max(0, int(spots[last]) - reach - length), int(spots[first]) + reach + length
                 if stretch and start <= stretch[1]:
                     stretch = (stretch[0], max(stretch[1], end))
                 else:

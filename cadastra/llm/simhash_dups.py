@@ -244,7 +244,7 @@ def linked_prints(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS)
 
 def printed(docs: DataFrame, shingle: int, text: str = "text", keep_text: bool = True) -> DataFrame:
     """`docs` with the fingerprint as `_print`, computed once and stored."""
-    rest = [c for c in docs.columns if c not in ("fingerprint", "component_id") and (keep_text or c != text)]
+    rest = [c for c in docs.columns if c != "_print" and (keep_text or c != text)]
     return written(docs.select(*rest, fingerprint(F.col(text), shingle).alias("_print")), "prints")
 
 
@@ -261,7 +261,8 @@ def components(rows: DataFrame, max_bits: int, doc_id: str = "doc_id", leaf_rows
     rooted = _rooted(rows, max_bits, doc_id, leaf_rows)
     roots = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     members = written(rooted.join(roots, "root").select(F.col("print").alias("_print"), "component_id"), "members")
-    return rows.join(members, "_print").withColumn("fingerprint", hexadecimal(F.col("_print"))).drop("_print")
+    joined = rows.drop("fingerprint", "component_id").join(members, "_print")
+    return joined.withColumn("fingerprint", hexadecimal(F.col("_print"))).drop("_print")
 
 
 def near_duplicates(
