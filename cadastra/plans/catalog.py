@@ -56,7 +56,7 @@ def ingest_csv_split(spark, sf_dir):
 
 
 def ingest_csv_stitched(spark, sf_dir):
-    """Every record spans lines, so the line check has each file read by one task."""
+    """Every record spans lines, which are brought together in the tasks that read them."""
     return _comparable(_through_csv(raw_houses(spark, sf_dir), {"split_above": 0}))
 
 

@@ -2,9 +2,9 @@
 
 Every file is bound by its own header, and gives the same rows whatever its size and
 wherever splits begin. Spark reads a multi-line CSV file in one task. With
-`layout="auto"` large files whose records keep to one line are read in splits instead
-(see `csv_lines`). The rest are read by one task each, named in the log, and spread over
-the cluster right after the parse.
+`layout="auto"` large files are read in splits instead, by lines where records keep to
+one line (see `csv_lines`), else by records (see `csv_records`). The rest are read by one
+task each, named in the log, and spread over the cluster right after the parse.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
-from cadastra.sources import csv_lines
+from cadastra.sources import csv_lines, csv_records
 
 # Smaller files are read whole without a look at their lines; the rows are the same.
 SPLIT_ABOVE = 128 * 1024 * 1024
@@ -49,15 +49,17 @@ def _header_names(line: str) -> list[str] | None:
     return next(csv.reader([line.removesuffix("\r")]), [])
 
 
-def _by_header(spark: SparkSession, paths: Paths, options: dict) -> list[tuple[Paths, list[str]]]:
-    """The files with the same header, and its names, for each header.
+def _by_header(
+    spark: SparkSession, paths: Paths, options: dict
+) -> list[tuple[Paths, list[str], bool]]:
+    """The files with the same header, its names, and whether it is one line, for each header.
 
     Headers are compared on the cluster; where all files have the same one, as they
     mostly do, no list of files is made.
     """
     encoding = options["encoding"]
     if encoding not in csv_lines.MARKS:
-        return [(paths, spark.read.csv(paths, **options, header=True).columns)]
+        return [(paths, spark.read.csv(paths, **options, header=True).columns, False)]
     first = csv_lines.first_lines(spark, paths, encoding)
     lines = [bytes(row[0]) for row in first.select("bytes").distinct().collect()]
     if len(lines) <= 1:
@@ -69,25 +71,31 @@ def _by_header(spark: SparkSession, paths: Paths, options: dict) -> list[tuple[P
     found = []
     for group, line in groups:
         names = _header_names(line.decode(encoding, "replace"))
-        if names is None:
+        one_line = names is not None
+        if not one_line:
             names = spark.read.csv(group, **options, header=True).columns
-        found.append((group, names))
+        found.append((group, _own_names(group, names), one_line))
     return found
 
 
+def _own_names(paths: Paths, names: list[str]) -> list[str]:
+    """The names of a file's columns; those of no interest get names that cannot clash."""
+    if not names:
+        return RAW_COLUMNS  # an empty file
+    if missing := set(RAW_COLUMNS) - set(names):
+        raise ValueError(f"columns missing in {paths}: {sorted(missing)}")
+    known = set(RAW_COLUMNS)
+    return [n if n in known and n not in names[:i] else f"_{i}" for i, n in enumerate(names)]
+
+
 def _read(spark: SparkSession, paths: Paths, header: bool, options: dict) -> DataFrame:
     """All-text rows, columns bound by each file's header, or by position without one."""
-    groups = _by_header(spark, paths, options) if header else [(paths, RAW_COLUMNS)]
+    groups = _by_header(spark, paths, options) if header else [(paths, RAW_COLUMNS, True)]
     parts = []
-    for group, names in groups:
-        if missing := set(RAW_COLUMNS) - set(names):
-            if names:
-                raise ValueError(f"columns missing in {group}: {sorted(missing)}")
-            names = RAW_COLUMNS  # an empty file
-        # Columns of no interest get names of their own, which cannot clash.
-        own = [n if n in RAW_COLUMNS and n not in names[:i] else f"_{i}" for i, n in enumerate(names)]
+    for group, names, _ in groups:
         # The schema is that of the header, so the header need not be compared to it.
-        rows = spark.read.schema(text_schema(own)).csv(group, **options, header=header, enforceSchema=True)
+        reader = spark.read.schema(text_schema(names))
+        rows = reader.csv(group, **options, header=header, enforceSchema=True)
         parts.append(rows.select(*RAW_COLUMNS, CORRUPT))
     return reduce(DataFrame.unionByName, parts)
 
@@ -169,11 +177,39 @@ def _large_files(spark: SparkSession, paths: dict[str, str], header: bool, encod
             same = [left.pop(row.uri) for row in profile if row.line_end == end and row.one_line]
             if same:
                 parts.append(_read(spark, same, header, _options(encoding, end)))
+            spanning = [row.uri for row in profile if row.line_end == end and not row.one_line]
+            for uris, rows in _spanning(spark, {u: left[u] for u in spanning}, header, encoding, end):
+                parts.append(rows)
+                for uri in uris:
+                    del left[uri]
     if left:
         parts.append(_one_task_each(spark, list(left.values()), header, _options(encoding, None)))
     return parts
 
 
+def _spanning(
+    spark: SparkSession, paths: dict[str, str], header: bool, encoding: str, end: str
+) -> list[tuple[list[str], DataFrame]]:
+    """The files, and their rows, whose records span lines and are all well formed."""
+    if not paths:
+        return []
+    found = csv_records.records(spark, list(paths.values()), encoding, end)
+    fit = [] if found is None else csv_records.well_formed(found)
+    if not fit:
+        return []
+    whole = _options(encoding, None)
+    files = [paths[uri] for uri in fit]
+    groups = _by_header(spark, files, whole) if header else [(files, RAW_COLUMNS, True)]
+    uris = {path: uri for uri, path in paths.items()}
+    parts = []
+    for group, names, one_line in groups:
+        if one_line:
+            again = csv_records.records(spark, group, encoding, end)
+            rows = csv_records.parsed(again, names, header, whole).select(*RAW_COLUMNS, CORRUPT)
+            parts.append(([uris[path] for path in group], rows))
+    return parts
+
+
 def write_raw(
     df: DataFrame,
     path: str,

@@ -1,0 +1,135 @@
+"""Records that span lines, read in splits of large files.
+
+Whether a split starts inside quotes follows from the number of quotes before it. A
+narrow pass counts them by split, and the few numbers of a file are summed in order.
+Then each task walks through its lines in file order, from the state its split starts
+in, and hands on whole records; only the pieces of records that cross the edge of a
+split are shuffled. The text itself is neither shuffled nor stored.
+
+This is right for files whose every record is well formed, which is checked on the
+records before a file is read so.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from cadastra.schema import text_schema
+
+# Splits whose state every task is told, at most; beyond it files are read by one task
+# each. At the usual 128 MB these are 64 TB of records that span lines.
+MOST_SPLITS = 500_000
+
+_MARK = "\ufeff"
+# A field is quoted from end to end or has no quote at all, and no line end outside quotes.
+_FIELD = r'(?:"[^"]*+(?:""[^"]*+)*+"|[^",\r\n]*+)'
+_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+\z"
+
+
+def _lines(spark: SparkSession, paths: list[str], encoding: str, line_end: str) -> DataFrame:
+    """Lines without their ends, in file order within a task, with file and split."""
+    files = spark.read.option("encoding", encoding).option("lineSep", "\n").text(paths)
+    text = F.decode(F.col("value").cast("binary"), encoding)
+    if line_end == "\r\n":
+        text = F.when(F.endswith(text, F.lit("\r")), F.left(text, F.length(text) - 1)).otherwise(text)
+    return files.select(
+        F.col("_metadata.file_path").alias("uri"),
+        F.col("_metadata.file_block_start").alias("split"),
+        text.alias("text"),
+    )
+
+
+def _states(lines: DataFrame) -> DataFrame:
+    """(uri, split, inside): whether a split starts within quotes, by the quotes before it."""
+    quotes = F.length("text") - F.length(F.replace("text", F.lit('"')))
+    splits = lines.groupBy("uri", "split").agg((F.sum(quotes) % 2).alias("odd"))
+    earlier = W.partitionBy("uri").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    inside = F.coalesce(F.sum("odd").over(earlier) % 2, F.lit(0)) == 1
+    return splits.select("uri", "split", inside.alias("inside"))
+
+
+def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Lines in order to records. `part` is NULL for a whole one, else where it is cut: 0
+    starts before the split, 1 goes on after it, 2 does both. `leading` marks the first
+    record of a file."""
+    place, inside, leading, held, cut = None, False, False, [], False
+
+    def leave() -> list[tuple]:
+        return [(*place, 2 if cut else 1, leading, "\n".join(held))] if held else []
+
+    for batch in batches:
+        out: list[tuple] = []
+        uri, split = batch["uri"].to_numpy(), batch["split"].to_numpy()
+        text = batch["text"].to_numpy()
+        odd = np.fromiter((t.count('"') & 1 for t in text), np.int64, len(text))
+        edges = np.flatnonzero((split[1:] != split[:-1]) | (uri[1:] != uri[:-1])) + 1
+        for start, end in zip([0, *edges], [*edges, len(text)], strict=True):
+            here = (uri[start], int(split[start]))
+            if here != place:
+                out += leave() if place else []
+                place, inside, held = here, bool(batch["inside"].iloc[start]), []
+                cut, leading = inside, here[1] == 0
+            after = (np.cumsum(odd[start:end]) + inside) % 2
+            first = start
+            for last in np.flatnonzero(after == 0) + start:
+                record = "\n".join([*held, *text[first : last + 1]])
+                out.append((*place, 0 if cut else None, leading, record))
+                held, cut, leading, first = [], False, False, last + 1
+            held.extend(text[first:end])
+            inside = bool(after[-1])
+        yield _frame(out)
+    yield _frame(leave() if place else [])
+
+
+def _frame(rows: list[tuple]) -> pd.DataFrame:
+    frame = pd.DataFrame(rows, columns=["uri", "split", "part", "leading", "text"])
+    return frame.astype({"part": "Int32"})
+
+
+def records(
+    spark: SparkSession, paths: list[str], encoding: str, line_end: str
+) -> DataFrame | None:
+    """(uri, leading, text) of every record, without a byte-order mark; None if the files
+    have too many splits."""
+    lines = _lines(spark, paths, encoding, line_end)
+    states = _states(lines)
+    if states.limit(MOST_SPLITS + 1).count() > MOST_SPLITS:
+        return None
+    known = lines.join(F.broadcast(states), ["uri", "split"])
+    schema = "uri string, split long, part int, leading boolean, text string"
+    walked = known.mapInPandas(_walk, schema)
+    whole = walked.filter("part is null").select("uri", "leading", "text")
+    # A record that is cut starts with a piece 1; what follows in the file belongs to it.
+    pieces = walked.filter("part is not null")
+    so_far = W.partitionBy("uri").orderBy("split", "part")
+    so_far = so_far.rowsBetween(W.unboundedPreceding, 0)
+    started = pieces.withColumn("record", F.sum((F.col("part") == 1).cast("int")).over(so_far))
+    ordered = F.array_sort(F.collect_list(F.struct("split", "part", "text")))
+    crossing = started.groupBy("uri", "record").agg(
+        F.bool_or("leading").alias("leading"),
+        F.array_join(F.transform(ordered, lambda piece: piece["text"]), "\n").alias("text"),
+    )
+    found = whole.union(crossing.select("uri", "leading", "text"))
+    bare = F.when(F.col("leading") & F.startswith("text", F.lit(_MARK)), F.expr("substring(text, 2)"))
+    return found.withColumn("text", F.coalesce(bare, "text"))
+
+
+def well_formed(found: DataFrame) -> list[str]:
+    """The files of which every record is well formed."""
+    fit = found.groupBy("uri").agg(F.bool_and(F.col("text").rlike(_RECORD)).alias("fit"))
+    return [row.uri for row in fit.filter("fit").select("uri").collect()]
+
+
+def parsed(found: DataFrame, names: list[str], header: bool, options: dict) -> DataFrame:
+    """The rows of the records, each parsed by itself, without the header of each file."""
+    if header:
+        found = found.filter(~F.col("leading"))
+    parsing = {k: v for k, v in options.items() if k not in ("encoding", "multiLine")}
+    row = F.from_csv("text", text_schema(names).toDDL(), parsing)
+    return found.filter(F.col("text") != "").select(row.alias("row")).select("row.*")
