@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from uuid import uuid4
 
@@ -198,6 +199,15 @@ def _loaded(spark, sf_dir, loads: int = 1) -> tuple[DataFrame, str]:
     return report, database
 
 
+def drop_loaded(spark: SparkSession) -> list[str]:
+    """Drop the databases that these queries made, once their results are no longer read."""
+    made = [d.name for d in spark.catalog.listDatabases("registry_*")]
+    made = [name for name in made if re.fullmatch("registry_[0-9a-f]{32}", name)]
+    for name in made:
+        spark.sql("DROP DATABASE IDENTIFIER(:db) CASCADE", args={"db": name})
+    return made
+
+
 def load_table(spark, sf_dir):
     """Loaded twice: the second load replaces the first."""
     _, database = _loaded(spark, sf_dir, loads=2)

@@ -8,7 +8,7 @@ import pytest
 
 from cadastra import scratch
 from cadastra.operators import cleaning, groups, profile
-from cadastra.plans import workflow
+from cadastra.plans import catalog, workflow
 from cadastra.plans.houses import houses, raw_houses
 from cadastra.schema import CLEAN, RAW_COLUMNS
 from cadastra.sources import csv_files, jdbc, parquet, tables
@@ -232,6 +232,15 @@ def test_prepare_counts_ids_that_do_not_fit(spark, tmp_path):
     assert parquet.read_clean(spark, str(tmp_path / "out")).count() == 1
 
 
+def test_databases_of_queries_can_be_dropped(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS registry_of_others")
+    catalog.load_reconcile(spark, SF).collect()
+    made = catalog.drop_loaded(spark)
+    left = {d.name for d in spark.catalog.listDatabases()}
+    assert made and not left & set(made) and "registry_of_others" in left
+    spark.sql("DROP DATABASE registry_of_others")
+
+
 def test_password_is_not_printed():
     target = jdbc.JdbcTarget("jdbc:x", "t", "u", "secret-word")
     settings = workflow.RunSettings("in", "out", external=target)
