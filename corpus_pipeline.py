@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cadastra.llm import bpe, decontaminate, queries, simhash_dups
-from cadastra.scratch import written
+from cadastra.scratch import cleared, delete, new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -55,8 +55,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table `documents`."""
-    docs = queries.table(spark, sf_dir, "documents")
+    """All stages over the table `documents`; the folder of the last one is the caller's to delete."""
+    docs, before = queries.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = new_folder(spark, f"stage-{name}")
+        with cleared(spark):  # what a stage stored on its way goes when its result is there
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs

@@ -1,0 +1,56 @@
+"""The queries that SQL can express against their SQL; the others by their columns and row counts."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+from cadastra.llm.oracles import ORACLES
+from cadastra.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
+TABLES = ("documents", "embeddings", "pages", "benchmark", "labels")
+#: Columns of each query's contract, and the table that it has a row for each row of.
+CONTRACTS = {
+    "op1_quality_fm": ("documents", ["doc_id", "held_out", "score", "predicted"]),
+    "op3_toxicity_zstd": ("documents", ["doc_id", "held_out", "score", "predicted"]),
+    "op4_shards": ("documents", ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]),
+    "op5_html_text": ("pages", ["page_id", "url", "text", "n_chars"]),
+    "op6_bpe": ("documents", ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]),
+    "op7_warc": ("pages", ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]),
+    "op8_embedding_dups": ("embeddings", ["vec_id", "n_links", "component_id", "kept"]),
+    "op9_simhash": ("documents", ["doc_id", "fingerprint", "component_id"]),
+}
+
+
+def rows(names, found):
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return sorted((tuple(r[i] for i in order) for r in found), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, name):
+    con = duckdb.connect()
+    for table in TABLES:
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    expected = con.execute(ORACLES[name])
+    names = [d[0] for d in expected.description]
+    got = QUERIES[name](spark, SF)
+    assert sorted(got.columns) == sorted(names)
+    assert rows(got.columns, map(tuple, got.collect())) == rows(names, expected.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(CONTRACTS))
+def test_contract(spark, name):
+    table, columns = CONTRACTS[name]
+    got = QUERIES[name](spark, SF)
+    assert got.columns[: len(columns)] == columns
+    assert got.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+def test_exact_benchmark_passages_are_found_and_nothing_else(spark):
+    found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op2_decontaminate"](spark, SF).collect()}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    exact = {(d["doc_id"], i["item_id"]) for d in docs for i in items if i["text"] in d["text"]}
+    assert exact and exact <= found and len(found - exact) <= 2
