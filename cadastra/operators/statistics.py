@@ -49,9 +49,11 @@ def year_stats(df: DataFrame, column: str = "year") -> DataFrame:
                 F.sum("block_n").over(everything).alias("total"),
                 F.sum("block_sum").over(everything).alias("total_sum"),
             )
-        else:
+        elif shift:
             carried = [F.max(c).alias(c) for c in ("before", "total", "total_sum")]
             ranked = blocks.agg(F.sum("n").alias("block_n"), *carried)
+        else:  # each block is one value, and has one row already
+            ranked = rest.withColumnRenamed("n", "block_n")
         half = F.col("total") / 2
         # Exactly one block holds the middle row, so one row is broadcast.
         found = (
@@ -64,7 +66,7 @@ def year_stats(df: DataFrame, column: str = "year") -> DataFrame:
         # counts from sharing one shuffle.
         rest = rest.select("value", "n", "high").join(
             F.broadcast(found), F.col("high").eqNullSafe(F.col("middle"))
-        )
+        ).drop("middle")
     return found.agg(
         (F.max("total_sum") / F.max("total")).alias(f"avg_{column}"),
         F.max("middle").cast(kept).alias(f"median_{column}"),

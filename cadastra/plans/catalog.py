@@ -58,7 +58,9 @@ def ingest_csv_split(spark, sf_dir):
 
 def ingest_csv_stitched(spark, sf_dir):
     """Every record spans lines, which are brought together in the tasks that read them."""
-    return _comparable(_through_csv(raw_houses(spark, sf_dir), {"split_above": 0}))
+    return _comparable(
+        _through_csv(raw_houses(spark, sf_dir), {"split_above": 0, "span_above": 0})
+    )
 
 
 def ingest_csv_mixed_headers(spark, sf_dir):

@@ -21,6 +21,9 @@ from cadastra.sources import csv_lines, csv_records
 
 # Smaller files are read whole without a look at their lines; the rows are the same.
 SPLIT_ABOVE = 128 * 1024 * 1024
+# Reading records that span lines in splits costs several passes and a parse record by
+# record, which pay where one task would be busy for minutes; the rows are the same.
+SPAN_ABOVE = 4 * 1024 * 1024 * 1024
 
 log = logging.getLogger(__name__)
 
@@ -55,11 +58,13 @@ def _by_header(
     """The files with the same header, its names, and whether it is one line, for each header.
 
     Headers are compared on the cluster; where all files have the same one, as they
-    mostly do, no list of files is made.
+    mostly do, no list of files is made. A single file is asked for its header alone.
     """
     encoding = options["encoding"]
-    if encoding not in csv_lines.MARKS:
-        return [(paths, spark.read.csv(paths, **options, header=True).columns, False)]
+    if encoding not in csv_lines.MARKS or len(_listed(spark, paths).select("path").take(2)) < 2:
+        names = spark.read.csv(paths, **options, header=True).columns
+        # A name that spans lines would show as one with a line feed in it.
+        return [(paths, _own_names(paths, names), not any("\n" in n for n in names))]
     first = csv_lines.first_lines(spark, paths, encoding)
     lines = [bytes(row[0]) for row in first.select("bytes").distinct().collect()]
     if len(lines) <= 1:
@@ -121,6 +126,7 @@ def read_raw(
     encoding: str = "UTF-16LE",
     layout: str = "auto",
     split_above: int = SPLIT_ABOVE,
+    span_above: int = SPAN_ABOVE,
 ) -> DataFrame:
     """Registry rows as text, in documented column order, with `_corrupt_record`.
 
@@ -151,7 +157,8 @@ def read_raw(
     parts = []
     if "large" in kinds:
         large = files.filter(F.col("kind") == "large").collect()
-        parts = _large_files(spark, {f.uri: f.path for f in large}, header, encoding)
+        huge = {f.uri for f in large if f.length > span_above}
+        parts = _large_files(spark, {f.uri: f.path for f in large}, huge, header, encoding)
     if "packed" in kinds:
         paths = [f.path for f in files.filter(F.col("kind") == "packed").collect()]
         parts.append(_one_task_each(spark, paths, header, whole))
@@ -166,7 +173,9 @@ def _one_task_each(spark: SparkSession, paths: list[str], header: bool, options:
     return _read(spark, paths, header, options).hint("rebalance")
 
 
-def _large_files(spark: SparkSession, paths: dict[str, str], header: bool, encoding: str) -> list[DataFrame]:
+def _large_files(
+    spark: SparkSession, paths: dict[str, str], huge: set[str], header: bool, encoding: str
+) -> list[DataFrame]:
     """One read per kind of large file; `paths` has the path of each uri."""
     left, parts = dict(paths), []
     if encoding in csv_lines.MARKS:
@@ -178,6 +187,7 @@ def _large_files(spark: SparkSession, paths: dict[str, str], header: bool, encod
             if same:
                 parts.append(_read(spark, same, header, _options(encoding, end)))
             spanning = [row.uri for row in profile if row.line_end == end and not row.one_line]
+            spanning = [uri for uri in spanning if uri in huge]
             for uris, rows in _spanning(spark, {u: left[u] for u in spanning}, header, encoding, end):
                 parts.append(rows)
                 for uri in uris:
@@ -193,8 +203,11 @@ def _spanning(
     """The files, and their rows, whose records span lines and are all well formed."""
     if not paths:
         return []
-    found = csv_records.records(spark, list(paths.values()), encoding, end)
-    fit = [] if found is None else csv_records.well_formed(found)
+    states = csv_records.split_states(spark, list(paths.values()), encoding, end)
+    if states is None:
+        return []
+    found = csv_records.records(spark, list(paths.values()), encoding, end, states)
+    fit = csv_records.well_formed(found, list(paths))
     if not fit:
         return []
     whole = _options(encoding, None)
@@ -204,7 +217,7 @@ def _spanning(
     parts = []
     for group, names, one_line in groups:
         if one_line:
-            again = csv_records.records(spark, group, encoding, end)
+            again = csv_records.records(spark, group, encoding, end, states)
             rows = csv_records.parsed(again, names, header, whole).select(*RAW_COLUMNS, CORRUPT)
             parts.append(([uris[path] for path in group], rows))
     return parts

@@ -46,9 +46,13 @@ def _mark(encoding: str) -> Column:
 
 
 def first_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
-    """(uri, bytes): the first line of every file, without a byte-order mark."""
+    """(uri, bytes): the first line of every file, without a byte-order mark.
+
+    Two narrow passes: the place of each first line, then the lines at these places.
+    """
     lines = _byte_lines(spark, paths, encoding).filter("leading")
-    first = lines.groupBy("uri").agg(F.min_by("bytes", "position").alias("bytes"))
+    places = lines.groupBy("uri").agg(F.min("position").alias("position")).drop("uri")
+    first = lines.join(places, "position")
     size = len(MARKS[encoding]) // 2
     bare = F.when(F.startswith("bytes", _mark(encoding)), F.substring("bytes", size + 1, 1 << 30))
     return first.select("uri", F.coalesce(bare, "bytes").alias("bytes"))
@@ -78,7 +82,6 @@ def line_profile(spark: SparkSession, paths: list[str], encoding: str) -> DataFr
         (F.count_if(body.rlike(_WHOLE)) == total).alias("one_line"),
     )
     marked = _marked_inside(spark, paths, encoding)
-    # A mark in the first line may be that of the file; in any other it is inside.
     return profile.join(marked, "uri", "left").select(
         "uri",
         F.when(~F.coalesce("marked", F.lit(False)), F.col("line_end")).alias("line_end"),
@@ -94,16 +97,16 @@ def _marked_inside(spark: SparkSession, paths: list[str], encoding: str) -> Data
     """
     size = len(MARKS[encoding]) // 2
     mark = _mark(encoding)
-    lines = _byte_lines(spark, paths, encoding).filter(F.contains("bytes", mark))
+    lines = _byte_lines(spark, paths, encoding)
     again = F.contains(F.substring("bytes", size + 1, 1 << 30), mark)
-    starts = F.startswith("bytes", mark) & F.col("leading") & ~again
-    # The first line of a file is the first of its first split; any other is not.
+    has, starts = F.contains("bytes", mark), F.startswith("bytes", mark) & F.col("leading") & ~again
     found = lines.groupBy("uri").agg(
-        F.count_if(~starts).alias("inside"),
+        F.count_if(has).alias("marked_lines"),
         F.count_if(starts).alias("starting"),
         F.min(F.when(starts, F.col("position"))).alias("position"),
+        F.min(F.when(F.col("leading"), F.col("position"))).alias("first"),
     )
-    firsts = _byte_lines(spark, paths, encoding).filter("leading")
-    firsts = firsts.groupBy("uri").agg(F.min("position").alias("first"))
-    clean = (F.col("inside") == 0) & (F.col("starting") == 1) & (F.col("position") == F.col("first"))
-    return found.join(firsts, "uri").select("uri", (~clean).alias("marked"))
+    # The one mark that is not inside opens the first line of the first split.
+    own = (F.col("starting") == 1) & (F.col("position") == F.col("first"))
+    clean = (F.col("marked_lines") == 0) | (F.col("marked_lines") == 1) & F.coalesce(own, F.lit(False))
+    return found.select("uri", (~clean).alias("marked"))

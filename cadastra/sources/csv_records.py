@@ -15,12 +15,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cadastra.schema import text_schema
+from cadastra.scratch import written
 
 # Splits whose state every task is told, at most; beyond it files are read by one task
 # each. At the usual 128 MB these are 64 TB of records that span lines.
@@ -39,91 +41,114 @@ def _lines(spark: SparkSession, paths: list[str], encoding: str, line_end: str)
     if line_end == "\r\n":
         text = F.when(F.endswith(text, F.lit("\r")), F.left(text, F.length(text) - 1)).otherwise(text)
     return files.select(
-        F.col("_metadata.file_path").alias("uri"),
+        F.xxhash64("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("split"),
         text.alias("text"),
     )
 
 
 def _states(lines: DataFrame) -> DataFrame:
-    """(uri, split, inside): whether a split starts within quotes, by the quotes before it."""
+    """(file, split, inside): whether a split starts within quotes, by the quotes before it."""
     quotes = F.length("text") - F.length(F.replace("text", F.lit('"')))
-    splits = lines.groupBy("uri", "split").agg((F.sum(quotes) % 2).alias("odd"))
-    earlier = W.partitionBy("uri").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    splits = lines.groupBy("file", "split").agg((F.sum(quotes) % 2).alias("odd"))
+    earlier = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("odd").over(earlier) % 2, F.lit(0)) == 1
-    return splits.select("uri", "split", inside.alias("inside"))
+    return splits.select("file", "split", inside.alias("inside"))
 
 
-def _walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Lines in order to records. `part` is NULL for a whole one, else where it is cut: 0
     starts before the split, 1 goes on after it, 2 does both. `leading` marks the first
     record of a file."""
     place, inside, leading, held, cut = None, False, False, [], False
+    out: list[tuple] = []
 
-    def leave() -> list[tuple]:
-        return [(*place, 2 if cut else 1, leading, "\n".join(held))] if held else []
+    def leave() -> None:
+        if place and held:
+            out.append((*place, 2 if cut else 1, leading, "\n".join(held)))
 
     for batch in batches:
-        out: list[tuple] = []
-        uri, split = batch["uri"].to_numpy(), batch["split"].to_numpy()
-        text = batch["text"].to_numpy()
-        odd = np.fromiter((t.count('"') & 1 for t in text), np.int64, len(text))
-        edges = np.flatnonzero((split[1:] != split[:-1]) | (uri[1:] != uri[:-1])) + 1
+        files, splits = batch.column("file").to_numpy(), batch.column("split").to_numpy()
+        states, lines = batch.column("inside"), batch.column("text")
+        odd = pc.count_substring(lines, '"').to_numpy() & 1
+        text = lines.to_pylist()
+        edges = np.flatnonzero((splits[1:] != splits[:-1]) | (files[1:] != files[:-1])) + 1
         for start, end in zip([0, *edges], [*edges, len(text)], strict=True):
-            here = (uri[start], int(split[start]))
+            here = (int(files[start]), int(splits[start]))
             if here != place:
-                out += leave() if place else []
-                place, inside, held = here, bool(batch["inside"].iloc[start]), []
+                leave()
+                place, inside, held = here, bool(states[start].as_py()), []
                 cut, leading = inside, here[1] == 0
             after = (np.cumsum(odd[start:end]) + inside) % 2
-            first = start
-            for last in np.flatnonzero(after == 0) + start:
-                record = "\n".join([*held, *text[first : last + 1]])
-                out.append((*place, 0 if cut else None, leading, record))
+            first, found = start, []
+            for last in (np.flatnonzero(after == 0) + start).tolist():
+                record = text[last] if first == last and not held else "\n".join([*held, *text[first : last + 1]])
+                if cut or leading:
+                    out.append((*place, 0 if cut else None, leading, record))
+                else:
+                    found.append(record)
                 held, cut, leading, first = [], False, False, last + 1
             held.extend(text[first:end])
             inside = bool(after[-1])
-        yield _frame(out)
-    yield _frame(leave() if place else [])
+            if found:
+                n = len(found)
+                whole = [[here[0]] * n, [here[1]] * n, [None] * n, [False] * n, found]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(whole, _TYPES, strict=True)], _NAMES)
+        if out:
+            yield _batch(out)
+            out = []
+    leave()
+    if out:
+        yield _batch(out)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["uri", "split", "part", "leading", "text"])
-    return frame.astype({"part": "Int32"})
+_NAMES = ["file", "split", "part", "leading", "text"]
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.string()]
 
 
-def records(
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], _NAMES)
+
+
+def split_states(
     spark: SparkSession, paths: list[str], encoding: str, line_end: str
 ) -> DataFrame | None:
-    """(uri, leading, text) of every record, without a byte-order mark; None if the files
-    have too many splits."""
+    """The state in which each split starts, stored; None if there are too many splits."""
+    states = written(_states(_lines(spark, paths, encoding, line_end)), "splits")
+    return None if states.count() > MOST_SPLITS else states
+
+
+def records(
+    spark: SparkSession, paths: list[str], encoding: str, line_end: str, states: DataFrame
+) -> DataFrame:
+    """(file, leading, text) of every record, without a byte-order mark; `file` is the
+    xxhash64 of its address."""
     lines = _lines(spark, paths, encoding, line_end)
-    states = _states(lines)
-    if states.limit(MOST_SPLITS + 1).count() > MOST_SPLITS:
-        return None
-    known = lines.join(F.broadcast(states), ["uri", "split"])
-    schema = "uri string, split long, part int, leading boolean, text string"
-    walked = known.mapInPandas(_walk, schema)
-    whole = walked.filter("part is null").select("uri", "leading", "text")
+    known = lines.join(F.broadcast(states), ["file", "split"])
+    known = known.select("file", "split", "inside", "text")
+    walked = known.mapInArrow(_walk, "file long, split long, part int, leading boolean, text string")
+    whole = walked.filter("part is null").select("file", "leading", "text")
     # A record that is cut starts with a piece 1; what follows in the file belongs to it.
     pieces = walked.filter("part is not null")
-    so_far = W.partitionBy("uri").orderBy("split", "part")
+    so_far = W.partitionBy("file").orderBy("split", "part")
     so_far = so_far.rowsBetween(W.unboundedPreceding, 0)
     started = pieces.withColumn("record", F.sum((F.col("part") == 1).cast("int")).over(so_far))
     ordered = F.array_sort(F.collect_list(F.struct("split", "part", "text")))
-    crossing = started.groupBy("uri", "record").agg(
+    crossing = started.groupBy("file", "record").agg(
         F.bool_or("leading").alias("leading"),
         F.array_join(F.transform(ordered, lambda piece: piece["text"]), "\n").alias("text"),
     )
-    found = whole.union(crossing.select("uri", "leading", "text"))
+    found = whole.union(crossing.select("file", "leading", "text"))
     bare = F.when(F.col("leading") & F.startswith("text", F.lit(_MARK)), F.expr("substring(text, 2)"))
     return found.withColumn("text", F.coalesce(bare, "text"))
 
 
-def well_formed(found: DataFrame) -> list[str]:
-    """The files of which every record is well formed."""
-    fit = found.groupBy("uri").agg(F.bool_and(F.col("text").rlike(_RECORD)).alias("fit"))
-    return [row.uri for row in fit.filter("fit").select("uri").collect()]
+def well_formed(found: DataFrame, uris: list[str]) -> list[str]:
+    """Those of the files of which every record is well formed."""
+    fit = found.groupBy("file").agg(F.bool_and(F.col("text").rlike(_RECORD)).alias("fit")).filter("fit")
+    names = found.sparkSession.createDataFrame([(uri,) for uri in uris], "uri string")
+    return [row.uri for row in names.join(fit, F.xxhash64("uri") == F.col("file")).select("uri").collect()]
 
 
 def parsed(found: DataFrame, names: list[str], header: bool, options: dict) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators.cleaning import cast_types, clean, read_report
 from cadastra.schema import CORRUPT, RAW_COLUMNS
-from cadastra.sources import csv_files, csv_lines
+from cadastra.sources import csv_files, csv_lines, csv_records
 
 HEADER = ",".join(RAW_COLUMNS)
 BOM = "\ufeff"
@@ -51,7 +51,7 @@ def tiny_splits(spark):
 
 def read(spark, path, layout="multiline", **options):
     layout, _, small = layout.partition(" ")
-    return csv_files.read_raw(spark, path, layout=layout, split_above=2**50 if small else 0, **options)
+    return csv_files.read_raw(spark, path, layout=layout, split_above=2**50 if small else 0, span_above=0, **options)
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -201,6 +201,30 @@ def test_one_line_files_are_read_in_splits(spark, folder, tiny_splits):
     assert sorted(read(spark, path, "lines").collect()) == sorted(split.collect())
 
 
+def test_records_that_span_lines_are_read_in_splits(spark, folder, tiny_splits, capsys):
+    end = "\r\n"
+    body = "".join(f'{i},1,2,1953.0,5,6,R,C,"""A""{end}{end}B","D, ""x"""{end}' for i in range(60))
+    good = f"{HEADER}{end}{body}"
+    path = folder(
+        good=(BOM + good).encode("utf-16-le"),
+        twice=f"{good}{HEADER}{end}".encode("utf-16-le"),  # a row that looks like the header
+        stray=f'{good}61,1,2,3,4,5,R,C,5" pipe,D{end}'.encode("utf-16-le"),
+        unclosed=f'{good}62,1,2,3,4,5,R,C,A,"D{end}'.encode("utf-16-le"),
+    )
+    files = {f.uri: f.path for f in csv_files.file_sizes(spark, path).collect()}
+    states = csv_records.split_states(spark, list(files.values()), "UTF-16LE", end)
+    assert states.count() > 32 and states.filter("inside").count() > 8
+    found = csv_records.records(spark, list(files.values()), "UTF-16LE", end, states)
+    fit = csv_records.well_formed(found, list(files))
+    assert sorted(uri.rpartition("/")[2] for uri in fit) == ["good.csv", "twice.csv"]
+    found.explain()
+    plan = capsys.readouterr().out
+    whole = plan[plan.index("Union") : plan.index("SortAggregate") if "SortAggregate" in plan else None]
+    assert "Exchange hashpartitioning" not in whole.split("HashAggregate")[0].split("ObjectHash")[0]
+    rows = [sorted(map(repr, read(spark, path, layout).collect())) for layout in LAYOUTS]
+    assert rows[0] == rows[1] == rows[2]
+
+
 def _messy_file(rnd: random.Random, header: bool, encoding: str) -> bytes:
     mess = rnd.choice([0, 1, 1, 2, 3])
     end = rnd.choice(["\n", "\r\n"])

@@ -82,5 +82,5 @@ def test_no_python_in_any_plan(spark, plan, name):
     text = plan(QUERIES[name](spark, SF))
     # Records that span lines are brought together in Arrow batches.
     if name != "ingest_csv_stitched":
-        assert "Python" not in text and "Pandas" not in text
+        assert "Python" not in text and "Pandas" not in text and "MapInArrow" not in text
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
