@@ -7,6 +7,9 @@ dictionary alone and with both, the ordinary part at the same distance, so the t
 where toxic material was found. Every window of a text is compared, and how many windows
 reach which difference is turned into a probability by thresholds calibrated on labelled documents.
 
+Near copies in the sample count as one document when typical sequences are looked for, else the words of a
+much repeated toxic document would all seem typical.
+
 Fitting uses a bounded sample of labelled documents (`PER_CLASS`, `MAX_CHARS`); scoring reads whole texts.
 
 Cases: a null or empty text has no window and gets the score of one window without a difference. Texts of
@@ -17,6 +20,7 @@ neither dropped nor merged; other columns stay, but a column `score` is replaced
 from __future__ import annotations
 
 import random
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,8 +41,12 @@ WINDOW = 12
 ORDINARY_BYTES, TOXIC_BYTES = 32_768, 2_048
 TRAINING_WINDOWS = 40_000
 #: Letters of a typical sequence. It is typical if at least so many toxic documents hold it, so many times the share of
-#: ordinary ones, with a difference of so many standard errors, and so many per root of the toxic documents.
-GRAM, TYPICAL_DOCS, TYPICAL_RATIO, TYPICAL_Z, TYPICAL_EFFECT = 5, 4, 3.0, 6.0, 0.25
+#: ordinary ones, with a difference of so many standard errors; near copies count as one document. More labels of
+#: the same kind only raise the standard errors that a sequence reaches, so they never take one out.
+GRAM, TYPICAL_DOCS, TYPICAL_RATIO, TYPICAL_Z = 5, 4, 3.0, 6.0
+#: Near copies share at least this part of their rows of so many words. They are looked for among texts that agree in
+#: one of some bands of least hashes.
+COPY_WORDS, COPY_SHARE, BANDS, BAND_HASHES = 3, 0.5, 24, 4
 #: Least bytes for zstandard to train a dictionary from.
 _LEAST_TRAINING = 4_096
 _STEPS = range(1, 9)
@@ -59,14 +67,50 @@ def _document_grams(text: str) -> set[str]:
     return set().union(*map(_grams, set(text.lower().split())))
 
 
+def _rows_of_words(text: str) -> frozenset[str]:
+    words = text.lower().split()
+    return frozenset(" ".join(words[i : i + COPY_WORDS]) for i in range(max(min(1, len(words)), len(words) - COPY_WORDS + 1)))
+
+
+def copy_groups(texts: list[str]) -> list[list[str]]:
+    """The texts, near copies together: whatever is in one of them is in most, so they are one witness."""
+    held = [_rows_of_words(text) for text in texts]
+    draw = np.random.default_rng(0)
+    factor, shift = draw.integers(1, 1 << 63, (2, BANDS * BAND_HASHES, 1), dtype=np.uint64)
+    factor |= np.uint64(1)
+    root, first = list(range(len(texts))), {}
+
+    def top(at: int) -> int:
+        while root[at] != at:
+            root[at] = at = root[root[at]]
+        return at
+
+    for at, rows in enumerate(held):
+        if not rows:
+            continue
+        codes = np.fromiter((zlib.crc32(r.encode("utf-8", "replace")) for r in rows), np.uint64, len(rows))
+        parts = np.split(codes, range(512, len(codes), 512))
+        least = np.min([((part * factor + shift) >> np.uint64(20)).min(axis=1) for part in parts], axis=0)
+        for band, key in enumerate(least.reshape(BANDS, BAND_HASHES)):
+            other = first.setdefault((band, key.tobytes()), at)
+            if top(other) != top(at) and len(rows & held[other]) >= COPY_SHARE * len(rows | held[other]):
+                root[top(at)] = top(other)
+    groups: dict[int, list[str]] = {}
+    for at, text in enumerate(texts):
+        groups.setdefault(top(at), []).append(text)
+    return list(groups.values())
+
+
 def typical_grams(toxic: list[str], ordinary: list[str]) -> set[str]:
     """Letter sequences that stand in clearly more toxic documents than in ordinary ones."""
     own, other = Counter(), Counter()
+    sizes = []
     for texts, counts in ((toxic, own), (ordinary, other)):
-        for text in texts:
-            counts.update(_document_grams(text))
-    found, sizes = set(), (len(toxic), len(ordinary))
-    least = max(TYPICAL_Z, TYPICAL_EFFECT * np.sqrt(len(toxic)))
+        groups = copy_groups(texts)
+        sizes.append(len(groups))
+        for group in groups:
+            counts.update(set().union(*map(_document_grams, dict.fromkeys(group))))
+    found, least = set(), TYPICAL_Z
     for gram, count in own.items():
         rate = (count + other[gram]) / sum(sizes)
         spread = np.sqrt(rate * (1 - rate) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12

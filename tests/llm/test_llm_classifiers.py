@@ -40,6 +40,20 @@ def test_toxicity_on_unseen_texts():
     assert auc(score, label) > 0.97 and (score[label == 1] >= 0.3).mean() > 0.9 and (score[label == 0] < 0.3).mean() > 0.95
 
 
+def test_more_labels_keep_rare_typical_sequences():
+    """The same share of toxic documents holds the word, whatever their number; near copies are no evidence."""
+    rng = random.Random(4)
+    words = [a + b for a in ("th", "er", "an", "in", "on", "re") for b in ("the", "ing", "ed", "ou", "ly", "at")]
+    plain = lambda: " ".join(rng.choices(words, k=25))
+    ordinary = [plain() for _ in range(3_000)]
+    for n in (300, 1_000, 3_000):
+        toxic = [plain() + (" qqvilex" if i % 25 == 0 else "") for i in range(n)]
+        assert {"qqvil", "vilex"} <= toxicity_zstd.typical_grams(toxic, ordinary)
+    copied = plain() + " zzcopyz"
+    toxic += [copied + f" {w}" for w in words[:30]] + [plain() for _ in range(30)]
+    assert "zcopy" not in toxicity_zstd.typical_grams(toxic, ordinary)
+
+
 def test_pairs_are_summed_in_linear_time():
     machine = quality_fm.FactorisationMachine()
     at, value = np.array([3, 99, 500, 20_000 % quality_fm.POSITIONS]), np.array([0.5, 2.0, -1.0, 0.3])
