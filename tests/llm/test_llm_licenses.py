@@ -62,3 +62,26 @@ def test_the_plan_is_native_and_moves_matches_only(spark):
     plan = licenses.scan(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Join" not in plan
     assert plan.count("Exchange") == 1 and "partial_max" in plan
+
+
+BODIES = [
+    (1, "Copyright (c) 1999 A. Person\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n"
+     + next(b for n, b in licenses.TEMPLATES if n == "BSD-3-Clause" and "Neither" in b).split("are met: ")[1], "BSD-3-Clause"),
+    (2, "a\n\nThis program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, "
+     "either version 3 of the License, or\n(at your option) any later version.\n\nb", "GPL-3.0"),
+    (3, "/* SPDX-License-Identifier: LGPL-2.1-or-later */", "LGPL-2.1"), (4, "// SPDX-License-Identifier: Zlib", "Zlib"),
+    (5, "Distributed under the Boost Software License, Version 1.0.", "BSL-1.0"),
+    (6, "a\n\nThis program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0\n"
+     "which is available at https://www.eclipse.org/legal/epl-2.0/\n\nb", "EPL-2.0"),
+    (7, "Apache License\nVersion 2.0, January 2004\n\n1. Definitions.\n\n\"License\" shall mean the terms and conditions for use, reproduction,\n"
+     "and distribution as defined by Sections 1 through 9 of this document.", "Apache-2.0"),
+    (8, "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007\n\nPreamble", "AGPL-3.0"),
+]
+
+
+def test_bodies_headers_and_tags_of_the_usual_licenses(spark):
+    found = licenses.scan(spark.createDataFrame([(i, t) for i, t, _ in BODIES], "doc_id long, text string")).collect()
+    best = {}
+    for r in found:
+        best[r["doc_id"]] = max(best.get(r["doc_id"], (0, "")), (r["dice"], r["license"]))
+    assert {i: name for i, (_, name) in best.items()} == {i: name for i, _, name in BODIES}
