@@ -8,6 +8,10 @@ b (2 - t) / t, so most templates are ruled out by size before any bigram is comp
 A match also shares at least the part t / (2 - t) of a template's bigrams. For each template a few of
 its words are chosen that take part in more bigrams than may be missing, so a passage without any
 of the chosen words matches nothing and is not taken apart.
+A notice within a longer sentence, or wrapped over lines of a longer paragraph, is no passage. So around each
+of a few chosen bigrams the text's words, over all lines and without marks, are also compared in windows of each template's size,
+placed so that the bigram stands where the template has it. Of the windows around one bigram those nearest to a template
+count, of equal ones the longest; and they count only for licenses that no passage of the document matches.
 Templates are literals of the plan; documents are never shuffled, only their matches are.
 
 Cases: a null or empty text, and a passage of fewer than two words, match nothing. A passage that
@@ -19,6 +23,7 @@ only id and text are read.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Sequence
@@ -285,12 +290,23 @@ TEMPLATES: tuple[tuple[str, str], ...] = (
 _COMMON = frozenset("a all and any are by for from in is not of on or that the this to with without you".split())
 _SPACE = r"[^\p{L}\p{N}]+"
 _PARAGRAPH = r"\n[ \t\r]*\n"
+#: A match of a passage has no digest, one of a window that of the window's bigrams.
+_MATCHES = "array<struct<license:string,dice:double,digest:bigint>>"
+
+
+def _raw_bigrams(text: str) -> list[str]:
+    words = re.findall(r"[^\W_]+", text.lower())
+    return [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]
 
 
 def template_bigrams(text: str) -> list[str]:
     """The distinct word bigrams of a template, in order."""
-    words = re.findall(r"[^\W_]+", text.lower())
-    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(words, words[1:], strict=False)))
+    return list(dict.fromkeys(_raw_bigrams(text)))
+
+
+def _may_be_missing(size: int, threshold: float) -> int:
+    """How many of a template's bigrams a match may lack."""
+    return int(size * (2 - 2 * threshold) / (2 - threshold) + 1e-9)
 
 
 def words(passage: Column) -> Column:
@@ -298,12 +314,17 @@ def words(passage: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(passage), _SPACE, " ")), " ")
 
 
-def bigrams(words: str) -> Column:
-    """The distinct bigrams in a column of words; empty for fewer than two. The column's name is asked
+def all_bigrams(words: str) -> Column:
+    """The bigrams in a column of words, in order; empty for fewer than two. The column's name is asked
     for, since an expression in its place would be evaluated for every bigram."""
     own = F.col(words)
     seconds = F.slice(own, 2, F.greatest(F.size(own) - 1, F.lit(0)))
-    return F.array_distinct(F.zip_with(F.slice(own, 1, F.size(seconds)), seconds, lambda a, b: F.concat(a, F.lit(" "), b)))
+    return F.zip_with(F.slice(own, 1, F.size(seconds)), seconds, lambda a, b: F.concat(a, F.lit(" "), b))
+
+
+def bigrams(words: str) -> Column:
+    """The distinct bigrams in a column of words."""
+    return F.array_distinct(all_bigrams(words))
 
 
 def passages(text: Column) -> Column:
@@ -319,7 +340,7 @@ def _size_bounds(size: int, threshold: float) -> tuple[int, int]:
 
 def anchors(sets: Sequence[list[str]], threshold: float) -> list[str]:
     """Words of which any match holds at least one: few, chosen for as many templates as possible."""
-    missing = [int(len(grams) * (2 - 2 * threshold) / (2 - threshold) + 1e-9) for grams in sets]
+    missing = [_may_be_missing(len(grams), threshold) for grams in sets]
     left = [[g.split(" ") for g in grams] for grams in sets]
     chosen: list[str] = []
     while wanting := [rest for rest, all_, may in zip(left, sets, missing, strict=True) if len(all_) - len(rest) <= may]:
@@ -330,6 +351,48 @@ def anchors(sets: Sequence[list[str]], threshold: float) -> list[str]:
     return chosen
 
 
+def places(sets: Sequence[tuple[str, str]], threshold: float) -> dict[str, list[dict[str, int]]]:
+    """Bigrams of which any match shares at least one, and where the templates have them: t the template, at the bigram's number,
+    n the number of bigrams. For each template one more is chosen than may be missing, first those rare in other text."""
+    bodies = [_raw_bigrams(body) for _, body in sets]
+    found: dict[str, list[dict[str, int]]] = {}
+    for body in bodies:
+        grams = list(dict.fromkeys(body))
+        plain = {g: sum(w in _COMMON or len(w) < 5 for w in g.split(" ")) for g in grams}
+        grams.sort(key=lambda g: (plain[g], -len(g), g))
+        found |= {g: [] for g in grams[: _may_be_missing(len(grams), threshold) + 1]}
+    for number, body in enumerate(bodies):
+        for at, gram in enumerate(body):
+            if gram in found:
+                found[gram].append({"t": number, "at": at, "n": len(body)})
+    return found
+
+
+def windows(pairs: str, sets: Sequence[tuple[str, str]], threshold: float) -> Column:
+    """The distinct matches of windows in a column of a text's bigrams, which are in order and may repeat."""
+    spots = places(sets, threshold)
+    held = F.from_json(F.lit(json.dumps(spots)), "map<string,array<struct<t:int,at:int,n:int>>>")
+    known = [{"license": name, "grams": template_bigrams(body)} for name, body in sets]
+    known = F.from_json(F.lit(json.dumps(known)), "array<struct<license:string,grams:array<string>>>")
+    text = F.col(pairs)
+
+    def compared(at: Column, place: Column) -> Column:
+        start, template = at - place["at"], F.get(known, place["t"])
+        first = F.greatest(start, F.lit(0))
+        grams = F.array_distinct(F.slice(text, first + 1, start + place["n"] - first))
+        dice = F.lit(2.0) * F.size(F.array_intersect(grams, template["grams"])) / (F.size(grams) + F.size(template["grams"]))
+        return F.struct(dice.alias("dice"), place["n"].alias("n"), template["license"].alias("license"), F.xxhash64(grams).alias("digest"))
+
+    def nearest(around: Column) -> Column:
+        rank = lambda m: F.struct(m["dice"], m["n"])
+        return F.filter(around, lambda m: (m["dice"] >= threshold) & (rank(m) == F.array_max(F.transform(around, rank))))
+
+    starts = F.filter(F.transform(text, lambda gram, at: F.struct(gram.alias("gram"), at.alias("at"))), lambda s: s["gram"].isin(*spots))
+    around = F.transform(starts, lambda s: F.transform(F.element_at(held, s["gram"]), lambda place: compared(s["at"], place)))
+    best = F.flatten(F.transform(around, nearest))
+    return F.array_distinct(F.transform(best, lambda m: F.struct(m["license"], m["dice"], m["digest"])))
+
+
 def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -338,7 +401,8 @@ def scan(
     doc_id: str = "doc_id",
 ) -> DataFrame:
     """(doc id, license, best dice, n_matches) for each document and each license that a passage of it matches."""
-    sets = [(name, grams) for name, body in templates if (grams := template_bigrams(body))]
+    templates = [(name, body) for name, body in templates if template_bigrams(body)]
+    sets = [(name, template_bigrams(body)) for name, body in templates]
     found = F.col("_grams")
 
     def matched(name: str, grams: list[str]) -> Column:
@@ -347,20 +411,29 @@ def scan(
         dice = F.lit(2.0) * shared / (F.size(found) + len(grams))
         return F.when(
             F.size(found).between(least, most) & (dice >= threshold),
-            F.struct(F.lit(name).alias("license"), dice.alias("dice")),
+            F.struct(F.lit(name).alias("license"), dice.alias("dice"), F.lit(None).cast("long").alias("digest")),
         )
 
     any_anchor = "|".join(map(re.escape, anchors([grams for _, grams in sets], threshold)))
     holds = rf"(?<![\p{{L}}\p{{N}}])(?:{any_anchor})(?![\p{{L}}\p{{N}}])"
+    passage = F.col("_part._passage")
     rows = (
         docs.where(F.lower(text).rlike(holds))
-        .select(F.col(doc_id).alias("_id"), F.filter(passages(F.col(text)), lambda p: F.lower(p).rlike(holds)).alias("_passages"))
-        .select("_id", F.explode("_passages").alias("_passage"))
-        .select("_id", words(F.col("_passage")).alias("_words"))
-        .select("_id", bigrams("_words").alias("_grams"))
-        .select("_id", F.explode(F.array_compact(F.array(*(matched(*s) for s in sets)))).alias("m"))
+        .select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), words(F.col(text)).alias("_words"))
+        .select("_id", "_text", all_bigrams("_words").alias("_pairs"))
+        .select("_id", F.filter(passages(F.col("_text")), lambda p: F.lower(p).rlike(holds)).alias("_passages"), windows("_pairs", templates, threshold).alias("_windows"))
+        # a row for each passage, and one for the windows
+        .select("_id", F.explode(F.concat(
+            F.transform("_passages", lambda p: F.struct(p.alias("_passage"), F.lit(None).cast(_MATCHES).alias("_windows"))),
+            F.array(F.struct(F.lit(None).cast("string").alias("_passage"), F.col("_windows"))),
+        )).alias("_part"))
+        .select("_id", words(passage).alias("_words"), F.col("_part._windows").alias("_windows"))
+        .select("_id", bigrams("_words").alias("_grams"), "_windows")
+        .select("_id", F.explode(F.coalesce("_windows", F.array_compact(F.array(*(matched(*s) for s in sets))))).alias("m"))
     )
+    by_passage = F.col("m.digest").isNull()
     best = rows.groupBy("_id", F.col("m.license").alias("license")).agg(
-        F.max("m.dice").alias("dice"), F.count(F.lit(1)).alias("n_matches")
+        F.coalesce(F.max(F.when(by_passage, F.col("m.dice"))), F.max("m.dice")).alias("dice"),
+        F.coalesce(F.nullif(F.count_if(by_passage), F.lit(0)), F.count(F.lit(1))).alias("n_matches"),
     )
     return best.withColumnRenamed("_id", doc_id)

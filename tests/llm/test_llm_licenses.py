@@ -85,3 +85,26 @@ def test_bodies_headers_and_tags_of_the_usual_licenses(spark):
     for r in found:
         best[r["doc_id"]] = max(best.get(r["doc_id"], (0, "")), (r["dice"], r["license"]))
     assert {i: name for i, (_, name) in best.items()} == {i: name for i, _, name in BODIES}
+
+
+def test_notices_within_sentences_and_wrapped_lines(spark):
+    mit = next(b for n, b in licenses.TEMPLATES if n == "MIT" and b.endswith("conditions:"))
+    block = "/*\n * Copyright (c) 2001 A. Person\n *\n * " + "\n * ".join(mit.split(", ")) + "\n *\n * More words that stand in the same block of text as well,\n * so that it is longer than the permission." + "".join(f"\n * line{i} of{i}" for i in range(60)) + "\n */"
+    rows = [
+        (1, "This software is licensed under the MIT License."), (2, "The code is released under the MIT License."), (3, block),
+        (4, "We say that all of this work and what belongs to it is\nlicensed under the GNU General Public\nLicense, version 3, as everyone here knows by now."),
+        (5, "It is not under any license of the software, which is provided without conditions."), (6, "license"), (7, "# Licensed under the\n# Apache License,\n# Version 2.0.\n"),
+        (8, "one two three " * 20_000 + "it is licensed under the MIT License, they said, and so on. " * 200),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["license"], r["dice"] > 0.95, r["n_matches"]) for r in licenses.scan(docs).collect())
+    assert [g[:3] for g in got] == [(1, "MIT", True), (2, "MIT", True), (3, "MIT", True), (4, "GPL-3.0", True), (7, "Apache-2.0", True), (8, "MIT", True)]
+    assert got[-1][3] == 1
+
+
+def test_any_match_shares_a_chosen_bigram():
+    chosen = licenses.places(licenses.TEMPLATES, 0.8)
+    for _, body in licenses.TEMPLATES:
+        grams = licenses.template_bigrams(body)
+        left = [g for g in grams if g not in chosen]
+        assert 2 * len(left) / (len(left) + len(grams)) < 0.8
