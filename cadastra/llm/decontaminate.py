@@ -6,7 +6,9 @@ passage of a document is aligned to an item where seeds of the item meet. How ma
 from the least score: with the scores of `MATCH`, `MISMATCH` and `GAP` each point that a copy loses
 breaks at most one seed, so a passage with fewer cannot reach it. A copy that was
 edited, shortened or extended by some words therefore still meets, and the alignment decides. The score is that
-of the best local alignment over that of the item with itself.
+of the best local alignment over that of the item with itself. Below the least score an alignment still counts as a
+copy of a part if it covers `PART_WORDS` words of the item, holds `PART_SEEDS` of its rare seeds, and reaches
+`PART_SCORE` over its own length; so fewer seeds must meet where an item has that many words.
 
 Items are taken in blocks of a bounded size, which every task holds with its index; documents are
 read in place, twice for each block, and never shuffled.
@@ -32,6 +34,8 @@ from pyspark.sql import functions as F
 NGRAM = 3
 #: Least share of the item's own score.
 THRESHOLD = 0.65
+#: The least words of a copied part, its rare seeds, and its score over its own length.
+PART_WORDS, PART_SEEDS, PART_SCORE = 13, 4, 0.85
 #: A seed that stands in more than this many times the median of its item's seeds is not rare.
 COMMON = 8
 MATCH, MISMATCH, GAP = 2, -1, -2
@@ -74,7 +78,8 @@ class SeedIndex:
         self.last = np.append(self.first[1:], len(order))
         have = np.bincount(self.owner, minlength=len(self.items))
         lost = np.array([int((1 - self.threshold) * MATCH * len(item)) for item in self.items], int)
-        self.need = np.maximum(1, have - lost)
+        long = np.array([len(item) >= PART_WORDS for item in self.items], bool)
+        self.need = np.where(long, np.minimum(PART_SEEDS, np.maximum(1, have - lost)), np.maximum(1, have - lost))
 
     def codes(self, numbers: np.ndarray) -> np.ndarray:
         """One number for each n-gram in a row of word numbers."""
@@ -124,6 +129,11 @@ class SeedIndex:
         own = self.seeds[at] == codes[known]
         return known[own], at[own]
 
+    def holds_seeds(self, item: int, numbers: np.ndarray) -> bool:
+        """Whether a row of words has the rare seeds that a copied part of an item must hold."""
+        seeds = np.unique(self.hits(numbers)[1])
+        return sum(item in self.owner[self.first[s] : self.last[s]] for s in seeds) >= PART_SEEDS
+
     def candidates(self, numbers: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(item, start, end): stretches of words where enough seeds of an item meet."""
         spot, seed = self.hits(numbers)
@@ -191,13 +201,24 @@ def align(item: np.ndarray, stretch: np.ndarray) -> tuple[float, int, int]:
     return best / (MATCH * len(item)), end - back, end
 
 
+def _is_part(item: int, part: np.ndarray, score: float, index: SeedIndex) -> bool:
+    """Whether an aligned row of words copies a long part of an item."""
+    body = index.items[item]
+    if score * len(body) < PART_SCORE * PART_WORDS or not index.holds_seeds(item, part):
+        return False
+    _, low, high = align(part, body)
+    return high - low >= PART_WORDS and score * len(body) >= PART_SCORE * max(high - low, len(part))
+
+
 def match_text(text: str | None, index: SeedIndex) -> list[tuple[int | None, float, int, int]]:
     """(item id, score, start, end in characters) of each item that a text holds a copy of."""
     numbers = index.numbers(words_of(text))
     best: dict[int, tuple[float, int, int]] = {}
     for item, start, end in index.candidates(numbers):
         score, low, high = align(index.items[item], numbers[start:end])
-        if score >= index.threshold and score > best.get(item, (0.0,))[0]:
+        if score <= best.get(item, (0.0,))[0]:
+            continue
+        if score >= index.threshold or _is_part(item, numbers[start + low : start + high], score, index):
             best[item] = (score, start + low, start + high)
     if not best:
         return []

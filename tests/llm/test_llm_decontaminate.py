@@ -108,3 +108,28 @@ def test_common_seeds_are_dropped_but_copies_stay(spark):
     assert len(index.seeds) < before
     got = d.find_copies(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     assert [r["doc_id"] for r in got.collect()] == [1000]
+
+
+def test_long_copied_parts_are_copies(spark):
+    rng = random.Random(11)
+    whole = prose(59, rng).split()
+    question, options = prose(16, rng), prose(24, rng)
+    items = [(1, " ".join(whole)), (2, question + " " + options)]
+    cut = [*whole[:13], *prose(1, rng).split(), *whole[14:30]]
+    texts = [
+        (1, whole[:38], True), (2, whole[20:], True), (3, question.split(), True), (4, cut, True), (5, whole[30:43], True),
+        (6, whole[:9], False), (7, [w if i % 3 else "other" for i, w in enumerate(whole)], False), (8, [], False),
+    ]
+    docs = spark.createDataFrame([(i, " ".join([prose(50, rng), *part, prose(50, rng)])) for i, part, _ in texts], "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in d.find_copies(docs, items).collect()}
+    assert got.keys() == {(i, 2 if i == 3 else 1) for i, _, copied in texts if copied}
+    assert got[1, 1]["score"] == pytest.approx(38 / 59)
+    assert sorted(r["doc_id"] for r in d.remove_copies(docs, items).collect()) == [6, 7, 8]
+
+
+def test_a_long_phrase_that_many_documents_share_is_no_copy(spark):
+    phrase = prose(15, random.Random(3))
+    items = spark.createDataFrame([(1, phrase + " " + prose(30, random.Random(4)))], "item_id long, text string")
+    docs = [(i, phrase + " " + prose(20)) for i in range(60)]
+    assert d.find_copies(spark.createDataFrame(docs, "doc_id long, text string"), items).count() == 0
