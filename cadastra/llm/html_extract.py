@@ -4,7 +4,8 @@ A page is a row of tokens: words score positive, tags negative, and one scan fin
 contiguous stretch with the highest sum. The weights of tags come from labelled pages, a
 bounded sample of those with one `article` or `main` element: a tag that mostly stands
 outside of it costs much, one that belongs to running text costs little. Words within
-menus, forms, adverts and the like count against a stretch, and are left out of its text.
+menus, forms, adverts and the like count against a stretch, and are left out of its text. Such boxes count
+nothing, with their tags, where they stand inside the main element or between running text of one parent.
 
 The text: character references decoded, white space inside a block turned to one space,
 blocks joined by a blank line. A line break inside a block is white space.
@@ -37,6 +38,9 @@ WORD = 1.0
 UNSEEN_TEXT, UNSEEN_TAG = -0.1, -1.0
 LEAST_TAG, MOST_TAG = -12.0, -0.1
 
+#: Words of running text that one parent must have before and after a box for the box to stand within text.
+BESIDE_BOX = 20
+
 #: Elements of HTML by the part they play.
 _RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|select|title|canvas|audio|video"
 _BOILERPLATE = frozenset("nav header footer aside form menu dialog button label fieldset head".split())
@@ -55,6 +59,8 @@ _NAMED = re.compile(
     r"(?:$|[\s_-])",
     re.IGNORECASE,
 )
+#: Names that say what a wrapper has or lacks, not what it is.
+_HAVING = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.IGNORECASE)
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     rf"|<(?P<raw>{_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
@@ -64,8 +70,8 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
-#: A token is (tag key or None, text, within boilerplate, within main, ends a block).
-Token = tuple[str | None, str, bool, bool, bool]
+#: A token is (tag key or None, text, within boilerplate, within main, ends a block, of a box within text).
+Token = tuple[str | None, str, bool, bool, bool, bool]
 
 
 def _is_boilerplate(tag: str, rest: str) -> bool:
@@ -73,18 +79,34 @@ def _is_boilerplate(tag: str, rest: str) -> bool:
         return True
     if not rest or tag in _MAIN or tag in ("html", "body"):
         return False
-    return any(_NAMED.search(a or b or c) for a, b, c in _ATTRIBUTE.findall(rest))
+    return any(_NAMED.search(_HAVING.sub("", a or b or c)) for a, b, c in _ATTRIBUTE.findall(rest))
 
 
 def tokens(page: str) -> list[Token]:
     """Tags and texts of a page, each with the parts of the page that it stands in."""
-    found: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # (tag, boilerplate, main)
-    boiler = main = 0
+    found: list[tuple[str | None, str, bool, bool, bool]] = []
+    stack: list[tuple[str, bool, bool, int]] = []  # (tag, boilerplate, main, parent of its running text)
+    boiler = main = count = 0
+    words: Counter[int] = Counter()  # of running text, by parent
+    boxes: list[tuple[int, int, bool, int, int]] = []  # (first token, token after, within main, parent, words before)
+    box = (0, False, 0, 0)
+
+    def close(at: int, end: int) -> None:
+        nonlocal boiler, main
+        was = boiler
+        for _, was_boiler, was_main, _ in stack[at:]:
+            boiler -= was_boiler
+            main -= was_main
+        del stack[at:]
+        if was and not boiler:
+            boxes.append((box[0], end, *box[1:]))
+
     for match in _TOKEN.finditer(page):
         text = match["text"]
         if text is not None:
             found.append((None, text, boiler > 0, main > 0, False))
+            if not boiler:
+                words[stack[-1][3] if stack else 0] += len(text.split())
             continue
         if match["tag"] is None:
             continue
@@ -92,25 +114,31 @@ def tokens(page: str) -> list[Token]:
         if match["end"]:
             at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if at is not None:
-                for _, was_boiler, was_main in stack[at:]:
-                    boiler -= was_boiler
-                    main -= was_main
-                del stack[at:]
+                own_box = stack[at][1]
+                close(at, len(found) + own_box)
             found.append(("/" + tag, "", boiler > 0, main > 0, tag in _BLOCK))
             continue
         if tag in _MAIN and boiler and stack[-1][0] not in _BOILERPLATE:
-            stack = [(t, False, m) for t, _, m in stack]  # a box that was never closed
+            stack = [(t, False, m, p) for t, _, m, p in stack]  # a box that was never closed
             boiler = 0
         found.append((tag, "", boiler > 0, main > 0, tag in _BLOCK))
         if tag in _VOID or rest.endswith("/"):
             continue
         if tag == "p" and stack and stack[-1][0] == "p":
-            stack.pop()
-        own = (tag, _is_boilerplate(tag, rest), tag in _MAIN)
+            close(len(stack) - 1, len(found) - 1)
+        count += 1
+        parent = stack[-1][3] if stack else 0
+        own = (tag, _is_boilerplate(tag, rest), tag in _MAIN, parent if tag in _RUNNING else count)
+        if own[1] and not boiler:
+            box = (len(found) - 1, main > 0, parent, words[parent])
         stack.append(own)
         boiler += own[1]
         main += own[2]
-    return found
+    free = bytearray(len(found))
+    for first, end, inside, parent, before in boxes:
+        if inside or min(before, words[parent] - before) >= BESIDE_BOX:
+            free[first:end] = b"\1" * (end - first)
+    return [(*token, bool(held)) for token, held in zip(found, free, strict=True)]
 
 
 def count_tags(page: str | None) -> list[tuple[str, int, int]]:
@@ -119,7 +147,7 @@ def count_tags(page: str | None) -> list[tuple[str, int, int]]:
     if sum(key in _MAIN for key, *_ in found if key) != 1:
         return []
     inside, outside = Counter(), Counter()
-    for key, _, boiler, main, _ in found:
+    for key, _, boiler, main, *_ in found:
         if key and not boiler:
             (inside if main and key.lstrip("/") not in _MAIN else outside)[key] += 1
     return [(key, inside[key], outside[key]) for key in inside.keys() | outside.keys()]
@@ -158,15 +186,17 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
     """The text of the page's best stretch."""
     found = tokens(page or "")
     scores = []
-    for key, text, boiler, _, _ in found:
-        if key is not None:
+    for key, text, boiler, _, _, free in found:
+        if free:
+            scores.append(0.0)
+        elif key is not None:
             scores.append(weights.get(key, UNSEEN_TEXT if key.lstrip("/") in _RUNNING else UNSEEN_TAG))
         else:
             words = len(text.split())
             scores.append(-WORD * words if boiler else WORD * words)
     start, end = best_stretch(scores)
     blocks, block = [], []
-    for key, text, boiler, _, ends in found[start:end]:
+    for key, text, boiler, _, ends, _ in found[start:end]:
         if key is None:
             if not boiler:
                 block.append(text)

@@ -62,3 +62,27 @@ def test_tables(spark):
     found = sorted((r["page_id"] or 0, r["text"][:20], r["n_chars"]) for r in got.collect())
     assert found == [(0, "", 0), (1, WANT[:20], len(WANT)), (1, WANT[:20], len(WANT)), (2, "", 0), (3, "long word long word ", 1_999_999)]
     assert h.extract(pages.limit(0), {}).collect() == []
+
+
+FIRST, BOX, LAST = (" ".join(f"{w}{i}" for i in range(n)) for w, n in (("first", 40), ("box", 60), ("last", 200)))
+
+
+@pytest.mark.parametrize("weights", [WEIGHTS | {"aside": -12.0, "/aside": -12.0, "form": -12.0, "/form": -12.0, "div": -6.0, "/div": -6.0}, {}])
+@pytest.mark.parametrize("box", [
+    f"<aside>{BOX}</aside>", f'<div class="advert"><div><p>{BOX}</p></div></div>', f"<form><label>{BOX}</label></form>", f'<div class="newsletter">{BOX}</div>',
+    f'<p class="ad">{BOX}',
+])
+@pytest.mark.parametrize("open_,close", [("<article>", "</article>"), ("<main><div>", "</div></main>"), ("<div>", "</div>"), ('<article><div class="entry has-sidebar">', "</div></article>")])
+def test_a_box_within_the_text_ends_nothing(box, open_, close, weights):
+    page = f"{HEAD}{NAV}{open_}<p>{FIRST}</p>{box}<p>{LAST}</p>{close}{FOOT}"
+    assert h.main_text(page, weights) == f"{FIRST}\n\n{LAST}"
+
+
+@pytest.mark.parametrize("name", ["entry has-sidebar", "no-sidebar", "with-comments", "layout_without_ads", "post-has-menu-left"])
+def test_a_wrapper_named_by_what_it_has_is_no_boilerplate(name):
+    assert h.main_text(f'{HEAD}<article><div class="{name}"><p>{FIRST}</p></div></article>{FOOT}', WEIGHTS) == FIRST
+
+
+def test_boxes_beside_the_text_still_end_it():
+    page = f'{HEAD}<p>Skip all this.</p><nav>{BOX}</nav><div><p>{LAST}</p></div><div class="sidebar no-border">{BOX}</div><p>Made by someone.</p>{FOOT}'
+    assert h.main_text(page, {}) == LAST
