@@ -37,8 +37,9 @@ PER_CLASS = 3_000
 MAX_CHARS = 50_000
 #: Words in a window.
 WINDOW = 12
-#: Bytes of the dictionaries, and windows they are trained on, at most.
-ORDINARY_BYTES, TOXIC_BYTES = 32_768, 2_048
+#: Bytes of the dictionaries, and windows they are trained on, at most. The toxic dictionary has as many bytes as the
+#: words selected for it, at least the last number.
+ORDINARY_BYTES, TOXIC_BYTES, LEAST_TOXIC_BYTES = 32_768, 32_768, 2_048
 TRAINING_WINDOWS = 40_000
 #: Letters of a typical sequence. It is typical if at least so many toxic documents hold it, so many times the share of
 #: ordinary ones, with a difference of so many standard errors; near copies count as one document. More labels of
@@ -120,6 +121,11 @@ def typical_grams(toxic: list[str], ordinary: list[str]) -> set[str]:
     return found
 
 
+def toxic_size(words: list[bytes]) -> int:
+    """Bytes of a dictionary that holds all these words."""
+    return min(TOXIC_BYTES, max(LEAST_TOXIC_BYTES, sum(map(len, set(words)))))
+
+
 def _trained(samples: list[bytes], size: int) -> bytes:
     total = sum(map(len, samples))
     if total < _LEAST_TRAINING or len(samples) < 16:
@@ -196,10 +202,11 @@ def fit_texts(texts: list[str], label: np.ndarray, weight: np.ndarray) -> Toxici
     typical = typical_grams(toxic, ordinary)
     words = [f" {w} ".encode("utf-8", "replace") for t in toxic for w in t.lower().split() if not typical.isdisjoint(_grams(w))]
     shuffled.shuffle(words)
+    size = toxic_size(words)
     words = words[: 4 * TRAINING_WINDOWS]
     marked = [b"".join(words[i : i + 4]) for i in range(0, len(words), 4)]
     dictionaries = Dictionaries(
-        _trained(marked, TOXIC_BYTES) or b" " * 8, _trained(plain[:TRAINING_WINDOWS], ORDINARY_BYTES) or b" " * 8
+        _trained(marked, size) or b" " * 8, _trained(plain[:TRAINING_WINDOWS], ORDINARY_BYTES) or b" " * 8
     )
     return ToxicityModel(dictionaries, Calibration(dictionaries.features(texts), label, weight))
 

@@ -54,6 +54,16 @@ def test_more_labels_keep_rare_typical_sequences():
     assert "zcopy" not in toxicity_zstd.typical_grams(toxic, ordinary)
 
 
+def test_the_toxic_dictionary_holds_a_broad_vocabulary():
+    rng = random.Random(9)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    bad = ["zq" + "".join(rng.choices(letters, k=8)) for _ in range(600)]
+    words = ["".join(rng.choices(letters, k=5)) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=40) + (rng.choices(bad, k=60) if i % 2 else [])) for i in range(1_200)]
+    model = toxicity_zstd.fit_texts(texts, np.arange(1_200) % 2, np.ones(1_200))
+    assert sum(w.encode() in model.dictionaries.toxic for w in bad) > 350
+
+
 def test_pairs_are_summed_in_linear_time():
     machine = quality_fm.FactorisationMachine()
     at, value = np.array([3, 99, 500, 20_000 % quality_fm.POSITIONS]), np.array([0.5, 2.0, -1.0, 0.3])
