@@ -4,8 +4,10 @@ The seeds of a test item are its word n-grams, without those that are far more c
 than the item's others; how many documents hold an n-gram is counted over all of them. A
 passage of a document is aligned to an item where seeds of the item meet. How many must meet follows
 from the least score: with the scores of `MATCH`, `MISMATCH` and `GAP` each point that a copy loses
-breaks at most one seed, so a passage with fewer cannot reach it. A copy that was
-edited, shortened or extended by some words therefore still meets, and the alignment decides. The score is that
+breaks at most one seed, so a passage with fewer cannot reach it. This holds for items with more seeds than points may be lost, all kept;
+of others one seed must meet. So an edited copy is lost where it shares no seed with an item of some six words or less, and
+where the replaced words are those of the rare seeds of an item whose common ones were dropped. Other copies that were
+edited, shortened or extended by some words still meet, and the alignment decides. The score is that
 of the best local alignment over that of the item with itself. Below the least score an alignment still counts as a
 copy of a part if it covers `PART_WORDS` words of the item, holds `PART_SEEDS` of its rare seeds, and reaches
 `PART_SCORE` over its own length; so fewer seeds must meet where an item has that many words.
