@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from cadastra.llm.licenses import TEMPLATES, THRESHOLD, template_bigrams
-from cadastra.llm.queries import COSINE
+from cadastra.llm.queries import ANCHOR_EVERY, COSINE, LABELS, RELABEL_EVERY
 
 
 def _text(value: str) -> str:
@@ -53,6 +53,26 @@ WITH RECURSIVE vectors AS (
 )
 SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
 FROM roots LEFT JOIN degrees USING (vec_id)
+""",
+    "op11_hard_negatives": f"""
+WITH usable AS (
+  SELECT row_number() OVER () AS uid, vec_id, CASE WHEN vec_id % {RELABEL_EVERY} = 0 THEN (label + 1) % {LABELS} ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.uid, a.vec_id AS anchor_id, b.vec_id AS other_id, b.uid AS other, a.label = b.label AS same,
+         list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.uid <> b.uid AND len(a.q) = len(b.q) WHERE a.vec_id % {ANCHOR_EVERY} = 0
+), positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, other_id, other) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.uid, p.other ORDER BY n.score DESC, n.other_id, n.other)::INT AS rank
+  FROM positives p JOIN scored n ON p.uid = n.uid AND NOT n.same AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
 """,
     "op10_licenses": rf"""
 WITH templates(license, t) AS (VALUES {_TEMPLATE_ROWS}),

@@ -12,11 +12,14 @@ from cadastra.llm import (
     bpe,
     decontaminate,
     embedding_dups,
+    hard_negatives,
     html_extract,
+    language_id,
     licenses,
     quality_fm,
     sharding,
     simhash_dups,
+    tokenizer_alignment,
     toxicity_zstd,
     warc,
 )
@@ -31,6 +34,10 @@ SHARDS, ROW_OVERHEAD = 24, 8
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 COSINE = 0.93
 SHINGLE_WORDS, MAX_BITS = 3, 2
+#: Anchors have ids divisible by the first number; labels of ids divisible by the second one go one up, of so many.
+ANCHOR_EVERY, RELABEL_EVERY, LABELS = 50, 7, 10
+LANGUAGE_FOLDS, LANGUAGE_FOLD = 5, 0
+BYTE_FILE, PIECE_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,10 +118,30 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % RELABEL_EVERY == 0, (F.col("label") + 1) % LABELS).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % ANCHOR_EVERY == 0)
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_id.fit(docs, LANGUAGE_FOLDS, LANGUAGE_FOLD)
+    fold = held_out("doc_id", LANGUAGE_FOLDS, LANGUAGE_FOLD).alias("held_out")
+    return language_id.identify(docs.select("doc_id", "text"), model).select("doc_id", fold, "lang_pred", "score")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = public_tokenizers.path(BYTE_FILE), public_tokenizers.PATTERN, public_tokenizers.path(PIECE_FILE)
+    return tokenizer_alignment.summarize(docs, *paths)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_fm, op2_decontaminate, op3_toxicity_zstd, op4_shards, op5_html_text,
         op6_bpe, op7_warc, op8_embedding_dups, op9_simhash, op10_licenses,
+        op11_hard_negatives, op12_language_id, op13_tokenizer_alignment,
     )
 }

@@ -1,0 +1,147 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from cadastra.llm import tokenizer_alignment as alignment
+
+SF = "/root/testdata/sf0.001"
+PATHS = P.path("byte_bpe_50k.json"), P.PATTERN, P.path("piece_bpe_32k.model")
+ODD = [None, "", " ", "   ", "a", "\n\n x\t\ty ", "▁ literal", "<|endoftext|> <s> <0x41>", "café 漢字 🙂‍🙂", " 　wide", "x" * 3_000, " " * 5_000,
+       "word, " * 4_000, "don't they're 12345 !!!", "\x00nul", "á è"]
+
+
+@pytest.fixture(scope="module")
+def sides():
+    return alignment.ByteLevelTokenizer(*PATHS[:2]), alignment.PieceTokenizer(PATHS[2])
+
+
+@pytest.fixture(scope="module")
+def plain():
+    a = Tokenizer.from_file(PATHS[0])
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=PATHS[2])
+
+
+def texts(spark):
+    return [r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+
+
+def brute(text, plain):
+    """Ids of both sides with their byte ranges, the groups, and the linked positions, by comparing all ranges."""
+    a, b = plain
+    whole = (" " + (text or "")).encode()
+    bytes_of = {c: i for i, c in enumerate(alignment._byte_characters())}
+    byte = alignment._byte_characters()
+    assert len(bytes_of) == 256
+    rows = []
+    for ids, piece in ((a.encode(" " + text, add_special_tokens=False).ids, a.id_to_token), (b.encode(text), b.id_to_piece)) if text else ():
+        at, out = 0, []
+        for i in ids:
+            p = piece(i)
+            if piece == a.id_to_token:
+                value = bytes(byte[c] for c in p)
+            else:
+                value = bytes([int(p[3:5], 16)]) if len(p) == 6 and p.startswith("<0x") else p.replace("▁", " ").encode()
+            out.append((i, at, at + len(value), value))
+            at += len(value)
+        rows.append(out)
+    if not rows or any(b"".join(v for *_, v in out) != whole for out in rows):
+        return [], [], "", []
+    one, two = rows
+    ends = sorted({t[2] for t in one} & {t[2] for t in two})
+    groups = []
+    for low, high in zip([0, *ends], ends, strict=False):
+        groups.append("|".join(",".join(str(t[0]) for t in out if low <= t[1] and t[2] <= high) for out in rows))
+    links = [(i, j) for i, x in enumerate(one) for j, y in enumerate(two) if x[1] < y[2] and y[1] < x[2]] if len(one) * len(two) < 2_000_000 else None
+    return [t[0] for t in one], [t[0] for t in two], ";".join(groups), links
+
+
+def summary(all_texts, plain):
+    found = [brute(t, plain) for t in all_texts]
+    held = Counter(pair for a, b, _, links in found for pair in {(a[i], b[j]) for i, j in links})
+    most = {}
+    for (x, _), n in held.items():
+        most[x] = max(most.get(x, 0), n)
+    out = []
+    for a, b, groups, links in found:
+        pairs = [(a[i], b[j]) for i, j in links]
+        digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
+        out.append((len(a), len(b), groups.count(";") + 1 if groups else 0, len(links), sum(held[p] == most[p[0]] for p in pairs), sum(held[p] for p in pairs), digest))
+    return out
+
+
+def test_ids_are_those_of_the_libraries(spark, sides, plain):
+    for text in [t for t in [*ODD, *texts(spark)] if t]:
+        assert sides[0].encode([text])[0].tolist() == plain[0].encode(" " + text, add_special_tokens=False).ids
+        assert sides[1].encode([text])[0].tolist() == plain[1].encode(text)
+    assert sides[0].fast is not None
+
+
+def test_alignment_equals_all_pairs(spark, plain):
+    rows = [(i, t) for i, t in enumerate(ODD) if t is None or len(t) < 1_000]
+    got = {r["doc_id"]: r for r in alignment.align(spark.createDataFrame(rows, "doc_id long, text string"), *PATHS).collect()}
+    for i, text in rows:
+        a, b, groups, links = brute(text, plain)
+        r = got[i]
+        assert (r["a_ids"], r["b_ids"]) == (a, b)
+        assert list(zip(r["a_linked"], r["b_linked"], strict=True)) == links
+        parts = []
+        for low_a, high_a, low_b, high_b in zip([0, *r["a_cuts"]], r["a_cuts"], [0, *r["b_cuts"]], r["b_cuts"], strict=False):
+            parts.append(",".join(map(str, a[low_a:high_a])) + "|" + ",".join(map(str, b[low_b:high_b])))
+        assert ";".join(parts) == groups
+
+
+@pytest.mark.parametrize("block", [alignment.BLOCK_TOKENS, 500])
+def test_summary_equals_all_pairs(spark, plain, monkeypatch, block):
+    monkeypatch.setattr(alignment, "BLOCK_TOKENS", block)
+    rows = [t for t in [*ODD, *texts(spark)[:60]] if t is None or len(t) < 1_500]
+    rows += rows[-3:]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: tuple(r)[1:] for r in alignment.summarize(frame, *PATHS).collect()}
+    assert [got[i] for i in range(len(rows))] == summary(rows, plain)
+
+
+def test_lanes_give_what_one_lane_gives(sides):
+    text = "Some words, and others; 1234 don't " * 400
+    _, x = next(alignment.align_texts(["short", text, None, text[:50]], *sides))
+    ends = x.a_end, x.b_end, x.a_first, x.b_first
+    one, many = (alignment.lockstep(*ends, lane_tokens=n) for n in (1 << 30, 64))
+    assert [v.tolist() for v in one[2:]] == [v.tolist() for v in many[2:]]
+    assert sorted(zip(one[0], one[1], strict=True)) == sorted(zip(many[0], many[1], strict=True))
+
+
+def test_odd_rows_and_columns(spark, plain):
+    schema = "doc_id long, text string, a_ids string, aligned string, block string"
+    frame = spark.createDataFrame([(1, None, "x", "y", "z"), (None, "hello", "x", "y", "z"), (None, "hello", "x", "y", "z")], schema)
+    got = alignment.summarize(frame.withColumn("a.b", F.lit(1)), *PATHS).collect()
+    want = summary([None, "hello", "hello"], plain)
+    assert sorted((str(r["doc_id"]), *tuple(r)[1:]) for r in got) == [("1", *want[0]), ("None", *want[1]), ("None", *want[2])]
+    kept = alignment.align(frame.withColumn("a.b", F.lit(1)), *PATHS)
+    assert kept.columns[:5] == ["doc_id", "text", "aligned", "block", "a.b"]
+    assert {tuple(r)[2:5] for r in kept.collect()} == {("y", "z", 1)}
+    assert alignment.summarize(frame.where("doc_id = 1"), *PATHS).collect()[0]["groups_sha256"] == ""
+    for run in (alignment.summarize, alignment.align):
+        assert run(frame.limit(0), *PATHS).collect() == []
+
+
+def test_a_file_in_another_order_is_read_by_its_own_library(tmp_path, sides):
+    import json
+
+    content = json.load(open(PATHS[0], encoding="utf-8"))
+    merges = content["model"]["merges"]
+    merges[-1], merges[-2] = merges[-2], merges[-1]
+    path = tmp_path / "swapped.json"
+    path.write_text(json.dumps(content), encoding="utf-8")
+    other = alignment.ByteLevelTokenizer(str(path), P.PATTERN)
+    assert other.fast is None
+    text = "The quick brown fox"
+    assert other.encode([text])[0].tolist() == sides[0].encode([text])[0].tolist()
+    assert isinstance(other.bytes[5], bytes) and np.all([b for b in other.bytes])

@@ -1,0 +1,126 @@
+from __future__ import annotations
+
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cadastra.llm import language_id, queries
+from cadastra.llm.labels import held_out
+
+SF = "/root/testdata/sf0.01"
+SCHEMA = "doc_id long, text string, lang string"
+WORDS = {"aa": "the of and with from that", "bb": "der die das und mit von", "cc": "le la les et avec dans"}
+
+
+def sentences(count, words=6, seed=0):
+    draw = np.random.default_rng(seed)
+    return [
+        (i, " ".join(draw.choice(WORDS[lang].split(), words)), lang)
+        for i, lang in enumerate(draw.choice(sorted(WORDS), count))
+    ]
+
+
+def plain_counts(text):
+    """The n-grams of a text by slices, with the hash of each."""
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    row = " " + " ".join(words) + " " if words else ""
+    out = Counter()
+    for size in range(1, language_id.LONGEST + 1):
+        for at in range(len(row) - size + 1):
+            state = 0
+            for k, c in enumerate(row[at : at + size], 1):
+                state = ((state ^ (ord(c) + k)) * int(language_id._FACTOR)) % (1 << 64)
+            out[state >> (64 - 16)] += 1
+    return out
+
+
+@pytest.mark.parametrize("text", ["a", "Hello, World! 12 x", "  ÀÉ ß\n\tñandú", "漢字かな", "a b" * 50])
+def test_counts_equal_a_plain_count(text):
+    at, count = language_id.counts(text)
+    assert dict(zip(at.tolist(), count.tolist(), strict=True)) == dict(plain_counts(text))
+
+
+def test_counts_do_not_depend_on_the_step(monkeypatch):
+    text = " ".join(t for _, t, _ in sentences(50))
+    want = [x.tolist() for x in language_id.counts(text)]
+    monkeypatch.setattr(language_id, "_AT_ONCE", 37)
+    assert [x.tolist() for x in language_id.counts(text)] == want
+
+
+def test_leader_is_sparse_and_separates(monkeypatch):
+    rows = sentences(300)
+    totals = [language_id.counts(t) for _, t, _ in rows]
+    label = np.array([sorted(WORDS).index(x) for *_, x in rows])
+    idf = np.ones(language_id.POSITIONS)
+    vectors = [(at, language_id.vector(at, c, idf)) for at, c in totals]
+    seen = np.unique(np.concatenate([at for at, _ in totals]))
+    left = []
+    for penalty in (0.0, 0.3, 1e6):
+        monkeypatch.setattr(language_id, "L1", penalty)
+        left.append(int((language_id.train(vectors, label, 3)[0] != 0).sum()))
+    assert left[0] > 2 * left[1] > left[2] == 0
+    monkeypatch.undo()
+    weights, bias = language_id.train(vectors, label, 3)
+    assert not weights[np.setdiff1d(np.arange(language_id.POSITIONS), seen)].any()
+    model = language_id.LanguageModel(sorted(WORDS), idf, weights, bias)
+    assert all(model.predict(t)[0] == lang for _, t, lang in rows)
+
+
+def test_temperature_has_the_least_loss():
+    draw = np.random.default_rng(1)
+    margins = draw.normal(size=(4_000, 3)) * 2
+    share = np.exp(margins / 1.0)
+    label = np.array([draw.choice(3, p=row / row.sum()) for row in share])
+    assert abs(language_id.fitted_temperature(margins * 4, label) - 4) < 0.5
+    assert abs(language_id.fitted_temperature(margins / 2, label) - 0.5) < 0.1
+
+
+def test_document_frequencies_equal_a_plain_count(spark):
+    rows = sentences(120) + [(900, None, "aa"), (901, "", "aa"), (902, "12 !", "bb")]
+    held, documents = language_id.document_frequencies(spark.createDataFrame(rows, SCHEMA).repartition(5), "text")
+    want = Counter(at for _, t, _ in rows for at in plain_counts(t or ""))
+    assert documents == 120
+    assert {int(at): int(held[at]) for at in np.flatnonzero(held)} == dict(want)
+
+
+def test_held_out_accuracy_and_calibration(spark):
+    found = queries.op12_language_id(spark, SF).join(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang", "text"), "doc_id")
+    rows = found.where("held_out and lang is not null").collect()
+    right = [r["lang"] == r["lang_pred"] for r in rows]
+    assert np.mean(right) >= 0.98
+    assert abs(np.mean(right) - np.mean([r["score"] for r in rows])) < 0.05
+    assert all(0 <= r["score"] <= 1 for r in found.collect())
+
+
+def test_held_out_rows_are_not_learned_from(spark):
+    rows = sentences(200)
+    frame = spark.createDataFrame(rows, SCHEMA)
+    wrong = frame.withColumn("lang", F.when(held_out("doc_id", 5, 0), F.lit("zz")).otherwise(F.col("lang")))
+    one, two = (language_id.fit(x, 5, 0) for x in (frame, wrong))
+    assert one.languages == two.languages == sorted(WORDS) and (one.weights == two.weights).all()
+
+
+def test_odd_documents_and_columns(spark):
+    rows = [(*r, "x", "y") for r in sentences(90)]
+    rows += [(500, None, "aa", "x", "y"), (501, "", "bb", "x", "y"), (502, "12 + 3", None, "x", "y"), (None, "the of", None, "x", "y"),
+             (503, "der die " * 40_000, None, "x", "y"), (503, "der die " * 40_000, None, "x", "y")]
+    frame = spark.createDataFrame(rows, SCHEMA + ", score string, predicted string").withColumns({n: F.lit("z") for n in ("draw", "at", "a.b")})
+    model = language_id.fit(frame, 5, 0)
+    found = language_id.identify(frame, model)
+    assert found.columns == ["doc_id", "text", "lang", "predicted", "draw", "at", "a.b", "lang_pred", "score"]
+    got = [tuple(r) for r in found.where("doc_id >= 500 or doc_id is null").collect()]
+    assert {(r[0], r[7]) for r in got} == {(500, "und"), (501, "und"), (502, "und"), (None, "aa"), (503, "bb")} and len(got) == 6
+    assert {r[3:7] for r in got} == {("y", "z", "z", "z")}
+    assert all(r[8] == 0.0 for r in got if r[7] == "und")
+
+
+def test_too_few_labels(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert language_id.identify(empty, language_id.fit(empty, 5, 0)).collect() == []
+    none = spark.createDataFrame([(1, "the of", None)], SCHEMA)
+    assert language_id.identify(none, language_id.fit(none, 5, 0)).first()["lang_pred"] == "und"
+    one = spark.createDataFrame([(i, "the of", "aa") for i in range(20)], SCHEMA)
+    got = language_id.identify(one, language_id.fit(one, 5, 0)).first()
+    assert (got["lang_pred"], got["score"]) == ("aa", 1.0)

@@ -20,6 +20,10 @@ CONTRACTS = {
     "op7_warc": ("pages", ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]),
     "op8_embedding_dups": ("embeddings", ["vec_id", "n_links", "component_id", "kept"]),
     "op9_simhash": ("documents", ["doc_id", "fingerprint", "component_id"]),
+    "op12_language_id": ("documents", ["doc_id", "held_out", "lang_pred", "score"]),
+    "op13_tokenizer_alignment": (
+        "documents", ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    ),
 }
 
 

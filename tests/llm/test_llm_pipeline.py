@@ -50,4 +50,4 @@ def test_stages_of_odd_documents(spark, stage):
 
 def test_registered_queries():
     names = list(__spark_entry__.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
