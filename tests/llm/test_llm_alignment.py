@@ -3,7 +3,6 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
-import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -144,4 +143,4 @@ def test_a_file_in_another_order_is_read_by_its_own_library(tmp_path, sides):
     assert other.fast is None
     text = "The quick brown fox"
     assert other.encode([text])[0].tolist() == sides[0].encode([text])[0].tolist()
-    assert isinstance(other.bytes[5], bytes) and np.all([b for b in other.bytes])
+    assert all(other.bytes)
