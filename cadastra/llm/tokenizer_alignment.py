@@ -165,38 +165,60 @@ def lockstep(
     return a_link[:done], b_link[:done], np.sort(np.concatenate(a_cut)), np.sort(np.concatenate(b_cut))
 
 
-def _joined(ids: np.ndarray, table: list[bytes]) -> bytes:
-    return b"".join(map(table.__getitem__, ids.tolist()))
+class Vocabulary:
+    """The bytes of all ids in a row."""
+
+    def __init__(self, tokens: list[bytes]) -> None:
+        self.size = np.array([len(token) for token in tokens])
+        self.first = np.cumsum(self.size) - self.size
+        self.content = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        size = self.size[ids]
+        start = np.cumsum(size) - size
+        return self.content[np.arange(int(size.sum())) + np.repeat(self.first[ids] - start, size)]
 
 
 def align_texts(texts: list[str | None], a: ByteLevelTokenizer, b: PieceTokenizer) -> Iterator[tuple[range, Aligned]]:
     """Blocks of neighbouring texts: which they are, and their alignment."""
-    a_size, b_size = (np.array([len(token) for token in side.bytes]) for side in (a, b))
+    sides = Vocabulary(a.bytes), Vocabulary(b.bytes)
     none = np.zeros(0, np.int32)
     start, tokens, held = 0, 0, []
     for at, text in enumerate(texts):
-        pair = none, none
-        if text:
-            pair = a.encode([text])[0], b.encode([text])[0]
-            whole = (" " + text).encode("utf-8", "replace")
-            if _joined(pair[0], a.bytes) != whole or _joined(pair[1], b.bytes) != whole:
-                pair = none, none
-        held.append(pair)
-        tokens += len(pair[0]) + len(pair[1])
+        held.append((a.encode([text])[0], b.encode([text])[0]) if text else (none, none))
+        tokens += len(held[-1][0]) + len(held[-1][1])
         if tokens >= BLOCK_TOKENS or at == len(texts) - 1:
-            yield range(start, at + 1), _aligned(held, a_size, b_size)
+            yield range(start, at + 1), _aligned(texts[start : at + 1], held, sides)
             start, tokens, held = at + 1, 0, []
 
 
-def _aligned(held: list[tuple[np.ndarray, np.ndarray]], a_size: np.ndarray, b_size: np.ndarray) -> Aligned:
-    sides = []
-    for side, size in ((0, a_size), (1, b_size)):
-        ids = np.concatenate([pair[side] for pair in held]).astype(np.int64)
-        first = np.concatenate([[0], np.cumsum([len(pair[side]) for pair in held])])
-        total = np.concatenate([[0], np.cumsum(size[ids])])
-        end = total[1:] - np.repeat(total[first[:-1]], np.diff(first))
-        sides.append((ids, end, first))
-    (a_ids, a_end, a_first), (b_ids, b_end, b_first) = sides
+def _whole(texts: list[str | None], held: list[tuple[np.ndarray, np.ndarray]], sides: tuple[Vocabulary, Vocabulary]) -> np.ndarray:
+    """Whether the tokens of both sides join to a space and the text."""
+    wanted = [(" " + text).encode("utf-8", "replace") if text else b"" for text in texts]
+    size = np.array([len(w) for w in wanted])
+    good = np.ones(len(texts), bool)
+    for k, side in enumerate(sides):
+        good &= np.array([int(side.size[pair[k]].sum()) for pair in held]) == size
+    own = np.flatnonzero(good & (size > 0))
+    if not len(own):
+        return good
+    content = np.frombuffer(b"".join(wanted[i] for i in own), np.uint8)
+    first = np.cumsum(size[own]) - size[own]
+    for k, side in enumerate(sides):
+        wrong = side.joined(np.concatenate([held[i][k] for i in own])) != content
+        good[own[np.logical_or.reduceat(wrong, first)]] = False
+    return good
+
+
+def _aligned(texts: list[str | None], held: list[tuple[np.ndarray, np.ndarray]], sides: tuple[Vocabulary, Vocabulary]) -> Aligned:
+    none, parts = np.zeros(0, np.int32), []
+    held = [pair if good else (none, none) for pair, good in zip(held, _whole(texts, held, sides), strict=True)]
+    for k, side in enumerate(sides):
+        ids = np.concatenate([pair[k] for pair in held]).astype(np.int64)
+        first = np.concatenate([[0], np.cumsum([len(pair[k]) for pair in held])])
+        total = np.concatenate([[0], np.cumsum(side.size[ids])])
+        parts.append((ids, total[1:] - np.repeat(total[first[:-1]], np.diff(first)), first))
+    (a_ids, a_end, a_first), (b_ids, b_end, b_first) = parts
     a_link, b_link, a_cut, b_cut = lockstep(a_end, b_end, a_first, b_first)
     return Aligned(a_ids, b_ids, a_end, b_end, a_first, b_first, a_cut, b_cut, a_link, b_link)
 
@@ -267,7 +289,7 @@ def _block(number: int, doc_ids: list, x: Aligned, words: tuple[list[bytes], lis
     """The row of a block: counts of its documents, its pairs from frequent to rare, and which of them each document holds."""
     size = len(doc_ids)
     a_of = np.repeat(np.arange(size), np.diff(x.a_first))
-    pair, found = np.unique((x.a_ids[x.a_link] << _SHIFT) | x.b_ids[x.b_link], return_inverse=True)
+    found, pair = pd.factorize((x.a_ids[x.a_link] << _SHIFT) | x.b_ids[x.b_link])
     order = np.argsort(-np.bincount(found, minlength=len(pair)), kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
