@@ -27,6 +27,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import Aside
+
 #: Characters after which a text is cut at the next safe place.
 CUT_AFTER = 65_536
 #: White space in a row that is not left to the pattern.
@@ -101,9 +103,9 @@ def encode_and_decode(text: Column, path: str, pattern: str) -> Column:
 
 def tokenize(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """`docs` with `token_ids` (array of int) and `decoded` (binary)."""
-    both = encode_and_decode(F.col(text), path, pattern)
-    rows = docs.drop("token_ids", "decoded").withColumn("_bpe", both)
-    return rows.select("*", F.col("_bpe.ids").alias("token_ids"), F.col("_bpe.decoded").alias("decoded")).drop("_bpe")
+    aside = Aside(docs)
+    rows = aside.frame.withColumn("both", encode_and_decode(aside[text], path, pattern))
+    return aside.back(rows.select("*", F.col("both.ids").alias("token_ids"), F.col("both.decoded").alias("decoded")), ("token_ids", "decoded"))
 
 
 def token_digests() -> list[Column]:

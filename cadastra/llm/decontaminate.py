@@ -50,7 +50,8 @@ _WORD = re.compile(r"\w+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    """Words in lower case, each by itself: lower-casing a text may change its length."""
+    return [word.lower() for word in _WORD.findall(text or "")]
 
 
 class SeedIndex:
@@ -78,11 +79,14 @@ class SeedIndex:
         self.owner = self.owner[order]
         self.seeds, self.first = np.unique(code[order], return_index=True)
         self.last = np.append(self.first[1:], len(order))
-        have = np.bincount(self.owner, minlength=len(self.items))
-        lost = np.array([int((1 - self.threshold) * MATCH * len(item)) for item in self.items], int)
+        have, lost = np.bincount(self.owner, minlength=len(self.items)), self._lost()
         long = np.array([len(item) >= PART_WORDS for item in self.items], bool)
         self.need = np.where(long, np.minimum(PART_SEEDS, np.maximum(1, have - lost)), np.maximum(1, have - lost))
 
+    def _lost(self) -> np.ndarray:
+        """The points, and so the seeds at most, that a copy of each item may lose."""
+        return np.array([int((1 - self.threshold) * MATCH * len(item)) for item in self.items], int)
+
     def codes(self, numbers: np.ndarray) -> np.ndarray:
         """One number for each n-gram in a row of word numbers."""
         count = len(numbers) - NGRAM + 1
@@ -224,7 +228,7 @@ def match_text(text: str | None, index: SeedIndex) -> list[tuple[int | None, flo
             best[item] = (score, start + low, start + high)
     if not best:
         return []
-    spans = [m.span() for m in _WORD.finditer((text or "").lower())]
+    spans = [m.span() for m in _WORD.finditer(text or "")]
     return [(index.ids[i], s, spans[low][0], spans[min(high, len(spans)) - 1][1]) for i, (s, low, high) in sorted(best.items())]
 
 

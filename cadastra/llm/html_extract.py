@@ -5,7 +5,9 @@ contiguous stretch with the highest sum. The weights of tags come from labelled
 bounded sample of those with one `article` or `main` element: a tag that mostly stands
 outside of it costs much, one that belongs to running text costs little. Words within
 menus, forms, adverts and the like count against a stretch, and are left out of its text. Such boxes count
-nothing, with their tags, where they stand inside the main element or between running text of one parent.
+nothing, with their tags, where they stand inside the main element or between running text of one parent. Outside of the
+main element a word in a class, id or role names such a box; inside of it headings are text whatever their name, and other
+elements are such boxes only if their whole name says so. Only elements of HTML have learned weights.
 
 The text: character references decoded, white space inside a block turned to one space,
 blocks joined by a blank line. A line break inside a block is white space.
@@ -29,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import Aside, named
+
 #: Labelled pages that weights are learned from, at most; longer ones than this are not used.
 LABELLED_PAGES = 2_000
 LABELLED_CHARS = 200_000
@@ -51,35 +55,53 @@ _BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot thead tr ul".split()
 )
 _RUNNING = frozenset("a abbr b blockquote br cite code em h1 h2 h3 h4 h5 h6 i li mark ol p pre q s small span strong sub sup u ul".split())
+_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words in a class, id or role that name what is not main text.
-_NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|breadcrumb|breadcrumbs|comment|comments|cookie|cookies|"
-    r"consent|disclaimer|disqus|footer|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notice|outbrain|pagination|"
-    r"popup|promo|related|replies|share|sharing|sidebar|signup|social|sponsor|sponsored|subscribe|toolbar|widget|complementary|contentinfo)"
-    r"(?:$|[\s_-])",
-    re.IGNORECASE,
-)
+_WORDS = (
+    "ad ads advert adverts advertisement banner breadcrumb breadcrumbs comment comments cookie cookies consent disclaimer disqus "
+    "footer header masthead menu modal nav navbar navigation newsletter notice outbrain pagination popup promo related replies "
+    "share sharing sidebar signup social sponsor sponsored subscribe toolbar widget complementary contentinfo"
+).split()
+#: Words that may stand beside them in the name of such a box, and those of them that head a text.
+_BESIDE = (
+    "area bar block body bottom box button buttons container content footer form group icon icons inline inner item items label left "
+    "link links list main mobile module outer page panel post right row section site slot text title top unit wrap wrapper"
+).split()
+_HEADS = ("header", "masthead", "banner")
+_NAMED = re.compile(rf"(?:^|[\s_-])(?:{'|'.join(_WORDS)})(?:$|[\s_-])", re.IGNORECASE)
+_NAMES = frozenset(_WORDS) - set(_HEADS)
+_BY_NAME = _NAMES | set(_BESIDE)
 #: Names that say what a wrapper has or lacks, not what it is.
 _HAVING = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-]\S*", re.IGNORECASE)
+_PARTS = re.compile(r"[^\W\d_]+")
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    rf"|<(?P<raw>{_RAW})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
+    rf"|<(?P<raw>{_RAW})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 
+#: Tags that weights are learned for; others have those of unseen tags, whatever else a table holds.
+_KNOWN = _BOILERPLATE | _MAIN | _VOID | _BLOCK | _RUNNING
+
 #: A token is (tag key or None, text, within boilerplate, within main, ends a block, of a box within text).
 Token = tuple[str | None, str, bool, bool, bool, bool]
 
 
-def _is_boilerplate(tag: str, rest: str) -> bool:
-    if tag in _BOILERPLATE:
+def _is_boilerplate(tag: str, rest: str, in_main: bool) -> bool:
+    """Whether an element is no main text. In the main element headings never are by their name, and others
+    only if all words of their class, id or role are those of such boxes: `ad-slot`, not `share price`."""
+    if tag in _BOILERPLATE and not (in_main and tag == "header"):
         return True
-    if not rest or tag in _MAIN or tag in ("html", "body"):
+    if not rest or tag in _MAIN or tag in ("html", "body") or (in_main and tag in _HEADINGS):
         return False
-    return any(_NAMED.search(_HAVING.sub("", a or b or c)) for a, b, c in _ATTRIBUTE.findall(rest))
+    names = [_HAVING.sub("", a or b or c) for a, b, c in _ATTRIBUTE.findall(rest)]
+    if not in_main:
+        return any(map(_NAMED.search, names))
+    parts = [{word.lower() for word in _PARTS.findall(name)} for name in names]
+    return any(own & _NAMES and own <= _BY_NAME for own in parts)
 
 
 def tokens(page: str) -> list[Token]:
@@ -88,13 +110,15 @@ def tokens(page: str) -> list[Token]:
     stack: list[tuple[str, bool, bool, int]] = []  # (tag, boilerplate, main, parent of its running text)
     boiler = main = count = 0
     words: Counter[int] = Counter()  # of running text, by parent
+    open_tags: Counter[str] = Counter()
     boxes: list[tuple[int, int, bool, int, int]] = []  # (first token, token after, within main, parent, words before)
     box = (0, False, 0, 0)
 
     def close(at: int, end: int) -> None:
         nonlocal boiler, main
         was = boiler
-        for _, was_boiler, was_main, _ in stack[at:]:
+        for name, was_boiler, was_main, _ in stack[at:]:
+            open_tags[name] -= 1
             boiler -= was_boiler
             main -= was_main
         del stack[at:]
@@ -112,7 +136,7 @@ def tokens(page: str) -> list[Token]:
             continue
         tag, rest = match["tag"].lower(), match["rest"]
         if match["end"]:
-            at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
+            at = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag) if open_tags[tag] else None
             if at is not None:
                 own_box = stack[at][1]
                 close(at, len(found) + own_box)
@@ -128,10 +152,11 @@ def tokens(page: str) -> list[Token]:
             close(len(stack) - 1, len(found) - 1)
         count += 1
         parent = stack[-1][3] if stack else 0
-        own = (tag, _is_boilerplate(tag, rest), tag in _MAIN, parent if tag in _RUNNING else count)
+        own = (tag, _is_boilerplate(tag, rest, main > 0), tag in _MAIN, parent if tag in _RUNNING else count)
         if own[1] and not boiler:
             box = (len(found) - 1, main > 0, parent, words[parent])
         stack.append(own)
+        open_tags[tag] += 1
         boiler += own[1]
         main += own[2]
     free = bytearray(len(found))
@@ -160,11 +185,12 @@ def learn_weights(pages: DataFrame, html: str = "html", page_id: str = "page_id"
     def counted(batch: pd.Series) -> pd.Series:
         return pd.Series([[dict(zip(("tag", "inside", "outside"), row, strict=True)) for row in count_tags(page)] for page in batch])
 
-    labelled = pages.where(F.lower(html).rlike("<(article|main)[ >]") & (F.length(html) <= LABELLED_CHARS))
-    ids = labelled.select(page_id).orderBy(F.xxhash64(page_id), page_id).limit(limit).distinct()
-    sample = labelled.join(F.broadcast(ids), page_id, "left_semi").select(F.explode(counted(html)).alias("c")).select("c.*")
-    rows = sample.groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-    rows = rows.orderBy(F.desc(F.col("inside") + F.col("outside")), "tag").limit(1_000).collect()
+    rows = pages.select(named(page_id).alias("page_id"), named(html).alias("html"))
+    labelled = rows.where(F.lower("html").rlike("<(article|main)[ >]") & (F.length("html") <= LABELLED_CHARS))
+    ids = labelled.select("page_id").orderBy(F.xxhash64("page_id"), "page_id").limit(limit).distinct()
+    sample = labelled.join(F.broadcast(ids), "page_id", "left_semi").select(F.explode(counted("html")).alias("c")).select("c.*")
+    known = F.regexp_replace("tag", "^/", "").isin(*sorted(_KNOWN))
+    rows = sample.where(known).groupBy("tag").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()
     return {
         row["tag"]: min(MOST_TAG, max(LEAST_TAG, 2 * math.log((row["inside"] + 0.5) / (row["outside"] + 0.5)))) for row in rows
     }
@@ -218,6 +244,6 @@ def extract(pages: DataFrame, weights: dict[str, float], html: str = "html") ->
         for batch in batches:
             yield pd.Series([main_text(page, weights) for page in batch], dtype=object)
 
-    rest = [c for c in pages.columns if c not in ("text", "n_chars")]
-    rows = pages.select(*rest, text_of(F.col(html)).alias("text"))
-    return rows.withColumn("n_chars", F.length("text").cast("long"))
+    aside = Aside(pages)
+    rows = aside.frame.withColumn("text", text_of(aside[html]))
+    return aside.back(rows.withColumn("n_chars", F.length("text").cast("long")), ("text", "n_chars"))

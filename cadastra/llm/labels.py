@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import named
+
 
 def held_out(doc_id: str, folds: int, fold: int) -> Column:
     """Whether crc32 of the id as text leaves this remainder; false for a null id."""
@@ -23,22 +27,28 @@ def labelled_sample(
     max_chars: int,
     doc_id: str = "doc_id",
     text: str = "text",
+    more: Sequence[str] = (),
 ) -> tuple[DataFrame, dict[int, float]]:
-    """Documents (all columns, with `_label`) outside the held-out fold, and how many each stands for, by label.
+    """(doc_id, text, _label, m0, m1, ... for the numbers `more`) outside the held-out fold, and how many documents
+    each stands for, by label.
 
-    At most `per_class` ids of each label, those with the smallest hashes, none with more than
-    `max_chars` characters. Of several labels of one id the largest counts; null labels and ids do not.
+    At most `per_class` ids of each label, those with the smallest hashes, none with more than `max_chars` characters,
+    and one row of an id, the least. Of several labels of one id the largest counts; null labels and ids do not.
     """
-    rows = labels.select(F.col(doc_id).alias("_labelled"), F.col(target).cast("int").alias("_label"))
-    rows = rows.where(F.col("_label").isin(0, 1) & F.col("_labelled").isNotNull() & ~held_out("_labelled", folds, fold))
-    rows = rows.groupBy("_labelled").agg(F.max("_label").alias("_label"))
+    rows = labels.select(named(doc_id).alias("labelled"), named(target).cast("int").alias("_label"))
+    rows = rows.where(F.col("_label").isin(0, 1) & F.col("labelled").isNotNull() & ~held_out("labelled", folds, fold))
+    rows = rows.groupBy("labelled").agg(F.max("_label").alias("_label"))
     counts = {row["_label"]: row["count"] for row in rows.groupBy("_label").count().collect()}
-    order = (F.xxhash64("_labelled"), "_labelled")
+    order = (F.xxhash64("labelled"), "labelled")
     chosen = rows.where("_label = 0").orderBy(*order).limit(per_class).union(
         rows.where("_label = 1").orderBy(*order).limit(per_class)
     )
-    sample = docs.where(F.length(text) <= max_chars).join(F.broadcast(chosen), F.col(doc_id) == F.col("_labelled"))
-    return sample.drop("_labelled"), {c: n / min(n, per_class) for c, n in counts.items()}
+    numbers = [named(c).cast("double").alias(f"m{i}") for i, c in enumerate(more)]
+    own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"), *numbers).where(F.length("text") <= max_chars)
+    sample = own.join(F.broadcast(chosen), F.col("doc_id") == F.col("labelled"))
+    first = F.min(F.struct("text", *(f"m{i}" for i in range(len(more))))).alias("first")
+    sample = sample.groupBy("doc_id", "_label").agg(first).select("doc_id", "_label", "first.*")
+    return sample, {c: n / min(n, per_class) for c, n in counts.items()}
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:

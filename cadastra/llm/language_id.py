@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cadastra.llm.columns import Aside, named
 from cadastra.llm.labels import held_out
 
 UNKNOWN = "und"
@@ -186,20 +187,16 @@ def document_frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
         at = np.flatnonzero(total)
         yield pd.DataFrame({"at": np.append(at, -1), "n": np.append(total[at], documents)})
 
-    counted = docs.select(_named(text).alias("text")).mapInPandas(held, "at long, n long")
+    counted = docs.select(named(text).alias("text")).mapInPandas(held, "at long, n long")
     total = np.zeros(POSITIONS + 1, np.int64)
     for at, n in counted.groupBy("at").agg(F.sum("n")).collect():  # a row for each position, at most
         total[at] = n
     return total[:POSITIONS], int(total[POSITIONS])
 
 
-def _named(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _sampled(docs: DataFrame, text: str, lang: str) -> list[tuple[str, str]]:
     """(language, text) of a bounded sample, drawn by hashes of the texts; a repeated text counts once."""
-    rows = docs.select(_named(lang).alias("lang"), _named(text).alias("text"))
+    rows = docs.select(named(lang).alias("lang"), named(text).alias("text"))
     rows = rows.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (F.length("text") <= MAX_CHARS))
     rows = rows.withColumn("draw", F.xxhash64("text"))
     texts = F.approx_count_distinct("draw").alias("texts")
@@ -250,9 +247,6 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
         for batch in batches:
             yield pd.DataFrame([model.predict(value) for value in batch], columns=["lang_pred", "score"])
 
-    rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    own = "predicted"
-    while own in {c.lower() for c in rest}:
-        own += "_"
-    rows = docs.select(*map(_named, rest), predicted(_named(text)).alias(own))
-    return rows.select(*map(_named, rest), F.col(f"{own}.lang_pred").alias("lang_pred"), F.col(f"{own}.score").alias("score"))
+    aside = Aside(docs)
+    rows = aside.frame.withColumn("found", predicted(aside[text]))
+    return aside.back(rows.select("*", "found.*"), ("lang_pred", "score"))

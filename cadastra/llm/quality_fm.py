@@ -24,9 +24,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import named
 from cadastra.llm.labels import labelled_sample, sigmoid
 
 PER_CLASS = 3_000
@@ -160,21 +161,20 @@ def fit(
     docs: DataFrame, labels: DataFrame, folds: int, fold: int, target: str = "quality", text: str = "text", metadata: Sequence[str] = ()
 ) -> FactorisationMachine:
     """Fit to the labelled documents outside the held-out fold."""
-    sample, weights = labelled_sample(docs, labels, target, folds, fold, PER_CLASS, MAX_CHARS)
-    rows = sample.select(text, "_label", *(F.col(c).cast("double").alias(f"_m{i}") for i, c in enumerate(metadata)))
-    rows = rows.toPandas().sort_values([text, "_label"])
+    sample, weights = labelled_sample(docs, labels, target, folds, fold, PER_CLASS, MAX_CHARS, text=text, more=metadata)
+    rows = sample.toPandas().sort_values(["text", "_label"])
     label = rows["_label"].to_numpy()
     if len(set(label)) < 2:
         return FactorisationMachine(float(label[0]) if len(label) else 1.0)
-    numbers = rows[[f"_m{i}" for i in range(len(metadata))]].to_numpy(float)
+    numbers = rows[[f"m{i}" for i in range(len(metadata))]].to_numpy(float)
     machine = FactorisationMachine()
-    vectors = [features(t, tuple(m)) for t, m in zip(rows[text], numbers, strict=True)]
+    vectors = [features(t, tuple(m)) for t, m in zip(rows["text"], numbers, strict=True)]
     machine.fit(vectors, label.astype(float), np.array([weights[y] for y in label], float))
     return machine
 
 
-def score_documents(docs: DataFrame, machine: FactorisationMachine, text: str = "text", metadata: Sequence[str] = ()) -> DataFrame:
-    """`docs` with `score`: the probability of label 1, between 0 and 1."""
+def score(text: Column, machine: FactorisationMachine, metadata: Sequence[Column] = ()) -> Column:
+    """Probability of label 1, between 0 and 1."""
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
@@ -182,5 +182,9 @@ def score_documents(docs: DataFrame, machine: FactorisationMachine, text: str =
             numbers = zip(*(batch[c] for c in batch.columns[1:]), strict=True) if batch.shape[1] > 1 else ((),) * len(batch)
             yield pd.Series([machine.score(t, m) for t, m in zip(batch[batch.columns[0]], numbers, strict=True)], dtype=float)
 
-    inputs = F.struct(F.col(text).alias("text"), *(F.col(c).cast("double").alias(f"m{i}") for i, c in enumerate(metadata)))
-    return docs.withColumn("score", scored(inputs))
+    return scored(F.struct(text.alias("text"), *(m.cast("double").alias(f"m{i}") for i, m in enumerate(metadata))))
+
+
+def score_documents(docs: DataFrame, machine: FactorisationMachine, text: str = "text", metadata: Sequence[str] = ()) -> DataFrame:
+    """`docs` with `score`."""
+    return docs.withColumn("score", score(named(text), machine, [named(c) for c in metadata]))

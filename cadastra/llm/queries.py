@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.llm import (
@@ -49,19 +49,21 @@ def _prediction(scored: DataFrame, folds: int, fold: int) -> DataFrame:
     return scored.select("doc_id", held_out("doc_id", folds, fold).alias("held_out"), "score", predicted.alias("predicted"))
 
 
-def scored_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_score(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Column:
+    """The quality of each of `docs`, by a machine that is fitted to those of them that have labels."""
     machine = quality_fm.fit(docs, table(spark, sf_dir, "labels"), QUALITY_FOLDS, QUALITY_FOLD, metadata=["n_chars"])
-    return quality_fm.score_documents(docs, machine, metadata=["n_chars"])
+    return quality_fm.score(F.col("text"), machine, [F.col("n_chars")])
 
 
-def scored_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def toxicity_score(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Column:
+    """The toxicity of each of `docs`, by a model that is fitted to those of them that have labels."""
     model = toxicity_zstd.fit(docs, table(spark, sf_dir, "labels"), TOXIC_FOLDS, TOXIC_FOLD)
-    return toxicity_zstd.score_documents(docs, model)
+    return toxicity_zstd.score(F.col("text"), model)
 
 
 def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    return _prediction(scored_quality(spark, docs, sf_dir), QUALITY_FOLDS, QUALITY_FOLD)
+    return _prediction(docs.withColumn("score", quality_score(spark, docs, sf_dir)), QUALITY_FOLDS, QUALITY_FOLD)
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +72,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_toxicity_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return _prediction(scored_toxicity(spark, docs, sf_dir), TOXIC_FOLDS, TOXIC_FOLD)
+    return _prediction(docs.withColumn("score", toxicity_score(spark, docs, sf_dir)), TOXIC_FOLDS, TOXIC_FOLD)
 
 
 def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS, ROW_OVERHEAD)
+    placed = sharding.assign(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARDS, ROW_OVERHEAD)
     return placed.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
@@ -104,14 +106,13 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_embedding_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), COSINE)
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    linked = embedding_dups.near_duplicates(rows, COSINE)
     return linked.select("vec_id", "n_links", "component_id", "kept")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = simhash_dups.printed(docs, SHINGLE_WORDS, keep_text=False)
-    return simhash_dups.components(rows, MAX_BITS).select("doc_id", "fingerprint", "component_id")
+    return simhash_dups.components(table(spark, sf_dir, "documents"), SHINGLE_WORDS, MAX_BITS)
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,10 @@
 """Vector bin packing: documents into shards of nearly equal bytes, tokens and rows.
 
-The groups to place are the documents with equal texts, which stay together where that
-leaves the shards balanced. Groups are summed on the cluster by a digest of the text. Those
-above a small share of the whole are placed one by one, and one above the largest share
-is cut into pieces by its documents' ids. All others are dealt by their digest into a
-fixed number of bundles, whose sums take the place of single groups. So what is packed
+The groups to place are the documents with equal texts. Groups are summed on the cluster by a digest of the text. Those
+above a small share of the whole are placed one by one, and whole if they fit a shard; a group is cut into
+pieces by its documents' ids only if it is larger than a shard in one of the sums, or so uneven, by `UNEVEN` of a shard between
+its largest and its smallest share, that the shard which holds it could not be filled in all of them. All others are dealt by
+their digest into a fixed number of bundles, whose sums take the place of single groups. So what is packed
 is bounded by parameters, whatever the number of documents. Groups, pieces
 and bundles are placed from large to small; each goes where the dot product of its
 (bytes, tokens, rows) with the shard's residual capacity is highest.
@@ -27,14 +27,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from cadastra.llm.columns import Aside
 from cadastra.scratch import written
 
 #: Bundles for the groups that are not placed by themselves.
 BUNDLES = 4_096
 #: A group above this share of any sum is placed by itself: at most 3 x 2,048 of them.
 OWN_SHARE = 1 / 2_048
-#: A group above this share of one shard is cut into pieces of at most that size.
-PIECE_SHARE = 1 / 4
+#: A group whose largest and smallest share of one shard are farther apart is cut into pieces that are not.
+UNEVEN = 1 / 8
 #: Rows of one part of a shard, on average, when slots are numbered.
 PART_ROWS = 2_000
 
@@ -55,67 +56,63 @@ def pack(items: np.ndarray, shards: int) -> np.ndarray:
     return placed
 
 
-def _measured(docs: DataFrame, text: str, overhead: int) -> DataFrame:
-    words = F.regexp_count(F.col(text), F.lit(r"\S+"))
-    return docs.drop(*_OUTPUTS).withColumns({
-        "size": F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + overhead,
-        "text_crc32": F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")),
-        "_tokens": F.coalesce(words, F.lit(0)).cast("long"),
-        "_group": F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("null")),
-    })
-
-
 def _bundle(group: Column) -> Column:
     return F.pmod(F.xxhash64(group, F.lit("bundle")), F.lit(BUNDLES)).cast("int")
 
 
-def _pieces(group: np.ndarray, totals: np.ndarray, shards: int) -> int:
-    share = (group / np.where(totals > 0, totals, 1.0)).max() * shards / PIECE_SHARE
-    return max(1, int(np.ceil(share)))
+def pieces(group: np.ndarray, totals: np.ndarray, shards: int) -> int:
+    """Into how many pieces a group is cut; 1: it stays whole."""
+    share = group / np.where(totals > 0, totals, 1.0) * shards
+    share = np.where(totals > 0, share, share.max())
+    return max(1, int(np.ceil(share.max() - 1e-9)), int(np.ceil((share.max() - share.min()) / UNEVEN - 1e-9)))
 
 
 def assign(
     docs: DataFrame, shards: int, overhead: int = 8, text: str = "text", doc_id: str = "doc_id"
 ) -> DataFrame:
     """`docs` with `size`, `text_crc32`, `shard` (from 0) and `slot` (gapless from 0 in each shard)."""
-    spark = docs.sparkSession
-    rows = _measured(docs, text, overhead)
-    sums = [F.sum("size").alias("bytes"), F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
-    groups = written(rows.groupBy("_group").agg(*sums), "groups")
+    spark, aside = docs.sparkSession, Aside(docs)
+    body, ident = aside[text], aside.name(doc_id)
+    rows = aside.frame.select(
+        *aside.held,
+        (F.coalesce(F.octet_length(body), F.lit(0)).cast("long") + overhead).alias("size"),
+        F.crc32(F.coalesce(body, F.lit("")).cast("binary")).alias("text_crc32"),
+        F.coalesce(F.regexp_count(body, F.lit(r"\S+")), F.lit(0)).cast("long").alias("tokens"),
+        F.coalesce(F.md5(body.cast("binary")), F.lit("null")).alias("group"),
+    )
+    sums = [F.sum("size").alias("bytes"), F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")]
+    groups = written(rows.groupBy("group").agg(*sums), "groups")
     total = np.array(groups.agg(*(F.coalesce(F.sum(d), F.lit(0)) for d in _DIMENSIONS)).first(), float)
     least = [F.col(d) > float(t) * OWN_SHARE for d, t in zip(_DIMENSIONS, total, strict=True)]
     own = least[0] | least[1] | least[2]
-    bundled = groups.where(~own).groupBy(_bundle(F.col("_group")).cast("string").alias("_unit"))
+    bundled = groups.where(~own).groupBy(_bundle(F.col("group")).cast("string").alias("unit"))
     units = [tuple(row) for row in bundled.agg(*(F.sum(d) for d in _DIMENSIONS)).collect()]
-    single = [tuple(row) for row in groups.where(own).select("_group", *_DIMENSIONS).collect()]
-    cuts = [(row[0], _pieces(np.array(row[1:], float), total, shards)) for row in single]
-    cut = F.broadcast(spark.createDataFrame(cuts, "_group string, _n int"))
-    piece = F.pmod(F.xxhash64(doc_id, F.lit("piece")), F.col("_n")).cast("string")
+    single = [tuple(row) for row in groups.where(own).select("group", *_DIMENSIONS).collect()]
+    cuts = [(row[0], pieces(np.array(row[1:], float), total, shards)) for row in single]
+    cut = F.broadcast(spark.createDataFrame(cuts, "group string, cuts int"))
+    piece = F.pmod(F.xxhash64(ident, F.lit("piece")), F.col("cuts")).cast("string")
+    units += [(f"{row[0]}/0", *row[1:]) for row, (_, n) in zip(single, cuts, strict=True) if n == 1]
     if any(n > 1 for _, n in cuts):
-        pieces = rows.join(cut, "_group").groupBy(F.concat("_group", F.lit("/"), piece).alias("_unit")).agg(*sums)
-        units += [tuple(row) for row in pieces.collect()]
-    else:
-        units += [(f"{row[0]}/0", *row[1:]) for row in single]
+        parts = rows.join(cut.where("cuts > 1"), "group").groupBy(F.concat("group", F.lit("/"), piece).alias("unit")).agg(*sums)
+        units += [tuple(row) for row in parts.collect()]
     units.sort()
     placed = pack(np.array([row[1:] for row in units], float).reshape(len(units), 3), shards)
     homes = [(row[0], int(shard)) for row, shard in zip(units, placed, strict=True)]
-    homes = F.broadcast(spark.createDataFrame(homes, "_unit string, shard int"))
+    homes = F.broadcast(spark.createDataFrame(homes, "unit string, shard int"))
 
-    unit = F.when(F.col("_n").isNull(), _bundle(F.col("_group")).cast("string")).otherwise(
-        F.concat("_group", F.lit("/"), piece)
+    unit = F.when(F.col("cuts").isNull(), _bundle(F.col("group")).cast("string")).otherwise(
+        F.concat("group", F.lit("/"), piece)
     )
     parts = max(1, int(total[2] // PART_ROWS // shards) + 1)
-    homed = (
-        rows.join(cut, "_group", "left").withColumn("_unit", unit).join(homes, "_unit")
-        .withColumn("_part", F.pmod(F.xxhash64(doc_id, F.lit("part")), F.lit(parts)))
-    )
-    before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = homed.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_rows"))
-    offsets = offsets.select("shard", "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("shard", "_part").orderBy(F.col(doc_id), F.col("text_crc32"))
-    numbered = homed.withColumn("_at", F.row_number().over(within) - 1).join(offsets, ["shard", "_part"])
-    kept = [c for c in docs.columns if c not in _OUTPUTS]
-    return numbered.select(*kept, "size", "text_crc32", "shard", (F.col("_offset") + F.col("_at")).cast("long").alias("slot"))
+    # Rows without an id are dealt by their text, or all of a shard would meet in one part.
+    part = F.pmod(F.when(F.col(ident).isNull(), F.xxhash64("group")).otherwise(F.xxhash64(ident, F.lit("part"))), F.lit(parts))
+    homed = rows.join(cut, "group", "left").withColumn("unit", unit).join(homes, "unit").withColumn("part", part)
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = homed.groupBy("shard", "part").agg(F.count(F.lit(1)).alias("held"))
+    offsets = offsets.select("shard", "part", F.coalesce(F.sum("held").over(before), F.lit(0)).alias("offset"))
+    within = Window.partitionBy("shard", "part").orderBy(F.col(ident), F.col("text_crc32"))
+    numbered = homed.withColumn("at", F.row_number().over(within) - 1).join(offsets, ["shard", "part"])
+    return aside.back(numbered.withColumn("slot", (F.col("offset") + F.col("at")).cast("long")), _OUTPUTS)
 
 
 def write_shards(assigned: DataFrame, path: str) -> None:

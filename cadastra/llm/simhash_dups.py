@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import Aside, named
 from cadastra.llm.components import connected_components
 from cadastra.scratch import written
 
@@ -35,6 +36,8 @@ TREE_SAMPLE = 32_768
 TREE_LEAVES = 4_096
 #: Rows that one leaf may hold when it is searched.
 LEAF_ROWS = 3_000
+#: Fingerprints that one task deals to the leaves, about.
+DEALT_AT_ONCE = 20_000
 #: A split must leave fewer comparisons than this share of those between all rows.
 _WORTHWHILE = 0.9
 #: Below this many rows the tree in a leaf ends in plain comparison.
@@ -182,7 +185,8 @@ def _leaves(prints: DataFrame, total: int, max_bits: int, leaf_rows: int) -> Dat
     sample = np.array([row[0] for row in prints.where(chosen).limit(2 * TREE_SAMPLE).collect()], np.int64)
     leaves = min(TREE_LEAVES, 1 + total * 2 // leaf_rows)
     tree = VantageTree(np.sort(sample).view(np.uint64), max(1, len(sample) // leaves), max_bits)
-    rows, done = written(_dealt(prints, tree), "leaves"), []
+    spread = prints.select("print").repartition(max(1, -(-total // DEALT_AT_ONCE)), "print")
+    rows, done = written(_dealt(spread, tree), "leaves"), []
 
     @F.pandas_udf("int")
     def radius_of(histograms: pd.Series) -> pd.Series:
@@ -242,43 +246,53 @@ def linked_prints(prints: DataFrame, max_bits: int, leaf_rows: int = LEAF_ROWS)
     return connected_components(edges, "a", "b").select(F.col("node").alias("print"), "root")
 
 
-def printed(docs: DataFrame, shingle: int, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """`docs` with the fingerprint as `_print`, computed once and stored."""
-    rest = [c for c in docs.columns if c != "_print" and (keep_text or c != text)]
-    return written(docs.select(*rest, fingerprint(F.col(text), shingle).alias("_print")), "prints")
+def _printed(aside: Aside, shingle: int, text: str, left_out: list[str]) -> DataFrame:
+    """The rows with their fingerprint as `print`, computed once and stored."""
+    return written(aside.frame.select(*(c for c in aside.held if c not in left_out), fingerprint(aside[text], shingle).alias("print")), "prints")
 
 
 def _rooted(rows: DataFrame, max_bits: int, doc_id: str, leaf_rows: int) -> DataFrame:
     """(print, first_id, root): the distinct fingerprints, each with its group's root."""
-    prints = rows.groupBy(F.col("_print").alias("print")).agg(F.min(doc_id).alias("first_id"))
-    prints = written(prints, "prints")
+    prints = written(rows.groupBy("print").agg(F.min(doc_id).alias("first_id")), "prints")
     linked = linked_prints(prints, max_bits, leaf_rows)
     return prints.join(linked, "print", "left").withColumn("root", F.coalesce("root", "print"))
 
 
-def components(rows: DataFrame, max_bits: int, doc_id: str = "doc_id", leaf_rows: int = LEAF_ROWS) -> DataFrame:
-    """All `printed` rows, with `fingerprint` (hex) and `component_id` in place of `_print`."""
+def _grouped(rows: DataFrame, max_bits: int, doc_id: str, leaf_rows: int) -> DataFrame:
+    """The rows with `fingerprint` and `component_id`."""
     rooted = _rooted(rows, max_bits, doc_id, leaf_rows)
     roots = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = written(rooted.join(roots, "root").select(F.col("print").alias("_print"), "component_id"), "members")
-    joined = rows.drop("fingerprint", "component_id").join(members, "_print")
-    return joined.withColumn("fingerprint", hexadecimal(F.col("_print"))).drop("_print")
+    members = written(rooted.join(roots, "root").select("print", "component_id"), "members")
+    return rows.join(members, "print").withColumn("fingerprint", hexadecimal(F.col("print")))
 
 
 def near_duplicates(
     docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id", leaf_rows: int = LEAF_ROWS
 ) -> DataFrame:
     """All rows of `docs` with `fingerprint` (hex) and `component_id`."""
-    return components(printed(docs, shingle, text), max_bits, doc_id, leaf_rows)
+    aside = Aside(docs)
+    joined = _grouped(_printed(aside, shingle, text, []), max_bits, aside.name(doc_id), leaf_rows)
+    return aside.back(joined, ("fingerprint", "component_id"))
+
+
+def components(
+    docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id", leaf_rows: int = LEAF_ROWS
+) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of all rows; texts are not stored."""
+    own = docs.select(named(doc_id).alias(doc_id), named(text).alias(text))
+    aside = Aside(own)
+    joined = _grouped(_printed(aside, shingle, text, [aside.name(text)]), max_bits, aside.name(doc_id), leaf_rows)
+    return joined.select(aside[doc_id].alias(doc_id), "fingerprint", "component_id")
 
 
 def keep_one(
     docs: DataFrame, shingle: int, max_bits: int, text: str = "text", doc_id: str = "doc_id", leaf_rows: int = LEAF_ROWS
 ) -> DataFrame:
     """One row of each group: that with the smallest id; null ids come last, and of equal rows one stays."""
-    rows = printed(docs, shingle, text)
+    aside = Aside(docs)
+    rows = _printed(aside, shingle, text, [])
     order = F.struct(F.col("first_id").isNull(), "first_id", "print")
-    kept = _rooted(rows, max_bits, doc_id, leaf_rows).groupBy("root").agg(F.min(order).alias("kept"))
-    kept = written(kept.select(F.col("kept.print").alias("_print"), F.col("kept.first_id").alias("_first")), "kept")
-    chosen = rows.join(kept, "_print").where(F.col(doc_id).eqNullSafe(F.col("_first")))
-    return chosen.dropDuplicates(["_print"]).select(*docs.columns)
+    kept = _rooted(rows, max_bits, aside.name(doc_id), leaf_rows).groupBy("root").agg(F.min(order).alias("kept"))
+    kept = written(kept.select("kept.print", "kept.first_id"), "kept")
+    chosen = rows.join(kept, "print").where(aside[doc_id].eqNullSafe(F.col("first_id")))
+    return aside.back(chosen.dropDuplicates(["print"]), ())

@@ -33,11 +33,12 @@ import pandas as pd
 import sentencepiece
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from cadastra.llm.bpe import encode_text
+from cadastra.llm.columns import Aside, named
 from cadastra.scratch import new_folder
 
 #: Tokens of both sides in one block, unless one document has more.
@@ -268,21 +269,9 @@ def align(docs: DataFrame, a_path: str, pattern: str, b_path: str, text: str = "
             for _, x in align_texts(list(batch), a, b):
                 yield pd.DataFrame(_parts(x, np.argsort(x.a_link + x.b_link)), columns=list(_OUTPUTS))
 
-    rest = [c for c in docs.columns if c not in _OUTPUTS]
-    own = _free(rest)
-    rows = docs.select(*map(_quoted, rest), aligned(_quoted(text)).alias(own))
-    return rows.select(*map(_quoted, rest), *(F.col(f"{own}.{name}").alias(name) for name in _OUTPUTS))
-
-
-def _quoted(name: str) -> Column:
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
-def _free(taken: list[str]) -> str:
-    name = "aligned"
-    while name in {c.lower() for c in taken}:
-        name += "_"
-    return name
+    aside = Aside(docs)
+    rows = aside.frame.withColumn("found", aligned(aside[text]))
+    return aside.back(rows.select("*", "found.*"), _OUTPUTS)
 
 
 def _block(number: int, doc_ids: list, x: Aligned, words: tuple[list[bytes], list[bytes]]) -> dict:
@@ -324,7 +313,7 @@ def _blocks(docs: DataFrame, a_path: str, pattern: str, b_path: str, text: str,
                 yield pd.DataFrame([_block(number, ids[rows.start : rows.stop], x, words)])
                 number += 1
 
-    rows = docs.select(_quoted(doc_id).cast("long").alias("doc_id"), _quoted(text).alias("text"))
+    rows = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
     return rows.mapInPandas(block, _BLOCK)
 
 

@@ -1,18 +1,20 @@
-"""Toxicity by compression distance: which of two zstandard dictionaries suits a text better.
+"""Toxicity by compression distance: which of two zstandard dictionaries suits the windows of a text better.
 
-An ordinary dictionary is trained on windows of ordinary text. A toxic dictionary is trained on
-toxic text, of which only the words stay that hold letter sequences typical for toxic documents;
-the rest of such documents is ordinary prose. A window is compressed with the ordinary
-dictionary alone and with both, the ordinary part at the same distance, so the two lengths differ only
-where toxic material was found. Every window of a text is compared, and how many windows
-reach which difference is turned into a probability by thresholds calibrated on labelled documents.
+An ordinary dictionary is trained on ordinary text, a toxic one on toxic text, and each is used alone. A window is
+compressed with both; the bytes that the toxic dictionary saves are its gain. How many windows of a text have which gain
+is turned into a probability that is calibrated on labelled documents which the dictionaries were not trained on.
 
-Near copies in the sample count as one document when typical sequences are looked for, else the words of a
-much repeated toxic document would all seem typical.
+Most of a toxic document is prose like any other. So the toxic dictionary is trained again on those windows of toxic
+documents that its first version, trained on other toxic documents, compresses clearly better than the ordinary
+one does; what the ordinary dictionary knows drops out, what toxic documents share stays. Compressed lengths alone decide
+what that is. Near copies are one document there, else all words of a much repeated document would stay.
+
+A window is one word, since a toxic word among prose saves less than prose varies by. Zstandard stores very short inputs as they are,
+so windows are padded with spaces, whose length is the same for both. A window that comes again is not compressed again.
 
 Fitting uses a bounded sample of labelled documents (`PER_CLASS`, `MAX_CHARS`); scoring reads whole texts.
 
-Cases: a null or empty text has no window and gets the score of one window without a difference. Texts of
+Cases: a null or empty text has no window and gets the score of one window without gain. Texts of
 any length are scored in all windows. Without labels of both classes every score is 0. Rows are
 neither dropped nor merged; other columns stay, but a column `score` is replaced.
 """
@@ -21,7 +23,6 @@ from __future__ import annotations
 
 import random
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,42 +31,43 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import named
 from cadastra.llm.labels import Calibration, labelled_sample
 
 #: Labelled documents of each class that are fitted to, at most, and their length.
 PER_CLASS = 3_000
 MAX_CHARS = 50_000
-#: Words in a window.
-WINDOW = 12
-#: Bytes of the dictionaries, and windows they are trained on, at most. The toxic dictionary has as many bytes as the
-#: words selected for it, at least the last number.
-ORDINARY_BYTES, TOXIC_BYTES, LEAST_TOXIC_BYTES = 32_768, 32_768, 2_048
-TRAINING_WINDOWS = 40_000
-#: Letters of a typical sequence. It is typical if at least so many toxic documents hold it, so many times the share of
-#: ordinary ones, with a difference of so many standard errors; near copies count as one document. More labels of
-#: the same kind only raise the standard errors that a sequence reaches, so they never take one out.
-GRAM, TYPICAL_DOCS, TYPICAL_RATIO, TYPICAL_Z = 5, 4, 3.0, 6.0
+#: Words in a window, and the bytes it is padded to.
+WINDOW, PADDED = 1, 64
+#: Bytes of the dictionaries, at most; bytes they are trained on, and windows in one sample of it.
+ORDINARY_BYTES, TOXIC_BYTES = 262_144, 16_384
+TRAINING_BYTES, SAMPLE_WINDOWS = 4 << 20, 8
+#: How often the toxic dictionary chooses its windows, and the gain that they must have.
+ROUNDS, CHOSEN_GAIN = 2, 4
+#: Parts of the labelled documents; each is scored by dictionaries trained on the others for the calibration.
+FOLDS = 4
+#: Gains that are told apart.
+LEAST, MOST = -8, 14
+#: Windows whose gain is remembered by a task, and their bytes, at most.
+REMEMBERED, REMEMBERED_BYTES = 1 << 17, 64
 #: Near copies share at least this part of their rows of so many words. They are looked for among texts that agree in
 #: one of some bands of least hashes.
 COPY_WORDS, COPY_SHARE, BANDS, BAND_HASHES = 3, 0.5, 24, 4
 #: Least bytes for zstandard to train a dictionary from.
 _LEAST_TRAINING = 4_096
-_STEPS = range(1, 9)
+#: Gains from 1 on whose windows are counted one by one for the calibration.
+_COUNTED = 10
 
 
-def windows(text: str | None) -> list[bytes]:
+def windows(text: str | None) -> list[str]:
     """All words of a text, in lower case, in windows."""
     words = (text or "").lower().split()
-    return [" ".join(words[i : i + WINDOW]).encode("utf-8", "replace") for i in range(0, len(words), WINDOW)]
-
+    return words if WINDOW == 1 else [" ".join(words[i : i + WINDOW]) for i in range(0, len(words), WINDOW)]
 
-def _grams(word: str) -> set[str]:
-    word = f" {word} "
-    return {word[i : i + GRAM] for i in range(max(1, len(word) - GRAM + 1))}
 
-
-def _document_grams(text: str) -> set[str]:
-    return set().union(*map(_grams, set(text.lower().split())))
+def window_bytes(window: str) -> bytes:
+    """What is compressed."""
+    return f" {window} ".encode("utf-8", "replace").ljust(PADDED)
 
 
 def _rows_of_words(text: str) -> frozenset[str]:
@@ -102,50 +104,52 @@ def copy_groups(texts: list[str]) -> list[list[str]]:
     return list(groups.values())
 
 
-def typical_grams(toxic: list[str], ordinary: list[str]) -> set[str]:
-    """Letter sequences that stand in clearly more toxic documents than in ordinary ones."""
-    own, other = Counter(), Counter()
-    sizes = []
-    for texts, counts in ((toxic, own), (ordinary, other)):
-        groups = copy_groups(texts)
-        sizes.append(len(groups))
-        for group in groups:
-            counts.update(set().union(*map(_document_grams, dict.fromkeys(group))))
-    found, least = set(), TYPICAL_Z
-    for gram, count in own.items():
-        rate = (count + other[gram]) / sum(sizes)
-        spread = np.sqrt(rate * (1 - rate) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
-        apart = (count / sizes[0] - other[gram] / sizes[1]) / spread >= least
-        if count >= TYPICAL_DOCS and apart and count / sizes[0] >= TYPICAL_RATIO * other[gram] / sizes[1]:
-            found.add(gram)
-    return found
-
-
-def toxic_size(words: list[bytes]) -> int:
-    """Bytes of a dictionary that holds all these words."""
-    return min(TOXIC_BYTES, max(LEAST_TOXIC_BYTES, sum(map(len, set(words)))))
-
-
-def _trained(samples: list[bytes], size: int) -> bytes:
-    total = sum(map(len, samples))
-    if total < _LEAST_TRAINING or len(samples) < 16:
-        return b" ".join(samples)[-size:]
-    try:
-        return zstandard.train_dictionary(min(size, max(512, total // 8)), samples, d=6, k=16).as_bytes()
-    except zstandard.ZstdError:  # too little that repeats
-        return b" ".join(samples)[-size:]
-
-
-def _compressor(content: bytes) -> zstandard.ZstdCompressor:
+def _trained(chosen: list[str], size: int) -> bytes:
+    """A dictionary of the windows' text."""
+    chosen = list(chosen)
+    random.Random(0).shuffle(chosen)
+    samples, total = [], 0
+    for start in range(0, len(chosen), SAMPLE_WINDOWS):
+        samples.append("".join(f" {w} " for w in chosen[start : start + SAMPLE_WINDOWS]).encode("utf-8", "replace"))
+        total += len(samples[-1])
+        if total >= TRAINING_BYTES:
+            break
+    if total >= _LEAST_TRAINING and len(samples) >= 16:
+        try:
+            return zstandard.train_dictionary(min(size, max(512, total // 2)), samples, d=8, k=48).as_bytes()
+        except zstandard.ZstdError:  # too little that repeats
+            pass
+    return b"".join(samples)[-size:] or b" " * 8
+
+
+def compressor(content: bytes) -> zstandard.ZstdCompressor:
+    """Compresses with one dictionary alone; nothing but the content's length is in a frame's head."""
     parameters = zstandard.ZstdCompressionParameters(
-        window_log=17, hash_log=16, chain_log=16, search_log=6, min_match=4, strategy=zstandard.STRATEGY_GREEDY,
+        window_log=20, hash_log=17, chain_log=18, search_log=3, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2,
         write_content_size=False, write_checksum=False, write_dict_id=False,
     )
-    held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    held = zstandard.ZstdCompressionDict(content)
     held.precompute_compress(compression_params=parameters)
     return zstandard.ZstdCompressor(dict_data=held, compression_params=parameters)
 
 
+class Gains(dict):
+    """The bytes that the toxic dictionary saves on a window, as far as remembered."""
+
+    def __init__(self, toxic: bytes, ordinary: bytes) -> None:
+        super().__init__()
+        self.toxic, self.ordinary = compressor(toxic).compress, compressor(ordinary).compress
+
+    def __missing__(self, window: str) -> int:
+        content = window_bytes(window)
+        gain = len(self.ordinary(content)) - len(self.toxic(content))
+        if len(content) <= REMEMBERED_BYTES:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[window] = gain
+        return gain
+
+
 class Dictionaries:
     """The two dictionaries; compressors are made where they are used."""
 
@@ -155,68 +159,90 @@ class Dictionaries:
     def __getstate__(self) -> dict:
         return {"toxic": self.toxic, "ordinary": self.ordinary}
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
-        """A row of statistics for each text, from the differences of all its windows."""
-        if "_both" not in self.__dict__:
-            self._both = _compressor(self.ordinary).compress, _compressor(self.toxic + self.ordinary).compress
-        plain, toxic = self._both
-        rows = [_statistics(np.array([len(plain(w)) - len(toxic(w)) for w in windows(t)] or [0])) for t in texts]
-        return np.array(rows, float).reshape(len(rows), _WIDTH)
-
+    def gains(self, found: list[str]) -> np.ndarray:
+        """Of each window."""
+        if "_gains" not in self.__dict__:
+            self._gains = Gains(self.toxic, self.ordinary)
+        return np.fromiter(map(self._gains.__getitem__, found), np.int64, len(found))
 
-def _statistics(gain: np.ndarray) -> list[float]:
-    n, reached = len(gain), [int((gain >= k).sum()) for k in _STEPS]
-    total = float(np.clip(gain, -2, 12).sum())
-    root = float(np.sqrt(n))
-    return [
-        *(r / n for r in reached), *(r / root for r in reached), *(float(np.log1p(r)) for r in reached),
-        *(min(6, r) / 6 for r in reached[2:]),
-        total / n, total / root, root, float(np.log(n)), max(-2, min(10, int(gain.max()))),
-    ]
+    def counts(self, texts: list[str | None]) -> np.ndarray:
+        """A row for each text: how many of its windows have which gain, from `LEAST` or less to `MOST` or more."""
+        rows = np.zeros((len(texts), MOST - LEAST + 1), np.int64)
+        for at, text in enumerate(texts):
+            gains = self.gains(windows(text)) if text and not text.isspace() else np.zeros(1, np.int64)
+            rows[at] = np.bincount(np.clip(gains, LEAST, MOST) - LEAST, minlength=rows.shape[1])
+        return rows
 
 
-_WIDTH = len(_statistics(np.array([0])))
+def statistics(counts: np.ndarray, evidence: np.ndarray) -> np.ndarray:
+    """What the calibration looks at; `evidence` is what a window of each gain speaks for."""
+    counts = counts.astype(float)
+    n = counts.sum(axis=1, keepdims=True)
+    reached = counts[:, ::-1].cumsum(axis=1)[:, ::-1][:, 1 - LEAST : 1 - LEAST + _COUNTED]
+    total = (counts @ evidence)[:, None]
+    return np.hstack([total, total / np.sqrt(n), np.log(n), np.sqrt(n), np.log1p(reached), reached / np.sqrt(n)])
 
 
 class ToxicityModel:
-    """Dictionaries and the calibration of their differences; None for both if a class has no labels."""
+    """Dictionaries, the evidence of each gain and the calibration; None for all if a class has no labels."""
 
-    def __init__(self, dictionaries: Dictionaries | None, calibration: Calibration | None) -> None:
-        self.dictionaries, self.calibration = dictionaries, calibration
+    def __init__(self, dictionaries: Dictionaries | None, evidence: np.ndarray | None = None, calibration: Calibration | None = None) -> None:
+        self.dictionaries, self.evidence, self.calibration = dictionaries, evidence, calibration
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        if self.dictionaries is None:
+        if self.dictionaries is None or not texts:
             return np.zeros(len(texts))
-        return self.calibration(self.dictionaries.features(texts))
+        return self.calibration(statistics(self.dictionaries.counts(texts), self.evidence))
+
+
+def _held(groups: list[list[str]]) -> list[list[str]]:
+    """The windows of the first document of each group of near copies."""
+    return [windows(group[0]) for group in groups]
+
+
+def train(toxic: list[list[str]], ordinary: list[list[str]]) -> Dictionaries:
+    """Dictionaries of the windows of groups of toxic and of ordinary documents."""
+    plain = _trained([w for held in ordinary for w in held], ORDINARY_BYTES)
+    kept = toxic
+    for _ in range(ROUNDS):
+        halves = [Dictionaries(_trained([w for held in kept[half::2] for w in held], TOXIC_BYTES), plain) for half in (0, 1)]
+        chosen = []
+        for at, held in enumerate(toxic):
+            gains = halves[1 - at % 2].gains(held)
+            chosen.append([w for w, gain in zip(held, gains.tolist(), strict=True) if gain >= CHOSEN_GAIN])
+        if not any(chosen):
+            break
+        kept = chosen
+    return Dictionaries(_trained([w for held in kept for w in held], TOXIC_BYTES), plain)
 
 
 def fit_texts(texts: list[str], label: np.ndarray, weight: np.ndarray) -> ToxicityModel:
     """A model of labelled texts (1: toxic)."""
-    toxic = [t for t, y in zip(texts, label, strict=True) if y]
-    ordinary = [t for t, y in zip(texts, label, strict=True) if not y]
-    if not toxic or not ordinary:
-        return ToxicityModel(None, None)
-    shuffled = random.Random(0)
-    plain = [w for t in ordinary for w in windows(t)]
-    shuffled.shuffle(plain)
-    typical = typical_grams(toxic, ordinary)
-    words = [f" {w} ".encode("utf-8", "replace") for t in toxic for w in t.lower().split() if not typical.isdisjoint(_grams(w))]
-    shuffled.shuffle(words)
-    size = toxic_size(words)
-    words = words[: 4 * TRAINING_WINDOWS]
-    marked = [b"".join(words[i : i + 4]) for i in range(0, len(words), 4)]
-    dictionaries = Dictionaries(
-        _trained(marked, size) or b" " * 8, _trained(plain[:TRAINING_WINDOWS], ORDINARY_BYTES) or b" " * 8
-    )
-    return ToxicityModel(dictionaries, Calibration(dictionaries.features(texts), label, weight))
+    at = [[i for i, y in enumerate(label) if y == c] for c in (0, 1)]
+    if not all(at):
+        return ToxicityModel(None)
+    groups, fold = [], np.zeros(len(texts), int)
+    for own in at:
+        found = copy_groups([texts[i] for i in own])
+        part = {text: k % FOLDS for k, group in enumerate(found) for text in group}
+        fold[own] = [part[texts[i]] for i in own]
+        groups.append(_held(found))
+    counts = np.zeros((len(texts), MOST - LEAST + 1), np.int64)
+    for k in range(FOLDS):
+        ordinary, toxic = ([held for i, held in enumerate(own) if i % FOLDS != k] for own in groups)
+        if rows := np.flatnonzero(fold == k).tolist():
+            counts[rows] = train(toxic, ordinary).counts([texts[i] for i in rows])
+    seen = [counts[label == c].sum(axis=0) + 1.0 for c in (0, 1)]
+    evidence = np.log(seen[1] / seen[1].sum()) - np.log(seen[0] / seen[0].sum())
+    return ToxicityModel(train(groups[1], groups[0]), evidence, Calibration(statistics(counts, evidence), label, weight))
 
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int, fold: int, target: str = "toxic", text: str = "text") -> ToxicityModel:
     """Fit to the labelled documents outside the held-out fold."""
-    sample, weights = labelled_sample(docs, labels, target, folds, fold, PER_CLASS, MAX_CHARS)
-    rows = sample.select(text, "_label").toPandas().sort_values([text, "_label"])
+    sample, weights = labelled_sample(docs, labels, target, folds, fold, PER_CLASS, MAX_CHARS, text=text)
+    rows = sample.select("text", "_label").toPandas().sort_values(["text", "_label"])
     label = rows["_label"].to_numpy()
-    return fit_texts(list(rows[text]), label, np.array([weights[y] for y in label], float))
+    return fit_texts(list(rows["text"]), label, np.array([weights[y] for y in label], float))
 
 
 def score(text: Column, model: ToxicityModel) -> Column:
@@ -232,4 +258,4 @@ def score(text: Column, model: ToxicityModel) -> Column:
 
 def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
     """`docs` with `score`."""
-    return docs.withColumn("score", score(F.col(text), model))
+    return docs.withColumn("score", score(named(text), model))

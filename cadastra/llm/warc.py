@@ -8,10 +8,13 @@ and the row separator is that byte. A member ends with its size, whose last byte
 zero below 16 MiB; a larger member is kept whole, and the separator is then a padding zero,
 which gzip readers skip.
 
+Repeats are found from digests and ids alone, and only payloads that repeat are looked up again: the others are written where they are
+read. Pages are written by size, so that a file holds a bounded number of bytes and a large page changes no other page's file.
+
 The reader walks through an archive once: it inflates one member at a time in small
 steps, takes the record's header lines, exactly as many bytes as its Content-Length
 says, and the two empty lines after them, and compares the payload's SHA-1 with the
-recorded digest. Anything else raises.
+recorded digest. Anything else raises. A large archive is read in steps from a file system that pyarrow can open.
 
 Cases: a null html is the empty payload, which is equal to other empty payloads. Repeated rows give a
 record each; rows with the smallest id of their payload are all responses. A null id counts after all
@@ -34,9 +37,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Records in one archive file, at most, and bytes of payload before compression.
-RECORDS_PER_FILE = 4_096
-FILE_BYTES = 256 << 20
+from cadastra.llm.columns import named
+from cadastra.scratch import written
+
+#: Bytes of payloads in one archive file, at most, before compression, and records.
+FILE_BYTES, RECORDS_PER_FILE = 256 << 20, 4_096
+#: Pages are written by sizes: payloads up to so many bytes together; above the last, each is a file.
+SIZES = (64 << 10, 1 << 20, 16 << 20)
+#: Bytes of an archive that is read as one value; a larger one is streamed from its file system.
+WHOLE_BYTES = 128 << 20
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -88,15 +97,18 @@ def member(page_id: int | None, url: str | None, payload: bytes, first: int | No
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", html: str = "html", revisit_from: int = 0) -> None:
     """Write all pages as archives below `path`."""
-    payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
-    rows = pages.select(
-        F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"),
-        F.sha1(payload).alias("key"),
-    )
-    first = rows.groupBy("key").agg(F.min("page_id").alias("first"))
-    joined = rows.join(first, "key").withColumn(
-        "revisit", (F.octet_length("payload") >= revisit_from) & F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    spark = pages.sparkSession
+    payload = F.coalesce(named(html), F.lit("")).cast("binary")
+    ident = named(page_id).cast("long").alias("page_id")
+    # Stored first, so Catalyst knows its size: only a large table of repeats makes it shuffle payloads.
+    repeated = written(
+        pages.select(ident, F.sha1(payload).alias("key"), F.octet_length(payload).alias("size"))
+        .where(F.col("size") >= revisit_from).groupBy("key").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
+        .where((F.col("n") > 1) & F.col("first").isNotNull()).select("key", "first"), "repeated",
     )
+    rows = pages.select(ident, named(url).alias("url"), payload.alias("payload"), F.sha1(payload).alias("key"))
+    revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    joined = rows.join(repeated, "key", "left").withColumn("revisit", revisit)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -108,11 +120,17 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
                 out.append(data[:-1] if data[-1] == 0 else data)
             yield pd.DataFrame({"record": out})
 
-    packed = joined.select("page_id", "url", "payload", "first", "revisit").mapInPandas(pack, "record binary")
-    lines = packed.select(F.col("record").cast("string").alias("value"))
-    largest = pages.agg(F.max(F.octet_length(html))).first()[0] or 1
-    records = max(1, min(RECORDS_PER_FILE, FILE_BYTES // max(1, largest)))
-    lines.write.option("lineSep", "\0").option("maxRecordsPerFile", records).text(path)
+    length = F.octet_length("payload")
+    limits = (-1, *SIZES, None)
+    classes = list(zip(limits, limits[1:], strict=False))
+    inside = [(length > low) if high is None else (length > low) & (length <= high) for low, high in classes]
+    held = rows.agg(*(F.count_if(condition) for condition in inside)).first()
+    for (_, high), condition, count in zip(classes, inside, held, strict=True):
+        if count or (high == SIZES[0] and not any(held)):
+            packed = joined.where(condition).select("page_id", "url", "payload", "first", "revisit").mapInPandas(pack, "record binary")
+            records = 1 if high is None else max(1, min(RECORDS_PER_FILE, FILE_BYTES // high))
+            lines = packed.select(F.col("record").cast("string").alias("value"))
+            lines.write.mode("append").option("lineSep", "\0").option("maxRecordsPerFile", records).text(path)
 
 
 def _members(source: io.BufferedIOBase) -> Iterator[bytes]:
@@ -160,24 +178,40 @@ def read_records(source: io.BufferedIOBase) -> Iterator[tuple]:
         )
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Every record of the archives below `path`; a revisit has no payload of its own."""
+def _batches(source: io.BufferedIOBase) -> Iterator[pd.DataFrame]:
     names = [part.split()[0] for part in READ_SCHEMA.split(", ")]
+    rows, held = [], 0
+    for record in read_records(source):
+        rows.append(record)
+        held += len(record[-1] or b"")
+        if held > 8 << 20:
+            yield _frame(rows, names)
+            rows, held = [], 0
+    if rows:
+        yield _frame(rows, names)
+
+
+def read_archives(spark: SparkSession, path: str, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
+    """Every record of the archives below `path`; a revisit has no payload of its own."""
 
     def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
-                rows, held = [], 0
-                for record in read_records(io.BytesIO(content)):
-                    rows.append(record)
-                    held += len(record[-1] or b"")
-                    if held > 8 << 20:
-                        yield _frame(rows, names)
-                        rows, held = [], 0
-                if rows:
-                    yield _frame(rows, names)
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(unpack, READ_SCHEMA)
+                yield from _batches(io.BytesIO(content))
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
+        for batch in batches:
+            for name in batch["path"]:
+                system, inner = fs.FileSystem.from_uri(name)
+                with system.open_input_stream(inner, compression=None) as source:
+                    yield from _batches(source)
+
+    files = spark.read.format("binaryFile").load(path)
+    found = files.where(F.col("length") <= whole_bytes).select("content").mapInPandas(unpack, READ_SCHEMA)
+    large = files.where(F.col("length") > whole_bytes).select("path")
+    return found.union(large.mapInPandas(stream, READ_SCHEMA))
 
 
 def _frame(rows: list[tuple], names: list[str]) -> pd.DataFrame:

@@ -40,18 +40,90 @@ def test_toxicity_on_unseen_texts():
     assert auc(score, label) > 0.97 and (score[label == 1] >= 0.3).mean() > 0.9 and (score[label == 0] < 0.3).mean() > 0.95
 
 
-def test_more_labels_keep_rare_typical_sequences():
-    """The same share of toxic documents holds the word, whatever their number; near copies are no evidence."""
+def test_more_labels_keep_rare_words_and_near_copies_are_no_evidence():
+    """The same share of toxic documents holds the word, whatever their number."""
     rng = random.Random(4)
     words = [a + b for a in ("th", "er", "an", "in", "on", "re") for b in ("the", "ing", "ed", "ou", "ly", "at")]
     plain = lambda: " ".join(rng.choices(words, k=25))
-    ordinary = [plain() for _ in range(3_000)]
-    for n in (300, 1_000, 3_000):
-        toxic = [plain() + (" qqvilex" if i % 25 == 0 else "") for i in range(n)]
-        assert {"qqvil", "vilex"} <= toxicity_zstd.typical_grams(toxic, ordinary)
-    copied = plain() + " zzcopyz"
-    toxic += [copied + f" {w}" for w in words[:30]] + [plain() for _ in range(30)]
-    assert "zcopy" not in toxicity_zstd.typical_grams(toxic, ordinary)
+    ordinary = [[w for w in plain().split()] for _ in range(2_000)]
+    for n in (300, 1_000, 2_000):
+        toxic = [plain() + (" qqvilexword" if i % 25 == 0 else "") for i in range(n)]
+        assert b"vilexword" in toxicity_zstd.train([t.split() for t in toxic], ordinary).toxic
+    copied = plain() + " zzcopyzword"
+    toxic += [copied + f" {w}" for w in words[:30]]
+    groups = toxicity_zstd.copy_groups(toxic)
+    assert len(groups) < len(toxic) - 20
+    assert b"zcopyzw" not in toxicity_zstd.train(toxicity_zstd._held(groups), ordinary).toxic
+
+
+@pytest.fixture(scope="module")
+def toxicity_model():
+    texts, label = toxic_corpus(400, random.Random(2))
+    return toxicity_zstd.fit_texts(texts, label, np.ones(len(label)))
+
+
+ODD_TEXTS = [None, "", " ", "a", "vilefool " * 3, "x" * 5_000, "ñ ß 漢字", "the scoundrel\nthing\tdimwitted", "word " * 50_000]
+
+
+def test_scores_equal_plain_compression_window_by_window(toxicity_model):
+    import zstandard
+
+    held = toxicity_model.dictionaries
+
+    def length(content, window):
+        own = zstandard.ZstdCompressionDict(content)
+        parameters = zstandard.ZstdCompressionParameters(
+            window_log=20, hash_log=17, chain_log=18, search_log=3, min_match=4, target_length=16, strategy=zstandard.STRATEGY_LAZY2,
+            write_content_size=False, write_checksum=False, write_dict_id=False,
+        )
+        own.precompute_compress(compression_params=parameters)
+        frame = zstandard.ZstdCompressor(dict_data=own, compression_params=parameters).compress(window)
+        assert zstandard.ZstdDecompressor(dict_data=own).decompress(frame, max_output_size=1 << 20) == window
+        return len(frame)
+
+    for text in ODD_TEXTS:
+        known, gains = {}, []
+        for word in (text or "").lower().split():
+            if word not in known:
+                window = f" {word} ".encode().ljust(64)
+                known[word] = length(held.ordinary, window) - length(held.toxic, window)
+            gains.append(known[word])
+        row = [0] * (toxicity_zstd.MOST - toxicity_zstd.LEAST + 1)
+        for gain in gains or [0]:
+            row[min(max(gain, toxicity_zstd.LEAST), toxicity_zstd.MOST) - toxicity_zstd.LEAST] += 1
+        want = toxicity_model.calibration(toxicity_zstd.statistics(np.array([row]), toxicity_model.evidence))
+        assert toxicity_model.scores([text])[0] == want[0]
+
+
+def test_a_score_is_a_function_of_the_two_lengths(toxicity_model, monkeypatch):
+    """With other compressors the score follows their lengths, whatever the words are; their order does not matter."""
+    held = toxicity_zstd.Dictionaries(b"1", b"2")
+    longer = {b"1": 0, b"2": 0}
+
+    class Fake:
+        def __init__(self, content):
+            self.content = content
+
+        def compress(self, window):
+            return b"x" * (20 + longer[self.content] * (b"q" in window))
+
+    monkeypatch.setattr(toxicity_zstd, "compressor", Fake)
+    model = toxicity_zstd.ToxicityModel(held, toxicity_model.evidence, toxicity_model.calibration)
+    low = model.scores(["vilefool scoundrel", "the thing"])
+    assert low[0] == low[1]
+    longer[b"2"] = 6
+    held.__dict__.pop("_gains")
+    high = model.scores(["quiet q the", "the q quiet", "aq bq c", "the thing there"])
+    assert high[0] == high[1] == high[2] > high[3]
+
+
+def test_forgotten_gains_are_found_again(toxicity_model, monkeypatch):
+    texts, _ = toxic_corpus(40, random.Random(3))
+    want = toxicity_model.scores(texts)
+    monkeypatch.setattr(toxicity_zstd, "REMEMBERED", 3)
+    held = toxicity_model.dictionaries
+    fresh = toxicity_zstd.ToxicityModel(toxicity_zstd.Dictionaries(held.toxic, held.ordinary), toxicity_model.evidence, toxicity_model.calibration)
+    assert (fresh.scores(texts) == want).all()
 
 
 def test_the_toxic_dictionary_holds_a_broad_vocabulary():
@@ -126,6 +198,14 @@ def test_without_labels(spark):
     assert score(toxicity_zstd.score_documents(docs, toxicity_zstd.fit(docs, one, 7, 5))) == [0.0, 0.0]
 
 
+def test_a_repeated_document_is_one_row_of_the_sample(spark):
+    docs = spark.createDataFrame([(1, "a")] * 50 + [(1, "b"), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    sample, weight = labelled_sample(docs, labels, "toxic", 4, 9, 20, 30)
+    assert sorted(tuple(r) for r in sample.select("doc_id", "text", "_label").collect()) == [(1, "a", 1), (3, "c", 0)]
+    assert weight == {0: 1.0, 1: 1.0}
+
+
 def test_the_sample_is_bounded_and_leaves_the_fold_out(spark):
     docs = spark.createDataFrame([(i, "x" * (i % 50)) for i in range(400)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(400)] + [(3, 1), (None, 1), (5, None), (6, 9)], "doc_id long, toxic int")

@@ -133,3 +133,34 @@ def test_a_long_phrase_that_many_documents_share_is_no_copy(spark):
     items = spark.createDataFrame([(1, phrase + " " + prose(30, random.Random(4)))], "item_id long, text string")
     docs = [(i, phrase + " " + prose(20)) for i in range(60)]
     assert d.find_copies(spark.createDataFrame(docs, "doc_id long, text string"), items).count() == 0
+
+
+@pytest.mark.parametrize("before", ["İ İstanbul ", "ẞ STRAẞE ", "ǅ ŉ "])
+def test_offsets_cut_the_text_as_given(spark, before):
+    body = prose(30, random.Random(11)).upper()
+    text = f"{prose(5)} {before}{body} {prose(5)}"
+    row = d.find_copies(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(1, body.lower())], "item_id long, text string")).first()
+    assert text[row["start_char"] : row["end_char"]] == body
+
+
+def test_recall_of_edited_copies_of_the_benchmark():
+    """5 to 35 % of the words deleted, replaced or inserted: whatever a full alignment accepts is found."""
+    import pyarrow.parquet as pq
+
+    items = [(r["item_id"], r["text"]) for r in pq.read_table("/root/testdata/sf0.1/benchmark.parquet").to_pylist()]
+    docs = [r["text"] or "" for r in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).to_pylist()]
+    rng, planted = random.Random(1), []
+    for share in (0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35):
+        planted += [(share, i, f"{rng.choice(docs)[:600]} {edited(text, share, rng)} {rng.choice(docs)[:600]}") for i, text in items]
+    index = d.SeedIndex(items)
+    held = np.zeros(len(index.seeds), np.int64)
+    for text in [*docs, *(p[2] for p in planted)]:
+        held[np.unique(index.hits(index.numbers(d.words_of(text)))[1])] += 1
+    index.keep_rare(held)
+    at = {item: k for k, item in enumerate(index.ids)}
+    truth, found = {}, {}
+    for share, item, text in planted:
+        if d.align(index.items[at[item]], index.numbers(d.words_of(text)))[0] >= d.THRESHOLD:
+            truth[share] = truth.get(share, 0) + 1
+            found[share] = found.get(share, 0) + (item in {m[0] for m in d.match_text(text, index)})
+    assert sum(truth.values()) > 800 and all(found[s] >= 0.99 * truth[s] for s in truth)

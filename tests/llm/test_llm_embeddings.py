@@ -90,3 +90,44 @@ def test_bound_gives_up_only_what_cannot_reach_the_threshold():
     i, j = embedding_dups.linked_pairs(x, x, embedding_dups.principal_axes(unit), 0.93)
     want = np.argwhere(unit @ unit.T >= 0.93)
     assert sorted(zip(i, j, strict=True)) == sorted(map(tuple, want))
+
+
+def test_links_over_many_blocks(spark):
+    rows = cloud(400, 12, 2, 6)
+    want = brute(rows, 0.93)
+    assert run(spark, rows, tile_rows=8, block_values=12 * 20) == want
+    assert run(spark, rows, tile_rows=64, block_values=12 * 3) == want
+
+
+def test_equal_vectors_of_unlike_labels_and_zero_signs(spark):
+    rows = [(1, [0.0, 1.0], 1), (2, [-0.0, 1.0], 1), (3, [0.0, 1.0], 2), (4, [0.0, 1.0], 3), (5, [1e-3, 1.0], 3)]
+    assert run(spark, rows) == brute(rows, 0.93)
+
+
+def test_rows_that_cannot_link_are_not_shuffled(spark):
+    rows = spark.createDataFrame([(i, [1.0, 2.0], None) for i in range(100)] + [(200, [1.0, 2.0], 1)], SCHEMA)
+    got = embedding_dups.near_duplicates(rows, 0.93)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lstrip().startswith(("Union", "Project")) and got.count() == 101
+
+
+def test_blocks_links_equal_all_pairs():
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(150, 16))
+    x[75:] = x[:75] + draw.normal(size=(75, 16)) * 0.2
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    axes, copies = embedding_dups.principal_axes(unit), draw.integers(1, 4, 150)
+    links, first = embedding_dups.block_links(x[:100], x[100:], copies, axes, 0.93, 16)
+    near = (unit @ unit.T >= 0.93)[:100, 100:]
+    assert links.tolist() == (near @ copies[100:]).tolist() + (copies[:100] @ near).tolist()
+    assert sorted(np.flatnonzero(links)) == sorted(set(np.nonzero(near)[0]) | set(100 + np.nonzero(near)[1]))
+    assert all(first[i] <= i for i in range(150))
+
+
+def test_cells_part_all_rows_and_far_ones_are_apart():
+    draw = np.random.default_rng(9)
+    rows = np.concatenate([draw.normal(size=(100, 4)) + 20 * k for k in range(4)])
+    cells = embedding_dups.Cells(rows, 4)
+    of = cells.of(rows)
+    assert cells.count == 4 and sorted(np.bincount(of)) == [100, 100, 100, 100]
+    assert all(len(set(of[100 * k : 100 * k + 100])) == 1 for k in range(4))

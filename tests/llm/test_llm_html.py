@@ -86,3 +86,39 @@ def test_a_wrapper_named_by_what_it_has_is_no_boilerplate(name):
 def test_boxes_beside_the_text_still_end_it():
     page = f'{HEAD}<p>Skip all this.</p><nav>{BOX}</nav><div><p>{LAST}</p></div><div class="sidebar no-border">{BOX}</div><p>Made by someone.</p>{FOOT}'
     assert h.main_text(page, {}) == LAST
+
+
+IN_MAIN = '<article><div class="article-header"><h1>The head</h1></div><p>{first}</p>{box}<p>{last}</p></article>'
+
+
+@pytest.mark.parametrize("box,text", [
+    ("<video-player></video-player>", ""), ("<svg-icon><p>icon words</p></svg-icon>", "icon words"), ("<title-card>card words</title-card>", "card words"),
+    ("<select-box>chosen words</select-box>", "chosen words"), ('<h2 class="section-header">A section</h2>', "A section"),
+    ('<div class="share price"><p>The price of it</p></div>', "The price of it"), ('<p class="social science">The science</p>', "The science"),
+    ('<div class="ad-slot">Buy now</div>', ""), ('<div class="comments"><p>Nice page</p></div>', ""), ('<div id="related-links"><a>More</a></div>', ""),
+    ("<svg><text>drawn</text></svg>", ""), ("<select><option>one</select>", ""), ("<SCRIPT src=x>a < b</SCRIPT\n>", ""),
+    ("</b></i></div></nowhere>", ""),
+])
+@pytest.mark.parametrize("weights", [WEIGHTS, {}])
+def test_names_inside_the_main_element(box, text, weights):
+    first, last = " ".join(f"first{i}" for i in range(30)), " ".join(f"last{i}" for i in range(30))
+    page = HEAD + NAV + IN_MAIN.format(first=first, box=box, last=last) + FOOT
+    assert h.main_text(page, weights) == "\n\n".join(x for x in ("The head", first, text, last) if x)
+
+
+def test_a_page_may_begin_with_a_custom_element():
+    assert h.main_text("<body><video-player></video-player><p>Words of the page.</p></body>", {}) == "Words of the page."
+
+
+def test_stray_end_tags_are_cheap():
+    import time
+
+    began = time.perf_counter()
+    h.main_text("<div>" * 100_000 + "</b>" * 130_000 + "</div>" * 100_000, {})
+    assert time.perf_counter() - began < 5  # 1.6 MB; about 0.6 s
+
+
+def test_weights_are_those_of_html_elements(spark):
+    pages = [(i, f"<nav><a>x</a></nav><article><my-tag-{i}><p>words here</p></my-tag-{i}></article>") for i in range(50)]
+    weights = h.learn_weights(spark.createDataFrame(pages, "page_id long, html string"))
+    assert "p" in weights and "/nav" in weights and not any("my-tag" in key for key in weights)

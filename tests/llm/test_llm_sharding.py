@@ -77,3 +77,46 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
     sharding.write_shards(sharding.assign(rows, 3), str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 40 and {p.name for p in (tmp_path / "out").glob("shard=*")} == {"shard=0", "shard=1", "shard=2"}
+
+
+def greedy(items, shards):
+    """Largest first, each to the shard whose residual capacity has the highest dot product, in plain numbers."""
+    totals = [sum(x) or 1 for x in zip(*items, strict=True)]
+    left = [[1.0] * 3 for _ in range(shards)]
+    homes = {}
+    scaled = [[x / t * shards for x, t in zip(item, totals, strict=True)] for item in items]
+    for at in sorted(range(len(items)), key=lambda i: (-max(scaled[i]), i)):
+        scores = [sum(r * x for r, x in zip(row, scaled[at], strict=True)) for row in left]
+        best = max(range(shards), key=lambda s: (scores[s], -s))
+        homes[at] = best
+        left[best] = [r - x for r, x in zip(left[best], scaled[at], strict=True)]
+    return [homes[i] for i in range(len(items))]
+
+
+def test_groups_are_placed_as_a_plain_greedy_places_them(spark, monkeypatch):
+    """With groups that are all placed by themselves, no bundles are left."""
+    draw = random.Random(7)
+    texts = [" ".join(draw.choices(["a", "bcd", "efghij"], k=draw.randint(5, 60))) for _ in range(40)]
+    rows = [(n, texts[n % 40], "x") for n in range(40)] + [(100 + n, texts[n], "x") for n in range(10)]
+    monkeypatch.setattr(sharding, "OWN_SHARE", 0.0)
+    import hashlib
+
+    groups = {}
+    for _, text, _ in rows:
+        row = groups.setdefault(hashlib.md5(text.encode()).hexdigest(), [text, 0, 0, 0])
+        row[1] += len(text.encode()) + 8
+        row[2] += len(text.split())
+        row[3] += 1
+    ordered = [row for _, row in sorted(groups.items())]
+    totals = np.array([[row[k] for row in ordered] for k in (1, 2, 3)], float).sum(axis=1)
+    assert all(sharding.pieces(np.array(row[1:], float), totals, 4) == 1 for row in ordered)
+    want = {row[0]: home for row, home in zip(ordered, greedy([row[1:] for row in ordered], 4), strict=True)}
+    assert {r["doc_id"]: r["shard"] for r in run(spark, rows)} == {i: want[text] for i, text, _ in rows}
+
+
+def test_only_groups_that_cannot_stay_whole_are_cut():
+    totals = np.array([1000.0, 1000.0, 1000.0])
+    assert sharding.pieces(np.array([240.0, 240.0, 235.0]), totals, 4) == 1
+    assert sharding.pieces(np.array([510.0, 500.0, 505.0]), totals, 4) == 3
+    assert sharding.pieces(np.array([20.0, 20.0, 145.0]), totals, 4) == 4
+    assert sharding.pieces(np.array([0.0, 0.0, 0.0]), np.zeros(3), 4) == 1

@@ -78,3 +78,62 @@ def test_harm_is_noticed(harm):
     }[harm]()
     with pytest.raises((ValueError, KeyError)):
         list(warc.read_records(io.BytesIO(bad)))
+
+
+def archives(path):
+    import pathlib
+
+    return len([p for p in pathlib.Path(path).glob("part-*") if p.stat().st_size])
+
+
+def test_a_large_page_changes_no_other_file(spark, tmp_path):
+    small = [(i, f"u{i}", f"page {i}", "") for i in range(200)]
+    frame = lambda rows: spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    counts = []
+    for rows in (small, [*small, (900, "large", "z" * (32 << 20), "")]):
+        path = str(tmp_path / str(len(rows)))
+        warc.write_archives(frame(rows), path)
+        counts.append(archives(path))
+        assert sorted((r["page_id"], r["payload_bytes"]) for r in warc.read_archives(spark, path).collect()) == sorted((r[0], len(r[2])) for r in rows)
+    assert counts == [1, 2]
+
+
+def test_payloads_that_do_not_repeat_are_not_shuffled(spark, tmp_path):
+    draw = random.Random(1)
+    rows = [(i, "u", "".join(draw.choices("abcdefghij <>", k=20_000)), "") for i in range(300)]
+    before = shuffled(spark)
+    warc.write_archives(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "w"))
+    assert shuffled(spark) - before < 0.1 * 300 * 20_000
+
+
+def shuffled(spark):
+    """Bytes of shuffle files that the session holds."""
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_large_archives_are_streamed(spark, tmp_path):
+    rows = [(i, f"u{i}", f"page {i} " * 500, "") for i in range(60)]
+    got, path = round_trip(spark, tmp_path, rows)
+    streamed = warc.read_archives(spark, path, whole_bytes=0).collect()
+    assert sorted(map(repr, streamed)) == sorted(map(repr, got)) and len(got) == 60
+
+
+def test_a_long_archive_is_read_in_small_steps():
+    """Over 1 GB of payloads, made while they are read; the reader never holds more than a record and a step."""
+
+    class Endless(io.RawIOBase):
+        def __init__(self, times):
+            self.left, self.rest, self.most = times, b"", 0
+            self.member = warc.member(1, "u", b"<p>" + bytes(range(256)) * 65_536, None, False)
+
+        def read(self, size=-1):
+            self.most = max(self.most, size)
+            while self.left and len(self.rest) < size:
+                self.rest, self.left = self.rest + self.member, self.left - 1
+            out, self.rest = self.rest[:size], self.rest[size:]
+            return out
+
+    source = Endless(64)
+    assert sum(r[4] for r in warc.read_records(source)) == 64 * (3 + 256 * 65_536) > 1 << 30
+    assert source.most <= 64 << 10
