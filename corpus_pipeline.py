@@ -17,14 +17,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity operator does not reject."""
-    scored = queries.scored_toxicity(spark, docs, sf_dir)
-    return scored.where(f"score < {queries.PREDICTED_FROM}").select(*docs.columns)
+    return docs.where(queries.toxicity_score(spark, docs, sf_dir) < queries.PREDICTED_FROM)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
-    scored = queries.scored_quality(spark, docs, sf_dir)
-    return scored.where(f"score >= {queries.PREDICTED_FROM}").select(*docs.columns)
+    return docs.where(queries.quality_score(spark, docs, sf_dir) >= queries.PREDICTED_FROM)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
