@@ -22,9 +22,14 @@ def _typed_column(field) -> Column:
     return text.alias(field.name)
 
 
+def typed_columns() -> list[Column]:
+    """The columns of the cleaned table, from raw text."""
+    return [_typed_column(f) for f in FIELDS]
+
+
 def cast_types(raw: DataFrame) -> DataFrame:
     """Raw text columns as the typed columns of the cleaned table; keeps every row."""
-    return raw.select(*[_typed_column(f) for f in FIELDS])
+    return raw.select(*typed_columns())
 
 
 def complete(columns: list[str] = CRITICAL_COLUMNS) -> Column:

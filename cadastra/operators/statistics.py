@@ -82,7 +82,12 @@ def approx_median(df: DataFrame, column: str = "year", error: float = 0.01) -> D
 
 def approx_median_check(df: DataFrame, column: str = "year", error: float = 0.01) -> DataFrame:
     """The approximate median, the row count, and whether its rank keeps the bound."""
-    median = approx_median(df, column, error).scalar()
+    return median_check(df, column, approx_median(df, column, error), error)
+
+
+def median_check(df: DataFrame, column: str, median: DataFrame, error: float = 0.01) -> DataFrame:
+    """The given one-row median, the row count, and whether its rank is within `error` of the middle."""
+    median = median.scalar()
     present = df.filter(F.col(column).isNotNull())
     ranks = present.agg(
         F.count(F.lit(1)).alias("n"),

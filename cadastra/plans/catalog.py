@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.functions.casts import to_double
-from cadastra.operators import cleaning, groups, profile, statistics, topk
+from cadastra.operators import cleaning, file_profiles, groups, profile, quarantine, reconcile, statistics, topk
 from cadastra.plans import workflow
 from cadastra.plans.houses import houses, raw_houses
-from cadastra.schema import RAW_COLUMNS
+from cadastra.schema import CLEAN, RAW_COLUMNS
 from cadastra.scratch import new_folder
-from cadastra.sources import csv_files, parquet, tables
+from cadastra.sources import csv_files, loads, parquet, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,10 +57,17 @@ def ingest_csv_split(spark, sf_dir):
 
 
 def ingest_csv_stitched(spark, sf_dir):
-    """Every record spans lines, which are brought together in the tasks that read them."""
-    return _comparable(
-        _through_csv(raw_houses(spark, sf_dir), {"split_above": 0, "span_above": 0})
-    )
+    """Every record spans lines, so each file is read whole, however large, and then spread."""
+    return _comparable(_through_csv(raw_houses(spark, sf_dir), {"split_above": 0}))
+
+
+def ingest_csv_encodings(spark, sf_dir):
+    """Files of three encodings, told by their first bytes, read as one folder."""
+    raw, path = raw_houses(spark, sf_dir), new_folder(spark, "csv")
+    for left, encoding in enumerate(("UTF-16LE", "UTF-16BE", "UTF-8")):
+        own = raw.filter(F.col("house_id").cast("bigint") % 3 == left)
+        csv_files.write_raw(own, f"{path}/{encoding}", encoding=encoding)
+    return _comparable(csv_files.read_raw(spark, f"{path}/*", encoding="auto"))
 
 
 def ingest_csv_mixed_headers(spark, sf_dir):
@@ -123,6 +130,58 @@ def prepare_report(spark, sf_dir):
     return workflow.prepare(_dirty_file(spark, sf_dir), new_folder(spark, "houses")).report
 
 
+# Rows that cleaning rejects.
+
+
+def _sorted_out(spark, sf_dir) -> tuple[str, dict[str, int]]:
+    root = new_folder(spark, "sinks")
+    return root, quarantine.write_sinks(_without_some_ids(spark, sf_dir), root)
+
+
+def accepted_rows(spark, sf_dir):
+    return quarantine.read_accepted(spark, _sorted_out(spark, sf_dir)[0])
+
+
+def rejected_rows(spark, sf_dir):
+    """Every rejected row with its reason, and two fields of its text."""
+    rejected = quarantine.read_rejected(spark, _sorted_out(spark, sf_dir)[0])
+    text = F.from_json("raw", "locality_name string, description string")
+    return rejected.select("reason", "malformed", text["locality_name"].alias("city"), text["description"].alias("description"))
+
+
+def rejects_by_reason(spark, sf_dir):
+    return quarantine.rejects_by_reason(quarantine.read_rejected(spark, _sorted_out(spark, sf_dir)[0]))
+
+
+def sink_counts(spark, sf_dir):
+    """What the writing pass counted: read rows are accepted and rejected ones."""
+    counts = _sorted_out(spark, sf_dir)[1]
+    return workflow.one_row(spark, {k: counts[k] for k in ("read_rows", "accepted_rows", "rejected_rows")})
+
+
+# Profiles merged from the states of files.
+
+
+def _two_loads(spark, sf_dir) -> DataFrame:
+    """States of a table that was written in two loads, taken after each."""
+    path, state = new_folder(spark, "houses"), new_folder(spark, "states")
+    rows = houses(spark, sf_dir)
+    for left in (0, 1):
+        rows.filter(F.col("id") % 2 == left).write.mode("append").parquet(path)
+        file_profiles.update(spark, path, state, CLEAN, ["year"])
+    return file_profiles.states(spark, path, state, CLEAN, ["year"])
+
+
+def null_profile_merged(spark, sf_dir):
+    return file_profiles.merged_null_profile(_two_loads(spark, sf_dir), CLEAN)
+
+
+def year_median_merged(spark, sf_dir):
+    """The median from stored sketches; the table is read to check its rank."""
+    median = file_profiles.merged_median(_two_loads(spark, sf_dir), "year")
+    return statistics.median_check(houses(spark, sf_dir), "year", median).select("n", "within_bound")
+
+
 def _stored(spark, sf_dir) -> DataFrame:
     path = new_folder(spark, "houses")
     parquet.write_clean(houses(spark, sf_dir), path)
@@ -220,6 +279,55 @@ def load_reconcile(spark, sf_dir):
     return _loaded(spark, sf_dir)[0]
 
 
+def _ranged(spark, sf_dir) -> str:
+    """Houses in files of 1,000 rows, by ranges of the id."""
+    path = new_folder(spark, "ranges")
+    loads.write_ranges(houses(spark, sf_dir), path, rows_per_file=1_000)
+    return path
+
+
+def load_ranges(spark, sf_dir):
+    """No file's range reaches into another's, and all rows are there."""
+    found = loads.ranges(spark, _ranged(spark, sf_dir))
+    return found.agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.count_if("overlaps").alias("overlaps")
+    )
+
+
+def lookup_rows(spark, sf_dir):
+    """Rows by id, from the files that may hold them: the first and last ids, and ids that are not there."""
+    path = _ranged(spark, sf_dir)
+    ends = loads.ranges(spark, path).agg(F.min("low"), F.max("high")).first()
+    low, high = ends[0] or 0, ends[1] or 0
+    return loads.lookup(spark, path, [low - 5, low, low + 1, (low + high) // 2, high, high + 5])
+
+
+def load_swapped(spark, sf_dir):
+    """Loaded whole, then replaced by a second load; the table shows the second one."""
+    table, root = f"registry_{uuid4().hex}.houses", new_folder(spark, "loads")
+    rows = houses(spark, sf_dir)
+    loads.load_swapped(rows.filter(F.col("id") % 2 == 0), table, root, rows_per_file=1_000)
+    loads.load_swapped(rows, table, root, rows_per_file=1_000)
+    return spark.table(table)
+
+
+def reconcile_content(spark, sf_dir):
+    """Source and loaded table, column by column and by whole rows."""
+    _, database = _loaded(spark, sf_dir)
+    return reconcile.content_reconciliation(houses(spark, sf_dir), spark.table(f"{database}.houses"))
+
+
+def _damaged(spark, sf_dir) -> DataFrame:
+    """Houses in which ids divisible by 1,000 have a floor more, and those of half of that have no city."""
+    floors = F.when(F.col("id") % 1_000 == 0, F.col("floors") + 1).otherwise(F.col("floors"))
+    city = F.when(F.col("id") % 500 != 0, F.col("city"))
+    return houses(spark, sf_dir).withColumns({"floors": floors, "city": city})
+
+
+def reconcile_damaged(spark, sf_dir):
+    return reconcile.content_reconciliation(houses(spark, sf_dir), _damaged(spark, sf_dir))
+
+
 def show_tables(spark, sf_dir):
     """Names in the database, with the row count of the loaded table."""
     report, database = _loaded(spark, sf_dir)
@@ -290,6 +398,7 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_split": ingest_csv_split,
     "ingest_csv_stitched": ingest_csv_stitched,
     "ingest_csv_mixed_headers": ingest_csv_mixed_headers,
+    "ingest_csv_encodings": ingest_csv_encodings,
     "ingest_csv_marks": ingest_csv_marks,
     "ingest_documents": ingest_documents,
     "dq_report": dq_report,
@@ -299,6 +408,17 @@ QUERIES: dict[str, Query] = {
     "clean_metrics": clean_metrics,
     "clean_bad_ids": clean_bad_ids,
     "clean_bad_ids_metrics": clean_bad_ids_metrics,
+    "accepted_rows": accepted_rows,
+    "rejected_rows": rejected_rows,
+    "rejects_by_reason": rejects_by_reason,
+    "sink_counts": sink_counts,
+    "null_profile_merged": null_profile_merged,
+    "year_median_merged": year_median_merged,
+    "load_ranges": load_ranges,
+    "lookup_rows": lookup_rows,
+    "load_swapped": load_swapped,
+    "reconcile_content": reconcile_content,
+    "reconcile_damaged": reconcile_damaged,
     "scan_parquet": scan_parquet,
     "parquet_roundtrip": parquet_roundtrip,
     "row_count": _on_houses(profile.row_count),

@@ -106,12 +106,56 @@ _SCHEMA = "\nUNION ALL\n".join(
     for i, f in enumerate(FIELDS, 1)
 )
 
+_REASONS = """, outcome AS (
+  SELECT t.*, CASE WHEN o_orderkey % 11 = 3 THEN 'bad id' WHEN o_orderkey % 11 = 4 THEN 'no id' END AS bad_id,
+         CASE WHEN year IS NULL THEN 'no year' END AS bad_year, CASE WHEN area IS NULL THEN 'bad area' END AS bad_area,
+         concat_ws(', ', bad_id, bad_year, bad_area) AS reason
+  FROM orders JOIN typed t ON t.id = o_orderkey
+)
+"""
+_DAMAGED = "CASE WHEN id % 500 <> 0 THEN city END AS city, CASE WHEN id % 1000 = 0 THEN floors + 1 ELSE floors END AS floors"
+
+
+
+def _reconciled(target: str) -> str:
+    """Values of each column in houses and in `target`, and whether all are equal, row by row."""
+    pairs = [("*", "count(*)", "count(*)", "bool_and(s IS NOT DISTINCT FROM t)")]
+    for f in FIELDS:
+        same = f"bool_and(s.{f.name} IS NOT DISTINCT FROM t.{f.name})"
+        pairs.append((f.name, f"count(s.{f.name})", f"count(t.{f.name})", same))
+    return _houses(f", target AS ({target}) " + " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", {one} AS source_rows, {two} AS target_rows, {same} AS matches"
+        " FROM houses s JOIN target t ON s.id = t.id"
+        for name, one, two, same in pairs
+    ))
+
+
 ORACLES: dict[str, str] = {
     "ingest_csv": _RAW.format(address="t.address"),
     "ingest_csv_headerless": _RAW.format(address="t.address"),
     "ingest_csv_stitched": _RAW.format(address="t.address"),
     "ingest_csv_split": _RAW.format(address="replace(t.address, chr(10), ' ')"),
     "ingest_csv_mixed_headers": _RAW.format(address="t.address"),
+    "ingest_csv_encodings": _RAW.format(address="t.address"),
+    "accepted_rows": _houses("SELECT * FROM houses WHERE id % 11 NOT IN (3, 4)"),
+    "rejected_rows": _houses(_REASONS + "SELECT reason, false AS malformed, city, description FROM outcome WHERE reason <> ''"),
+    "rejects_by_reason": _houses(_REASONS + "SELECT reason, count(*) AS n FROM outcome WHERE reason <> '' GROUP BY reason"),
+    "sink_counts": _houses(
+        _REASONS + "SELECT count(*) AS read_rows, count(*) FILTER (reason = '') AS accepted_rows,"
+        " count(*) FILTER (reason <> '') AS rejected_rows FROM outcome"
+    ),
+    "null_profile_merged": _houses(_nulls("houses", [f.name for f in FIELDS])),
+    "year_median_merged": _houses("SELECT count(*) AS n, true AS within_bound FROM houses"),
+    "load_ranges": _houses(
+        "SELECT count(*) AS n, CAST(min(id) AS BIGINT) AS low, CAST(max(id) AS BIGINT) AS high, 0 AS overlaps FROM houses"
+    ),
+    "lookup_rows": _houses(
+        ", ends AS (SELECT min(id) AS low, max(id) AS high FROM houses)"
+        " SELECT houses.* FROM houses, ends WHERE id IN (low, low + 1, (low + high) // 2, high)"
+    ),
+    "load_swapped": _houses("SELECT * FROM houses"),
+    "reconcile_content": _reconciled("SELECT * FROM houses"),
+    "reconcile_damaged": _reconciled(f"SELECT * REPLACE ({_DAMAGED}) FROM houses"),
     "ingest_csv_marks": _RAW.replace(
         "CAST(o_orderkey AS VARCHAR) AS house_id", "chr(65279) || o_orderkey AS house_id"
     ).format(address="replace(t.address, chr(10), ' ')"),

@@ -12,9 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cadastra.operators import cleaning, groups, profile, statistics, topk
+from cadastra.operators import cleaning, groups, profile, quarantine, reconcile, statistics, topk
 from cadastra.schema import CORRUPT
-from cadastra.sources import csv_files, jdbc, parquet, tables
+from cadastra.sources import csv_files, jdbc, loads, parquet, tables
 
 
 @dataclass(frozen=True)
@@ -27,6 +27,7 @@ class RunSettings:
     header: bool = True
     encoding: str = "UTF-16LE"
     layout: str = "auto"
+    keep_rejected: bool = True
     external: jdbc.JdbcTarget | None = None
 
     def path(self, name: str) -> str:
@@ -59,13 +60,32 @@ def prepare(raw: DataFrame, path: str) -> Prepared:
     clean = cleaning.drop_incomplete(typed)
     parquet.write_clean(clean.observe(after, *profile.null_counts(clean.columns)), path)
     return Prepared(
-        _one_row(raw.sparkSession, reading.get),
-        _one_row(raw.sparkSession, before.get),
-        profile.as_null_profile(_one_row(raw.sparkSession, after.get), clean.columns),
+        one_row(raw.sparkSession, reading.get),
+        one_row(raw.sparkSession, before.get),
+        profile.as_null_profile(one_row(raw.sparkSession, after.get), clean.columns),
     )
 
 
-def _one_row(spark: SparkSession, numbers: dict[str, int]) -> DataFrame:
+def prepare_sinks(raw: DataFrame, root: str) -> Prepared:
+    """`prepare` with two sinks: the cleaned table, and the rejected rows with reason and text, below `root`.
+
+    The same single parse writes and counts both.
+    """
+    if CORRUPT not in raw.columns:
+        raw = raw.withColumn(CORRUPT, F.lit(None).cast("string"))
+    reading = Observation("reading")
+    read = raw.observe(reading, *cleaning.read_counts(), cleaning.overflowing_ids())
+    seen = quarantine.write_sinks(read, root)
+    spark, columns = raw.sparkSession, parquet.CLEAN.names
+    nulls = {"total": seen["accepted_rows"], **{f"nulls_{c}": seen[f"nulls_{c}"] for c in columns}}
+    return Prepared(
+        one_row(spark, reading.get),
+        one_row(spark, {"total_rows": seen["read_rows"], "clean_rows": seen["accepted_rows"]}),
+        profile.as_null_profile(one_row(spark, nulls), columns),
+    )
+
+
+def one_row(spark: SparkSession, numbers: dict[str, int]) -> DataFrame:
     return spark.range(1).select(*[F.lit(n).cast("bigint").alias(k) for k, n in numbers.items()])
 
 
@@ -92,6 +112,11 @@ def load(houses: DataFrame, table: str, path: str) -> DataFrame:
     return tables.reconcile(houses, spark.table(table))
 
 
+def load_swapped(houses: DataFrame, table: str, path: str, rows: int | None = None) -> DataFrame:
+    """Replace the table's rows at once, in files by ranges of the id, and compare the contents."""
+    return loads.load_swapped(houses, table, path, rows=rows)
+
+
 def load_external(
     houses: DataFrame, target: jdbc.JdbcTarget, connections: int | None = None
 ) -> DataFrame:
@@ -112,10 +137,15 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
         spark, settings.csv_path, settings.header, settings.encoding, settings.layout
     )
     clean_path = settings.path("houses")
-    prepared = prepare(raw, clean_path)
+    if settings.keep_rejected:
+        prepared = prepare_sinks(raw, clean_path)
+        houses = quarantine.read_accepted(spark, clean_path)
+        store("rejects_by_reason", quarantine.rejects_by_reason(quarantine.read_rejected(spark, clean_path)))
+    else:
+        prepared = prepare(raw, clean_path)
+        houses = parquet.read_clean(spark, clean_path)
     store("prepare_report", prepared.report)
     store("null_profile", prepared.null_profile)
-    houses = parquet.read_clean(spark, clean_path)
     for name, result in analyses(houses).items():
         store(name, result)
     # What follows from a stored result is derived from it, without the table.
@@ -129,7 +159,11 @@ def run(spark: SparkSession, settings: RunSettings) -> dict[str, str]:
     table_counts = profile.row_count(houses).selectExpr("n AS row_count", "n AS clean_count")
     years = spark.read.parquet(stored["year_stats"])
     store("run_metrics", profile.run_metrics(prepared.counts, table_counts, years))
-    store("load_reconcile", load(houses, settings.table, settings.path("table")))
+    rows = prepared.counts.first()["clean_rows"]
+    contents = load_swapped(houses, settings.table, settings.path("table"), rows)
+    store("load_reconcile_content", contents)
+    stored_contents = spark.read.parquet(stored["load_reconcile_content"])
+    store("load_reconcile", stored_contents.where(F.col("column") == reconcile.ROWS).drop("column"))
     if settings.external:
         store("external_reconcile", load_external(houses, settings.external))
     store("top_houses", topk.top_houses(spark, spark.table(settings.table)))

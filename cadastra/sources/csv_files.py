@@ -2,9 +2,10 @@
 
 Every file is bound by its own header, and gives the same rows whatever its size and
 wherever splits begin. Spark reads a multi-line CSV file in one task. With
-`layout="auto"` large files are read in splits instead, by lines where records keep to
-one line (see `csv_lines`), else by records (see `csv_records`). The rest are read by one
-task each, named in the log, and spread over the cluster right after the parse.
+`layout="auto"` large files whose records keep to one line are read in splits instead
+(see `csv_lines`). The rest, so all large files whose records span lines, are read by one
+task each, named in the log, and spread over the cluster right after the parse: a producer
+who wants them read in parallel writes files of bounded size, or one record a line.
 """
 
 from __future__ import annotations
@@ -17,13 +18,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadastra.schema import CORRUPT, RAW_COLUMNS, text_schema
-from cadastra.sources import csv_lines, csv_records
+from cadastra.sources import csv_lines
+from cadastra.sources.encodings import encodings
 
 # Smaller files are read whole without a look at their lines; the rows are the same.
 SPLIT_ABOVE = 128 * 1024 * 1024
-# Reading records that span lines in splits costs several passes and a parse record by
-# record, which pay where one task would be busy for minutes; the rows are the same.
-SPAN_ABOVE = 4 * 1024 * 1024 * 1024
 
 log = logging.getLogger(__name__)
 
@@ -121,12 +120,11 @@ def file_sizes(spark: SparkSession, path: str) -> DataFrame:
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: Paths,
     header: bool = True,
     encoding: str = "UTF-16LE",
     layout: str = "auto",
     split_above: int = SPLIT_ABOVE,
-    span_above: int = SPAN_ABOVE,
 ) -> DataFrame:
     """Registry rows as text, in documented column order, with `_corrupt_record`.
 
@@ -136,8 +134,11 @@ def read_raw(
     with a line feed alone, and hold no byte-order mark but at the start of a file: the
     fast way, which reads the data once), or "auto", which reads large files
     once more to see how they are made.
-    `UTF-16LE` is right with and without a byte-order mark at the start of a file.
+    `UTF-16LE` is right with and without a byte-order mark at the start of a file. `auto`
+    tells each file's encoding from its first bytes, by a pass over the files.
     """
+    if encoding == "auto":
+        return _read_by_encoding(spark, path, header, layout, split_above)
     whole = _options(encoding, None)
     if layout == "multiline":
         return _read(spark, path, header, whole)
@@ -157,8 +158,7 @@ def read_raw(
     parts = []
     if "large" in kinds:
         large = files.filter(F.col("kind") == "large").collect()
-        huge = {f.uri for f in large if f.length > span_above}
-        parts = _large_files(spark, {f.uri: f.path for f in large}, huge, header, encoding)
+        parts = _large_files(spark, {f.uri: f.path for f in large}, header, encoding)
     if "packed" in kinds:
         paths = [f.path for f in files.filter(F.col("kind") == "packed").collect()]
         parts.append(_one_task_each(spark, paths, header, whole))
@@ -168,13 +168,26 @@ def read_raw(
     return reduce(DataFrame.unionByName, parts)
 
 
+def _read_by_encoding(spark: SparkSession, path: Paths, header: bool, layout: str, split_above: int) -> DataFrame:
+    """Files of several encodings as one; files without a byte have no rows."""
+    told = encodings(spark, path)
+    kinds = [r.encoding for r in told.select("encoding").distinct().collect()]
+    if len(kinds) < 2:
+        return read_raw(spark, path, header, kinds[0] if kinds else "UTF-8", layout, split_above)
+    groups: dict[str, list[str]] = {}
+    for row in _listed(spark, path).join(told, "uri").select("path", "encoding").collect():
+        groups.setdefault(row.encoding, []).append(row.path)
+    parts = [read_raw(spark, paths, header, kind, layout, split_above) for kind, paths in sorted(groups.items())]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _one_task_each(spark: SparkSession, paths: list[str], header: bool, options: dict) -> DataFrame:
     log.warning("one task per file: %s", ", ".join(sorted(paths)))
     return _read(spark, paths, header, options).hint("rebalance")
 
 
 def _large_files(
-    spark: SparkSession, paths: dict[str, str], huge: set[str], header: bool, encoding: str
+    spark: SparkSession, paths: dict[str, str], header: bool, encoding: str
 ) -> list[DataFrame]:
     """One read per kind of large file; `paths` has the path of each uri."""
     left, parts = dict(paths), []
@@ -186,43 +199,11 @@ def _large_files(
             same = [left.pop(row.uri) for row in profile if row.line_end == end and row.one_line]
             if same:
                 parts.append(_read(spark, same, header, _options(encoding, end)))
-            spanning = [row.uri for row in profile if row.line_end == end and not row.one_line]
-            spanning = [uri for uri in spanning if uri in huge]
-            for uris, rows in _spanning(spark, {u: left[u] for u in spanning}, header, encoding, end):
-                parts.append(rows)
-                for uri in uris:
-                    del left[uri]
     if left:
         parts.append(_one_task_each(spark, list(left.values()), header, _options(encoding, None)))
     return parts
 
 
-def _spanning(
-    spark: SparkSession, paths: dict[str, str], header: bool, encoding: str, end: str
-) -> list[tuple[list[str], DataFrame]]:
-    """The files, and their rows, whose records span lines and are all well formed."""
-    if not paths:
-        return []
-    states = csv_records.split_states(spark, list(paths.values()), encoding, end)
-    if states is None:
-        return []
-    found = csv_records.records(spark, list(paths.values()), encoding, end, states)
-    fit = csv_records.well_formed(found, list(paths))
-    if not fit:
-        return []
-    whole = _options(encoding, None)
-    files = [paths[uri] for uri in fit]
-    groups = _by_header(spark, files, whole) if header else [(files, RAW_COLUMNS, True)]
-    uris = {path: uri for uri, path in paths.items()}
-    parts = []
-    for group, names, one_line in groups:
-        if one_line:
-            again = csv_records.records(spark, group, encoding, end, states)
-            rows = csv_records.parsed(again, names, header, whole).select(*RAW_COLUMNS, CORRUPT)
-            parts.append(([uris[path] for path in group], rows))
-    return parts
-
-
 def write_raw(
     df: DataFrame,
     path: str,

@@ -30,7 +30,7 @@ _FIELD = rf'(?:{_OPEN}"|[^",\r]*+)'
 _WHOLE = rf"^{_FIELD}(?:,{_FIELD})*+\z"
 
 
-def _byte_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
+def byte_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> DataFrame:
     """Lines as bytes, with the file, and whether the line is in the file's first split."""
     lines = spark.read.option("encoding", encoding).option("lineSep", "\n").text(paths)
     return lines.select(
@@ -50,7 +50,7 @@ def first_lines(spark: SparkSession, paths: str | list[str], encoding: str) -> D
 
     Two narrow passes: the place of each first line, then the lines at these places.
     """
-    lines = _byte_lines(spark, paths, encoding).filter("leading")
+    lines = byte_lines(spark, paths, encoding).filter("leading")
     places = lines.groupBy("uri").agg(F.min("position").alias("position")).drop("uri")
     first = lines.join(places, "position")
     size = len(MARKS[encoding]) // 2
@@ -97,7 +97,7 @@ def _marked_inside(spark: SparkSession, paths: list[str], encoding: str) -> Data
     """
     size = len(MARKS[encoding]) // 2
     mark = _mark(encoding)
-    lines = _byte_lines(spark, paths, encoding)
+    lines = byte_lines(spark, paths, encoding)
     again = F.contains(F.substring("bytes", size + 1, 1 << 30), mark)
     has, starts = F.contains("bytes", mark), F.startswith("bytes", mark) & F.col("leading") & ~again
     found = lines.groupBy("uri").agg(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cadastra.operators.cleaning import cast_types, clean, read_report
 from cadastra.schema import CORRUPT, RAW_COLUMNS
-from cadastra.sources import csv_files, csv_lines, csv_records
+from cadastra.sources import csv_files, csv_lines
 
 HEADER = ",".join(RAW_COLUMNS)
 BOM = "\ufeff"
@@ -51,7 +51,7 @@ def tiny_splits(spark):
 
 def read(spark, path, layout="multiline", **options):
     layout, _, small = layout.partition(" ")
-    return csv_files.read_raw(spark, path, layout=layout, split_above=2**50 if small else 0, span_above=0, **options)
+    return csv_files.read_raw(spark, path, layout=layout, split_above=2**50 if small else 0, **options)
 
 
 @pytest.mark.parametrize("layout", LAYOUTS)
@@ -201,7 +201,7 @@ def test_one_line_files_are_read_in_splits(spark, folder, tiny_splits):
     assert sorted(read(spark, path, "lines").collect()) == sorted(split.collect())
 
 
-def test_records_that_span_lines_are_read_in_splits(spark, folder, tiny_splits, capsys):
+def test_records_that_span_lines_are_the_same_in_every_layout(spark, folder, tiny_splits):
     end = "\r\n"
     body = "".join(f'{i},1,2,1953.0,5,6,R,C,"""A""{end}{end}B","D, ""x"""{end}' for i in range(60))
     good = f"{HEADER}{end}{body}"
@@ -211,16 +211,6 @@ def test_records_that_span_lines_are_read_in_splits(spark, folder, tiny_splits,
         stray=f'{good}61,1,2,3,4,5,R,C,5" pipe,D{end}'.encode("utf-16-le"),
         unclosed=f'{good}62,1,2,3,4,5,R,C,A,"D{end}'.encode("utf-16-le"),
     )
-    files = {f.uri: f.path for f in csv_files.file_sizes(spark, path).collect()}
-    states = csv_records.split_states(spark, list(files.values()), "UTF-16LE", end)
-    assert states.count() > 32 and states.filter("inside").count() > 8
-    found = csv_records.records(spark, list(files.values()), "UTF-16LE", end, states)
-    fit = csv_records.well_formed(found, list(files))
-    assert sorted(uri.rpartition("/")[2] for uri in fit) == ["good.csv", "twice.csv"]
-    found.explain()
-    plan = capsys.readouterr().out
-    whole = plan[plan.index("Union") : plan.index("SortAggregate") if "SortAggregate" in plan else None]
-    assert "Exchange hashpartitioning" not in whole.split("HashAggregate")[0].split("ObjectHash")[0]
     rows = [sorted(map(repr, read(spark, path, layout).collect())) for layout in LAYOUTS]
     assert rows[0] == rows[1] == rows[2]
 
@@ -283,3 +273,36 @@ def test_written_files_are_bounded_and_read_back(spark, tmp_path):
     assert len(list((tmp_path / "out").glob("*.csv"))) == 4
     back = csv_files.read_raw(spark, path).select(*RAW_COLUMNS)
     assert sorted(back.collect()) == sorted(padded.collect())
+
+
+def _encoded(text: str, encoding: str, mark: bool) -> bytes:
+    return (BOM if mark else "").encode(encoding) + text.encode(encoding)
+
+
+@pytest.mark.parametrize("header", [True, False])
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_files_of_several_encodings_read_as_one(spark, folder, layout, header):
+    files, number = {}, 0
+    for encoding in ("utf-16-le", "utf-16-be", "utf-8"):
+        for mark in (False, True):
+            rows = [f'{number + i},1,2,1953.0,5.5,6,"Область, ""Ж""","Город\r\nдва",A,"Дом № {i}"' for i in range(3)]
+            number += 3
+            text = "\r\n".join([HEADER, *rows] if header else rows) + "\r\n"
+            files[f"{encoding}-{mark}"] = _encoded(text, encoding, mark)
+    files["empty"] = b""
+    found = read(spark, folder(**files), layout, header=header, encoding="auto").collect()
+    assert sorted(int(r.house_id.lstrip(BOM)) for r in found) == list(range(number))
+    # Spark's reader makes one line feed of a line end inside quotes.
+    assert {(r.region, r.locality_name) for r in found} == {('Область, "Ж"', "Город\nдва")}
+    assert all(r.house_id.isdigit() for r in found)
+
+
+@pytest.mark.parametrize(("content", "want"), [
+    (b"\xff\xfea\0", "UTF-16LE"), (b"\xfe\xff\0a", "UTF-16BE"), (b"\xef\xbb\xbfa", "UTF-8"), ("7,Ж\n".encode("utf-16-le"), "UTF-16LE"),
+    ("7,Ж\n".encode("utf-16-be"), "UTF-16BE"), ("7,Ж\n".encode(), "UTF-8"), (b"7", "UTF-8"), (b"", "UTF-8"), ("Ж,Ж".encode("utf-16-le"), "UTF-16LE"),
+])
+def test_the_first_bytes_tell_the_encoding(spark, content, want):
+    from cadastra.sources.encodings import told_by
+
+    row = spark.createDataFrame([(bytearray(content),)], "c binary")
+    assert row.select(told_by(F.col("c")).alias("e")).first().e == want
