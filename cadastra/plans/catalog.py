@@ -15,7 +15,7 @@ from cadastra.plans import workflow
 from cadastra.plans.houses import houses, raw_houses
 from cadastra.schema import CLEAN, RAW_COLUMNS
 from cadastra.scratch import new_folder
-from cadastra.sources import csv_files, loads, parquet, tables
+from cadastra.sources import csv_files, jdbc, loads, parquet, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -302,6 +302,47 @@ def lookup_rows(spark, sf_dir):
     return loads.lookup(spark, path, [low - 5, low, low + 1, (low + high) // 2, high, high + 5])
 
 
+def _searchable(spark, sf_dir, order: str) -> tuple[DataFrame, str]:
+    """Houses, and files of them in which the rows stand in the order of a hash of one column."""
+    rows, path = houses(spark, sf_dir), new_folder(spark, "searchable")
+    dealt = rows.repartition(4, order).sortWithinPartitions(F.xxhash64(order))
+    parquet.write_searchable(dealt, path, ["id"], row_group_bytes=64 << 10)
+    return rows, path
+
+
+def find_ids(spark, sf_dir):
+    """Rows by id from files that are in no order of it; of the ids asked for, some are not there."""
+    rows, path = _searchable(spark, sf_dir, "id")
+    ends = rows.agg(F.min("id"), F.max("id")).first()
+    low, high = ends[0] or 0, ends[1] or 0
+    return parquet.find(spark, path, "id", [low + i * (high - low) // 24 for i in range(25)] + [high + 5, None])
+
+
+def find_regions(spark, sf_dir):
+    """Rows by region, which the dictionaries of the row groups tell; one region is not there."""
+    _, path = _searchable(spark, sf_dir, "region")
+    return parquet.find(spark, path, "region", ["2-HIGH / 1995", "3-MEDIUM / 1996", "2-HIGH / nowhere"])
+
+
+def clustered_parts(spark, sf_dir):
+    """Parts of a table whose keys are clustered, cut at quantiles: all rows in one part each, none of them large.
+
+    A third of the lines has keys far above the others.
+    """
+    number = F.col("l_orderkey").cast("bigint")
+    far = number % 3 == 0
+    lines = _table(spark, sf_dir, "lineitem").select(F.when(far, number * 1_000_000).otherwise(number).alias("id"))
+    parts = jdbc.range_predicates("id", jdbc.key_cuts(lines, "id", 16))
+    counts = lines.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.expr(p)).alias(f"part_{i}") for i, p in enumerate(parts)])
+    sizes = [F.col(f"part_{i}") for i in range(len(parts))]
+    return counts.select(
+        "n",
+        F.lit(len(parts)).cast("bigint").alias("parts"),
+        sum(sizes[1:], sizes[0]).alias("in_parts"),
+        (F.greatest(*sizes, F.lit(0)) <= F.col("n") / 16 * 1.1).alias("balanced"),
+    )
+
+
 def load_swapped(spark, sf_dir):
     """Loaded whole, then replaced by a second load; the table shows the second one."""
     table, root = f"registry_{uuid4().hex}.houses", new_folder(spark, "loads")
@@ -416,6 +457,9 @@ QUERIES: dict[str, Query] = {
     "year_median_merged": year_median_merged,
     "load_ranges": load_ranges,
     "lookup_rows": lookup_rows,
+    "find_ids": find_ids,
+    "find_regions": find_regions,
+    "clustered_parts": clustered_parts,
     "load_swapped": load_swapped,
     "reconcile_content": reconcile_content,
     "reconcile_damaged": reconcile_damaged,

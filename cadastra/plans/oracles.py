@@ -153,6 +153,14 @@ ORACLES: dict[str, str] = {
         ", ends AS (SELECT min(id) AS low, max(id) AS high FROM houses)"
         " SELECT houses.* FROM houses, ends WHERE id IN (low, low + 1, (low + high) // 2, high)"
     ),
+    "find_ids": _houses(
+        ", ends AS (SELECT min(id) AS low, max(id) AS high FROM houses)"
+        " SELECT * FROM houses WHERE id IN (SELECT low + i * (high - low) // 24 FROM ends, range(25) AS asked(i))"
+    ),
+    "find_regions": _houses("SELECT * FROM houses WHERE region IN ('2-HIGH / 1995', '3-MEDIUM / 1996')"),
+    "clustered_parts": (
+        "SELECT count(*) AS n, CAST(16 AS BIGINT) AS parts, count(*) AS in_parts, true AS balanced FROM lineitem"
+    ),
     "load_swapped": _houses("SELECT * FROM houses"),
     "reconcile_content": _reconciled("SELECT * FROM houses"),
     "reconcile_damaged": _reconciled(f"SELECT * REPLACE ({_DAMAGED}) FROM houses"),

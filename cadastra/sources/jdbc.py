@@ -7,8 +7,10 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass, field
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Fixed value: rows per insert statement batch.
 BATCH_ROWS = 50_000
@@ -91,3 +93,40 @@ def read_jdbc(
             "numPartitions": connections,
         }
     return spark.read.format("jdbc").options(**options).load()
+
+
+def key_cuts(keys: DataFrame, key: str = "id", parts: int = 32, error: float = 0.001) -> list[int]:
+    """Keys that cut the rows into parts of about equal size, at most one fewer than the parts.
+
+    Each part's bounds lie within `error` of all rows of where they should. A key that
+    stands in more rows than a part holds is one cut, and the part after it has all its rows.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    if not shares:
+        return []
+    number = F.col(key).cast("bigint")
+    found = keys.agg(F.percentile_approx(number, shares, round(1 / error)).alias("cuts"), F.min(number).alias("low")).first()
+    return sorted({int(c) for c in found["cuts"] or [] if c > found["low"]})
+
+
+def range_predicates(key: str, cuts: list[int]) -> list[str]:
+    """One condition for each part: every row, also one without a key, meets exactly one."""
+    if not cuts:
+        return ["1 = 1"]
+    between = [f"{key} >= {low} AND {key} < {high}" for low, high in pairwise(cuts)]
+    return [f"{key} < {cuts[0]} OR {key} IS NULL", *between, f"{key} >= {cuts[-1]}"]
+
+
+def read_jdbc_balanced(
+    spark: SparkSession, target: JdbcTarget, key: str = "id", connections: int = 32, sample: str | None = None
+) -> DataFrame:
+    """Read the table in parts of about equal size, however its keys are spread.
+
+    Even ranges of the key (`read_jdbc`) leave most rows to one task where keys are
+    clustered. Here the bounds are quantiles, which Spark takes of the key column alone,
+    read in even ranges; or of `sample`, a statement with that column, where the database can draw one.
+    """
+    keys = query_jdbc(spark, target, sample) if sample else read_jdbc(spark, target, key, connections).select(key)
+    predicates = range_predicates(key, key_cuts(keys, key, connections))
+    options = {k: v for k, v in target.options().items() if k != "url"}
+    return spark.read.jdbc(target.url, target.table, predicates=predicates, properties=options)
