@@ -12,8 +12,10 @@ of the best local alignment over that of the item with itself. Below the least s
 copy of a part if it covers `PART_WORDS` words of the item, holds `PART_SEEDS` of its rare seeds, and reaches
 `PART_SCORE` over its own length; so fewer seeds must meet where an item has that many words.
 
-Items are taken in blocks of a bounded size, which every task holds with its index; documents are
-read in place, twice for each block, and never shuffled.
+Up to `BLOCK_ITEMS` items of `BLOCK_BYTES` in all are held by every task, with their index; documents are
+read in place, twice, and never shuffled. More items are met by joins, with the same results: two scans of the documents count and
+meet the seeds of all items, and a third takes out the texts to align, however many items there are. Shuffled are n-grams that may be
+seeds, by a filter of bounded size, and texts in which enough seeds of an item meet.
 
 Cases: a null or empty text has no words, matches nothing and, as an item, is matched by nothing. An item of fewer than
 `NGRAM` words has one seed, all its words. Items with equal texts match the same documents. Rows with a null id
@@ -24,14 +26,19 @@ counts by its best alignment. Texts of any length are read whole. Empty tables g
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadastra.llm.columns import Aside
+from cadastra.scratch import written
+
 #: Words of a seed.
 NGRAM = 3
 #: Least share of the item's own score.
@@ -41,11 +48,15 @@ PART_WORDS, PART_SEEDS, PART_SCORE = 13, 4, 0.85
 #: A seed that stands in more than this many times the median of its item's seeds is not rare.
 COMMON = 8
 MATCH, MISMATCH, GAP = 2, -1, -2
-#: Items of one block, at most, and about the bytes of their texts.
+#: Items that every task holds, at most, and the bytes of their texts. More are met by joins.
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 4 << 20
+#: The most bits of a filter, and those of a chunk of it, as powers of two: 32 MB in chunks of 8 KB.
+FILTER_BITS, CHUNK_BITS = 28, 16
+#: Words whose hashes, and n-grams that, a task holds at a time; items that are aligned to a text at a time.
+REMEMBERED_WORDS, HELD_SEEDS, TEXT_ITEMS = 500_000, 200_000, 200
 
-RESULT = "doc_id long, item_id long, score double, start_char long, end_char long"
+RESULT = "doc_id string, item_id string, score double, start_char long, end_char long"
 _WORD = re.compile(r"\w+")
 
 
@@ -57,10 +68,10 @@ def words_of(text: str | None) -> list[str]:
 class SeedIndex:
     """The items of a block, as word numbers, and their n-grams, as sorted codes."""
 
-    def __init__(self, items: list[tuple[int | None, str | None]], threshold: float = THRESHOLD) -> None:
+    def __init__(self, items: list[tuple[int | str | None, str | None]], threshold: float = THRESHOLD) -> None:
         self.threshold = threshold
         self.vocabulary: dict[str, int] = {}
-        self.ids: list[int | None] = []
+        self.ids: list[int | str | None] = []
         self.items: list[np.ndarray] = []
         for item_id, text in items:
             if words := words_of(text):
@@ -111,6 +122,15 @@ class SeedIndex:
         self.owner = self.owner[kept]
         self._arrange(code[kept])
 
+    def keep_numbered(self, numbers: Iterable[Iterable[int]]) -> None:
+        """Keep of each item the distinct seeds with these numbers, in the order in which they first occur in it."""
+        kept = []
+        for item, chosen in zip(self.items, numbers, strict=True):
+            codes = self.codes(np.pad(item, (0, max(0, NGRAM - len(item)))))
+            kept.append(codes[np.sort(np.unique(codes, return_index=True)[1])][np.asarray(list(chosen), int)])
+        self.owner = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
+        self._arrange(np.concatenate(kept) if kept else np.zeros(0, np.int64))
+
     def numbers(self, words: list[str]) -> np.ndarray:
         found = np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
         return np.append(found, [0] * (NGRAM - 1)) if self.short else found
@@ -216,7 +236,7 @@ def _is_part(item: int, part: np.ndarray, score: float, index: SeedIndex) -> boo
     return high - low >= PART_WORDS and score * len(body) >= PART_SCORE * max(high - low, len(part))
 
 
-def match_text(text: str | None, index: SeedIndex) -> list[tuple[int | None, float, int, int]]:
+def match_text(text: str | None, index: SeedIndex) -> list[tuple[int | str | None, float, int, int]]:
     """(item id, score, start, end in characters) of each item that a text holds a copy of."""
     numbers = index.numbers(words_of(text))
     best: dict[int, tuple[float, int, int]] = {}
@@ -232,13 +252,12 @@ def match_text(text: str | None, index: SeedIndex) -> list[tuple[int | None, flo
     return [(index.ids[i], s, spans[low][0], spans[min(high, len(spans)) - 1][1]) for i, (s, low, high) in sorted(best.items())]
 
 
-def _blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple]]:
+def _one_block(items: DataFrame, item_id: str, text: str) -> list[tuple] | None:
+    """(id, text) of all items, if they are few and small enough for every task to hold."""
     count, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
-    blocks = max(1, -(-count // BLOCK_ITEMS), -(-size // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64(item_id, text), F.lit(blocks))
-    for number in range(blocks):
-        rows = items.where(block == number) if blocks > 1 else items
-        yield sorted((tuple(r) for r in rows.select(F.col(item_id).cast("long"), text).collect()), key=str)
+    if count > BLOCK_ITEMS or size > BLOCK_BYTES:
+        return None
+    return sorted((tuple(r) for r in items.select(F.col(item_id).cast("long"), text).collect()), key=str)
 
 
 def _frequencies(docs: DataFrame, index: SeedIndex, text: str) -> np.ndarray:
@@ -259,27 +278,206 @@ def _frequencies(docs: DataFrame, index: SeedIndex, text: str) -> np.ndarray:
     return total
 
 
+class _WordHashes(dict):
+    """64-bit hashes of words, remembered up to a bound."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        number = self[word] = xxhash.xxh64_intdigest(word)
+        return number
+
+
+def _gram_hashes(words: list[str], size: int, hashes: _WordHashes) -> np.ndarray:
+    """One hash for each run of `size` words."""
+    count = len(words) - size + 1
+    if count <= 0:
+        return np.zeros(0, np.uint64)
+    numbers = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    total = numbers[:count].copy()
+    for step in range(1, size):
+        total = (total ^ (total >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + numbers[step : step + count]
+    return (total ^ (total >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+
+
+class HashFilter:
+    """Which hashes may be known: one bit each, at most `FILTER_BITS` to the power of two of them.
+
+    What it lets through by mistake is dropped by the join that follows.
+    """
+
+    def __init__(self, hashes: DataFrame) -> None:
+        """`hashes`: one column, `hash`. The driver sees the bits, in chunks, never the hashes."""
+        self.bits = min(FILTER_BITS, max(CHUNK_BITS, (16 * hashes.count()).bit_length()))
+        spot = F.shiftrightunsigned("hash", 64 - self.bits)
+        spots = hashes.select(F.shiftright(spot, CHUNK_BITS).alias("chunk"), spot.bitwiseAND((1 << CHUNK_BITS) - 1).alias("at"))
+
+        def pack(rows: pd.DataFrame) -> pd.DataFrame:
+            held = np.zeros(1 << CHUNK_BITS, np.uint8)
+            held[rows["at"]] = 1
+            return pd.DataFrame({"chunk": rows["chunk"][:1], "held": [np.packbits(held, bitorder="little").tobytes()]})
+
+        packed = spots.distinct().groupBy("chunk").applyInPandas(pack, "chunk long, held binary")
+        self.held = np.zeros(1 << (self.bits - 3), np.uint8)
+        width = 1 << (CHUNK_BITS - 3)
+        for chunk, held in packed.collect():
+            self.held[chunk * width : (chunk + 1) * width] = np.frombuffer(bytes(held), np.uint8)
+
+    def may_hold(self, hashes: np.ndarray) -> np.ndarray:
+        spot = hashes >> np.uint64(64 - self.bits)
+        return (self.held[spot >> np.uint64(3)] >> (spot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+
+    def grams(self, text: str | None, sizes: list[int], hashes: _WordHashes) -> set[str]:
+        """The distinct word n-grams of a text that may be known."""
+        words, found = words_of(text), set()
+        for size in sizes:
+            for at in np.flatnonzero(self.may_hold(_gram_hashes(words, size, hashes))):
+                found.add(" ".join(words[at : at + size]))
+        return found
+
+    def passes(self, number: Column) -> Column:
+        @F.pandas_udf("boolean")
+        def passes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for batch in batches:
+                yield pd.Series(self.may_hold(batch.to_numpy(np.int64).view(np.uint64)), dtype=bool)
+
+        return passes(number)
+
+
+def _item_seeds(bodies: DataFrame, threshold: float) -> DataFrame:
+    """(key, seed, number, size, hash, words, lost) of the distinct seeds of each item, numbered in their order in it."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _WordHashes()
+        for batch in batches:
+            rows = []
+            for key, value in zip(batch["key"], batch["text"], strict=True):
+                words = words_of(value)
+                if not words:
+                    continue
+                size = min(NGRAM, len(words))
+                lost = int((1 - threshold) * MATCH * len(words))
+                grams = (" ".join(words[i : i + size]) for i in range(len(words) - size + 1))
+                numbers = _gram_hashes(words, size, hashes).view(np.int64).tolist()
+                distinct = dict(zip(grams, numbers, strict=True))
+                rows += [(key, seed, i, size, number, len(words), lost) for i, (seed, number) in enumerate(distinct.items())]
+            yield pd.DataFrame(rows, columns=["key", "seed", "number", "size", "hash", "words", "lost"])
+
+    return bodies.mapInPandas(cut, "key string, seed string, number int, size int, hash long, words long, lost long")
+
+
+def _seed_counts(docs: DataFrame, known: HashFilter, sizes: list[int]) -> DataFrame:
+    """(seed, n): how many documents hold each n-gram that may be a seed."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, total = _WordHashes(), Counter()
+        for batch in batches:
+            for value in batch["text"]:
+                total.update(known.grams(value, sizes, hashes))
+                if len(total) >= HELD_SEEDS:
+                    yield pd.DataFrame(total.items(), columns=["seed", "n"])
+                    total.clear()
+        yield pd.DataFrame(total.items(), columns=["seed", "n"])
+
+    return docs.select("text").mapInPandas(count, "seed string, n long").groupBy("seed").agg(F.sum("n").alias("n"))
+
+
+def _rare_seeds(seeds: DataFrame, counts: DataFrame) -> DataFrame:
+    """The seeds that are not common, with how many of them must meet; as `SeedIndex.keep_rare` finds them."""
+    counted = written(seeds.join(counts, "seed", "left").fillna(0, ["n"]), "counted")
+    usual = counted.groupBy("key").agg(F.median("n").alias("usual"))
+    kept = counted.join(usual, "key").where(F.col("n") <= COMMON * F.greatest(F.lit(1.0), "usual"))
+    kept = written(kept.drop("n", "usual"), "kept")
+    least = F.greatest(F.lit(1), F.col("have") - F.col("lost"))
+    need = F.when(F.col("words") >= PART_WORDS, F.least(F.lit(PART_SEEDS), least)).otherwise(least)
+    return kept.join(kept.groupBy("key").agg(F.count(F.lit(1)).alias("have")), "key").withColumn("need", need)
+
+
+def _seed_hits(docs: DataFrame, known: HashFilter, sizes: list[int]) -> DataFrame:
+    """(digest, seed): the n-grams of each text that may be rare seeds."""
+
+    def hit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _WordHashes()
+        for batch in batches:
+            texts = batch.drop_duplicates("digest")
+            digests, seeds = [], []
+            for digest, value in zip(texts["digest"], texts["text"], strict=True):
+                found = known.grams(value, sizes, hashes)
+                digests += [digest] * len(found)
+                seeds += found
+                if len(seeds) >= HELD_SEEDS:
+                    yield pd.DataFrame({"digest": digests, "seed": seeds})
+                    digests, seeds = [], []
+            yield pd.DataFrame({"digest": digests, "seed": seeds}, dtype=object)
+
+    return docs.select("digest", "text").mapInPandas(hit, "digest string, seed string")
+
+
+def _aligned(docs: DataFrame, bodies: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, digest, key, score, start_char, end_char) for `docs` of (doc_id, text, digest) and items of any number.
+
+    Equal texts have one digest. Seeds of all items are counted in one scan of the documents and met in
+    a second one; what is shuffled are n-grams that are seeds. A third scan takes out the texts in which enough seeds of an
+    item meet, with those items, to align them.
+    """
+    seeds = written(_item_seeds(bodies, threshold), "seeds")
+    sizes = sorted(r["size"] for r in seeds.select("size").distinct().collect())  # NGRAM at most
+    counts = _seed_counts(docs, HashFilter(seeds.select("hash").distinct()), sizes)
+    rare = written(_rare_seeds(seeds, counts), "rare")
+    hits = _seed_hits(docs, HashFilter(rare.select("hash").distinct()), sizes)
+    met = hits.join(rare.select("seed", "key", "number", "need"), "seed").groupBy("digest", "key")
+    met = met.agg(F.count_distinct("number").alias("held"), F.max("need").alias("need")).where("held >= need")
+    place = F.row_number().over(Window.partitionBy("digest").orderBy("key"))
+    met = met.select("digest", "key", F.floor((place - 1) / TEXT_ITEMS).alias("part"))
+    chosen = bodies.join(rare.groupBy("key").agg(F.sort_array(F.collect_list("number")).alias("numbers")), "key")
+    parts = met.join(chosen, "key").groupBy("digest", "part").agg(F.collect_list(F.struct("key", "text", "numbers")).alias("items"))
+    columns = [F.col(f"items.{c}").alias(f"item_{c}") for c in ("key", "text", "numbers")]
+    parts = written(parts.select("digest", "part", *columns), "candidates")
+    texts = HashFilter(parts.select(F.xxhash64("digest").alias("hash")).distinct())
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, index = None, None
+        for batch in batches:
+            rows = []
+            for row in batch.itertuples(index=False):
+                if (row.digest, row.part) != last:
+                    last = row.digest, row.part
+                    index = SeedIndex(list(zip(row.item_key, row.item_text, strict=True)), threshold)
+                    index.keep_numbered(row.item_numbers)
+                rows += [(row.doc_id, row.digest, *match) for match in match_text(row.text, index)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in found.split(", ")])
+
+    found = "doc_id string, digest string, key string, score double, start_char long, end_char long"
+    whole = docs.where(F.col("digest").isNotNull()).where(texts.passes(F.xxhash64("digest")))
+    return whole.join(parts, "digest").mapInPandas(search, found)
+
+
+def _bodies(items: DataFrame, item_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """((item_id, key) of each item, (key, text) of each text)."""
+    keyed = items.where(F.col(text).isNotNull()).select(F.col(item_id).cast("long").alias("item_id"), F.col(text).alias("text"), F.sha2(text, 256).alias("key"))
+    return keyed.select("item_id", "key"), written(keyed.groupBy("key").agg(F.first("text").alias("text")), "bodies")
+
+
 def find_copies(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text", doc_id: str = "doc_id", item_id: str = "item_id"
 ) -> DataFrame:
     """(doc_id, item_id, score, start_char, end_char) for each document and each item that it holds a copy of."""
-    found = None
-    for block in _blocks(items, item_id, text):
-        index = SeedIndex(block, threshold)
-        index.keep_rare(_frequencies(docs, index, text))
-
-        def search(batches: Iterator[pd.DataFrame], index: SeedIndex = index) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                rows = [
-                    (doc, *match)
-                    for doc, value in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True)
-                    for match in match_text(value, index)
-                ]
-                yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")]).astype({"doc_id": "Int64", "item_id": "Int64"})
+    # Ids as text: a column of numbers with nulls would pass through Python as floats.
+    named = docs.select(F.col(doc_id).cast("long").cast("string").alias("doc_id"), F.col(text).alias("text"))
+    held = _one_block(items, item_id, text)
+    if held is None:
+        ids, bodies = _bodies(items, item_id, text)
+        found = _aligned(named.withColumn("digest", F.sha2("text", 256)), bodies, threshold).join(ids, "key")
+        return found.select(F.col("doc_id").cast("long"), "item_id", "score", "start_char", "end_char")
+    index = SeedIndex([(None if i is None else str(i), body) for i, body in held], threshold)
+    index.keep_rare(_frequencies(docs, index, text))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(doc, *match) for doc, value in zip(batch["doc_id"], batch["text"], strict=True) for match in match_text(value, index)]
+            yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
 
-        rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(search, RESULT)
-        found = rows if found is None else found.union(rows)
-    return found
+    return named.mapInPandas(search, RESULT).withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")})
 
 
 def _holds(text: Column, index: SeedIndex) -> Column:
@@ -295,9 +493,20 @@ def remove_copies(
     docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, text: str = "text", item_id: str = "item_id"
 ) -> DataFrame:
     """`docs` without the rows whose text holds a copy of an item; all else stays as it is."""
-    kept = docs
-    for block in _blocks(items, item_id, text):
-        index = SeedIndex(block, threshold)
+    held = _one_block(items, item_id, text)
+    if held is not None:
+        index = SeedIndex(held, threshold)
         index.keep_rare(_frequencies(docs, index, text))
-        kept = kept.where(~_holds(F.col(text), index))
-    return kept
+        return docs.where(~_holds(F.col(text), index))
+    aside = Aside(docs)
+    digest = F.sha2(aside[text], 256)
+    texts = aside.frame.select(F.lit(None).cast("string").alias("doc_id"), aside[text].alias("text"), digest.alias("digest"))
+    copies = written(_aligned(texts, _bodies(items, item_id, text)[1], threshold).select("digest").distinct(), "copies")
+    # Texts that are surely no copy are not shuffled.
+    suspect = HashFilter(copies.select(F.xxhash64("digest").alias("hash"))).passes(F.xxhash64(F.coalesce(digest, F.lit(""))))
+    marked = aside.frame.withColumns({"digest": digest, "suspect": suspect})
+    clean = marked.where("NOT suspect").drop("digest", "suspect")
+    kept = clean.union(marked.where("suspect").drop("suspect").join(copies, "digest", "left_anti").drop("digest"))
+    return aside.back(kept, [])
+
+

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadastra.llm import decontaminate as d
 
@@ -89,13 +90,39 @@ def test_tables(spark):
     assert d.remove_copies(docs, items.limit(0)).count() == len(rows)
 
 
-def test_blocks_together_find_what_one_finds(spark, monkeypatch):
-    docs = spark.createDataFrame([(i, prose(20) + " " + t) for i, t in ITEMS[:20]], "doc_id long, text string")
-    items = spark.createDataFrame(ITEMS[:20], "item_id long, text string")
-    whole = sorted(map(tuple, d.find_copies(docs, items).collect()))
+@pytest.mark.parametrize("share", [0.0, 0.15, 0.3])
+def test_joins_find_what_one_block_finds(spark, monkeypatch, share):
+    rng = random.Random(int(share * 100))
+    bodies = dict(ITEMS)
+    texts = [" ".join([prose(20, rng), edited(bodies[i], share, rng), prose(9, rng), edited(bodies[i + 1], share, rng)]) for i in range(19)]
+    texts += [None, "", "a Short one", "short x one", "single", "SINGLE " * 40, "the " * 30, "x " * 50_000 + bodies[7], texts[0], texts[0]]
+    texts += [bodies[3] + " " + prose(4, rng) for _ in range(60)] + [prose(60, rng) for _ in range(40)]
+    rows = [((1 << 60) + i if i % 7 else None, t, i) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, digest int")
+    items = spark.createDataFrame([*ITEMS, (30, bodies[2]), (None, bodies[2]), (31, bodies[4] + " " + prose(2, rng))], "item_id long, text string")
+    whole = sorted(map(str, d.find_copies(docs, items).collect()))
+    kept = sorted(map(str, d.remove_copies(docs, items).collect()))
     monkeypatch.setattr(d, "BLOCK_ITEMS", 6)
-    assert sorted(map(tuple, d.find_copies(docs, items).collect())) == whole and len(whole) == 20
-    assert d.remove_copies(docs, items).count() == 0
+    monkeypatch.setattr(d, "TEXT_ITEMS", 2)
+    monkeypatch.setattr(d, "HELD_SEEDS", 50)
+    monkeypatch.setattr(d, "REMEMBERED_WORDS", 30)
+    assert sorted(map(str, d.find_copies(docs, items).collect())) == whole and len(whole) > 20
+    removed = d.remove_copies(docs, items)
+    assert removed.schema == docs.schema and sorted(map(str, removed.collect())) == kept and 40 <= len(kept) < len(rows)
+    for nothing in (docs.limit(0), docs.where("text IS NULL")):
+        assert d.find_copies(nothing, items).count() == 0 and d.remove_copies(nothing, items).count() == nothing.count()
+    monkeypatch.setattr(d, "BLOCK_ITEMS", -1)
+    blank = items.where("text IS NULL OR text = ''")
+    assert d.find_copies(docs, blank).count() == 0 and d.remove_copies(docs, blank).count() == len(rows)
+
+
+def test_a_filter_lets_all_known_hashes_through(spark):
+    known = spark.range(20_000).select(F.xxhash64("id").alias("hash"))
+    held = d.HashFilter(known)
+    strangers = spark.range(20_000, 40_000).select(F.xxhash64("id").alias("hash"))
+    assert known.where(held.passes(F.col("hash"))).count() == 20_000
+    assert strangers.where(held.passes(F.col("hash"))).count() < 20_000 / 10
+    assert strangers.where(d.HashFilter(known.limit(0)).passes(F.col("hash"))).count() == 0
 
 
 def test_common_seeds_are_dropped_but_copies_stay(spark):
