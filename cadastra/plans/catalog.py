@@ -305,7 +305,8 @@ def lookup_rows(spark, sf_dir):
 def _searchable(spark, sf_dir, order: str) -> tuple[DataFrame, str]:
     """Houses, and files of them in which the rows stand in the order of a hash of one column."""
     rows, path = houses(spark, sf_dir), new_folder(spark, "searchable")
-    dealt = rows.repartition(4, order).sortWithinPartitions(F.xxhash64(order))
+    # The id deals the rows of a frequent value to several files.
+    dealt = rows.repartitionByRange(4, F.xxhash64(order), "id").sortWithinPartitions(F.xxhash64(order))
     parquet.write_searchable(dealt, path, ["id"], row_group_bytes=64 << 10)
     return rows, path
 
