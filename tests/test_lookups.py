@@ -72,6 +72,34 @@ def test_dictionaries_skip_files_without_a_value(spark, stored):
     assert rows_read(parquet.find(spark, path, "region", ["B"])) == 0
 
 
+def plain_rows(spark, n):
+    text = [F.col("id").cast("string").alias(c) for c in ("region", "city", "address", "description")]
+    numbers = [F.col("id").cast(f.dataType).alias(f.name) for f in CLEAN if f.name in ("latitude", "longitude", "year", "area", "floors")]
+    return spark.range(0, n, 1, 1).select(F.col("id").cast("int"), *numbers, *text).select(*CLEAN.names)
+
+
+def test_filters_are_a_small_part_of_the_files(spark, tmp_path):
+    rows, size = plain_rows(spark, 40_000), {}
+    for name, blooms in (("with", ["id"]), ("without", [])):
+        parquet.write_searchable(rows, str(tmp_path / name), blooms, SMALL)
+        size[name] = sum(f.stat().st_size for f in (tmp_path / name).glob("*.parquet"))
+    groups = sum(f.num_row_groups for f in groups_of(tmp_path / "with"))
+    assert groups > 50
+    assert 0 < size["with"] - size["without"] < groups * (SMALL // 16 + 256)
+    assert rows_read(parquet.find(spark, str(tmp_path / "with"), "id", [12_345])) < 4_000
+
+
+def test_files_of_small_row_groups_have_few_rows(spark, tmp_path):
+    parquet.write_searchable(plain_rows(spark, 50_000), str(tmp_path / "small"), row_group_bytes=SMALL)
+    files = groups_of(tmp_path / "small")
+    assert sum(f.num_rows for f in files) == 50_000
+    assert max(f.num_rows for f in files) < 20_000
+    parquet.write_searchable(plain_rows(spark, 50_000), str(tmp_path / "large"))
+    assert [f.num_rows for f in groups_of(tmp_path / "large")] == [50_000]
+    parquet.write_searchable(plain_rows(spark, 5_000), str(tmp_path / "given"), rows_per_file=2_000)
+    assert sorted(f.num_rows for f in groups_of(tmp_path / "given")) == [1_000, 2_000, 2_000]
+
+
 def test_nothing_is_found_in_nothing(spark, tmp_path, stored):
     path = str(tmp_path / "none")
     parquet.write_searchable(spark.createDataFrame([], CLEAN), path)
