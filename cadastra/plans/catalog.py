@@ -302,11 +302,16 @@ def lookup_rows(spark, sf_dir):
     return loads.lookup(spark, path, [low - 5, low, low + 1, (low + high) // 2, high, high + 5])
 
 
+# Rows that a task sorts and writes.
+SEARCHABLE_ROWS = 200_000
+
+
 def _searchable(spark, sf_dir, order: str) -> tuple[DataFrame, str]:
     """Houses, and files of them in which the rows stand in the order of a hash of one column."""
     rows, path = houses(spark, sf_dir), new_folder(spark, "searchable")
+    parts = max(4, -(-rows.count() // SEARCHABLE_ROWS))
     # The id deals the rows of a frequent value to several files.
-    dealt = rows.repartitionByRange(4, F.xxhash64(order), "id").sortWithinPartitions(F.xxhash64(order))
+    dealt = rows.repartitionByRange(parts, F.xxhash64(order), "id").sortWithinPartitions(F.xxhash64(order))
     parquet.write_searchable(dealt, path, ["id"], row_group_bytes=64 << 10)
     return rows, path
 

@@ -6,6 +6,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from cadastra.plans import catalog
 from cadastra.plans.houses import houses
 from cadastra.schema import CLEAN
 from cadastra.sources import jdbc, parquet
@@ -100,6 +101,28 @@ def test_files_of_small_row_groups_have_few_rows(spark, tmp_path):
     assert sorted(f.num_rows for f in groups_of(tmp_path / "given")) == [1_000, 2_000, 2_000]
 
 
+def test_more_rows_are_dealt_to_more_tasks(spark, tmp_path, monkeypatch):
+    """As many tasks as the rows need, not four; a region with half of all rows is spread too."""
+    priority = F.when(F.col("id") % 2 == 0, "2-HIGH").otherwise(F.concat(F.lit("P"), F.col("id").cast("string")))
+    orders = spark.range(12_000).select(
+        F.col("id").alias("o_orderkey"),
+        F.col("id").alias("o_custkey"),
+        F.lit("O").alias("o_orderstatus"),
+        F.col("id").cast("double").alias("o_totalprice"),
+        F.lit("1995-05-05").cast("timestamp").alias("o_orderdate"),
+        priority.alias("o_orderpriority"),
+    )
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(catalog, "SEARCHABLE_ROWS", 1_000, raising=False)
+    for order in ("id", "region"):
+        _, path = catalog._searchable(spark, str(tmp_path), order)
+        sizes = [f["count"] for f in parquet.read_clean(spark, path).groupBy(F.col("_metadata.file_path")).count().collect()]
+        assert sum(sizes) == 12_000 and len(sizes) >= 10 and max(sizes) < 2_500
+    found = catalog.find_regions(spark, str(tmp_path))
+    assert sorted(r.id for r in found.collect()) == list(range(0, 12_000, 2))
+    assert len(catalog.find_ids(spark, str(tmp_path)).collect()) == 25
+
+
 def test_nothing_is_found_in_nothing(spark, tmp_path, stored):
     path = str(tmp_path / "none")
     parquet.write_searchable(spark.createDataFrame([], CLEAN), path)
