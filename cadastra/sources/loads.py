@@ -5,6 +5,9 @@ A key that repeats very often would fill one task; its rows are dealt by a hash
 other columns as well, and then its range is shared by neighbouring files. Which file
 holds which range is stored beside the table, a row for each file.
 
+Each task sends the driver a sample of the key and its counts. Many small files are
+therefore cut from the sorted rows of fewer tasks.
+
 A load is written to a folder of its own, compared with its source, and becomes the
 table by a change of the table's location. A load that fails changes nothing.
 """
@@ -21,6 +24,8 @@ from cadastra.schema import CLEAN
 from cadastra.sources.tables import ensure_database, ensure_table
 
 ROWS_PER_FILE = 5_000_000
+# Up to so many files are a task each; more are cut from tasks of about so many rows, or from this many tasks.
+LEAST_TASKS, ROWS_PER_TASK = 200, 1_000_000
 MANIFEST = "file string, low bigint, high bigint, n bigint"
 
 
@@ -34,10 +39,13 @@ def write_ranges(
     """Write files that hold ranges of a whole-number key, ordered by it; `rows` spares a count if known."""
     rows = df.count() if rows is None else rows
     files = max(1, -(-rows // rows_per_file))
+    tasks = min(files, max(LEAST_TASKS, -(-rows // ROWS_PER_TASK)))
     others = [c for c in df.columns if c != key]
     salt = F.xxhash64(*others) if others else F.lit(0)
-    dealt = df.repartitionByRange(files, F.col(key), salt).sortWithinPartitions(key)
-    dealt.write.mode("overwrite").parquet(path)
+    dealt = df.repartitionByRange(tasks, F.col(key), salt).sortWithinPartitions(key)
+    # Where each file is a task, sampled bounds decide how many rows it has.
+    cut = {"maxRecordsPerFile": rows_per_file} if tasks < files else {}
+    dealt.write.mode("overwrite").options(**cut).parquet(path)
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     place = F.col("_metadata.file_path").alias("file")
     number = F.col(key).cast("bigint")
@@ -48,11 +56,19 @@ def write_ranges(
 
 
 def ranges(spark: SparkSession, path: str) -> DataFrame:
-    """The range of each file, and whether it starts at or before the end of one before it."""
+    """The range of each file, and whether it starts at or before the end of one before it.
+
+    Files of one task follow each other in its sorted rows; two of them may share a key
+    that repeats where the first was full, which is no overlap.
+    """
     stored = spark.read.schema(MANIFEST).parquet(manifest_path(path))
     # A row for each file: few, whatever the table holds.
-    before = Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
-    return stored.withColumn("overlaps", F.coalesce(F.col("low") <= F.max("high").over(before), F.lit(False)))
+    order = Window.orderBy("low", "high", "file")
+    end = F.max("high").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    task = F.regexp_extract("file", r"(part-\d+)[^/]*$", 1)
+    apart = task != F.lag(task).over(order)
+    overlaps = (F.col("low") < end) | ((F.col("low") == end) & apart)
+    return stored.withColumn("overlaps", F.coalesce(overlaps, F.lit(False)))
 
 
 def lookup(spark: SparkSession, path: str, values: list[int], key: str = "id", schema=CLEAN) -> DataFrame:

@@ -46,6 +46,58 @@ def test_a_key_with_a_third_of_all_rows_is_spread(spark, tmp_path):
     assert len(found.inputFiles()) == len(files) - len(outside) and len(outside) > 8
 
 
+def tasks_of(files):
+    return {f.file.rsplit("/", 1)[-1].split("-")[1] for f in files}
+
+
+def test_many_small_files_are_cut_from_fewer_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "LEAST_TASKS", 8, raising=False)
+    rows = spark.range(2_400).select((F.col("id") * 3).alias("id"), F.col("id").cast("string").alias("name"))
+    path = str(tmp_path / "small")
+    loads.write_ranges(rows, path, rows_per_file=20)
+    files = loads.ranges(spark, path).collect()
+    assert len(tasks_of(files)) <= 8 and len(files) >= 120
+    assert sum(f.n for f in files) == 2_400 and max(f.n for f in files) <= 20 and not any(f.overlaps for f in files)
+    found = loads.lookup(spark, path, [0, 1, 600], schema=rows.schema)
+    assert len(found.inputFiles()) <= 3 and sorted(r.id for r in found.collect()) == [0, 600]
+    assert spark.read.schema(rows.schema).parquet(path).exceptAll(rows).count() == 0
+
+
+def test_repeats_cut_by_a_full_file_do_not_overlap(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "LEAST_TASKS", 4, raising=False)
+    key = F.col("id") % 300
+    same = spark.range(2_100).select(key.alias("id"), key.cast("string").alias("name"))
+    rows = same.union(spark.range(60).select(F.lit(None).cast("bigint"), F.lit("none")))
+    path = str(tmp_path / "repeats")
+    loads.write_ranges(rows, path, rows_per_file=10)
+    files = loads.ranges(spark, path).collect()
+    assert len(tasks_of(files)) <= 4 and sum(f.n for f in files) == 2_160 and max(f.n for f in files) <= 10
+    shared = {f.high for f in files} & {f.low for f in files if f.low != f.high}
+    assert shared and not any(f.overlaps for f in files)
+    wanted = sorted(shared - {None})[0]
+    assert loads.lookup(spark, path, [wanted], schema=rows.schema).count() == 7
+
+
+def test_ranges_that_reach_into_others_are_told(spark, tmp_path):
+    path = str(tmp_path / "told")
+    stored = [("/t/part-00000-u-c000", 1, 5), ("/t/part-00000-u-c001", 5, 7), ("/t/part-00001-u-c000", 7, 9), ("/t/part-00002-u-c000", 8, 8)]
+    manifest = spark.createDataFrame([(*s, 4) for s in stored], loads.MANIFEST)
+    manifest.write.parquet(loads.manifest_path(path))
+    assert [f.overlaps for f in loads.ranges(spark, path).orderBy("low").collect()] == [False, False, True, True]
+
+
+def test_a_swapped_load_sends_the_driver_little(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "LEAST_TASKS", 8, raising=False)
+    table, root = "small_files.houses", str(tmp_path / "loads")
+    rows = spark.range(3_000).select(F.col("id").cast("int").alias("id"))
+    rows = rows.select(*[F.col("id").cast(f.dataType).alias(f.name) for f in CLEAN])
+    loads.load_swapped(rows, table, root, rows_per_file=25)
+    assert sorted(spark.table(table).collect()) == sorted(rows.collect())
+    files = loads.ranges(spark, loads.location(spark, table)).collect()
+    assert len(files) >= 120 and len(tasks_of(files)) <= 8
+    spark.sql("DROP DATABASE small_files CASCADE")
+
+
 def test_empty_and_single_loads(spark, tmp_path):
     for rows in (spark.createDataFrame([], CLEAN), houses(spark, SF).limit(1)):
         path = str(tmp_path / str(rows.count()))
