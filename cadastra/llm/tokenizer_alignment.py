@@ -4,12 +4,14 @@ Both tokenizations of a text are rows of byte offsets over the same bytes. One s
 into A's and one into B's tokens for every document of a batch; each step links the tokens that the pointers
 stand at, records a cut where both end at the same byte, and advances the pointer (or both) whose token ends
 first. Documents that are through leave the vector. A long document enters as several lanes that begin where
-tokens of both end together, so no step waits for one document.
+tokens of both end together, so no step waits for one document. A batch is a bounded number of tokens, so a
+worker holds the links of a few hundred documents at most, and of the rest only which pairs each document has.
 
 How many documents hold a pair of ids linked is counted over all documents. Documents are kept in blocks of a
 bounded number of links. A block names each of its pairs once, with the number of its documents that hold the
 pair; these rows are summed by pair, and the sums go back to the blocks. So what is shuffled are the distinct
-pairs of blocks, and no task holds the corpus' pairs.
+pairs of blocks, and no task holds the corpus' pairs. Which pairs a document holds travels compressed, since
+the rows of whole blocks would else fill the memory of those who sort and shuffle them.
 
 Tokenizer A is byte-level BPE from a `tokenizers` file; where its merges stand in the order of their ids, which
 is checked, tiktoken merges by them. Tokenizer B is a sentencepiece model. The files' paths are parameters.
@@ -25,13 +27,15 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,15 +47,26 @@ from cadastra.scratch import new_folder
 
 #: Tokens of both sides in one block, unless one document has more.
 BLOCK_TOKENS = 1 << 21
+#: Documents of a block, about, however few tokens they have.
+BLOCK_DOCS = 10_000
+#: Tokens of both sides that are aligned at once, unless one document has more.
+PIECE_TOKENS = 1 << 18
 #: Tokens of A in one lane, about.
-LANE_TOKENS = 4_096
+LANE_TOKENS = 256
 #: A pair of ids as one number: the id of A above the bits of that of B.
 _SHIFT = 32
 
 _OUTPUTS = ("a_ids", "b_ids", "a_ends", "b_ends", "a_cuts", "b_cuts", "a_linked", "b_linked")
 _BLOCK = (
     "block long, docs array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "groups array<string>, pair array<long>, held array<int>, distinct array<int>, step array<int>, times array<int>"
+    "groups array<string>, pair array<long>, held array<int>, distinct array<int>, step binary, times binary"
+)
+_BLOCK_ARROW = pa.schema(
+    [
+        ("block", pa.int64()), *((name, pa.list_(pa.int64())) for name in ("docs", "n_a", "n_b", "n_groups", "n_links")),
+        ("groups", pa.list_(pa.string())), ("pair", pa.list_(pa.int64())), ("held", pa.list_(pa.int32())),
+        ("distinct", pa.list_(pa.int32())), ("step", pa.binary()), ("times", pa.binary()),
+    ]
 )
 SUMMARY = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -166,75 +181,52 @@ def lockstep(
     return a_link[:done], b_link[:done], np.sort(np.concatenate(a_cut)), np.sort(np.concatenate(b_cut))
 
 
-class Vocabulary:
-    """The bytes of all ids in a row."""
-
-    def __init__(self, tokens: list[bytes]) -> None:
-        self.size = np.array([len(token) for token in tokens])
-        self.first = np.cumsum(self.size) - self.size
-        self.content = np.frombuffer(b"".join(tokens), np.uint8)
-
-    def joined(self, ids: np.ndarray) -> np.ndarray:
-        size = self.size[ids]
-        start = np.cumsum(size) - size
-        return self.content[np.arange(int(size.sum())) + np.repeat(self.first[ids] - start, size)]
-
-
-def align_texts(texts: list[str | None], a: ByteLevelTokenizer, b: PieceTokenizer) -> Iterator[tuple[range, Aligned]]:
-    """Blocks of neighbouring texts: which they are, and their alignment."""
-    sides = Vocabulary(a.bytes), Vocabulary(b.bytes)
-    none = np.zeros(0, np.int32)
+def align_texts(texts: Iterable[str | None], a: ByteLevelTokenizer, b: PieceTokenizer) -> Iterator[tuple[range, Aligned]]:
+    """Pieces of neighbouring texts: which they are, and their alignment."""
+    sides = [np.array(side.bytes, dtype=object) for side in (a, b)]
+    sizes = [np.array([len(token) for token in side.bytes]) for side in (a, b)]
+    none, most = (np.zeros(0, np.int32),) * 2, min(PIECE_TOKENS, BLOCK_TOKENS)
     start, tokens, held = 0, 0, []
-    for at, text in enumerate(texts):
-        held.append((a.encode([text])[0], b.encode([text])[0]) if text else (none, none))
+    for text in texts:
+        pair = (a.encode([text])[0], b.encode([text])[0]) if text else none
+        held.append(pair if not text or _whole(text, pair, sides) else none)
         tokens += len(held[-1][0]) + len(held[-1][1])
-        if tokens >= BLOCK_TOKENS or at == len(texts) - 1:
-            yield range(start, at + 1), _aligned(texts[start : at + 1], held, sides)
-            start, tokens, held = at + 1, 0, []
+        if tokens >= most:
+            yield range(start, start + len(held)), _aligned(held, sizes)
+            start, tokens, held = start + len(held), 0, []
+    if held:
+        yield range(start, start + len(held)), _aligned(held, sizes)
 
 
-def _whole(texts: list[str | None], held: list[tuple[np.ndarray, np.ndarray]], sides: tuple[Vocabulary, Vocabulary]) -> np.ndarray:
+def _whole(text: str, pair: tuple[np.ndarray, np.ndarray], sides: list[np.ndarray]) -> bool:
     """Whether the tokens of both sides join to a space and the text."""
-    wanted = [(" " + text).encode("utf-8", "replace") if text else b"" for text in texts]
-    size = np.array([len(w) for w in wanted])
-    good = np.ones(len(texts), bool)
-    for k, side in enumerate(sides):
-        good &= np.array([int(side.size[pair[k]].sum()) for pair in held]) == size
-    own = np.flatnonzero(good & (size > 0))
-    if not len(own):
-        return good
-    content = np.frombuffer(b"".join(wanted[i] for i in own), np.uint8)
-    first = np.cumsum(size[own]) - size[own]
-    for k, side in enumerate(sides):
-        wrong = side.joined(np.concatenate([held[i][k] for i in own])) != content
-        good[own[np.logical_or.reduceat(wrong, first)]] = False
-    return good
-
-
-def _aligned(texts: list[str | None], held: list[tuple[np.ndarray, np.ndarray]], sides: tuple[Vocabulary, Vocabulary]) -> Aligned:
-    none, parts = np.zeros(0, np.int32), []
-    held = [pair if good else (none, none) for pair, good in zip(held, _whole(texts, held, sides), strict=True)]
-    for k, side in enumerate(sides):
+    wanted = (" " + text).encode("utf-8", "replace")
+    return all(b"".join(side[ids].tolist()) == wanted for side, ids in zip(sides, pair, strict=True))
+
+
+def _aligned(held: list[tuple[np.ndarray, np.ndarray]], sizes: list[np.ndarray]) -> Aligned:
+    parts = []
+    for k, size in enumerate(sizes):
         ids = np.concatenate([pair[k] for pair in held]).astype(np.int64)
         first = np.concatenate([[0], np.cumsum([len(pair[k]) for pair in held])])
-        total = np.concatenate([[0], np.cumsum(side.size[ids])])
+        total = np.concatenate([[0], np.cumsum(size[ids])])
         parts.append((ids, total[1:] - np.repeat(total[first[:-1]], np.diff(first)), first))
     (a_ids, a_end, a_first), (b_ids, b_end, b_first) = parts
     a_link, b_link, a_cut, b_cut = lockstep(a_end, b_end, a_first, b_first)
     return Aligned(a_ids, b_ids, a_end, b_end, a_first, b_first, a_cut, b_cut, a_link, b_link)
 
 
-def group_texts(x: Aligned, a_words: list[bytes], b_words: list[bytes]) -> list[bytes]:
+def group_texts(x: Aligned, a_words: np.ndarray, b_words: np.ndarray) -> list[bytes]:
     """`a1,a2|b1;a3|b2` of each document; `a_words` are decimal ids before ',' and then before '|', `b_words` before ',' and ';'."""
     a_before, b_before = np.append(0, x.a_cut[:-1]), np.append(0, x.b_cut[:-1])
     place_a = np.arange(len(x.a_ids)) + np.repeat(b_before, x.a_cut - a_before) if len(x.a_cut) else np.zeros(0, int)
     place_b = np.arange(len(x.b_ids)) + np.repeat(x.a_cut, x.b_cut - b_before) if len(x.a_cut) else np.zeros(0, int)
     last_a, last_b = np.zeros(len(x.a_ids), bool), np.zeros(len(x.b_ids), bool)
     last_a[x.a_cut - 1] = last_b[x.b_cut - 1] = True
-    code = np.empty(len(x.a_ids) + len(x.b_ids), np.int64)
-    code[place_a] = x.a_ids + last_a * (len(a_words) // 2)
-    code[place_b] = len(a_words) + x.b_ids + last_b * (len(b_words) // 2)
-    words = np.array(a_words + b_words, dtype=object)[code].tolist()
+    words = np.empty(len(x.a_ids) + len(x.b_ids), dtype=object)
+    words[place_a] = a_words[x.a_ids + last_a * (len(a_words) // 2)]
+    words[place_b] = b_words[x.b_ids + last_b * (len(b_words) // 2)]
+    words = words.tolist()
     first = x.a_first + x.b_first
     return [b"".join(words[low:high])[:-1] for low, high in zip(first, first[1:], strict=False)]
 
@@ -274,47 +266,75 @@ def align(docs: DataFrame, a_path: str, pattern: str, b_path: str, text: str = "
     return aside.back(rows.select("*", "found.*"), _OUTPUTS)
 
 
-def _block(number: int, doc_ids: list, x: Aligned, words: tuple[list[bytes], list[bytes]]) -> dict:
-    """The row of a block: counts of its documents, its pairs from frequent to rare, and which of them each document holds."""
-    size = len(doc_ids)
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers of 32 bits, compressed: their lowest bytes first, then the next ones."""
+    return zstandard.compress(values.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(content: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(content), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
+def _counted(x: Aligned, words: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
+    """Counts of each document of a piece, and its distinct pairs with the number of links of each, document by document."""
+    size = len(x.a_first) - 1
     a_of = np.repeat(np.arange(size), np.diff(x.a_first))
     found, pair = pd.factorize((x.a_ids[x.a_link] << _SHIFT) | x.b_ids[x.b_link])
-    order = np.argsort(-np.bincount(found, minlength=len(pair)), kind="stable")
+    owner = a_of[x.a_link]
+    key, times = np.unique(owner * max(1, len(pair)) + found, return_counts=True)
+    texts = group_texts(x, *words)
+    return {
+        "n_a": np.diff(x.a_first), "n_b": np.diff(x.b_first),
+        "n_groups": np.bincount(a_of[x.a_cut - 1], minlength=size), "n_links": np.bincount(owner, minlength=size),
+        "groups": np.array([hashlib.sha256(t).hexdigest() if t else "" for t in texts], dtype=object),
+        "distinct": np.bincount(key // max(1, len(pair)), minlength=size),
+        "pairs": pair[key % max(1, len(pair))], "times": times,
+    }
+
+
+def _block(number: int, doc_ids: list, pieces: list[dict[str, np.ndarray]]) -> dict:
+    """The row of a block: counts of its documents, its pairs from frequent to rare, and which of them each document holds."""
+    whole = {name: np.concatenate([piece[name] for piece in pieces]) for name in pieces[0]}
+    distinct, times = whole["distinct"], whole["times"]
+    found, pair = pd.factorize(whole.pop("pairs"))
+    order = np.argsort(-np.bincount(found, times, minlength=len(pair)), kind="stable")
     rank = np.empty(len(order), np.int64)
     rank[order] = np.arange(len(order))
-    owner = a_of[x.a_link]
-    key, times = np.unique(owner * max(1, len(pair)) + rank[found], return_counts=True)
-    owner, at = key // max(1, len(pair)), key % max(1, len(pair))
-    distinct = np.bincount(owner, minlength=size)
+    at = rank[found]
+    inside = np.argsort(np.repeat(np.arange(len(doc_ids)), distinct) * max(1, len(pair)) + at)
+    at, times = at[inside], times[inside]
     step = np.diff(at, prepend=0)
     heads = (np.cumsum(distinct) - distinct)[distinct > 0]
     step[heads] = at[heads]
-    texts = group_texts(x, *words)
-    return {
-        "block": number, "docs": doc_ids,
-        "n_a": np.diff(x.a_first), "n_b": np.diff(x.b_first),
-        "n_groups": np.bincount(a_of[x.a_cut - 1], minlength=size), "n_links": np.bincount(a_of[x.a_link], minlength=size),
-        "groups": [hashlib.sha256(t).hexdigest() if t else "" for t in texts],
-        "pair": pair[order], "held": np.bincount(at, minlength=len(pair)).astype(np.int32),
-        "distinct": distinct.astype(np.int32), "step": step.astype(np.int32), "times": times.astype(np.int32),
+    return whole | {
+        "block": number, "docs": doc_ids, "pair": pair[order], "held": np.bincount(at, minlength=len(pair)).astype(np.int32),
+        "distinct": distinct.astype(np.int32), "step": _packed(step), "times": _packed(times),
     }
 
 
 def _blocks(docs: DataFrame, a_path: str, pattern: str, b_path: str, text: str, doc_id: str) -> DataFrame:
-    def block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _tokenizers(a_path, pattern, b_path)
         words = tuple(
-            [b"%d%s" % (i, end) for end in ends for i in range(len(side.bytes))] for side, ends in ((a, (b",", b"|")), (b, (b",", b";")))
+            np.array([b"%d%s" % (i, end) for end in ends for i in range(len(side.bytes))], dtype=object)
+            for side, ends in ((a, (b",", b"|")), (b, (b",", b";")))
         )
-        number = TaskContext.get().partitionId() << 32
+        number, ids, pieces, tokens = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            ids = [None if pd.isna(i) else int(i) for i in batch["doc_id"]]
-            for rows, x in align_texts(list(batch["text"]), a, b):
-                yield pd.DataFrame([_block(number, ids[rows.start : rows.stop], x, words)])
-                number += 1
+            batch_ids = batch.column(0).to_pylist()
+            for rows, x in align_texts((value.as_py() for value in batch.column(1)), a, b):
+                ids += batch_ids[rows.start : rows.stop]
+                pieces.append(_counted(x, words))
+                tokens += len(x.a_ids) + len(x.b_ids)
+                if tokens >= BLOCK_TOKENS or len(ids) >= BLOCK_DOCS:
+                    yield pa.RecordBatch.from_pylist([_block(number, ids, pieces)], _BLOCK_ARROW)
+                    number, ids, pieces, tokens = number + 1, [], [], 0
+            del batch  # before the next one is read
+        if ids:
+            yield pa.RecordBatch.from_pylist([_block(number, ids, pieces)], _BLOCK_ARROW)
 
     rows = docs.select(named(doc_id).cast("long").alias("doc_id"), named(text).alias("text"))
-    return rows.mapInPandas(block, _BLOCK)
+    return rows.mapInArrow(block, _BLOCK)
 
 
 def summarize(docs: DataFrame, a_path: str, pattern: str, b_path: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -342,14 +362,14 @@ def summarize(docs: DataFrame, a_path: str, pattern: str, b_path: str, text: str
         count, best = np.zeros(len(known), np.int64), np.zeros(len(known), np.int64)
         count[known["at"]], best[known["at"]] = known["n"], known["best"]
         for row in block.itertuples(index=False):
-            distinct, step = np.asarray(row.distinct, np.int64), np.asarray(row.step, np.int64)
+            distinct, step, times = np.asarray(row.distinct, np.int64), _unpacked(row.step), _unpacked(row.times)
             heads = np.cumsum(distinct) - distinct
-            run = np.cumsum(step)
+            run = np.cumsum(step, dtype=np.int64)
             before = np.where(heads > 0, run[heads - 1], 0) if len(run) else np.zeros(len(heads), np.int64)
             at = run - np.repeat(before, distinct)
             sums = []
             for value in (best, count):
-                sofar = np.append(0, np.cumsum(value[at] * np.asarray(row.times)))
+                sofar = np.append(0, np.cumsum(value[at] * times))
                 sums.append(sofar[heads + distinct] - sofar[heads])
             out.append(pd.DataFrame({
                 "doc_id": pd.array(row.docs, dtype="object"), "n_a": row.n_a, "n_b": row.n_b, "n_groups": row.n_groups, "n_links": row.n_links,

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers as P
@@ -144,3 +145,37 @@ def test_a_file_in_another_order_is_read_by_its_own_library(tmp_path, sides):
     text = "The quick brown fox"
     assert other.encode([text])[0].tolist() == sides[0].encode([text])[0].tolist()
     assert all(other.bytes)
+
+
+def test_a_worker_holds_a_piece_and_not_a_block(sides):
+    texts = ["Some words, and others; 1234 don't " * 400] * 150
+    tracemalloc.start()
+    try:
+        tokens = [len(x.a_ids) + len(x.b_ids) for _, x in alignment.align_texts(texts, *sides)]
+        _, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert sum(tokens) > 1_000_000
+    assert peak < 40_000_000  # 86 MB before, when a block was aligned at once
+
+
+def test_blocks_go_on_over_batches_and_are_small(spark):
+    words = "Some words, and others; 1234 don't repeat them here or there".split()
+    rows = [(i, " ".join(words[i * j % len(words)] for j in range(1_000))) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "5")
+    try:
+        (block,) = alignment._blocks(frame, *PATHS, "text", "doc_id").collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert block["docs"] == [i for i, _ in rows]
+    steps, times = (alignment._unpacked(block[name]) for name in ("step", "times"))
+    assert len(steps) == len(times) == sum(block["distinct"]) and times.sum() == sum(block["n_links"])
+    assert len(block["step"]) + len(block["times"]) < 0.5 * (steps.nbytes + times.nbytes)
+
+
+def test_packed_numbers_come_back():
+    for values in ([], [0], [-1, 1 << 30, -(1 << 31), 255, 256, 65_536]):
+        assert alignment._unpacked(alignment._packed(alignment.np.array(values, "i8"))).tolist() == values
